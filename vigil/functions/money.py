@@ -1,9 +1,10 @@
-"""Decimal arithmetic helpers: divide once, round once, half up.
+"""Decimal arithmetic helpers: exact ratios rounded once, half away from zero.
 
 Spark's `avg(decimal)` rounds to scale+4 and a later `round` rounds again;
-the serving database keeps more digits.  These helpers keep the sum exact in
-a wide decimal, divide once and round once, so cents agree with an exact
-computation.
+the serving database keeps more digits.  These helpers turn the numerator
+into an exact integer (a decimal sum scaled by 10^scale), divide with
+integral `div` and round half up in integer arithmetic, so cents agree with
+an exact computation on every row.
 """
 
 from __future__ import annotations
@@ -12,29 +13,38 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def exact_avg(col: Column | str, scale: int, count: Column | None = None,
-              out_precision: int = 22) -> Column:
-    """round(sum(col) / count, scale) with a single rounding, as decimal."""
-    c = F.col(col) if isinstance(col, str) else col
-    n = count if count is not None else F.count(c)
-    s = F.sum(c).cast("decimal(38,10)")
-    return F.round(s / n.cast("decimal(20,0)"), scale).cast(f"decimal({out_precision},{scale})")
+def _int(c: Column) -> Column:
+    return c.cast("decimal(38,0)")
+
 
+def div_half_up(num: Column, den: Column) -> Column:
+    """round(num / den) half away from zero, for integer-valued num and den > 0."""
+    a = F.abs(num)
+    q = F.call_function("div", _int(a * 2 + den), _int(den * 2))
+    return F.when(num < 0, -q).otherwise(q)
 
-def exact_avg_times(col: Column | str, factor: Column, scale: int, count: Column | None = None,
-                    out_precision: int = 22) -> Column:
-    """round(sum(col) * factor / count, scale): multiply before dividing."""
+
+def exact_ratio(num: Column, den: Column, scale: int, num_scale: int,
+                out_precision: int = 22) -> Column:
+    """round(num / den, scale) exactly; `num` is a decimal of scale `num_scale`,
+    `den` a positive integer; null when den is 0 or null."""
+    n_int = _int(num * F.lit(10 ** num_scale))
+    q = div_half_up(n_int * F.lit(10 ** scale), _int(den) * F.lit(10 ** num_scale))
+    out = (_int(q) / F.lit(10 ** scale).cast("decimal(38,0)")).cast(f"decimal({out_precision},{scale})")
+    return F.when(den > 0, out)
+
+
+def exact_avg(col: Column | str, scale: int, col_scale: int = 2, count: Column | None = None,
+              out_precision: int = 22) -> Column:
+    """round(sum(col) / count(col), scale) as an aggregate, one rounding."""
     c = F.col(col) if isinstance(col, str) else col
     n = count if count is not None else F.count(c)
-    s = F.sum(c).cast("decimal(24,4)") * factor
-    return F.round(s / n.cast("decimal(20,0)"), scale).cast(f"decimal({out_precision},{scale})")
+    return exact_ratio(F.sum(c), n, scale, col_scale, out_precision)
 
 
 def pct(part: Column, whole: Column, scale: int = 2) -> Column:
-    """round(100 * part / whole, scale) as decimal(9+scale, scale); null if whole is 0."""
-    p = part.cast("decimal(20,0)") * F.lit(100)
-    q = F.when(whole != 0, p / whole.cast("decimal(20,0)"))
-    return F.round(q, scale).cast(f"decimal({9 + scale},{scale})")
+    """round(100 * part / whole, scale) for integer counts, as decimal(9+scale, scale)."""
+    return exact_ratio(part * F.lit(100), whole, scale, 0, 9 + scale)
 
 
 def not_nan(col: Column) -> Column:

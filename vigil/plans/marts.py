@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.calendar import calendar_columns, date_key, text_key
-from vigil.functions.money import exact_avg, exact_avg_times, pct
+from vigil.functions.money import exact_avg, exact_ratio, pct
 from vigil.functions.rules import describe_rule
 
 
@@ -99,18 +99,19 @@ def mart_loan_risk(stg_loans: DataFrame, rates: DataFrame) -> DataFrame:
         n.alias("total_loans"),
         F.sum("loan_status").alias("total_defaults"),
         F.sum("loan_amnt").cast("decimal(24,2)").alias("_amt_sum"),
-        exact_avg("loan_amnt", 2, count=n, out_precision=18).alias("avg_loan_amnt_usd"),
-        exact_avg("loan_int_rate", 3, count=n, out_precision=10).alias("avg_interest_rate"),
-        exact_avg("person_income", 2, count=n, out_precision=18).alias("avg_person_income"),
+        F.count("loan_amnt").alias("_amt_n"),
+        exact_avg("loan_amnt", 2, 2, out_precision=18).alias("avg_loan_amnt_usd"),
+        exact_avg("loan_int_rate", 3, 3, out_precision=10).alias("avg_interest_rate"),
+        exact_avg("person_income", 2, 2, out_precision=18).alias("avg_person_income"),
     )
     r = F.broadcast(latest_rate(rates).select("usd_lkr_rate"))
-    lkr = F.round(F.col("_amt_sum") * F.col("usd_lkr_rate") / F.col("total_loans").cast("decimal(20,0)"), 2)
+    lkr = exact_ratio(F.col("_amt_sum") * F.col("usd_lkr_rate"), F.col("_amt_n"), 2, 6, 18)
     return (g.crossJoin(r).select(
         "loan_grade", "loan_intent", "total_loans",
         F.col("total_defaults").cast("bigint").alias("total_defaults"),
         pct(F.col("total_defaults"), F.col("total_loans")).alias("default_rate_pct"),
         "avg_loan_amnt_usd",
-        lkr.cast("decimal(18,2)").alias("avg_loan_amnt_lkr"),
+        lkr.alias("avg_loan_amnt_lkr"),
         "avg_interest_rate", "avg_person_income", "usd_lkr_rate",
     ).orderBy("loan_grade", "loan_intent"))
 

@@ -44,12 +44,18 @@ def pct_sql(part: str, whole: str, scale: int = 2) -> str:
             f"AS DECIMAL({9 + scale},{scale}))")
 
 
-def avg_sql(col: str, scale: int, precision: int = 22, count: str | None = None, unit: int = 100) -> str:
-    """Exact avg of a decimal column with `unit` = 10^(column scale), rounded half up."""
-    n = count or f"count({col})"
-    s = f"CAST(round(sum({col}) * {unit}) AS HUGEINT)"
+def avg_sql(col: str, scale: int, col_scale: int = 2, precision: int = 22) -> str:
+    """Exact avg of a non-negative decimal column, rounded half up once."""
+    n = f"count({col})"
+    s = f"CAST(round(sum({col}) * {10 ** col_scale}) AS HUGEINT)"
+    return ratio_sql(s, n, scale, col_scale, precision)
+
+
+def ratio_sql(num_int: str, den: str, scale: int, num_scale: int, precision: int = 22) -> str:
+    """round((num_int / 10^num_scale) / den, scale) for non-negative integers."""
     f = 10 ** scale
-    return (f"CAST(CAST({half_up(s, n, f)} AS DECIMAL(38,0)) / CAST({f * unit} AS DECIMAL(38,0)) "
+    q = half_up(num_int, f"({den}) * {10 ** num_scale}", f)
+    return (f"CAST(CASE WHEN ({den}) > 0 THEN CAST({q} AS DECIMAL(38,0)) / {f}.0 END "
             f"AS DECIMAL({precision},{scale}))")
 
 
@@ -181,3 +187,149 @@ FROM (SELECT transaction_id, list_filter([
         CASE WHEN coalesce(hour(event_time), 12) IN (0, 1, 2, 3, 4) THEN 'odd_hour' END],
         lambda x: x IS NOT NULL) AS m
       FROM enriched) r""")
+
+
+# ---------------------------------------------------------------- warehouse
+
+CTES.update({
+    "loans": """SELECT 'L' || CAST(o_orderkey AS VARCHAR) AS loan_id,
+    CAST(18 + o_custkey % 50 AS SMALLINT) AS person_age,
+    CAST(greatest(CAST(c_acctbal AS DECIMAL(14,2)) * 10, 0) AS DECIMAL(14,2)) AS person_income,
+    CAST(o_totalprice AS DECIMAL(14,2)) AS loan_amnt,
+    CAST(CAST(o_orderkey % 2000 AS DECIMAL(6,0)) / 100 AS DECIMAL(6,3)) AS loan_int_rate,
+    lower(substring(c_mktsegment, 1, 1)) AS loan_grade,
+    o_orderpriority AS loan_intent,
+    CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS SMALLINT) AS loan_status,
+    CASE WHEN o_orderstatus = 'P' THEN 'Y' ELSE 'N' END AS cb_person_default_on_file
+  FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "stg_loans": """SELECT loan_id, coalesce(person_age, 0) AS person_age,
+    coalesce(person_income, 0) AS person_income, coalesce(loan_amnt, 0) AS loan_amnt,
+    coalesce(loan_int_rate, 0) AS loan_int_rate, upper(loan_grade) AS loan_grade, loan_intent,
+    loan_status, CASE WHEN loan_status = 1 THEN 'Default' ELSE 'Performing' END AS loan_status_label,
+    cb_person_default_on_file
+  FROM loans""",
+    "dim_account": f"""SELECT md5(origin_account) AS account_key, origin_account AS account_id,
+    count(*) AS total_flags, CAST(sum(amount) AS DECIMAL(28,2)) AS total_flagged_amount,
+    {avg_sql('amount', 6)} AS avg_flagged_amount,
+    max(amount) AS max_single_flagged_amount,
+    min(event_time) AS first_seen_at, max(event_time) AS last_seen_at,
+    mode(rule_name ORDER BY rule_name) AS most_common_rule,
+    count(DISTINCT rule_name) AS distinct_rules_triggered
+  FROM stg_flagged GROUP BY origin_account""",
+    "dim_date": """SELECT CAST(strftime(calendar_date, '%Y%m%d') AS INTEGER) AS date_key,
+    calendar_date AS full_date, year(calendar_date) AS year, month(calendar_date) AS month,
+    day(calendar_date) AS day, dayofweek(calendar_date) AS day_of_week,
+    dayname(calendar_date) AS day_name, monthname(calendar_date) AS month_name,
+    quarter(calendar_date) AS quarter, weekofyear(calendar_date) AS week_of_year,
+    dayofweek(calendar_date) IN (0, 6) AS is_weekend,
+    strftime(calendar_date, '%Y-%m') AS year_month
+  FROM (SELECT DISTINCT event_date AS calendar_date FROM stg_flagged) d""",
+    "dim_rule": f"""SELECT md5(rule_name) AS rule_key, rule_name, {describe_sql('rule_name')} AS rule_description
+  FROM (SELECT DISTINCT rule_name FROM stg_flagged WHERE rule_name IS NOT NULL) r""",
+    "fact": """SELECT f.transaction_id, CAST(strftime(f.event_date, '%Y%m%d') AS INTEGER) AS date_key,
+    md5(f.origin_account) AS account_key, md5(f.rule_name) AS rule_key,
+    f.tx_type, f.rule_name, f.origin_account, f.dest_account, f.amount AS amount_usd,
+    CAST(round(f.amount * r.usd_lkr_rate, 2) AS DECIMAL(28,2)) AS amount_lkr,
+    f.tx_count_5m, f.total_amount_5m, f.max_amount_5m, f.geo_impossible,
+    f.event_time, f.event_date, f.detected_at
+  FROM stg_flagged f CROSS JOIN latest_rate r""",
+    "mart": f"""SELECT l.loan_grade, l.loan_intent, count(*) AS total_loans,
+    CAST(sum(l.loan_status) AS BIGINT) AS total_defaults,
+    {pct_sql('sum(l.loan_status)', 'count(*)')} AS default_rate_pct,
+    {avg_sql('l.loan_amnt', 2, 2, 18)} AS avg_loan_amnt_usd,
+    {ratio_sql('CAST(round(sum(l.loan_amnt) * r.usd_lkr_rate * 1000000) AS HUGEINT)', 'count(l.loan_amnt)', 2, 6, 18)}
+      AS avg_loan_amnt_lkr,
+    {avg_sql('l.loan_int_rate', 3, 3, 10)} AS avg_interest_rate,
+    {avg_sql('l.person_income', 2, 2, 18)} AS avg_person_income,
+    r.usd_lkr_rate
+  FROM stg_loans l CROSS JOIN latest_rate r
+  GROUP BY l.loan_grade, l.loan_intent, r.usd_lkr_rate""",
+    "daily": """SELECT d.summary_date,
+    CAST(coalesce(a.total_txns, 0) AS INTEGER) AS total_txns,
+    CAST(coalesce(a.flagged_count, 0) AS INTEGER) AS flagged_count,
+    CAST(coalesce(a.total_amount, 0) AS DECIMAL(20,2)) AS total_amount,
+    CAST(coalesce(a.flagged_amount, 0) AS DECIMAL(20,2)) AS flagged_amount,
+    a.top_rule
+  FROM (SELECT CAST(unnest(generate_series(min(CAST(dt AS DATE)) - 1, max(CAST(dt AS DATE)) + 1,
+                INTERVAL 1 DAY)) AS DATE) AS summary_date FROM scored) d
+  LEFT JOIN (SELECT CAST(dt AS DATE) AS summary_date, count(*) AS total_txns,
+               count(*) FILTER (WHERE is_fraud_detected) AS flagged_count,
+               coalesce(sum(amount) FILTER (WHERE NOT isnan(amount)), 0) AS total_amount,
+               coalesce(sum(amount) FILTER (WHERE is_fraud_detected AND NOT isnan(amount)), 0)
+                 AS flagged_amount,
+               mode(rule_name ORDER BY rule_name) FILTER (WHERE is_fraud_detected) AS top_rule
+             FROM scored WHERE dt IS NOT NULL GROUP BY 1) a
+  ON d.summary_date = a.summary_date""",
+})
+
+
+def _ts_all(cols: str) -> str:
+    return ", ".join(ts_sql(c.strip()) for c in cols.split(","))
+
+
+oracle("stg_flagged", f"""
+SELECT * EXCLUDE (event_time, detected_at), {_ts_all('event_time, detected_at')} FROM stg_flagged""")
+
+oracle("stg_rates", f"""SELECT rate_date, usd_lkr_rate, source_url, {ts_sql('loaded_at')} FROM rates""")
+
+oracle("stg_loans", """SELECT * FROM stg_loans""")
+
+oracle("dim_account", f"""
+SELECT * EXCLUDE (first_seen_at, last_seen_at), {_ts_all('first_seen_at, last_seen_at')} FROM dim_account""")
+
+oracle("dim_date", """SELECT * FROM dim_date""")
+
+oracle("dim_rule", """SELECT * FROM dim_rule""")
+
+oracle("latest_rate", """SELECT usd_lkr_rate, rate_date FROM latest_rate""")
+
+oracle("fact_fraud_events", f"""
+SELECT * EXCLUDE (event_time, detected_at), {_ts_all('event_time, detected_at')} FROM fact""")
+
+oracle("star_view", """
+SELECT f.transaction_id, f.date_key, d.year_month, d.is_weekend, f.account_key, a.total_flags,
+       a.most_common_rule, f.rule_key, r.rule_description, f.amount_lkr
+FROM fact f LEFT JOIN dim_date d ON f.date_key = d.date_key
+LEFT JOIN dim_account a ON f.account_key = a.account_key
+LEFT JOIN dim_rule r ON f.rule_key = r.rule_key""")
+
+oracle("mart_loan_risk", """SELECT * FROM mart""")
+
+oracle("amount_lkr_asof", """
+SELECT s.transaction_id, s.event_date, r.usd_lkr_rate AS rate_asof,
+       CAST(round(s.amount * r.usd_lkr_rate, 2) AS DECIMAL(28,2)) AS amount_lkr_asof
+FROM stg_flagged s ASOF LEFT JOIN rates r ON s.event_date >= r.rate_date""")
+
+oracle("daily_summary", """SELECT * FROM daily""")
+
+oracle("stg_daily_summary", f"""
+SELECT summary_date, total_txns, flagged_count, total_amount, flagged_amount, top_rule,
+       CASE WHEN total_txns = 0 THEN CAST(0 AS DECIMAL(11,2))
+            ELSE {pct_sql('flagged_count', 'total_txns')} END AS fraud_rate_pct
+FROM daily""")
+
+oracle("flags_per_day", """
+SELECT d.full_date, g.n_flags
+FROM (SELECT date_key, count(*) AS n_flags FROM fact GROUP BY date_key) g
+LEFT JOIN dim_date d ON g.date_key = d.date_key""")
+
+oracle("top_risk_accounts", """
+SELECT account_id, total_flags, total_flagged_amount, most_common_rule, distinct_rules_triggered
+FROM dim_account ORDER BY total_flags DESC, total_flagged_amount DESC, account_id ASC NULLS LAST
+LIMIT 10""")
+
+oracle("default_rate_by_grade", f"""
+SELECT loan_grade, CAST(sum(total_loans) AS BIGINT) AS total_loans,
+       CAST(sum(total_defaults) AS BIGINT) AS total_defaults,
+       {pct_sql('sum(total_defaults)', 'sum(total_loans)')} AS default_rate_pct
+FROM mart GROUP BY loan_grade""")
+
+oracle("rate_trend", """
+SELECT rate_date, usd_lkr_rate, lag(usd_lkr_rate) OVER (ORDER BY rate_date) AS prev_rate,
+       CAST(usd_lkr_rate - lag(usd_lkr_rate) OVER (ORDER BY rate_date) AS DECIMAL(11,4)) AS rate_change
+FROM rates""")
+
+oracle("weekend_vs_weekday", """
+SELECT d.year_month, d.is_weekend, CAST(sum(g.n) AS BIGINT) AS n_flags
+FROM (SELECT date_key, count(*) AS n FROM fact GROUP BY date_key) g
+LEFT JOIN dim_date d ON g.date_key = d.date_key GROUP BY d.year_month, d.is_weekend""")

@@ -106,3 +106,143 @@ def q_rule_matches(spark, sf):
     return s.select("transaction_id",
                     F.array_join("matched_rules", ",").alias("matched_rules"),
                     F.size("matched_rules").alias("n_matched"))
+
+
+# ---------------------------------------------------------------- warehouse
+
+def _ts_cols(df: DataFrame, names=("event_time", "detected_at", "first_seen_at", "last_seen_at",
+                                   "loaded_at", "computed_at")) -> DataFrame:
+    return df.select(*[_ts(c) if c in names else F.col(c) for c in df.columns])
+
+
+@query("stg_flagged")
+def q_stg_flagged(spark, sf):
+    """Staging view of flagged transactions."""
+    return _ts_cols(_stg_flagged(spark, sf))
+
+
+@query("stg_rates")
+def q_stg_rates(spark, sf):
+    """Staging view of the exchange rates."""
+    return _ts_cols(staging.stg_rates(_rates(spark, sf)))
+
+
+@query("stg_loans")
+def q_stg_loans(spark, sf):
+    """S7 + K12 + P3: loans conformed to the serving table, then staged."""
+    from vigil.schemas import LOANS
+    loans = conform(derived.loans(spark, sf), LOANS, now=F.lit(None).cast("timestamp"))
+    return staging.stg_loans(loans).drop("loaded_at")
+
+
+@query("dim_account")
+def q_dim_account(spark, sf):
+    """A3: account dimension with risk metrics."""
+    return _ts_cols(marts.dim_account(_stg_flagged(spark, sf)))
+
+
+@query("dim_date")
+def q_dim_date(spark, sf):
+    """A4 + D1: date dimension over flagged event dates."""
+    return marts.dim_date(_stg_flagged(spark, sf))
+
+
+@query("dim_rule")
+def q_dim_rule(spark, sf):
+    """A5 + D1: rule dimension with descriptions."""
+    return marts.dim_rule(_stg_flagged(spark, sf))
+
+
+@query("latest_rate")
+def q_latest_rate(spark, sf):
+    """The newest exchange rate."""
+    return marts.latest_rate(_rates(spark, sf))
+
+
+@query("fact_fraud_events")
+def q_fact(spark, sf):
+    """A6 + J2 + P8 + P9: fact table with keys and LKR amounts."""
+    return _ts_cols(_fact(spark, sf))
+
+
+@query("star_view")
+def q_star(spark, sf):
+    """Fact joined to date, account and rule dimensions."""
+    stg = _stg_flagged(spark, sf)
+    fact = marts.fact_fraud_events(stg, _rates(spark, sf))
+    v = marts.star_view(fact, marts.dim_date(stg), marts.dim_account(stg), marts.dim_rule(stg))
+    return v.select("transaction_id", "date_key", "year_month", "is_weekend", "account_key",
+                    "total_flags", "most_common_rule", "rule_key", "rule_description", "amount_lkr")
+
+
+def _mart(spark, sf):
+    from vigil.schemas import LOANS
+    loans = conform(derived.loans(spark, sf), LOANS, now=F.lit(None).cast("timestamp"))
+    return marts.mart_loan_risk(staging.stg_loans(loans), staging.stg_rates(_rates(spark, sf)))
+
+
+@query("mart_loan_risk")
+def q_mart(spark, sf):
+    """A7 + T2: loan risk by grade and intent, ordered."""
+    return _mart(spark, sf)
+
+
+@query("amount_lkr_asof")
+def q_asof(spark, sf):
+    """J5 (intent): LKR amount at the rate of the event's day or the newest earlier one."""
+    r = marts.amount_lkr_asof(_stg_flagged(spark, sf), _rates(spark, sf))
+    return r.select("transaction_id", "event_date", "rate_asof", "amount_lkr_asof")
+
+
+# ---------------------------------------------------------------- daily summary
+
+def _daily(spark, sf):
+    from vigil.operators.daily import daily_summary, date_span
+    s = _scored(spark, sf)
+    return daily_summary(s, dates=date_span(s, pad_days=1), now=F.lit(None).cast("timestamp"))
+
+
+@query("daily_summary")
+def q_daily(spark, sf):
+    """A2 (+ N7 empty days): one row per day in the span, padded by a day each side."""
+    return _daily(spark, sf).drop("computed_at")
+
+
+@query("stg_daily_summary")
+def q_stg_daily(spark, sf):
+    """Staged daily summary with fraud_rate_pct."""
+    return staging.stg_daily_summary(_daily(spark, sf)).drop("computed_at")
+
+
+# ---------------------------------------------------------------- dashboards
+
+@query("flags_per_day")
+def q_b1(spark, sf):
+    """B1: flags per day (fact x dim_date)."""
+    stg = _stg_flagged(spark, sf)
+    return bi.flags_per_day(marts.fact_fraud_events(stg, _rates(spark, sf)), marts.dim_date(stg))
+
+
+@query("top_risk_accounts")
+def q_b3(spark, sf):
+    """Top-10 accounts by flags (a top-k report: the limit is the feature)."""
+    return bi.top_risk_accounts(marts.dim_account(_stg_flagged(spark, sf)))
+
+
+@query("default_rate_by_grade")
+def q_b4(spark, sf):
+    """Default rate per grade from mart sums."""
+    return bi.default_rate_by_grade(_mart(spark, sf))
+
+
+@query("rate_trend")
+def q_b5(spark, sf):
+    """Exchange-rate trend with day-over-day change."""
+    return bi.rate_trend(_rates(spark, sf))
+
+
+@query("weekend_vs_weekday")
+def q_b6(spark, sf):
+    """Flags per month, weekend vs weekday."""
+    stg = _stg_flagged(spark, sf)
+    return bi.weekend_vs_weekday(marts.fact_fraud_events(stg, _rates(spark, sf)), marts.dim_date(stg))
