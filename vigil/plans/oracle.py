@@ -147,6 +147,9 @@ def statement(final_select: str) -> str:
     if not need:
         return final_select
     body = ",\n".join(f"{n} AS (\n  {CTES[n]}\n)" for n in need)
+    rest = final_select.lstrip()
+    if rest[:4].upper() == "WITH":
+        return f"WITH {body},\n{rest[4:].lstrip()}"
     return f"WITH {body}\n{final_select}"
 
 
@@ -333,3 +336,207 @@ oracle("weekend_vs_weekday", """
 SELECT d.year_month, d.is_weekend, CAST(sum(g.n) AS BIGINT) AS n_flags
 FROM (SELECT date_key, count(*) AS n FROM fact GROUP BY date_key) g
 LEFT JOIN dim_date d ON g.date_key = d.date_key GROUP BY d.year_month, d.is_weekend""")
+
+
+# ---------------------------------------------------------------- data quality
+
+CTES.update({
+    "stg_daily": f"""SELECT *, CASE WHEN total_txns = 0 THEN CAST(0 AS DECIMAL(11,2))
+    ELSE {pct_sql('flagged_count', 'total_txns')} END AS fraud_rate_pct FROM daily""",
+})
+
+_CHECK_TABLES = {
+    "flagged_transactions": "serving", "daily_fraud_summary": "daily", "kaggle_loans": "loans",
+    "cbsl_exchange_rates": "rates", "stg_flagged_transactions": "stg_flagged",
+    "stg_daily_fraud_summary": "stg_daily", "stg_kaggle_loans": "stg_loans",
+    "stg_cbsl_exchange_rates": "rates", "dim_date": "dim_date", "dim_account": "dim_account",
+    "dim_rule": "dim_rule", "fact_fraud_events": "fact", "mart_loan_risk": "mart",
+}
+
+
+def _check_sql(c) -> str:
+    t, col = _CHECK_TABLES[c.table], c.column
+    if c.test == "not_null":
+        f = f"SELECT count(*) FILTER (WHERE {col} IS NULL) AS f FROM {t}"
+    elif c.test == "unique":
+        f = (f"SELECT count(*) AS f FROM (SELECT {col} FROM {t} WHERE {col} IS NOT NULL "
+             f"GROUP BY {col} HAVING count(*) > 1) d")
+    elif c.test == "accepted_values":
+        vals = ", ".join(str(v) for v in c.values)
+        f = f"SELECT count(DISTINCT {col}) FILTER (WHERE {col} IS NOT NULL AND {col} NOT IN ({vals})) AS f FROM {t}"
+    else:
+        p = _CHECK_TABLES[c.to]
+        f = (f"SELECT count(*) AS f FROM {t} x WHERE x.{col} IS NOT NULL AND NOT EXISTS "
+             f"(SELECT 1 FROM {p} y WHERE y.{c.field} = x.{col})")
+    return (f"SELECT '{c.table}' AS table_name, '{c.column}' AS column_name, '{c.test}' AS test_name, "
+            f"CAST(f AS BIGINT) AS failures FROM ({f}) q")
+
+
+def _quality_sql() -> str:
+    from vigil.operators.quality import WAREHOUSE_CHECKS
+    return "\nUNION ALL\n".join(_check_sql(c) for c in WAREHOUSE_CHECKS)
+
+
+oracle("quality_suite", _quality_sql())
+
+
+# ---------------------------------------------------------------- profiles and checks
+
+oracle("type_distribution", f"""
+SELECT type, n, {pct_sql('n', 'total')} AS share_pct
+FROM (SELECT type, count(*) AS n, sum(count(*)) OVER () AS total FROM tx GROUP BY type) g""")
+
+oracle("amount_profile", """
+SELECT g.type, round(g.rows / t.total, 4) AS weight, round(g.amount_mean, 4) AS amount_mean,
+       round(g.amount_std, 4) AS amount_std, round(g.amount_min, 4) AS amount_min,
+       round(g.amount_max, 4) AS amount_max,
+       round(ln(greatest(g.amount_mean, 1.0)), 4) AS log_mean,
+       round(greatest(ln(1 + g.amount_std / greatest(g.amount_mean, 1.0)), 0.1), 4) AS log_std
+FROM (SELECT type, count(*) AS rows,
+             avg(amount) FILTER (WHERE NOT isnan(amount)) AS amount_mean,
+             stddev_samp(amount) FILTER (WHERE NOT isnan(amount)) AS amount_std,
+             quantile_cont(amount, 0.01) FILTER (WHERE NOT isnan(amount)) AS amount_min,
+             quantile_cont(amount, 0.99) FILTER (WHERE NOT isnan(amount)) AS amount_max
+      FROM tx GROUP BY type) g,
+     (SELECT count(*) AS total FROM tx) t""")
+
+oracle("balance_profile", """
+SELECT round(quantile_cont(oldbalanceOrg, 0.05), 4) AS balance_p5,
+       round(quantile_cont(oldbalanceOrg, 0.95), 4) AS balance_p95,
+       round(avg(oldbalanceOrg), 4) AS balance_mean, round(stddev_samp(oldbalanceOrg), 4) AS balance_std,
+       round(ln(greatest(avg(oldbalanceOrg), 1.0)), 4) AS log_mean,
+       round(greatest(ln(1 + stddev_samp(oldbalanceOrg) / greatest(avg(oldbalanceOrg), 1.0)), 0.3), 4)
+         AS log_std
+FROM tx WHERE oldbalanceOrg > 0""")
+
+oracle("ledger_check", """
+SELECT * FROM (
+  SELECT transaction_id, type, amount,
+    round(round(newbalanceOrig, 2) - round(CASE WHEN type = 'CASH-IN' THEN oldbalanceOrg + amount
+                                                ELSE oldbalanceOrg - amount END, 2), 2) AS orig_diff,
+    round(round(newbalanceDest, 2) - round(CASE WHEN type = 'TRANSFER' THEN oldbalanceDest + amount
+                                                ELSE oldbalanceDest END, 2), 2) AS dest_diff
+  FROM tx) d
+WHERE abs(orig_diff) > 0.005 OR abs(dest_diff) > 0.005""")
+
+oracle("self_transfers", """SELECT transaction_id, nameOrig, amount FROM tx WHERE nameOrig = nameDest""")
+
+oracle("burst_profile", f"""
+WITH g AS (
+  SELECT *, (epoch_us(event_time) - epoch_us(lag(event_time) OVER w)) / 1e6 AS gap_seconds
+  FROM tx WHERE nameOrig IS NOT NULL AND event_time IS NOT NULL
+  WINDOW w AS (PARTITION BY nameOrig ORDER BY event_time, transaction_id)),
+i AS (
+  SELECT *, sum(CASE WHEN gap_seconds IS NULL OR gap_seconds > 3600.0 THEN 1 ELSE 0 END)
+            OVER (PARTITION BY nameOrig ORDER BY event_time, transaction_id
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island
+  FROM g)
+SELECT nameOrig, island, count(*) AS n_events, {ts_sql('min(event_time)').replace(' AS min(event_time)', ' AS burst_start')},
+       {ts_sql('max(event_time)').replace(' AS max(event_time)', ' AS burst_end')},
+       max(CASE WHEN gap_seconds <= 3600.0 THEN gap_seconds END) AS max_gap_seconds
+FROM i GROUP BY nameOrig, island HAVING count(*) >= 3""")
+
+oracle("detection_confusion", """SELECT anomaly_type, rule_name, count(*) AS n FROM scored GROUP BY 1, 2""")
+
+oracle("detection_quality", f"""
+SELECT name, labelled, flagged, true_positive,
+       {pct_sql('true_positive', 'flagged')} AS precision_pct,
+       {pct_sql('true_positive', 'labelled')} AS recall_pct
+FROM (SELECT name, CAST(sum(a) AS BIGINT) AS labelled, CAST(sum(p) AS BIGINT) AS flagged,
+             CAST(sum(tp) AS BIGINT) AS true_positive
+      FROM (SELECT anomaly_type AS name, 1 AS a, 0 AS p,
+                   CASE WHEN anomaly_type = rule_name THEN 1 ELSE 0 END AS tp FROM scored
+            UNION ALL
+            SELECT rule_name AS name, 0 AS a, 1 AS p, 0 AS tp FROM scored) u
+      WHERE name IS NOT NULL GROUP BY name) g""")
+
+
+# ---------------------------------------------------------------- intent operators
+
+oracle("trailing_stats", """
+SELECT transaction_id, nameOrig,
+  count(amount) OVER w AS trail_count, sum(amount) OVER w AS trail_sum, max(amount) OVER w AS trail_max
+FROM tx
+WINDOW w AS (PARTITION BY nameOrig ORDER BY event_time
+             RANGE BETWEEN INTERVAL 21600 SECONDS PRECEDING AND CURRENT ROW)""")
+
+oracle("relative_amount", """
+SELECT transaction_id, nameOrig, amount, prior_count, prior_amount_sum FROM (
+  SELECT *, count(amount) OVER w AS prior_count, coalesce(sum(amount) OVER w, 0) AS prior_amount_sum
+  FROM tx
+  WINDOW w AS (PARTITION BY nameOrig ORDER BY event_time, transaction_id
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) h
+WHERE prior_count > 0 AND amount * prior_count > 10.0 * prior_amount_sum""")
+
+oracle("previous_event", f"""
+SELECT transaction_id, lag(location) OVER w AS prev_location,
+       strftime(lag(event_time) OVER w, '%Y-%m-%d %H:%M:%S.%f') AS prev_event_time
+FROM tx WINDOW w AS (PARTITION BY nameOrig ORDER BY event_time, transaction_id)""")
+
+oracle("impossible_travel", """
+SELECT transaction_id, nameOrig, location, prev_location,
+       (epoch_us(event_time) - epoch_us(prev_time)) / 1e6 AS gap_seconds
+FROM (SELECT *, lag(location) OVER w AS prev_location, lag(event_time) OVER w AS prev_time
+      FROM tx WINDOW w AS (PARTITION BY nameOrig ORDER BY event_time, transaction_id)) p
+WHERE (epoch_us(event_time) - epoch_us(prev_time)) / 1e6 <= 3600 AND location <> prev_location""")
+
+oracle("dedup_transactions", f"""
+SELECT transaction_id, step, amount, {ts_sql('ingestion_time')} FROM (
+  SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY ingestion_time, step) AS rn
+  FROM (SELECT transaction_id, step, amount, ingestion_time FROM txk
+        UNION ALL
+        SELECT transaction_id, step + 1000000000, amount, ingestion_time + INTERVAL 1 HOUR
+        FROM txk WHERE _k IN (7, 8)) u) r
+WHERE rn = 1""")
+
+oracle("window_stats", """
+SELECT strftime(make_timestamp(b * 21600000000), '%Y-%m-%d %H:%M:%S.%f') AS window_start,
+       strftime(make_timestamp((b + 1) * 21600000000), '%Y-%m-%d %H:%M:%S.%f') AS window_end,
+       nameOrig, count(*) AS tx_count, sum(amount) AS total_amount, max(amount) AS max_amount
+FROM (SELECT *, epoch_us(event_time) // 21600000000 AS b FROM tx) t
+GROUP BY b, nameOrig""")
+
+
+# ---------------------------------------------------------------- sources and sinks
+
+_wire = ["transaction_id", "step", "type", "amount", "nameOrig", "oldbalanceOrg", "newbalanceOrig",
+         "nameDest", "oldbalanceDest", "newbalanceDest", "location", "isFraud", "isFlaggedFraud",
+         "anomaly_type"]
+_broken = f"coalesce(_k = {BROKEN_JSON_K}, false)"
+
+oracle("parse_transactions", "SELECT " + ", ".join(
+    [f"CASE WHEN {_broken} THEN NULL ELSE {c} END AS {c}" for c in _wire]
+    + [f"CASE WHEN {_broken} THEN NULL ELSE strftime(event_time, '%Y-%m-%d %H:%M:%S.%f') END AS event_time",
+       f"CASE WHEN {_broken} THEN NULL ELSE strftime(ingestion_time, '%Y-%m-%d %H:%M:%S.%f') END "
+       "AS ingestion_time",
+       f"{_broken} AS is_corrupt"]) + " FROM txk")
+
+oracle("raw_mirror", f"""
+SELECT transaction_id, type AS tx_type, CAST(amount AS DECIMAL(18,2)) AS amount, nameOrig AS origin_account,
+  CAST(oldbalanceOrg AS DECIMAL(18,2)) AS old_balance_orig, CAST(newbalanceOrig AS DECIMAL(18,2)) AS new_balance_orig,
+  nameDest AS dest_account, CAST(oldbalanceDest AS DECIMAL(18,2)) AS old_balance_dest,
+  CAST(newbalanceDest AS DECIMAL(18,2)) AS new_balance_dest, location,
+  CAST(coalesce(isFraud, 0) AS SMALLINT) AS is_fraud, anomaly_type,
+  {ts_sql('event_time')}, {ts_sql('ingestion_time')}
+FROM tx""")
+
+oracle("upsert_loans", """
+WITH src AS (
+  SELECT loan_id, person_age + 1 AS person_age, person_income, loan_amnt + 200 AS loan_amnt, loan_int_rate,
+         loan_grade, loan_intent, loan_status, cb_person_default_on_file
+  FROM loans WHERE cb_person_default_on_file = 'Y'
+  UNION ALL
+  SELECT 'N' || loan_id, person_age + 1, person_income, loan_amnt, loan_int_rate, loan_grade, loan_intent,
+         loan_status, cb_person_default_on_file
+  FROM loans WHERE cb_person_default_on_file = 'Y')
+SELECT coalesce(s.loan_id, t.loan_id) AS loan_id,
+  CAST(CASE WHEN t.loan_id IS NOT NULL THEN t.person_age ELSE s.person_age END AS SMALLINT) AS person_age,
+  CAST(CASE WHEN s.loan_id IS NOT NULL THEN s.person_income ELSE t.person_income END AS DECIMAL(14,2)) AS person_income,
+  CAST(CASE WHEN s.loan_id IS NOT NULL THEN s.loan_amnt ELSE t.loan_amnt END AS DECIMAL(14,2)) AS loan_amnt,
+  CAST(CASE WHEN s.loan_id IS NOT NULL THEN s.loan_int_rate ELSE t.loan_int_rate END AS DECIMAL(6,3)) AS loan_int_rate,
+  CASE WHEN s.loan_id IS NOT NULL THEN s.loan_grade ELSE t.loan_grade END AS loan_grade,
+  CASE WHEN s.loan_id IS NOT NULL THEN s.loan_intent ELSE t.loan_intent END AS loan_intent,
+  CAST(CASE WHEN s.loan_id IS NOT NULL THEN s.loan_status ELSE t.loan_status END AS SMALLINT) AS loan_status,
+  CASE WHEN t.loan_id IS NOT NULL THEN t.cb_person_default_on_file ELSE s.cb_person_default_on_file END
+    AS cb_person_default_on_file
+FROM loans t FULL OUTER JOIN src s ON t.loan_id = s.loan_id""")

@@ -246,3 +246,228 @@ def q_b6(spark, sf):
     """Flags per month, weekend vs weekday."""
     stg = _stg_flagged(spark, sf)
     return bi.weekend_vs_weekday(marts.fact_fraud_events(stg, _rates(spark, sf)), marts.dim_date(stg))
+
+
+# ---------------------------------------------------------------- data quality
+
+def warehouse_tables(spark, sf) -> dict[str, DataFrame]:
+    """Every table the warehouse tests refer to, built from the derived data."""
+    from vigil.schemas import LOANS, RATES
+    none = F.lit(None).cast("timestamp")
+    serving = _serving(spark, sf)
+    stg = staging.stg_flagged(serving)
+    daily = _daily(spark, sf)
+    loans = conform(derived.loans(spark, sf), LOANS, now=none)
+    rates = conform(_rates(spark, sf), RATES, now=none)
+    stg_loans = staging.stg_loans(loans)
+    stg_rates = staging.stg_rates(rates)
+    return {
+        "flagged_transactions": serving,
+        "daily_fraud_summary": daily,
+        "kaggle_loans": loans,
+        "cbsl_exchange_rates": rates,
+        "stg_flagged_transactions": stg,
+        "stg_daily_fraud_summary": staging.stg_daily_summary(daily),
+        "stg_kaggle_loans": stg_loans,
+        "stg_cbsl_exchange_rates": stg_rates,
+        "dim_date": marts.dim_date(stg),
+        "dim_account": marts.dim_account(stg),
+        "dim_rule": marts.dim_rule(stg),
+        "fact_fraud_events": marts.fact_fraud_events(stg, stg_rates),
+        "mart_loan_risk": marts.mart_loan_risk(stg_loans, stg_rates),
+    }
+
+
+@query("quality_suite")
+def q_quality(spark, sf):
+    """Q1-Q5: the warehouse's 45 declared tests, one result row each."""
+    from vigil.operators.quality import WAREHOUSE_CHECKS, run_checks
+    return run_checks(warehouse_tables(spark, sf), WAREHOUSE_CHECKS)
+
+
+# ---------------------------------------------------------------- profiles and checks
+
+@query("type_distribution")
+def q_type_distribution(spark, sf):
+    """Rows and share per transaction type."""
+    from vigil.operators.profile import type_distribution
+    return type_distribution(_tx(spark, sf))
+
+
+def _round_doubles(df: DataFrame, places: int = 4, skip=()) -> DataFrame:
+    return df.select(*[F.round(c, places).alias(c) if t == "double" and c not in skip else F.col(c)
+                       for c, t in df.dtypes])
+
+
+@query("amount_profile")
+def q_amount_profile(spark, sf):
+    """Per-type amount profile (exact p1 / p99), doubles rounded to 4 places."""
+    from vigil.operators.profile import amount_profile
+    return _round_doubles(amount_profile(_tx(spark, sf)))
+
+
+@query("balance_profile")
+def q_balance_profile(spark, sf):
+    """A10: opening-balance profile over positive balances."""
+    from vigil.operators.profile import balance_profile
+    return _round_doubles(balance_profile(_tx(spark, sf)))
+
+
+@query("ledger_check")
+def q_ledger(spark, sf):
+    """L1: rows whose balances do not follow the amount."""
+    from vigil.operators.profile import ledger_check
+    return ledger_check(_tx(spark, sf))
+
+
+@query("self_transfers")
+def q_self(spark, sf):
+    """L3: transfers to the paying account itself."""
+    from vigil.operators.profile import self_transfers
+    return self_transfers(_tx(spark, sf))
+
+
+@query("burst_profile")
+def q_bursts(spark, sf):
+    """L2: runs of >= 3 events of an account with gaps <= 1 hour (the test
+    data is sparse; the library default is 4 events within 2 s gaps)."""
+    from vigil.operators.profile import burst_profile
+    b = burst_profile(_tx(spark, sf), max_gap_seconds=3600.0, min_events=3, bucket_seconds=86400)
+    return b.select("nameOrig", "island", "n_events", _ts("burst_start"), _ts("burst_end"),
+                    "max_gap_seconds")
+
+
+@query("detection_confusion")
+def q_confusion(spark, sf):
+    """Scored rows per (anomaly label, rule)."""
+    from vigil.operators.profile import detection_confusion
+    return detection_confusion(_scored(spark, sf))
+
+
+@query("detection_quality")
+def q_quality_of_detection(spark, sf):
+    """Labelled / flagged / agreeing rows, precision and recall per name."""
+    from vigil.operators.profile import detection_quality
+    return detection_quality(_scored(spark, sf))
+
+
+# ---------------------------------------------------------------- intent operators
+
+def _day_bucket(c="event_time"):
+    from vigil.operators.sequence import time_bucket
+    return time_bucket(c, 86400)
+
+
+@query("trailing_stats")
+def q_trailing(spark, sf):
+    """Count / sum / max of each account's amounts over the trailing 6 hours."""
+    from vigil.operators.sequence import trailing_window
+    t = trailing_window(_tx(spark, sf), "nameOrig", "event_time", "amount", 6 * 3600,
+                        bucket_seconds=86400)
+    return t.select("transaction_id", "nameOrig", "trail_count", "trail_sum", "trail_max")
+
+
+@query("relative_amount")
+def q_relative(spark, sf):
+    """X2 + R5: rows whose amount exceeds 10x the mean of the account's earlier amounts."""
+    from vigil.functions.rules import RuleContext, amount_over_history
+    from vigil.operators.sequence import running_totals
+    h = running_totals(_tx(spark, sf), "nameOrig", "event_time", "amount", _day_bucket(),
+                       tiebreak=["transaction_id"], sum_name="prior_amount_sum", count_name="prior_count")
+    return (h.where(amount_over_history(10.0)(RuleContext()))
+            .select("transaction_id", "nameOrig", "amount", "prior_count", "prior_amount_sum"))
+
+
+@query("previous_event")
+def q_previous(spark, sf):
+    """Each row with the account's previous location and time."""
+    from vigil.operators.sequence import previous_value
+    p = previous_value(_tx(spark, sf), "nameOrig", "event_time", ["location", "event_time"],
+                       _day_bucket(), tiebreak=["transaction_id"])
+    return p.select("transaction_id", "prev_location", _ts("prev_event_time"))
+
+
+@query("impossible_travel")
+def q_travel(spark, sf):
+    """X3 + R6: a different location within 1 hour of the account's previous event."""
+    from vigil.functions.rules import RuleContext, travel_within
+    from vigil.operators.sequence import previous_value
+    p = previous_value(_tx(spark, sf), "nameOrig", "event_time", ["location", "event_time"],
+                       _day_bucket(), tiebreak=["transaction_id"])
+    gap = (F.unix_micros("event_time") - F.unix_micros("prev_event_time")) / F.lit(1e6)
+    return (p.where(travel_within(3600)(RuleContext()))
+            .select("transaction_id", "nameOrig", "location", "prev_location", gap.alias("gap_seconds")))
+
+
+@query("dedup_transactions")
+def q_dedup(spark, sf):
+    """Replayed deliveries (k in 7, 8 re-sent an hour later) reduced to the first."""
+    from vigil.operators.dedup import dedup
+    tx = derived._with_k(spark, sf)
+    replay = (tx.where(F.col("_k").isin(7, 8))
+              .withColumn("ingestion_time", F.col("ingestion_time") + F.expr("INTERVAL 1 HOUR"))
+              .withColumn("step", F.col("step") + 1_000_000_000))
+    d = dedup(tx.unionByName(replay).drop("_k"), "transaction_id", ["ingestion_time", "step"])
+    return d.select("transaction_id", "step", "amount", _ts("ingestion_time"))
+
+
+@query("window_stats")
+def q_window_stats(spark, sf):
+    """W2 (batch form): per account and tumbling 6-hour window: count, sum, max."""
+    from vigil.streaming.windows import windowed_stats
+    w = windowed_stats(_tx(spark, sf), "6 hours")
+    return w.select(_ts("window_start"), _ts("window_end"), "nameOrig", "tx_count", "total_amount",
+                    "max_amount")
+
+
+# ---------------------------------------------------------------- sources and sinks
+
+@query("parse_transactions")
+def q_parse(spark, sf):
+    """S1 + K11: wire JSON (a few rows truncated) parsed back, corrupt rows marked."""
+    from vigil.sources.transactions import CORRUPT_COLUMN, parse_transactions
+    p = parse_transactions(derived.raw_wire(spark, sf))
+    cols = [c for c in p.columns if c not in ("event_time", "ingestion_time", CORRUPT_COLUMN)]
+    return p.select(*cols, _ts("event_time"), _ts("ingestion_time"),
+                    F.col(CORRUPT_COLUMN).isNotNull().alias("is_corrupt"))
+
+
+@query("encode_events")
+def q_encode(spark, sf):
+    """(key, value) message bytes, shown as text."""
+    from vigil.sources.transactions import encode_events
+    e = encode_events(derived.wire_events(_tx(spark, sf)))
+    return e.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+
+
+@query("raw_mirror")
+def q_raw_mirror(spark, sf):
+    """P6 + K12: scored rows in the 14-column raw mirror shape."""
+    from vigil.operators.score import to_raw_mirror
+    from vigil.schemas import RAW
+    r = conform(to_raw_mirror(_tx(spark, sf)), RAW)
+    return _ts_cols(r, names=("event_time", "ingestion_time"))
+
+
+@query("upsert_loans")
+def q_upsert(spark, sf):
+    """K3 + K4: a second loan load merged into the first by loan_id.
+
+    Load 2 re-sends every loan whose customer has a default on file twice
+    (amount +100, then +200 with a later sequence number, and age +1), and
+    adds one new loan per such order.  On conflict the six updatable columns
+    change, age and default-on-file keep their old values (N17), and the
+    later of two source rows wins (N18).
+    """
+    from vigil.schemas import LOANS
+    from vigil.sinks.upsert import merge_frames
+    none = F.lit(None).cast("timestamp")
+    first = conform(derived.loans(spark, sf), LOANS, now=none)
+    again = first.where(F.col("cb_person_default_on_file") == "Y")
+    v1 = again.withColumn("loan_amnt", F.col("loan_amnt") + 100).withColumn("_seq", F.lit(1))
+    v2 = again.withColumn("loan_amnt", F.col("loan_amnt") + 200).withColumn("_seq", F.lit(2))
+    new = again.withColumn("loan_id", F.concat(F.lit("N"), F.col("loan_id"))).withColumn("_seq", F.lit(1))
+    src = v1.unionByName(v2).unionByName(new).withColumn("person_age", F.col("person_age") + 1)
+    upd = ["person_income", "loan_amnt", "loan_int_rate", "loan_grade", "loan_intent", "loan_status"]
+    merged = merge_frames(first, src, ["loan_id"], upd, order="_seq", now_cols=["loaded_at"], now=none)
+    return conform(merged, LOANS).drop("loaded_at")

@@ -162,14 +162,15 @@ def _default(c: ColumnSpec, now: Column | None) -> Column:
     return F.lit(c.default).cast(c.dtype)
 
 
-def conform(df: DataFrame, spec: TableSpec, now: Column | None = None) -> DataFrame:
+def conform(df: DataFrame, spec: TableSpec, now: Column | None = None,
+            extra: list[str] | tuple = ()) -> DataFrame:
     """Project `df` onto `spec`: cast every column, fill defaults.
 
     Missing columns become their default (or null).  Defaults apply to nulls
     too, like a database column default on an omitted value.  NOT NULL and
     key violations are *reported* by the quality suite, not silently dropped.
     `now` overrides `current_timestamp()` for audit columns (deterministic
-    replays and tests).
+    replays and tests).  `extra` columns are carried through unchanged.
     """
     present = set(df.columns)
     cols = []
@@ -183,4 +184,4 @@ def conform(df: DataFrame, spec: TableSpec, now: Column | None = None) -> DataFr
         else:
             v = F.lit(None).cast(c.dtype)
         cols.append(v.alias(c.name))
-    return df.select(*cols)
+    return df.select(*cols, *extra)
