@@ -124,3 +124,11 @@ WAREHOUSE_CHECKS: list[Check] = [
     Check("fact_fraud_events", "rule_key", "relationships", to="dim_rule", field="rule_key"),
     *_nn("mart_loan_risk", "loan_grade", "default_rate_pct"),
 ]
+
+# Checks on parsed transactions (L4 and friends).
+TRANSACTION_CHECKS: list[Check] = [
+    *_uq("transactions", "transaction_id"),
+    *_nn("transactions", "transaction_id", "nameOrig", "event_time", "amount"),
+    Check("transactions", "type", "accepted_values", ("CASH-IN", "CASH-OUT", "DEBIT", "PAYMENT", "TRANSFER")),
+    Check("transactions", "isFraud", "accepted_values", (0, 1)),
+]

@@ -351,6 +351,7 @@ _CHECK_TABLES = {
     "stg_daily_fraud_summary": "stg_daily", "stg_kaggle_loans": "stg_loans",
     "stg_cbsl_exchange_rates": "rates", "dim_date": "dim_date", "dim_account": "dim_account",
     "dim_rule": "dim_rule", "fact_fraud_events": "fact", "mart_loan_risk": "mart",
+    "transactions": "tx",
 }
 
 
@@ -362,7 +363,7 @@ def _check_sql(c) -> str:
         f = (f"SELECT count(*) AS f FROM (SELECT {col} FROM {t} WHERE {col} IS NOT NULL "
              f"GROUP BY {col} HAVING count(*) > 1) d")
     elif c.test == "accepted_values":
-        vals = ", ".join(str(v) for v in c.values)
+        vals = ", ".join(repr(v) for v in c.values)
         f = f"SELECT count(DISTINCT {col}) FILTER (WHERE {col} IS NOT NULL AND {col} NOT IN ({vals})) AS f FROM {t}"
     else:
         p = _CHECK_TABLES[c.to]
@@ -540,3 +541,30 @@ SELECT coalesce(s.loan_id, t.loan_id) AS loan_id,
   CASE WHEN t.loan_id IS NOT NULL THEN t.cb_person_default_on_file ELSE s.cb_person_default_on_file END
     AS cb_person_default_on_file
 FROM loans t FULL OUTER JOIN src s ON t.loan_id = s.loan_id""")
+
+
+def _transaction_checks_sql() -> str:
+    from vigil.operators.quality import TRANSACTION_CHECKS
+    return "\nUNION ALL\n".join(_check_sql(c) for c in TRANSACTION_CHECKS)
+
+
+oracle("transaction_checks", _transaction_checks_sql())
+
+oracle("loans_csv", """
+SELECT loan_id,
+  CASE WHEN loan_intent = '5-LOW' THEN NULL ELSE person_age END AS person_age,
+  CAST(CAST(person_income AS VARCHAR) AS DOUBLE) AS person_income,
+  CAST(CAST(loan_amnt AS VARCHAR) AS DOUBLE) AS loan_amnt,
+  CAST(CAST(loan_int_rate AS VARCHAR) AS DOUBLE) AS loan_int_rate,
+  loan_grade, loan_intent,
+  CASE WHEN cb_person_default_on_file = 'Y' AND loan_intent = '4-NOT SPECIFIED' THEN NULL
+       ELSE loan_status END AS loan_status,
+  cb_person_default_on_file
+FROM loans WHERE NOT (cb_person_default_on_file = 'Y' AND loan_intent = '1-URGENT')""")
+
+oracle("rate_payloads", """
+SELECT rate_date,
+  CASE WHEN dayofmonth(rate_date) IN (13, 21) THEN CAST(300.0 AS DECIMAL(10,4)) ELSE usd_lkr_rate END
+    AS usd_lkr_rate,
+  CASE WHEN dayofmonth(rate_date) IN (13, 21) THEN 'fallback' ELSE source_url END AS source_url
+FROM rates""")

@@ -471,3 +471,44 @@ def q_upsert(spark, sf):
     upd = ["person_income", "loan_amnt", "loan_int_rate", "loan_grade", "loan_intent", "loan_status"]
     merged = merge_frames(first, src, ["loan_id"], upd, order="_seq", now_cols=["loaded_at"], now=none)
     return conform(merged, LOANS).drop("loaded_at")
+
+
+@query("loans_csv")
+def q_loans_csv(spark, sf):
+    """S4 + N19: loans rendered as CSV text lines, some fields broken, parsed back.
+
+    Broken on purpose, by data: urgent loans of customers with a default on
+    file get the id "NA" (dropped), low-priority ones the age "abc" (null),
+    and unspecified-priority defaults an empty status (null).
+    """
+    from vigil.schemas import LOAN_CSV_COLUMNS, LOANS
+    from vigil.sources.loans import parse_loan_lines
+    loans = conform(derived.loans(spark, sf), LOANS)
+    y = F.col("cb_person_default_on_file") == "Y"
+    txt = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in LOAN_CSV_COLUMNS}
+    txt["loan_id"] = F.when(y & (F.col("loan_intent") == "1-URGENT"), F.lit("NA")).otherwise(txt["loan_id"])
+    txt["person_age"] = F.when(F.col("loan_intent") == "5-LOW", F.lit("abc")).otherwise(txt["person_age"])
+    txt["loan_status"] = F.when(y & (F.col("loan_intent") == "4-NOT SPECIFIED"), F.lit("")).otherwise(
+        txt["loan_status"])
+    lines = loans.select(F.concat_ws(",", *[txt[c] for c in LOAN_CSV_COLUMNS]).alias("value"))
+    return parse_loan_lines(lines)
+
+
+@query("rate_payloads")
+def q_rate_payloads(spark, sf):
+    """One JSON payload per day; days 13 and 21 carry no usable rate -> fallback."""
+    from vigil.sources.rates import rates_from_payloads
+    r = _rates(spark, sf)
+    day = F.dayofmonth("rate_date")
+    good = F.to_json(F.struct(F.lit("USD").alias("base"),
+                              F.struct(F.col("usd_lkr_rate").alias("LKR")).alias("rates")))
+    payload = (F.when(day == 13, F.lit('{"base":"USD","rates":{}}'))
+               .when(day == 21, F.lit('{"rates":{"LKR":"n/a"}}')).otherwise(good))
+    return rates_from_payloads(r.select("rate_date", payload.alias("payload"), "source_url"))
+
+
+@query("transaction_checks")
+def q_tx_checks(spark, sf):
+    """L4 + Q1-Q3 on the transaction table: unique and present ids, known types."""
+    from vigil.operators.quality import TRANSACTION_CHECKS, run_checks
+    return run_checks({"transactions": _tx(spark, sf)}, TRANSACTION_CHECKS)
