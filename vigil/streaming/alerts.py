@@ -4,17 +4,18 @@ The reference counts an account's events inside one micro-batch, so a burst
 split by a trigger boundary is missed.  Here the count is over a true
 trailing window of event time, carried across batches in per-account state.
 
-State is bounded: to know whether an event has at least `threshold` events
-(itself included) in the trailing `window_seconds`, it is enough to remember
-the account's last `threshold - 1` event times.  The function receives the
-account's rows as an iterator of Arrow batches, so even a very hot account
-streams through without being materialised at once.  State expires through
-an event-time timeout once the watermark passes the last remembered event
-plus the window.
+State holds the account's event times that can still fall inside the window
+of a future on-time event: times >= watermark - window (Spark drops events
+older than the watermark).  It is therefore bounded by the account's events
+in (watermark delay + window), not by its history, and it expires through an
+event-time timeout.  Rows arrive as an iterator of Arrow batches, so a hot
+account streams through without being materialised at once; counts use a
+sorted list and binary search.
 """
 
 from __future__ import annotations
 
+import bisect
 from typing import Iterator
 
 import pandas as pd
@@ -32,29 +33,29 @@ def rapid_fire_alerts(stream: DataFrame, window_seconds: int = 300,
                       account: str = "nameOrig") -> DataFrame:
     """Emit one alert row per event that brings its account's trailing
     `window_seconds` count to >= threshold (the stream needs a watermark)."""
-    keep = threshold - 1
     window = pd.Timedelta(seconds=window_seconds)
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        times = list(state.get[0]) if state.exists else []
-        times = [pd.Timestamp(t) for t in times]
+        wm = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")
+        times = sorted(pd.Timestamp(t) for t in state.get[0]) if state.exists else []
         out = []
         for pdf in batches:
-            pdf = pdf.sort_values(["event_time", "transaction_id"])
+            pdf = pdf.dropna(subset=["event_time"]).sort_values(["event_time", "transaction_id"])
             for tid, t in zip(pdf["transaction_id"], pdf["event_time"]):
-                if pd.isna(t):
-                    continue
                 t = pd.Timestamp(t)
-                recent = [x for x in times if t - window <= x <= t]
-                if len(recent) + 1 >= threshold:
+                n = bisect.bisect_right(times, t) - bisect.bisect_left(times, t - window)
+                if n + 1 >= threshold:
                     out.append((key[0], tid, t))
-                times = sorted(times + [t])[-keep:] if keep > 0 else []
-        if times:
-            state.update((times,))
-            state.setTimeoutTimestamp(int((max(times) + window).timestamp() * 1000))
+                bisect.insort(times, t)
+        times = [t for t in times if t >= wm - window]
+        if times and times[-1] + window > wm:
+            state.update(([t.to_pydatetime() for t in times],))
+            state.setTimeoutTimestamp(int((times[-1] + window).timestamp() * 1000))
+        elif state.exists:
+            state.remove()
         if out:
             yield pd.DataFrame(out, columns=["nameOrig", "transaction_id", "event_time"])
 
