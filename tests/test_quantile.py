@@ -3,10 +3,13 @@
 import numpy as np
 import pandas as pd
 
+import pytest
+
 from vigil.operators.quantile import exact_percentiles
 
 
-def test_exact_percentiles_match_numpy(spark):
+@pytest.mark.parametrize("limit", [0, 10 ** 9])      # radix path, built-in path
+def test_exact_percentiles_match_numpy(spark, limit):
     rng = np.random.default_rng(11)
     vals = np.concatenate([rng.lognormal(8, 2, 2000), -rng.lognormal(2, 3, 300), np.zeros(30),
                            np.full(100, 123.25), [1e-300, 5e-324, 1e300, -1e300, 2.0, 4.0, 0.5]])
@@ -15,7 +18,8 @@ def test_exact_percentiles_match_numpy(spark):
     pdf.loc[3, "x"] = np.nan
     pdf = pd.concat([pdf, pd.DataFrame({"g": ["c"], "x": [3.5]})])
     probs = [0.0, 0.01, 0.05, 0.5, 0.95, 0.99, 1.0]
-    res = exact_percentiles(spark.createDataFrame(pdf), ["g"], "x", probs).toPandas().set_index("g")
+    res = exact_percentiles(spark.createDataFrame(pdf), ["g"], "x", probs,
+                            small_group_limit=limit).toPandas().set_index("g")
     for g, sub in pdf.groupby("g"):
         x = sub["x"].dropna().to_numpy()
         assert res.loc[g, "n"] == len(x)

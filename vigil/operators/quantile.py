@@ -16,6 +16,11 @@ join that keeps only rows whose prefix matches a target.  Four passes over
 one pruned column give the exact order statistics; interpolation follows the
 usual linear rule: position h = (n - 1) p, v = lo + (hi - lo) (h - floor h).
 NaN and null values are skipped (as pandas does).
+
+Small inputs take a shortcut: one aggregate measures the largest group, and
+when it holds at most `small_group_limit` values, Spark's exact `percentile`
+(whose per-group buffer is then provably bounded) answers in one pass.  Both
+paths give the same exact order statistics.
 """
 
 from __future__ import annotations
@@ -55,12 +60,30 @@ def _compose(k1: Column, mant: Column) -> Column:
     return F.when(cls == 2, pos_val).when(cls == 0, neg_val).otherwise(F.lit(0.0))
 
 
+SMALL_GROUP_LIMIT = 2_000_000
+
+
 def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value: str,
-                      probs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
+                      probs: Sequence[float], names: Sequence[str] | None = None,
+                      small_group_limit: int = SMALL_GROUP_LIMIT) -> DataFrame:
     """One row per group: n (non-NaN values) and one column per probability."""
     g = list(group_cols)
     names = list(names or [f"p{int(round(p * 100))}" for p in probs])
     x = F.col(value).cast("double")
+    vals = df.where(x.isNotNull() & ~F.isnan(x)).select(*g, x.alias("_x"))
+    largest = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    if largest is not None and largest <= small_group_limit:
+        q = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("n"),
+                                 F.percentile("_x", [float(p) for p in probs]).alias("_q"))
+        return q.select(*g, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
+    return radix_percentiles(df, g, value, probs, names)
+
+
+def radix_percentiles(df: DataFrame, group_cols: Sequence[str], value: str,
+                      probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """The bounded-memory path: radix select over the double's bit layout."""
+    g = list(group_cols)
+    x = F.col(value).cast("double")
     base = df.where(x.isNotNull() & ~F.isnan(x)).select(*g, *_decompose(x))
 
     # level 1: counts per sign/exponent bucket; n per group from the same pass

@@ -28,13 +28,13 @@ def flags_by_rule(scored: DataFrame) -> DataFrame:
     needs the grand total: a window over the aggregated result, which has one
     row per rule plus one, so it is bounded by the rule set, not the data.
     """
-    g = scored.groupBy("rule_name").agg(F.count(F.lit(1)).alias("n_events"))
-    total = F.sum("n_events").over(Window.partitionBy(F.lit(1)))
+    g = (scored.groupBy("rule_name").agg(F.count(F.lit(1)).alias("n_events"))
+         .withColumn("_total", F.sum("n_events").over(Window.partitionBy(F.lit(1)))))
     return g.select(
         "rule_name",
         describe_rule(F.col("rule_name")).alias("rule_description"),
         "n_events",
-        pct(F.col("n_events"), total).alias("share_pct"),
+        pct(F.col("n_events"), F.col("_total")).alias("share_pct"),
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -58,5 +59,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint root."""
     root = checkpoint_root(spark)
-    suffix = next(tempfile._get_candidate_names())  # noqa: SLF001 - unique name only
+    suffix = uuid.uuid4().hex[:12]
     return f"{root}/{name}-{suffix}" if "://" in root else os.path.join(root, f"{name}-{suffix}")
+
+
+def materialize(spark: SparkSession, df, name: str):
+    """Write `df` once under the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads the files instead of
+    recomputing the plan) and lets many consumers share one computation,
+    while keeping Parquet statistics, pruning and pushdown for readers.
+    """
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
