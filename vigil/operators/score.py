@@ -45,6 +45,23 @@ def score(df: DataFrame, rules: RuleSet | None = None, batch_cols: Sequence[str]
             .withColumn("is_fraud_detected", F.col("rule_name").isNotNull()))
 
 
+def score_trailing(df: DataFrame, rules: RuleSet | None = None, seconds: int = 300,
+                   bucket_seconds: int = 3600, account: str = "nameOrig") -> DataFrame:
+    """Intent scoring: the statistics are a true trailing window of event
+    time (X1) instead of whatever one micro-batch happens to hold, so the
+    result does not depend on how data was cut into batches (replay = stream).
+    Skew-safe through the bucketed trailing window; no join back needed."""
+    from vigil.operators.sequence import trailing_window
+    rules = rules or default_rules()
+    t = trailing_window(with_dt(df), account, "event_time", "amount", seconds, bucket_seconds, prefix="_tw_")
+    t = (t.withColumnRenamed("_tw_count", "tx_count_5m").withColumnRenamed("_tw_sum", "total_amount_5m")
+          .withColumnRenamed("_tw_max", "max_amount_5m"))
+    if "geo_flag" not in t.columns:
+        t = t.withColumn("geo_flag", geo_flag(F.col("anomaly_type")))
+    return (t.withColumn("rule_name", rules.first_match())
+             .withColumn("is_fraud_detected", F.col("rule_name").isNotNull()))
+
+
 def flagged(scored: DataFrame) -> DataFrame:
     """flagged rows only (a null flag is excluded)."""
     return scored.where(F.col("is_fraud_detected"))

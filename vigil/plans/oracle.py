@@ -568,3 +568,13 @@ SELECT rate_date,
     AS usd_lkr_rate,
   CASE WHEN dayofmonth(rate_date) IN (13, 21) THEN 'fallback' ELSE source_url END AS source_url
 FROM rates""")
+
+CTES.update({
+    "trail5": """SELECT *, CAST(anomaly_type = 'geo_impossible' AS INTEGER) AS geo_flag,
+    count(amount) OVER w AS tx_count_5m, sum(amount) OVER w AS total_amount_5m, max(amount) OVER w AS max_amount_5m
+  FROM tx WINDOW w AS (PARTITION BY nameOrig ORDER BY event_time
+                       RANGE BETWEEN INTERVAL 300 SECONDS PRECEDING AND CURRENT ROW)""",
+})
+
+oracle("score_trailing", f"""
+SELECT transaction_id, tx_count_5m, total_amount_5m, max_amount_5m, {RULE_CASE} AS rule_name FROM trail5""")

@@ -525,3 +525,11 @@ def q_tx_checks(spark, sf):
     """L4 + Q1-Q3 on the transaction table: unique and present ids, known types."""
     from vigil.operators.quality import TRANSACTION_CHECKS, run_checks
     return run_checks({"transactions": _tx(spark, sf)}, TRANSACTION_CHECKS)
+
+
+@query("score_trailing")
+def q_score_trailing(spark, sf):
+    """Intent scoring: rules over true trailing 5-minute statistics per account (X1 + R0)."""
+    from vigil.operators.score import score_trailing
+    s = score_trailing(_tx(spark, sf), seconds=300, bucket_seconds=3600)
+    return s.select("transaction_id", "tx_count_5m", "total_amount_5m", "max_amount_5m", "rule_name")
