@@ -66,3 +66,42 @@ def test_view_table_snapshot(spark, tmp_path):
     write_snapshot(df, str(tmp_path / "snap"))
     assert spark.read.parquet(str(tmp_path / "mart")).count() == 1
     assert spark.read.parquet(str(tmp_path / "snap")).count() == 1
+
+
+def test_compact_flagged_and_build_warehouse(spark, tmp_path):
+    from tests.conftest import SF_SMALL
+    from vigil.operators.daily import daily_summary, date_span
+    from vigil.operators.score import flagged, score, to_serving
+    from vigil.plans.warehouse import build_warehouse, compact_flagged
+    from vigil.schemas import FLAGGED
+    from vigil.sinks.lake import write_flagged_batch
+    from vigil.sinks.upsert import upsert
+    from vigil.sources import derived
+    scored = score(derived.transactions(spark, SF_SMALL), batch_cols=("dt",))
+    serving = to_serving(flagged(scored), detected_at=F.col("ingestion_time"))
+    fb, ft = str(tmp_path / "fb"), str(tmp_path / "ft")
+    write_flagged_batch(serving.where("event_time < '2024-01-15'"), fb, 0)   # early rows first ...
+    write_flagged_batch(serving, fb, 1)                                      # ... then all, overlapping
+    compact_flagged(spark, fb, ft)
+    compact_flagged(spark, fb, ft)                       # idempotent
+    t = read_table(spark, ft, FLAGGED)
+    assert t.count() == serving.count() == t.select("transaction_id").distinct().count()
+    roots = {k: str(tmp_path / k) for k in ("summary", "loans", "rates", "out")}
+    upsert(spark, roots["summary"], daily_summary(scored, date_span(scored)), DAILY_SUMMARY, now=now())
+    upsert(spark, roots["loans"], derived.loans(spark, SF_SMALL), LOANS, now=now())
+    upsert(spark, roots["rates"], derived.rates(spark, SF_SMALL), RATES, now=now())
+    out = build_warehouse(spark, ft, roots["summary"], roots["loans"], roots["rates"], roots["out"])
+    res = {(r.table_name, r.column_name, r.test_name): r.failures for r in out["test_results"].collect()}
+    assert len(res) == 45 and sum(res.values()) == 0
+    assert out["fact_fraud_events"].count() == serving.count()
+
+
+def test_cli_reconcile(spark, tmp_path):
+    from vigil.__main__ import main
+    lake, table = str(tmp_path / "lake"), str(tmp_path / "summary")
+    s = spark.createDataFrame([("t1", "2026-07-19", 1.0, True, "odd_hour")],
+                              "transaction_id string, dt string, amount double, is_fraud_detected boolean, "
+                              "rule_name string")
+    write_lake_batch(s, lake, 0)
+    main(["reconcile", "--lake", lake, "--table", table, "--day", "2026-07-19"])
+    assert read_table(spark, table, DAILY_SUMMARY).first().flagged_count == 1

@@ -9,7 +9,8 @@
   column, whether the source value (update columns, or a new key) or the
   target value (kept columns, N17) survives -- a null in the source can
   overwrite, and a kept column is never touched;
-* audit columns (`now_cols`) take `now` on every inserted or updated row.
+* audit columns (`now_cols`) take `now` on every updated row and on inserted
+  rows that carry no value; `update_cols=[]` gives insert-if-absent.
 
 `upsert` writes the merged table as a new version directory and only then
 makes it current (Spark's commit protocol writes `_SUCCESS` last; readers take
@@ -68,9 +69,17 @@ def merge_frames(target: DataFrame | None, source: DataFrame, key: Sequence[str]
     s_hit = F.coalesce(F.col("_s_hit"), F.lit(False))
     t_hit = F.coalesce(F.col("_t_hit"), F.lit(False))
     out = [F.when(s_hit, F.col(f"_s_{k}")).otherwise(F.col(f"_t_{k}")).alias(k) for k in key]
+    updating = bool(upd)
     for c in data_cols:
         if c in now_cols:
-            v = F.when(s_hit, now).otherwise(F.col(f"_t_{c}"))
+            # audit column: an inserted row keeps a given value (else now); an
+            # updated row gets now; with no update columns a conflict changes
+            # nothing (insert-if-absent, like ON CONFLICT DO NOTHING)
+            ins = F.coalesce(F.col(f"_s_{c}"), now) if c in src.columns else now
+            v = F.when(s_hit & ~t_hit, ins)
+            if updating:
+                v = v.when(s_hit & t_hit, now)
+            v = v.otherwise(F.col(f"_t_{c}"))
         elif c in upd and c in src.columns:
             v = F.when(s_hit, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}"))
         elif c in src.columns:
