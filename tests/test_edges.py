@@ -130,3 +130,18 @@ def test_trailing_scoring_independent_of_batches(spark):
     assert s == {"r0": (1, None), "r1": (2, None), "r2": (3, "rapid_fire"), "r3": (4, "rapid_fire")}
     serving = conform(to_serving(flagged(score(_tx(spark, rows), batch_cols=()))), FLAGGED, now=F.lit(T0))
     assert serving.count() == 4 and dict(serving.dtypes)["amount"] == "decimal(18,2)"
+
+
+def test_salted_join_equals_unsalted(spark):
+    from tests.conftest import SF_SMALL
+    from vigil.sources import derived
+    tx = derived.transactions(spark, SF_SMALL)
+    extra = _tx(spark, [("x1", None, "D", 1.0, None, None, "LK", "PAYMENT"),
+                        ("x2", "C1", "D", 1.0, None, None, "LK", "PAYMENT"),
+                        ("x3", "C1", "D", 1.0, None, None, "LK", "PAYMENT")])
+    tx = tx.unionByName(extra, allowMissingColumns=True)
+    cols = ["transaction_id", "tx_count_5m", "total_amount_5m", "max_amount_5m", "rule_name"]
+    for batch in [("dt",), ()]:
+        plain = sorted(tuple(r) for r in score(tx, batch_cols=batch).select(*cols).collect())
+        salted = sorted(tuple(r) for r in score(tx, batch_cols=batch, hot_rows=2).select(*cols).collect())
+        assert plain == salted and len(plain) == tx.count()

@@ -24,6 +24,7 @@ def main() -> None:
     from pyspark.sql import functions as F
 
     from vigil.operators.dedup import dedup
+    from vigil.operators.score import score
     from vigil.operators.sequence import running_totals, time_bucket, trailing_window
     from vigil.session import build_session
 
@@ -57,11 +58,24 @@ def main() -> None:
         "row_number_dedup_by_account": lambda: tx.withColumn(
             "rn", F.row_number().over(Window.partitionBy("nameOrig").orderBy("event_time"))).where("rn = 1"),
         "aggregate_dedup_by_account": lambda: dedup(tx, "nameOrig", "event_time"),
+        "naive_count_over_account": lambda: tx.withColumn(
+            "tx_count_5m", F.count(F.lit(1)).over(Window.partitionBy("nameOrig"))),
+        "score_aggregate_then_join": lambda: score(tx.withColumn("anomaly_type", F.lit(None).cast("string")),
+                                                   batch_cols=(), hot_rows=10_000),
     }
+    # the join must shuffle (no broadcast), and AQE's skew split is scaled down to
+    # this data size: at 100 TB the hot partition is far above the 256 MB default
+    join_conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                 "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                 "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k"}
     total = tx.count()
     hot = tx.where("nameOrig = 'HOT'").count()
     for name, build in variants.items():
         spark.sparkContext.setJobGroup(name, name)
+        if name.startswith("score"):
+            for k, v in join_conf.items():
+                spark.conf.set(k, v)
         build().write.format("noop").mode("overwrite").save()
     spark.stop()
 

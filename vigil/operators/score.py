@@ -25,7 +25,8 @@ def with_dt(df: DataFrame, event_time: str = "event_time") -> DataFrame:
 
 
 def score(df: DataFrame, rules: RuleSet | None = None, batch_cols: Sequence[str] = ("dt",),
-          stats: DataFrame | None = None, account: str = "nameOrig") -> DataFrame:
+          stats: DataFrame | None = None, account: str = "nameOrig",
+          hot_rows: int | None = None) -> DataFrame:
     """Attach statistics (A1/J1), derive geo_flag (P7), apply the rules.
 
     Output: input columns + tx_count_5m, total_amount_5m, max_amount_5m,
@@ -37,7 +38,8 @@ def score(df: DataFrame, rules: RuleSet | None = None, batch_cols: Sequence[str]
     df = with_dt(df)
     if stats is None:
         stats = account_stats(df, account=account, batch_cols=batch_cols)
-    enriched = attach_stats(df, stats, account=account, batch_cols=batch_cols)
+    kw = {"hot_rows": hot_rows} if hot_rows else {}
+    enriched = attach_stats(df, stats, account=account, batch_cols=batch_cols, **kw)
     if "geo_flag" not in enriched.columns:
         enriched = enriched.withColumn("geo_flag", geo_flag(F.col("anomaly_type")))
     return (enriched

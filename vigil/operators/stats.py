@@ -4,8 +4,8 @@ The reference computes, per micro-batch, count / sum / max of the amount by
 origin account and left-joins them back.  We keep that shape on purpose:
 `groupBy().agg()` is a partial (map-side) + final hash aggregate, so an
 account holding a third of all rows is pre-reduced in every input task
-before the shuffle, and the join back is a sort-merge join whose skewed
-partitions AQE splits.  The alternative (`count(*) over (partition by
+before the shuffle; the join back salts hot groups so no join task receives
+more than about `hot_rows` rows of one group.  The alternative (`count(*) over (partition by
 account)`) needs one shuffle less but puts every row of a hot account into
 one task, which does not survive skew.
 """
@@ -33,19 +33,42 @@ def account_stats(df: DataFrame, account: str = "nameOrig", amount: str = "amoun
                  F.max(amount).alias("max_amount_5m")))
 
 
+HOT_ROWS = 1_000_000
+
+
 def attach_stats(df: DataFrame, stats: DataFrame, account: str = "nameOrig",
-                 batch_cols: Sequence[str] = ()) -> DataFrame:
+                 batch_cols: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
     """Left equi-join of the statistics onto the rows.
 
     The account key uses plain equality (null never matches, N2); batch
     columns use null-safe equality so rows without an event time still meet
     their own batch's statistics.
+
+    Hot groups are salted.  AQE cannot split this join's skew (its build side
+    is an aggregate, not a bare shuffle), so a group with more than
+    `hot_rows` rows is spread over ceil(count / hot_rows) salts: its rows get
+    a salt from their position, its single statistics row is replicated once
+    per salt, and the equi-join includes the salt.  Which groups are hot comes
+    from the statistics themselves, as a broadcast list whose size is provably
+    at most (total rows / hot_rows).
     """
-    s = stats.select(F.col(account).alias("_s_acct"),
-                     *[F.col(b).alias(f"_s_{b}") for b in batch_cols],
+    bc = list(batch_cols)
+    s = stats.select(F.col(account).alias("_s_acct"), *[F.col(b).alias(f"_s_{b}") for b in bc],
                      *STAT_COLUMNS)
-    cond = F.col(account) == F.col("_s_acct")
-    for b in batch_cols:
+    n_salt = F.ceil(F.col("tx_count_5m") / F.lit(hot_rows)).cast("int")
+    hot = s.where(n_salt > 1).select(F.col("_s_acct").alias("_h_acct"),
+                                     *[F.col(f"_s_{b}").alias(f"_h_{b}") for b in bc],
+                                     n_salt.alias("_n_salt"))
+    hcond = F.col(account) == F.col("_h_acct")
+    for b in bc:
+        hcond = hcond & F.col(b).eqNullSafe(F.col(f"_h_{b}"))
+    rows = (df.join(F.broadcast(hot), hcond, "left")
+              .withColumn("_salt", F.when(F.col("_n_salt").isNull(), F.lit(0))
+                          .otherwise(F.pmod(F.monotonically_increasing_id(), F.col("_n_salt")).cast("int")))
+              .drop("_h_acct", *[f"_h_{b}" for b in bc], "_n_salt"))
+    sx = s.withColumn("_s_salt", F.explode(F.sequence(F.lit(0), F.greatest(n_salt, F.lit(1)) - 1)))
+    cond = (F.col(account) == F.col("_s_acct")) & (F.col("_salt") == F.col("_s_salt"))
+    for b in bc:
         cond = cond & F.col(b).eqNullSafe(F.col(f"_s_{b}"))
-    joined = df.join(s, cond, "left")
-    return joined.drop("_s_acct", *[f"_s_{b}" for b in batch_cols])
+    joined = rows.join(sx, cond, "left")
+    return joined.drop("_s_acct", "_salt", "_s_salt", *[f"_s_{b}" for b in bc])
