@@ -145,3 +145,15 @@ def test_salted_join_equals_unsalted(spark):
         plain = sorted(tuple(r) for r in score(tx, batch_cols=batch).select(*cols).collect())
         salted = sorted(tuple(r) for r in score(tx, batch_cols=batch, hot_rows=2).select(*cols).collect())
         assert plain == salted and len(plain) == tx.count()
+
+
+def test_salted_star_view_equals_plain(spark):
+    from tests.conftest import SF_SMALL
+    from vigil.plans.queries import _rates, _stg_flagged
+    stg = _stg_flagged(spark, SF_SMALL)
+    fact = marts.fact_fraud_events(stg, _rates(spark, SF_SMALL))
+    dims = (marts.dim_date(stg), marts.dim_account(stg), marts.dim_rule(stg))
+    cols = ["transaction_id", "total_flags", "most_common_rule", "rule_description", "year_month"]
+    a = sorted(tuple(r) for r in marts.star_view(fact, *dims).select(*cols).collect())
+    b = sorted(tuple(r) for r in marts.star_view(fact, *dims, hot_rows=3).select(*cols).collect())
+    assert a == b and len(a) == fact.count()

@@ -72,10 +72,13 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
                    .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
             parts.append(_row(c, dup.agg(F.count(F.lit(1)).alias("failures"))))
         elif c.test == "relationships":
-            parent = tables[c.to].select(F.col(c.field).alias("_pk"))
-            orphans = (df.where(F.col(c.column).isNotNull())
-                       .join(parent, F.col(c.column) == F.col("_pk"), "left_anti"))
-            parts.append(_row(c, orphans.agg(F.count(F.lit(1)).alias("failures"))))
+            # child keys are counted first (partial aggregation), so a hot key
+            # reaches the anti-join as one row with its count
+            parent = tables[c.to].select(F.col(c.field).alias("_pk")).distinct()
+            keys = (df.where(F.col(c.column).isNotNull()).groupBy(c.column)
+                    .agg(F.count(F.lit(1)).alias("_n")))
+            orphans = keys.join(parent, F.col(c.column) == F.col("_pk"), "left_anti")
+            parts.append(_row(c, orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))))
         elif c.test not in ("not_null", "accepted_values"):
             raise ValueError(f"unknown test {c.test}")
     return reduce(DataFrame.unionByName, parts)

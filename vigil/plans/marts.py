@@ -116,13 +116,20 @@ def mart_loan_risk(stg_loans: DataFrame, rates: DataFrame) -> DataFrame:
     ).orderBy("loan_grade", "loan_intent"))
 
 
-def star_view(fact: DataFrame, d_date: DataFrame, d_account: DataFrame, d_rule: DataFrame) -> DataFrame:
-    """Fact left-joined to its three dimensions for BI queries."""
-    return (fact
-            .join(d_date.drop("full_date"), "date_key", "left")
-            .join(d_account.select("account_key", "total_flags", "most_common_rule",
-                                   "distinct_rules_triggered"), "account_key", "left")
-            .join(d_rule.select("rule_key", "rule_description"), "rule_key", "left"))
+def star_view(fact: DataFrame, d_date: DataFrame, d_account: DataFrame, d_rule: DataFrame,
+              hot_rows: int | None = None) -> DataFrame:
+    """Fact left-joined to its three dimensions for BI queries.
+
+    dim_date has one row per calendar day (a proven bound) and is broadcast;
+    dim_rule is left to AQE; dim_account grows with accounts and is joined
+    with salting on accounts whose flag count (known from the dimension)
+    makes them hot, so one account's events are spread over several tasks.
+    """
+    from vigil.operators.joins import HOT_ROWS, salted_left_join
+    acct = d_account.select("account_key", "total_flags", "most_common_rule", "distinct_rules_triggered")
+    v = fact.join(F.broadcast(d_date.drop("full_date")), "date_key", "left")
+    v = salted_left_join(v, acct, "account_key", F.col("total_flags"), hot_rows or HOT_ROWS)
+    return v.join(d_rule.select("rule_key", "rule_description"), "rule_key", "left")
 
 
 def amount_lkr_asof(stg: DataFrame, rates: DataFrame) -> DataFrame:
@@ -142,6 +149,7 @@ def amount_lkr_asof(stg: DataFrame, rates: DataFrame) -> DataFrame:
     w = Window.orderBy("d", "_ev").rowsBetween(Window.unboundedPreceding, 0)
     carried = (allrows.withColumn("rate_asof", F.last("_rate", ignorenulls=True).over(w))
                .where(F.col("_ev") == 1).select(F.col("d").alias("event_date"), "rate_asof"))
-    return (stg.join(carried, "event_date", "left")
+    # `carried` has one row per calendar day: broadcast on a proven bound
+    return (stg.join(F.broadcast(carried), "event_date", "left")
             .withColumn("amount_lkr_asof", F.round(F.col("amount") * F.col("rate_asof"), 2)
                         .cast("decimal(28,2)")))
