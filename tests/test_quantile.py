@@ -8,8 +8,13 @@ import pytest
 from vigil.operators.quantile import exact_percentiles
 
 
-@pytest.mark.parametrize("limit", [0, 10 ** 9])      # radix path, built-in path
-def test_exact_percentiles_match_numpy(spark, limit):
+@pytest.mark.parametrize("limit,targets", [(0, 10 ** 6), (0, 0), (10 ** 9, 0)])
+def test_exact_percentiles_match_numpy(spark, limit, targets, monkeypatch):
+    # radix with broadcast targets, radix with the salted join, built-in path
+    import vigil.operators.joins as joins
+    import vigil.operators.quantile as quantile
+    monkeypatch.setattr(quantile, "BROADCAST_TARGETS", targets)
+    monkeypatch.setattr(joins, "HOT_ROWS", 50)
     rng = np.random.default_rng(11)
     vals = np.concatenate([rng.lognormal(8, 2, 2000), -rng.lognormal(2, 3, 300), np.zeros(30),
                            np.full(100, 123.25), [1e-300, 5e-324, 1e300, -1e300, 2.0, 4.0, 0.5]])

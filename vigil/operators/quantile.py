@@ -61,6 +61,7 @@ def _compose(k1: Column, mant: Column) -> Column:
 
 
 SMALL_GROUP_LIMIT = 2_000_000
+BROADCAST_TARGETS = 200_000     # target rows (2 per group and probability) broadcast when below
 
 
 def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value: str,
@@ -71,16 +72,33 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value: str,
     names = list(names or [f"p{int(round(p * 100))}" for p in probs])
     x = F.col(value).cast("double")
     vals = df.where(x.isNotNull() & ~F.isnan(x)).select(*g, x.alias("_x"))
-    largest = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    if largest is not None and largest <= small_group_limit:
+    size = (vals.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+            .agg(F.max("_n").alias("largest"), F.count(F.lit(1)).alias("groups")).first())
+    if size["largest"] is not None and size["largest"] <= small_group_limit:
         q = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("n"),
                                  F.percentile("_x", [float(p) for p in probs]).alias("_q"))
         return q.select(*g, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
-    return radix_percentiles(df, g, value, probs, names)
+    few_groups = (size["groups"] or 0) * 2 * len(probs) <= BROADCAST_TARGETS
+    return radix_percentiles(df, g, value, probs, names, broadcast_targets=few_groups)
+
+
+def _keep_prefix(rows: DataFrame, want: DataFrame, keys: list[str], broadcast: bool) -> DataFrame:
+    """Rows whose (group, prefix) is a target.  The target list is broadcast
+    when its size was checked small; otherwise the join is salted by the
+    bucket's row count, because one chosen bucket of a hot group can hold a
+    large share of all rows."""
+    if broadcast:
+        return rows.join(F.broadcast(want.drop("_cnt")), keys, "inner")
+    from vigil.operators.joins import salted_left_join
+    k = F.struct(*[F.col(c) for c in keys])
+    w = want.select(k.alias("_key"), F.col("_cnt"), F.lit(True).alias("_hit"))
+    j = salted_left_join(rows.withColumn("_key", k), w, "_key", F.col("_cnt"))
+    return j.where(F.col("_hit")).drop("_key", "_cnt", "_hit")
 
 
 def radix_percentiles(df: DataFrame, group_cols: Sequence[str], value: str,
-                      probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+                      probs: Sequence[float], names: Sequence[str],
+                      broadcast_targets: bool = False) -> DataFrame:
     """The bounded-memory path: radix select over the double's bit layout."""
     g = list(group_cols)
     x = F.col(value).cast("double")
@@ -108,25 +126,34 @@ def radix_percentiles(df: DataFrame, group_cols: Sequence[str], value: str,
     # pick the level-1 bucket holding each target rank
     t = (t.join(c1.drop("_n"), g, "inner")
           .where((F.col("_r") >= F.col("_before")) & (F.col("_r") < F.col("_before") + F.col("_c")))
-          .select(*g, "_n", "_pi", "_side", "_pos", "_r", "_k1",
+          .select(*g, "_n", "_pi", "_side", "_pos", "_r", "_k1", F.col("_c").alias("_cnt"),
                   (F.col("_r") - F.col("_before")).alias("_rr")))
 
+    # The small target table feeds several joins per level; storing it once
+    # per level (shared checkpoint folder) keeps every level's plan linear
+    # instead of re-deriving all earlier levels.  This path only runs when a
+    # group exceeds `small_group_limit`, where these writes are negligible.
+    from vigil.session import materialize
+    spark = df.sparkSession
+    t = materialize(spark, t, "pct-targets")
     prefix = ["_k1"]
     for level, (shift, mask) in enumerate(_SLICES, start=2):
         key = f"_k{level}"
         rows = base.withColumn(key, F.shiftright("_m", shift).bitwiseAND(F.lit(mask)))
         for lv, (s2, m2) in enumerate(_SLICES[:level - 2], start=2):
             rows = rows.withColumn(f"_k{lv}", F.shiftright("_m", s2).bitwiseAND(F.lit(m2)))
-        want = t.select(*g, *prefix).distinct()
-        cl = (rows.join(want, g + prefix, "inner")
+        want = t.select(*g, *prefix, "_cnt").distinct()
+        cl = (_keep_prefix(rows, want, g + prefix, broadcast_targets)
                   .groupBy(*g, *prefix, key).agg(F.count(F.lit(1)).alias("_c")))
         wl = Window.partitionBy(*g, *prefix).orderBy(key)
         cl = cl.withColumn("_before", F.coalesce(
             F.sum("_c").over(wl.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        t = (t.join(cl, g + prefix, "inner")
+        t = (t.drop("_cnt").join(cl, g + prefix, "inner")
               .where((F.col("_rr") >= F.col("_before")) & (F.col("_rr") < F.col("_before") + F.col("_c")))
               .withColumn("_rr", F.col("_rr") - F.col("_before"))
-              .drop("_c", "_before"))
+              .withColumnRenamed("_c", "_cnt")
+              .drop("_before"))
+        t = materialize(spark, t, "pct-targets")
         prefix.append(key)
 
     mant = F.lit(0).cast("long")
