@@ -24,6 +24,7 @@ def main() -> None:
     from pyspark.sql import functions as F
 
     from vigil.operators.dedup import dedup
+    from vigil.operators.quantile import exact_percentiles
     from vigil.operators.score import score
     from vigil.operators.sequence import running_totals, time_bucket, trailing_window
     from vigil.session import build_session
@@ -58,6 +59,10 @@ def main() -> None:
         "row_number_dedup_by_account": lambda: tx.withColumn(
             "rn", F.row_number().over(Window.partitionBy("nameOrig").orderBy("event_time"))).where("rn = 1"),
         "aggregate_dedup_by_account": lambda: dedup(tx, "nameOrig", "event_time"),
+        "builtin_percentile_by_account": lambda: tx.groupBy("nameOrig").agg(
+            F.percentile("amount", [0.01, 0.99]).alias("q")),
+        "radix_percentile_by_account": lambda: exact_percentiles(
+            tx, ["nameOrig"], "amount", [0.01, 0.99], small_group_limit=0),
         "naive_count_over_account": lambda: tx.withColumn(
             "tx_count_5m", F.count(F.lit(1)).over(Window.partitionBy("nameOrig"))),
         "score_aggregate_then_join": lambda: score(tx.withColumn("anomaly_type", F.lit(None).cast("string")),
@@ -80,7 +85,7 @@ def main() -> None:
     spark.stop()
 
     # parse the event log: max shuffle records read by one task, per job group
-    stage_group, worst = {}, {}
+    stage_group, worst, worst_bytes = {}, {}, {}
     files = [p for p in glob.glob(os.path.join(logdir, "**", "*"), recursive=True) if os.path.isfile(p)]
     for path in sorted(files):
         for line in open(path):
@@ -94,10 +99,13 @@ def main() -> None:
                 g = stage_group.get(e["Stage ID"])
                 m = (e.get("Task Metrics") or {}).get("Shuffle Read Metrics") or {}
                 recs = m.get("Total Records Read", 0)
+                nbytes = m.get("Remote Bytes Read", 0) + m.get("Local Bytes Read", 0)
                 if g:
                     worst[g] = max(worst.get(g, 0), recs)
+                    worst_bytes[g] = max(worst_bytes.get(g, 0), nbytes)
     print(json.dumps({"rows": total, "hot_account_rows": hot,
-                      "max_shuffle_records_per_task": worst}, indent=1))
+                      "max_shuffle_records_per_task": worst,
+                      "max_shuffle_bytes_per_task": worst_bytes}, indent=1))
 
 
 if __name__ == "__main__":
