@@ -578,3 +578,10 @@ CTES.update({
 
 oracle("score_trailing", f"""
 SELECT transaction_id, tx_count_5m, total_amount_5m, max_amount_5m, {RULE_CASE} AS rule_name FROM trail5""")
+
+oracle("sliding_window_stats", """
+SELECT strftime(make_timestamp(s * 3600000000), '%Y-%m-%d %H:%M:%S.%f') AS window_start,
+       strftime(make_timestamp((s + 6) * 3600000000), '%Y-%m-%d %H:%M:%S.%f') AS window_end,
+       nameOrig, count(*) AS tx_count, sum(amount) AS total_amount, max(amount) AS max_amount
+FROM (SELECT *, epoch_us(event_time) // 3600000000 - unnest(range(0, 6)) AS s FROM tx) t
+GROUP BY s, nameOrig""")

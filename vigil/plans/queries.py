@@ -533,3 +533,12 @@ def q_score_trailing(spark, sf):
     from vigil.operators.score import score_trailing
     s = score_trailing(_tx(spark, sf), seconds=300, bucket_seconds=3600)
     return s.select("transaction_id", "tx_count_5m", "total_amount_5m", "max_amount_5m", "rule_name")
+
+
+@query("sliding_window_stats")
+def q_sliding(spark, sf):
+    """W2 (sliding): per account, 6-hour windows every hour: count, sum, max."""
+    from vigil.streaming.windows import windowed_stats
+    w = windowed_stats(_tx(spark, sf), "6 hours", "1 hour")
+    return w.select(_ts("window_start"), _ts("window_end"), "nameOrig", "tx_count", "total_amount",
+                    "max_amount")
