@@ -18,16 +18,16 @@ BALANCE_LOG_STD_FLOOR = 0.3
 # ---------------------------------------------------------------------------
 
 
-def _total_row(g: DataFrame, n: str) -> DataFrame:
-    """Grand total of an aggregated frame as a broadcast single row."""
-    return F.broadcast(g.agg(F.sum(n).alias("_total")))
+def _total(g: DataFrame, n: str):
+    """Grand total of an aggregated frame as a scalar subquery: computed once
+    from the (small) aggregate and inlined as a value, so no join is planned."""
+    return g.agg(F.sum(n)).scalar()
 
 
 def type_distribution(df: DataFrame, type_col: str = "type") -> DataFrame:
     """Rows per type and share of all rows (percent, 2 places)."""
     g = df.groupBy(type_col).agg(F.count(F.lit(1)).alias("n"))
-    return (g.crossJoin(_total_row(g, "n"))
-            .select(type_col, "n", pct(F.col("n"), F.col("_total")).alias("share_pct")))
+    return g.select(type_col, "n", pct(F.col("n"), _total(g, "n")).alias("share_pct"))
 
 
 def _log_params(mean: str, std: str, floor: float) -> list:
@@ -45,10 +45,10 @@ def amount_profile(df: DataFrame, type_col: str = "type", amount: str = "amount"
         F.avg(a).alias("amount_mean"),
         F.stddev_samp(a).alias("amount_std"))
     q = exact_percentiles(df, [type_col], amount, [0.01, 0.99], ["amount_min", "amount_max"]).drop("n")
-    out = stats.crossJoin(_total_row(stats, "rows")).join(q, type_col, "left")
+    out = stats.join(q, type_col, "left")
     return out.select(
         type_col,
-        (F.col("rows") / F.col("_total")).alias("weight"),
+        (F.col("rows") / _total(stats, "rows")).alias("weight"),
         "amount_mean", "amount_std", "amount_min", "amount_max",
         *_log_params("amount_mean", "amount_std", AMOUNT_LOG_STD_FLOOR))
 

@@ -1,7 +1,8 @@
 """Star schema and marts.
 
 Join strategy: the latest rate is a global aggregate, so it is at most one
-row by construction and is broadcast explicitly (J2).  Dimension joins in
+row by construction; it is attached as a scalar subquery (J2), evaluated
+once and inlined as a value, instead of a cross join.  Dimension joins in
 `star_view` carry no hint: dim_account grows with the number of accounts,
 and dim_date / dim_rule are small but data-derived, so the choice is left to
 AQE, which broadcasts a side only after measuring it below
@@ -67,21 +68,28 @@ def latest_rate(rates: DataFrame) -> DataFrame:
             .where(F.col("_n") > 0).drop("_n"))
 
 
+def _latest_rate_value(rates: DataFrame):
+    """The newest rate as a scalar subquery over a struct, so "no rate row"
+    (null struct) stays distinct from a row whose rate is null.  Filtering on
+    the struct keeps N9: no rates -> no rows, as the reference's cross join."""
+    latest = latest_rate(rates).select(F.struct("usd_lkr_rate").alias("r")).scalar()
+    return latest, latest.getField("usd_lkr_rate")
+
+
 def fact_fraud_events(stg: DataFrame, rates: DataFrame) -> DataFrame:
     """One row per flagged event with keys, degenerate dims, LKR amount.
 
-    The rate is the newest overall (N10), joined by a broadcast nested-loop
-    join against a frame that is a single aggregate row (J2).
+    The rate is the newest overall (N10), a single aggregate value (J2).
     """
-    r = F.broadcast(latest_rate(rates).select("usd_lkr_rate"))
-    return stg.crossJoin(r).select(
+    latest, rate = _latest_rate_value(rates)
+    return stg.where(latest.isNotNull()).select(
         "transaction_id",
         date_key(F.col("event_date")).alias("date_key"),
         text_key(F.col("origin_account")).alias("account_key"),
         text_key(F.col("rule_name")).alias("rule_key"),
         "tx_type", "rule_name", "origin_account", "dest_account",
         F.col("amount").alias("amount_usd"),
-        F.round(F.col("amount") * F.col("usd_lkr_rate"), 2).cast("decimal(28,2)").alias("amount_lkr"),
+        F.round(F.col("amount") * rate, 2).cast("decimal(28,2)").alias("amount_lkr"),
         "tx_count_5m", "total_amount_5m", "max_amount_5m", "geo_impossible",
         "event_time", "event_date", "detected_at",
     )
@@ -90,9 +98,9 @@ def fact_fraud_events(stg: DataFrame, rates: DataFrame) -> DataFrame:
 def mart_loan_risk(stg_loans: DataFrame, rates: DataFrame) -> DataFrame:
     """Loans by grade and intent with default rate and rounded averages.
 
-    Aggregated first, then crossed with the single latest-rate row, which is
-    the same as crossing first (the rate is constant) but joins far fewer
-    rows.  Averages are exact sums divided once (no double rounding).
+    Aggregated first, then given the single latest rate (a scalar subquery;
+    no rates -> no rows, N9).  Averages are exact sums divided once (no
+    double rounding).
     """
     n = F.count(F.lit(1))
     g = stg_loans.groupBy("loan_grade", "loan_intent").agg(
@@ -104,15 +112,15 @@ def mart_loan_risk(stg_loans: DataFrame, rates: DataFrame) -> DataFrame:
         exact_avg("loan_int_rate", 3, 3, out_precision=10).alias("avg_interest_rate"),
         exact_avg("person_income", 2, 2, out_precision=18).alias("avg_person_income"),
     )
-    r = F.broadcast(latest_rate(rates).select("usd_lkr_rate"))
-    lkr = exact_ratio(F.col("_amt_sum") * F.col("usd_lkr_rate"), F.col("_amt_n"), 2, 6, 18)
-    return (g.crossJoin(r).select(
+    latest, rate = _latest_rate_value(rates)
+    lkr = exact_ratio(F.col("_amt_sum") * rate, F.col("_amt_n"), 2, 6, 18)
+    return (g.where(latest.isNotNull()).select(
         "loan_grade", "loan_intent", "total_loans",
         F.col("total_defaults").cast("bigint").alias("total_defaults"),
         pct(F.col("total_defaults"), F.col("total_loans")).alias("default_rate_pct"),
         "avg_loan_amnt_usd",
         lkr.alias("avg_loan_amnt_lkr"),
-        "avg_interest_rate", "avg_person_income", "usd_lkr_rate",
+        "avg_interest_rate", "avg_person_income", rate.alias("usd_lkr_rate"),
     ).orderBy("loan_grade", "loan_intent"))
 
 
