@@ -157,3 +157,27 @@ def test_salted_star_view_equals_plain(spark):
     a = sorted(tuple(r) for r in marts.star_view(fact, *dims).select(*cols).collect())
     b = sorted(tuple(r) for r in marts.star_view(fact, *dims, hot_rows=3).select(*cols).collect())
     assert a == b and len(a) == fact.count()
+
+
+def test_asof_rate_every_position(spark):
+    """J5 against a brute-force lookup: before the first rate (null), on a rate
+    day, on gap days, after the newest rate, a null rate row (skipped), and
+    an event without a date."""
+    rate_rows = [(dt.date(2026, 7, 3), 300.0), (dt.date(2026, 7, 6), 310.0),
+                 (dt.date(2026, 7, 8), None), (dt.date(2026, 7, 10), 320.0)]
+    rates = spark.createDataFrame(rate_rows, "rate_date date, usd_lkr_rate double").select(
+        "rate_date", F.col("usd_lkr_rate").cast("decimal(10,4)").alias("usd_lkr_rate"))
+    days = [1, 3, 4, 5, 6, 7, 8, 9, 10, 11, 30]
+    stg = _stg(spark, [(f"t{d}", dt.datetime(2026, 7, d, 12), 2.0, "C1", "odd_hour") for d in days]
+               + [("tnull", None, 2.0, "C1", "odd_hour")])
+    got = {r.transaction_id: (None if r.rate_asof is None else float(r.rate_asof))
+           for r in marts.amount_lkr_asof(stg, rates).collect()}
+
+    def brute(day):
+        if day is None:
+            return None
+        known = [(d, r) for d, r in rate_rows if r is not None and d <= day]
+        return max(known)[1] if known else None
+    want = {f"t{d}": brute(dt.date(2026, 7, d)) for d in days}
+    want["tnull"] = None
+    assert got == want

@@ -143,21 +143,23 @@ def star_view(fact: DataFrame, d_date: DataFrame, d_account: DataFrame, d_rule:
 def amount_lkr_asof(stg: DataFrame, rates: DataFrame) -> DataFrame:
     """J5 (intent): convert with the rate of the event's day, else the newest earlier one.
 
-    Exact as-of join without a range join: rates and event dates are unioned
-    into one date-ordered stream and the last rate seen is carried forward
-    with `last(..., ignorenulls)` over a window.  That window is over
-    *distinct dates* (one row per calendar day, a proven small bound), and
-    the result is joined back to the events on date.
+    Exact as-of join as an equi-join, built from the rates alone: each rate
+    covers the calendar days up to the day before the next rate, expanded to
+    one row per day (bounded by the calendar span of the rates, not by the
+    data) and broadcast.  Days after the newest rate take the newest rate (a
+    scalar subquery); days before the first rate get null.  The events are
+    read once and never shuffled for this join.
     """
     from pyspark.sql import Window
-    dates = stg.select(F.col("event_date").alias("d")).where(F.col("d").isNotNull()).distinct()
-    r = rates.select(F.col("rate_date").alias("d"), F.col("usd_lkr_rate").alias("_rate"))
-    allrows = (dates.select("d", F.lit(None).cast("decimal(10,4)").alias("_rate"), F.lit(1).alias("_ev"))
-               .unionByName(r.select("d", "_rate", F.lit(0).alias("_ev"))))
-    w = Window.orderBy("d", "_ev").rowsBetween(Window.unboundedPreceding, 0)
-    carried = (allrows.withColumn("rate_asof", F.last("_rate", ignorenulls=True).over(w))
-               .where(F.col("_ev") == 1).select(F.col("d").alias("event_date"), "rate_asof"))
-    # `carried` has one row per calendar day: broadcast on a proven bound
-    return (stg.join(F.broadcast(carried), "event_date", "left")
+    known = rates.where(F.col("rate_date").isNotNull() & F.col("usd_lkr_rate").isNotNull())
+    r = known.select(F.col("rate_date").alias("_d"), F.col("usd_lkr_rate").alias("_rate"))
+    spans = r.withColumn("_next", F.lead("_d").over(Window.orderBy("_d")))   # one row per rate day
+    days = spans.select(F.explode(F.sequence("_d", F.coalesce(F.date_sub("_next", 1), F.col("_d"))))
+                        .alias("event_date"), "_rate")
+    newest = latest_rate(known).select(F.struct("usd_lkr_rate", "rate_date").alias("r")).scalar()
+    after_last = F.col("event_date") > newest.getField("rate_date")
+    rate = F.coalesce(F.col("_rate"), F.when(after_last, newest.getField("usd_lkr_rate")))
+    return (stg.join(F.broadcast(days), "event_date", "left")
+            .withColumn("rate_asof", rate).drop("_rate")
             .withColumn("amount_lkr_asof", F.round(F.col("amount") * F.col("rate_asof"), 2)
                         .cast("decimal(28,2)")))
