@@ -9,15 +9,15 @@ of a future on-time event: times >= watermark - window (Spark drops events
 older than the watermark).  It is therefore bounded by the account's events
 in (watermark delay + window), not by its history, and it expires through an
 event-time timeout.  Rows arrive as an iterator of Arrow batches, so a hot
-account streams through without being materialised at once; counts use a
-sorted list and binary search.
+account streams through without being materialised at once.  Each batch is
+counted with vectorised binary search (`chunk_alerts`), not a per-row loop.
 """
 
 from __future__ import annotations
 
-import bisect
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -28,36 +28,58 @@ ALERT_SCHEMA = "nameOrig string, transaction_id string, event_time timestamp"
 STATE_SCHEMA = "times array<timestamp>"
 
 
+def chunk_alerts(times: np.ndarray, new: np.ndarray, window: int, threshold: int):
+    """Count one chunk of an account's events against its trailing window.
+
+    `times`: sorted event times seen so far (int64 microseconds); `new`: the
+    chunk's times, sorted (ties in transaction-id order).  Event i counts the
+    earlier events in [t_i - window, t_i]: those in `times` plus chunk events
+    before it.  Returns (alert mask: count + itself >= threshold, merged
+    sorted times).  O((|times| + |new|) log) with numpy, no Python per row.
+    """
+    lo = new - window
+    from_seen = np.searchsorted(times, new, "right") - np.searchsorted(times, lo, "left")
+    from_chunk = np.arange(len(new)) - np.searchsorted(new, lo, "left")
+    alert = from_seen + from_chunk + 1 >= threshold
+    merged = np.concatenate([times, new])
+    merged.sort(kind="mergesort")
+    return alert, merged
+
+
+def _micros(values) -> np.ndarray:
+    return pd.to_datetime(pd.Series(values)).values.astype("datetime64[us]").astype("int64")
+
+
 def rapid_fire_alerts(stream: DataFrame, window_seconds: int = 300,
                       threshold: int = RAPID_FIRE_COUNT_THRESHOLD,
                       account: str = "nameOrig") -> DataFrame:
     """Emit one alert row per event that brings its account's trailing
     `window_seconds` count to >= threshold (the stream needs a watermark)."""
-    window = pd.Timedelta(seconds=window_seconds)
+    window = int(window_seconds) * 1_000_000
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        wm = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")
-        times = sorted(pd.Timestamp(t) for t in state.get[0]) if state.exists else []
+        wm = int(state.getCurrentWatermarkMs()) * 1000
+        times = np.sort(_micros(state.get[0])) if state.exists else np.empty(0, dtype="int64")
         out = []
         for pdf in batches:
             pdf = pdf.dropna(subset=["event_time"]).sort_values(["event_time", "transaction_id"])
-            for tid, t in zip(pdf["transaction_id"], pdf["event_time"]):
-                t = pd.Timestamp(t)
-                n = bisect.bisect_right(times, t) - bisect.bisect_left(times, t - window)
-                if n + 1 >= threshold:
-                    out.append((key[0], tid, t))
-                bisect.insort(times, t)
-        times = [t for t in times if t >= wm - window]
-        if times and times[-1] + window > wm:
-            state.update(([t.to_pydatetime() for t in times],))
-            state.setTimeoutTimestamp(int((times[-1] + window).timestamp() * 1000))
+            if pdf.empty:
+                continue
+            alert, times = chunk_alerts(times, _micros(pdf["event_time"]), window, threshold)
+            if alert.any():
+                hit = pdf.loc[alert, ["transaction_id", "event_time"]]
+                out.append(hit.assign(nameOrig=key[0])[["nameOrig", "transaction_id", "event_time"]])
+        times = times[times >= wm - window]
+        if len(times) and times[-1] + window > wm:
+            state.update((pd.to_datetime(times, unit="us").to_pydatetime().tolist(),))
+            state.setTimeoutTimestamp(int((times[-1] + window) // 1000))
         elif state.exists:
             state.remove()
         if out:
-            yield pd.DataFrame(out, columns=["nameOrig", "transaction_id", "event_time"])
+            yield pd.concat(out, ignore_index=True)
 
     return (stream.select(account, "transaction_id", "event_time")
             .groupBy(account)
