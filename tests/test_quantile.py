@@ -32,3 +32,16 @@ def test_exact_percentiles_match_numpy(spark, limit, targets, monkeypatch):
             exp = np.quantile(x, p)
             got = res.loc[g, f"p{int(round(p * 100))}"]
             assert got == exp or abs(got - exp) <= 1e-12 * max(1.0, abs(exp)), (g, p)
+
+
+@pytest.mark.parametrize("limit", [0, 10 ** 9])
+def test_extra_aggregates_on_both_paths(spark, limit):
+    """Extra aggregates see every row; a group with no valid value keeps n = 0."""
+    from pyspark.sql import functions as F
+    pdf = pd.DataFrame({"g": ["a"] * 5 + ["z"] * 2,
+                        "x": [1.0, 2.0, 3.0, np.nan, 4.0, np.nan, np.nan]})
+    res = exact_percentiles(spark.createDataFrame(pdf), ["g"], "x", [0.5], ["p50"], small_group_limit=limit,
+                            extra_aggs=[F.count(F.lit(1)).alias("rows")]).toPandas().set_index("g")
+    assert list(res.columns) == ["n", "p50", "rows"]
+    assert (res.loc["a", "n"], res.loc["a", "p50"], res.loc["a", "rows"]) == (4, 2.5, 5)
+    assert res.loc["z", "n"] == 0 and pd.isna(res.loc["z", "p50"]) and res.loc["z", "rows"] == 2

@@ -40,15 +40,12 @@ def amount_profile(df: DataFrame, type_col: str = "type", amount: str = "amount"
     """Per type: weight (share of rows), mean, sample std, p1, p99 of the
     amount (null and NaN skipped), and the log-normal parameters they imply."""
     a = not_nan(F.col(amount))
-    stats = df.groupBy(type_col).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.avg(a).alias("amount_mean"),
-        F.stddev_samp(a).alias("amount_std"))
-    q = exact_percentiles(df, [type_col], amount, [0.01, 0.99], ["amount_min", "amount_max"]).drop("n")
-    out = stats.join(q, type_col, "left")
-    return out.select(
+    prof = exact_percentiles(df, [type_col], amount, [0.01, 0.99], ["amount_min", "amount_max"],
+                             extra_aggs=[F.count(F.lit(1)).alias("rows"), F.avg(a).alias("amount_mean"),
+                                         F.stddev_samp(a).alias("amount_std")])
+    return prof.select(
         type_col,
-        (F.col("rows") / _total(stats, "rows")).alias("weight"),
+        (F.col("rows") / _total(prof, "rows")).alias("weight"),
         "amount_mean", "amount_std", "amount_min", "amount_max",
         *_log_params("amount_mean", "amount_std", AMOUNT_LOG_STD_FLOOR))
 
@@ -56,12 +53,11 @@ def amount_profile(df: DataFrame, type_col: str = "type", amount: str = "amount"
 def balance_profile(df: DataFrame, balance: str = "oldbalanceOrg") -> DataFrame:
     """A10: over opening balances > 0: p5, p95, mean, sample std (one row)."""
     pos = df.where(F.col(balance) > 0).withColumn("_all", F.lit(0))
-    stats = pos.groupBy("_all").agg(F.avg(balance).alias("balance_mean"),
-                                    F.stddev_samp(balance).alias("balance_std"))
-    q = exact_percentiles(pos, ["_all"], balance, [0.05, 0.95], ["balance_p5", "balance_p95"])
-    return (stats.join(q, "_all", "inner")
-            .select("balance_p5", "balance_p95", "balance_mean", "balance_std",
-                    *_log_params("balance_mean", "balance_std", BALANCE_LOG_STD_FLOOR)))
+    prof = exact_percentiles(pos, ["_all"], balance, [0.05, 0.95], ["balance_p5", "balance_p95"],
+                             extra_aggs=[F.avg(balance).alias("balance_mean"),
+                                         F.stddev_samp(balance).alias("balance_std")])
+    return prof.select("balance_p5", "balance_p95", "balance_mean", "balance_std",
+                       *_log_params("balance_mean", "balance_std", BALANCE_LOG_STD_FLOOR))
 
 
 def ledger_check(df: DataFrame, tol: float = 0.005) -> DataFrame:

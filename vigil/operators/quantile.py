@@ -66,20 +66,39 @@ BROADCAST_TARGETS = 200_000     # target rows (2 per group and probability) broa
 
 def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value: str,
                       probs: Sequence[float], names: Sequence[str] | None = None,
-                      small_group_limit: int = SMALL_GROUP_LIMIT) -> DataFrame:
-    """One row per group: n (non-NaN values) and one column per probability."""
+                      small_group_limit: int = SMALL_GROUP_LIMIT,
+                      extra_aggs: Sequence[Column] = ()) -> DataFrame:
+    """One row per group: n (non-NaN values) and one column per probability.
+
+    `extra_aggs` are further aggregate columns over *all* rows of each group
+    (means, counts, ...).  On the bounded path they are computed in the same
+    aggregate as the percentiles, so the input is read once more, not twice;
+    every group of `df` then has a row (n = 0 when it has no valid value).
+    """
     g = list(group_cols)
     names = list(names or [f"p{int(round(p * 100))}" for p in probs])
     x = F.col(value).cast("double")
-    vals = df.where(x.isNotNull() & ~F.isnan(x)).select(*g, x.alias("_x"))
+    valid = x.isNotNull() & ~F.isnan(x)
+    vals = df.where(valid).select(*g, x.alias("_x"))
     size = (vals.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
             .agg(F.max("_n").alias("largest"), F.count(F.lit(1)).alias("groups")).first())
+    extras = list(extra_aggs)
     if size["largest"] is not None and size["largest"] <= small_group_limit:
-        q = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("n"),
-                                 F.percentile("_x", [float(p) for p in probs]).alias("_q"))
-        return q.select(*g, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
+        pq = [float(p) for p in probs]
+        if extras:
+            q = df.groupBy(*g).agg(F.count_if(valid).alias("n"),
+                                   F.percentile(F.when(valid, x), pq).alias("_q"), *extras)
+        else:
+            q = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.percentile("_x", pq).alias("_q"))
+        return q.select(*g, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)],
+                        *q.columns[len(g) + 2:])
     few_groups = (size["groups"] or 0) * 2 * len(probs) <= BROADCAST_TARGETS
-    return radix_percentiles(df, g, value, probs, names, broadcast_targets=few_groups)
+    r = radix_percentiles(df, g, value, probs, names, broadcast_targets=few_groups)
+    if not extras:
+        return r
+    e = df.groupBy(*g).agg(*extras)
+    return (e.join(r, g, "left")
+            .select(*g, F.coalesce("n", F.lit(0)).alias("n"), *names, *e.columns[len(g):]))
 
 
 def _keep_prefix(rows: DataFrame, want: DataFrame, keys: list[str], broadcast: bool) -> DataFrame:
