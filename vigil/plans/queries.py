@@ -57,10 +57,11 @@ def _stg_flagged(spark, sf):
 
 def _stored_stg_flagged(spark, sf):
     """stg_flagged written once to the shared checkpoint folder, for queries
-    that read it several times (fact plus dimensions).  Each consumer prunes
-    different columns, so their plans share no exchange and would otherwise
-    re-score the whole event table once per consumer; stored, scoring runs
-    once and each consumer scans only the flagged rows' columns it needs."""
+    that read it several times (fact plus dimensions).  The consumers differ
+    below the scoring's exchanges (pruned columns; the fact's rate filter is
+    pushed down), so they share no exchange and would each re-score the whole
+    event table; stored, scoring runs once and each consumer scans only the
+    flagged rows' columns it needs."""
     from vigil.session import materialize
     return materialize(spark, _stg_flagged(spark, sf), "stg-flagged")
 
