@@ -109,6 +109,16 @@ def test_quality_suite_planted_violations(spark):
                    ("parent", "id", "unique"): 0, ("parent", "id", "not_null"): 0}
 
 
+def test_unique_on_fused_and_grouped_paths(spark):
+    """Keys with an exact text form share one grouping; a double column keeps
+    its own (-0.0 and 0.0 are one value, as Spark groups them)."""
+    t = spark.createDataFrame([("x", 1.0, 7), ("x", 0.0, 7), ("y", -0.0, 8), ("y", 2.0, None), (None, 3.0, None)],
+                              "k string, d double, n int")
+    checks = [Check("t", "k", "unique"), Check("t", "d", "unique"), Check("t", "n", "unique")]
+    got = {r.column_name: r.failures for r in run_checks({"t": t}, checks).collect()}
+    assert got == {"k": 2, "d": 1, "n": 1}
+
+
 def test_daily_summary_edges(spark):
     rows = [("2026-07-19", 10.0, True, "odd_hour"), ("2026-07-19", math.nan, True, "rapid_fire"),
             ("2026-07-19", 5.0, False, None), ("2026-07-19", 1.0, True, "rapid_fire"),

@@ -9,8 +9,11 @@ whose key has no parent.  Nulls pass unique, accepted_values and
 relationships.
 
 Q5 fusion: all not_null and accepted_values checks of a table are answered
-by one aggregate scan of that table; unique and relationships need their
-own grouping / anti-join.
+by one aggregate scan of that table.  All unique checks whose columns have
+an exact text form (strings, integers, decimals, dates, timestamps,
+booleans) share one grouping: each contributes (check number, value as
+text), the union is grouped once, and one aggregate counts the duplicated
+values per check.  Relationships need their own anti-join.
 """
 
 from __future__ import annotations
@@ -20,6 +23,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Types whose cast to text is one-to-one, so grouping the text groups the values.
+_EXACT_TEXT = (T.StringType, T.IntegralType, T.DecimalType, T.DateType, T.TimestampType,
+               T.TimestampNTZType, T.BooleanType)
 
 
 @dataclass(frozen=True)
@@ -57,6 +65,21 @@ def _fused(table: str, df: DataFrame, checks: list[Check]) -> DataFrame:
                                      "failures")
 
 
+def _fused_unique(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """Several unique checks answered by one grouping of their keys' union."""
+    keys = [tables[c.table].where(F.col(c.column).isNotNull())
+            .select(F.lit(i).alias("_check"), F.col(c.column).cast("string").alias("_v"))
+            for i, c in enumerate(checks)]
+    dup = (reduce(DataFrame.unionByName, keys).groupBy("_check", "_v")
+           .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1))
+    wide = dup.agg(*[F.count_if(F.col("_check") == i).alias(f"_f{i}") for i in range(len(checks))])
+    stack = F.inline(F.array(*[
+        F.struct(F.lit(c.table).alias("table_name"), F.lit(c.column).alias("column_name"),
+                 F.lit(c.test).alias("test_name"), F.col(f"_f{i}").cast("long").alias("failures"))
+        for i, c in enumerate(checks)]))
+    return wide.select(stack)
+
+
 def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     parts: list[DataFrame] = []
     by_table: dict[str, list[Check]] = {}
@@ -65,8 +88,14 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
             by_table.setdefault(c.table, []).append(c)
     for t, cs in by_table.items():
         parts.append(_fused(t, tables[t], cs))
+    exact = [c for c in checks if c.test == "unique"
+             and isinstance(tables[c.table].schema[c.column].dataType, _EXACT_TEXT)]
+    if exact:
+        parts.append(_fused_unique(tables, exact))
     for c in checks:
         df = tables[c.table]
+        if c.test == "unique" and c in exact:
+            continue
         if c.test == "unique":
             dup = (df.where(F.col(c.column).isNotNull()).groupBy(c.column)
                    .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
