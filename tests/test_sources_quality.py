@@ -119,6 +119,20 @@ def test_unique_on_fused_and_grouped_paths(spark):
     assert got == {"k": 2, "d": 1, "n": 1}
 
 
+def test_relationships_fused_and_anti_join_agree(spark):
+    """Same-typed keys take the fused grouping, mixed types the anti-join;
+    a hot orphan key counts every one of its rows."""
+    from pyspark.sql import functions as F
+    child = spark.range(1000).select((F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5))
+                                     .cast("int").alias("pid"))
+    parent = spark.createDataFrame([(0,), (1,), (2,)], "id int")
+    want = child.where(~F.col("pid").isin(0, 1, 2)).count()
+    for p in (parent, parent.select(F.col("id").cast("bigint").alias("id"))):
+        got = run_checks({"child": child, "parent": p},
+                         [Check("child", "pid", "relationships", to="parent", field="id")]).first()
+        assert got.failures == want
+
+
 def test_daily_summary_edges(spark):
     rows = [("2026-07-19", 10.0, True, "odd_hour"), ("2026-07-19", math.nan, True, "rapid_fire"),
             ("2026-07-19", 5.0, False, None), ("2026-07-19", 1.0, True, "rapid_fire"),

@@ -13,7 +13,10 @@ by one aggregate scan of that table.  All unique checks whose columns have
 an exact text form (strings, integers, decimals, dates, timestamps,
 booleans) share one grouping: each contributes (check number, value as
 text), the union is grouped once, and one aggregate counts the duplicated
-values per check.  Relationships need their own anti-join.
+values per check.  Relationships on such keys work the same way without a
+join: child keys (with their row counts) and parent keys are grouped
+together by (check, key), and a key is an orphan when its group has no
+parent row.  Other key types keep a grouping / anti-join per check.
 """
 
 from __future__ import annotations
@@ -80,6 +83,38 @@ def _fused_unique(tables: dict[str, DataFrame], checks: list[Check]) -> DataFram
     return wide.select(stack)
 
 
+def _fused_relationships(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """Several relationships checks as one grouping instead of one anti-join each.
+
+    Child rows contribute (check, key, rows=1, parent=0), parent rows
+    (check, key, 0, 1); partial aggregation folds a hot key to one row per
+    task before the shuffle.  Failures = child rows whose key has no parent.
+    """
+    sides = []
+    for i, c in enumerate(checks):
+        child = tables[c.table].where(F.col(c.column).isNotNull())
+        sides.append(child.select(F.lit(i).alias("_check"), F.col(c.column).cast("string").alias("_v"),
+                                  F.lit(1).cast("long").alias("_rows"), F.lit(0).alias("_parent")))
+        parent = tables[c.to].where(F.col(c.field).isNotNull())
+        sides.append(parent.select(F.lit(i).alias("_check"), F.col(c.field).cast("string").alias("_v"),
+                                   F.lit(0).cast("long").alias("_rows"), F.lit(1).alias("_parent")))
+    keys = (reduce(DataFrame.unionByName, sides).groupBy("_check", "_v")
+            .agg(F.sum("_rows").alias("_rows"), F.max("_parent").alias("_parent")))
+    orphans = keys.where(F.col("_parent") == 0)
+    wide = orphans.agg(*[F.sum(F.when(F.col("_check") == i, F.col("_rows")).otherwise(F.lit(0)))
+                         .alias(f"_f{i}") for i in range(len(checks))])
+    stack = F.inline(F.array(*[
+        F.struct(F.lit(c.table).alias("table_name"), F.lit(c.column).alias("column_name"),
+                 F.lit(c.test).alias("test_name"),
+                 F.coalesce(F.col(f"_f{i}"), F.lit(0)).cast("long").alias("failures"))
+        for i, c in enumerate(checks)]))
+    return wide.select(stack)
+
+
+def _exact_text(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, _EXACT_TEXT)
+
+
 def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     parts: list[DataFrame] = []
     by_table: dict[str, list[Check]] = {}
@@ -88,13 +123,17 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
             by_table.setdefault(c.table, []).append(c)
     for t, cs in by_table.items():
         parts.append(_fused(t, tables[t], cs))
-    exact = [c for c in checks if c.test == "unique"
-             and isinstance(tables[c.table].schema[c.column].dataType, _EXACT_TEXT)]
+    exact = [c for c in checks if c.test == "unique" and _exact_text(tables[c.table], c.column)]
     if exact:
         parts.append(_fused_unique(tables, exact))
+    # keys compared as text: both sides must have an exact text form of the same type
+    rel = [c for c in checks if c.test == "relationships" and _exact_text(tables[c.table], c.column)
+           and tables[c.table].schema[c.column].dataType == tables[c.to].schema[c.field].dataType]
+    if rel:
+        parts.append(_fused_relationships(tables, rel))
     for c in checks:
         df = tables[c.table]
-        if c.test == "unique" and c in exact:
+        if c in exact or c in rel:
             continue
         if c.test == "unique":
             dup = (df.where(F.col(c.column).isNotNull()).groupBy(c.column)
