@@ -43,9 +43,12 @@ def amount_profile(df: DataFrame, type_col: str = "type", amount: str = "amount"
     prof = exact_percentiles(df, [type_col], amount, [0.01, 0.99], ["amount_min", "amount_max"],
                              extra_aggs=[F.count(F.lit(1)).alias("rows"), F.avg(a).alias("amount_mean"),
                                          F.stddev_samp(a).alias("amount_std")])
+    # all rows = the sum of per-type rows; counted directly so the subquery
+    # does not recompute the percentile aggregate
+    total = df.agg(F.count(F.lit(1))).scalar()
     return prof.select(
         type_col,
-        (F.col("rows") / _total(prof, "rows")).alias("weight"),
+        (F.col("rows") / total).alias("weight"),
         "amount_mean", "amount_std", "amount_min", "amount_max",
         *_log_params("amount_mean", "amount_std", AMOUNT_LOG_STD_FLOOR))
 
