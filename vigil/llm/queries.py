@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from vigil.llm import exact, packing, pii, quality, simhash, tokenfile
+from vigil.llm import exact, html, imatch, linededup, packing, pieces, pii, quality, simhash, tokenfile
 
 QUERIES = {
+    "op1_sentencepiece": pieces.op1_sentencepiece,
     "op2_exact": exact.op2_exact,
     "op3_packing": packing.op3_packing,
     "op4_pii": pii.op4_pii,
+    "op5_html": html.op5_html,
     "op6_tokenfile": tokenfile.op6_tokenfile,
+    "op7_linededup": linededup.op7_linededup,
+    "op8_imatch": imatch.op8_imatch,
     "op9_quality": quality.op9_quality,
     "op10_simhash": simhash.op10_simhash,
     "pipeline": corpus_pipeline.run,
