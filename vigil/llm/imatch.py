@@ -101,24 +101,29 @@ class Fingerprinter:
     def __init__(self, words: list[str]):
         self.place = {t: i for i, t in enumerate(words)}
         self.hashes = np.array([xxhash.xxh64_intdigest(t.encode()) for t in words], np.uint64)
-        self.member = np.zeros((len(RATES) * SUBSETS, len(words)), bool)
+        self.member = np.zeros((len(words), len(RATES) * SUBSETS), bool)
         for k in range(len(RATES) * SUBSETS):
             mixed = (self.hashes ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) % 2**64)) * np.uint64(0xBF58476D1CE4E5B9)
             mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
             mixed ^= mixed >> np.uint64(29)
-            self.member[k] = mixed < np.uint64(int(RATES[k // SUBSETS] * 2**64))
+            self.member[:, k] = mixed < np.uint64(int(RATES[k // SUBSETS] * 2**64))
 
     def __call__(self, text: str) -> tuple[int, np.ndarray]:
         """Hash of all lexicon terms, and 16-bit hashes of the subsets, 0 where a subset has none."""
-        own = terms(text)
-        at = np.array(sorted(self.place[t] for t in own if t in self.place), np.int64)
-        short = np.zeros(len(self.member), np.uint16)
+        own, short = terms(text), np.zeros(self.member.shape[1], np.uint16)
+        at = np.array(sorted(i for i in map(self.place.get, own) if i is not None), np.int64)
         if not len(at):  # nothing in the band: all terms speak, apart from texts that have band terms
             return xxhash.xxh64_intdigest("\n".join(sorted(own)).encode("utf-8", "surrogatepass"), 1), short
         hashes = self.hashes[at]
-        inside = self.member[:, at]
-        for k in np.flatnonzero(inside.any(axis=1)):
-            short[k] = xxhash.xxh64_intdigest(hashes[inside[k]].tobytes(), int(k)) % 0xFFFF + 1
+        # the terms of one subset after another, sorted in each
+        subset, term = np.nonzero(self.member[at].T)
+        raw = hashes[term].tobytes()
+        ends = (8 * np.searchsorted(subset, np.arange(len(short)), side="right")).tolist()
+        begin = 0
+        for k, end in enumerate(ends):
+            if end > begin:
+                short[k] = xxhash.xxh64_intdigest(raw[begin:end], k) % 0xFFFF + 1
+                begin = end
         return xxhash.xxh64_intdigest(hashes.tobytes()), short
 
 
@@ -146,20 +151,20 @@ def neighbours(docs: DataFrame, buckets: int) -> DataFrame:
 
     Each bucket is followed by a copy (`later` = 1) of the first row of the next one; the last
     by the first of all. So the successor of every row is beside it, and no task
-    sees more than its bucket. Null doc_ids, which have no place in the order, get negative buckets.
+    sees more than its bucket. Null doc_ids, which have no place in the order, have `later` = -1.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of().alias("text"))
     cuts = slim.select(F.col("doc_id").cast("double").alias("d")).approxQuantile("d", [k / buckets for k in range(1, buckets)], 0.2 / buckets)
     bounds = F.array(*[F.lit(int(c)) for c in sorted(set(cuts))]).cast("array<long>")
-    placed = slim.withColumn("bucket", F.when(F.col("doc_id").isNull(), -1 - F.pmod(F.xxhash64("text"), F.lit(buckets)))
+    placed = slim.withColumn("bucket", F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(buckets)))
                              .otherwise(F.size(F.filter(bounds, lambda b: b < F.col("doc_id")))).cast("int"))
     # the largest id of each bucket: as many rows as buckets
-    tops = [(r["bucket"], r["top"]) for r in placed.where("bucket >= 0").groupBy("bucket").agg(F.max("doc_id").alias("top"))
+    tops = [(r["bucket"], r["top"]) for r in placed.where("doc_id is not null").groupBy("bucket").agg(F.max("doc_id").alias("top"))
             .orderBy(F.desc("bucket")).collect()]
     after = [(tops[(k + 1) % len(tops)][1], tops[k][0]) for k in range(len(tops))]
     copies = F.broadcast(spark.createDataFrame(after, "top long, before int").groupBy("top").agg(F.collect_list("before").alias("before")))
-    own = F.array(F.struct(F.col("bucket"), F.lit(0).alias("later")))
+    own = F.array(F.struct(F.col("bucket"), F.when(F.col("doc_id").isNull(), -1).otherwise(0).alias("later")))
     more = F.transform(F.coalesce("before", F.array().cast("array<int>")), lambda b: F.struct(b.alias("bucket"), F.lit(1).alias("later")))
     return (placed.join(copies, F.col("doc_id") == F.col("top"), "left")
             .select(F.explode(F.concat(own, more)).alias("to"), "doc_id", "text")
@@ -200,10 +205,10 @@ def fingerprints(docs: DataFrame, words: list[str], buckets: int | None = None)
         for batch in batches:
             out = []
             for bucket, later, i, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if later and held is None:
+                if later == 1 and held is None:
                     continue  # tied copies beyond the first
                 this = (bucket, i, text, mark(text))
-                if bucket < 0:
+                if later < 0:
                     out.append(row(this, this))
                     continue
                 if held is not None:
@@ -212,7 +217,8 @@ def fingerprints(docs: DataFrame, words: list[str], buckets: int | None = None)
             if out:
                 yield batch_of(out)
 
-    rows = neighbours(docs, buckets).repartition("bucket").withColumn("_tie", F.xxhash64("text"))
+    # bucket k is task k: ids are dealt by the bounds, not by a hash of them
+    rows = neighbours(docs, buckets).repartitionById(buckets, F.col("bucket")).withColumn("_tie", F.xxhash64("text"))
     ordered = rows.sortWithinPartitions("bucket", "later", F.desc("doc_id"), "_tie").select("bucket", "later", "doc_id", "text")
     return ordered.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                                    "edited_fingerprint string, near_edited double, near_next double")
