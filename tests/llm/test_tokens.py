@@ -38,3 +38,15 @@ def test_forgetting_keeps_ids(monkeypatch):
         ids, offsets = coder.encode(texts)
         assert ids.tolist() == [i for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False) for i in e.ids]
         assert offsets[-1] == len(ids)
+
+
+@pytest.mark.parametrize("name,spaces", FILES)
+def test_words_straight_from_the_model(name, spaces):
+    """Every two-letter-set word with punctuation, in and outside of the plain letters."""
+    coder, whole = tokens.ChunkEncoder(plain(name), spaces), plain(name)
+    rnd = random.Random(5)
+    letters = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()] + list("İıſŉΣσςΩжЯ日本ﬁÅ") + ["é"]
+    texts = [" ".join("".join(rnd.choices(letters, k=rnd.randrange(1, 9))) + rnd.choice(["", ".", "'", "'s", "...", "!?", ",'", "_", "1", ")\""])
+                      for _ in range(30)) for _ in range(150)]
+    ids, offsets = coder.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]

@@ -62,6 +62,16 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def by_range(df: DataFrame, column: str, parts: int) -> Column:
+    """Number of the range, of `parts` nearly equal ones, that a long column falls into; 0 for null.
+
+    The borders are quantiles of all values; equal values stay together.
+    """
+    cuts = df.select(F.col(column).cast("double").alias("d")).approxQuantile("d", [k / parts for k in range(1, parts)], 0.2 / parts)
+    bounds = F.array(*[F.lit(int(c)) for c in sorted(set(cuts))]).cast("array<long>")
+    return F.coalesce(F.size(F.filter(bounds, lambda b: b < F.col(column))), F.lit(0)).cast("int")
+
+
 def python_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table],
                 schema: str) -> DataFrame:
     """Run `fn` on every non-empty Arrow batch of `df` (one batch in memory at a time)."""

@@ -155,10 +155,8 @@ def neighbours(docs: DataFrame, buckets: int) -> DataFrame:
     """
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of().alias("text"))
-    cuts = slim.select(F.col("doc_id").cast("double").alias("d")).approxQuantile("d", [k / buckets for k in range(1, buckets)], 0.2 / buckets)
-    bounds = F.array(*[F.lit(int(c)) for c in sorted(set(cuts))]).cast("array<long>")
     placed = slim.withColumn("bucket", F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(buckets)))
-                             .otherwise(F.size(F.filter(bounds, lambda b: b < F.col("doc_id")))).cast("int"))
+                             .otherwise(common.by_range(slim, "doc_id", buckets)).cast("int"))
     # the largest id of each bucket: as many rows as buckets
     tops = [(r["bucket"], r["top"]) for r in placed.where("doc_id is not null").groupBy("bucket").agg(F.max("doc_id").alias("top"))
             .orderBy(F.desc("bucket")).collect()]

@@ -180,13 +180,12 @@ class PieceEncoder(tokens.ChunkEncoder):
         super()._forget()
         self.agree = np.zeros(1 << 12, bool)
 
-    def _learn(self, chunks: list[str], plain: bool) -> None:
-        n, m = len(self.place), len(chunks)
+    def _learn(self, chunks: list[str]) -> None:
         joint = [c for c in chunks if c[:1] == SPACE and c[-1:] != SPACE] if self.model.byte_fallback else []
         rest = set(joint)
         alone = [c for c in chunks if c not in rest]
         # several batches at once for the library's threads
-        parts = [joint[i:i + 512] for i in range(0, len(joint), 512)]
+        parts = [joint[i:i + tokens.TOGETHER] for i in range(0, len(joint), tokens.TOGETHER)]
         coded = [e.ids for e in self.tokenizer.encode_batch_fast(["".join(p) for p in parts], add_special_tokens=False)]
         lists: list[list[int]] = []
         for part, ids in zip(parts, coded, strict=True):
@@ -201,21 +200,20 @@ class PieceEncoder(tokens.ChunkEncoder):
         lists += self._ids(alone)
         names = joint + alone
         # the library adds the prefix itself; a chunk without one is checked without it
-        agree = self._reference(names) if self.model.dummy_prefix else [None] * m
-        while n + m > len(self.starts):
-            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
+        agree = self._reference(names) if self.model.dummy_prefix else [None] * len(chunks)
+        ids = np.array([i for x in lists for i in x], np.uint32)
+        same = np.array([a is None or a == b for a, b in zip(agree, lists, strict=True)], bool)
+        self._remember(names, ids, np.array([len(x) for x in lists], np.int64), same)
+
+    def _extra(self, at: np.ndarray) -> np.ndarray:
+        return self.agree[at]
+
+    def _remember(self, names: list[str], ids: np.ndarray, sizes: np.ndarray, extra: np.ndarray | None = None) -> None:
+        n, m = len(self.place), len(names)
         while n + m > len(self.agree):
             self.agree = np.concatenate([self.agree, np.zeros_like(self.agree)])
-        ids = np.array([i for x in lists for i in x], np.uint32)
-        sizes = np.array([len(x) for x in lists], np.int64)
-        while self.used + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.pool[self.used:self.used + len(ids)] = ids
-        self.starts[n:n + m], self.sizes[n:n + m] = self.used + np.cumsum(sizes) - sizes, sizes
-        self.agree[n:n + m] = [a is None or a == b for a, b in zip(agree, lists, strict=True)]
-        self.used += len(ids)
-        self.chars += sum(map(len, chunks))
-        self.place.update(zip(names, range(n, n + m), strict=True))
+        self.agree[n:n + m] = extra
+        super()._remember(names, ids, sizes)
 
     def _reference(self, chunks: list[str]) -> list[list[int] | None]:
         own = [c[1:].replace(SPACE, " ") for c in chunks]
@@ -229,7 +227,7 @@ class PieceEncoder(tokens.ChunkEncoder):
         coded = lists.flatten().dictionary_encode()
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         names, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
-        at = self._places([SPACE + x for x in names], plain=True)[codes] if names else np.zeros(0, np.int64)
+        at = self._places([SPACE + x for x in names])[codes] if names else np.zeros(0, np.int64)
         if not self.model.dummy_prefix and len(counts):
             firsts = np.cumsum(counts) - counts
             at[firsts] = self._places([names[k] for k in codes[firsts]])
@@ -238,7 +236,8 @@ class PieceEncoder(tokens.ChunkEncoder):
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in a row, row offsets, and each text's parity with SentencePiece."""
         if self.chars > tokens.CACHE_CHARS:
-            self._forget()
+            self._trim()
+        self.recent = []
         if self.normalise:
             texts = [self.normalise.normalize_str(t) for t in texts]
         odd = re.compile(f"^ |  | $|{SPACE}|^$")

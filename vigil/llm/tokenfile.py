@@ -133,8 +133,11 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END
                 ("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("n_ids", pa.int64()),
                 ("words", pa.binary()), ("escapes", pa.binary())]))
 
-    ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of().alias("text"))
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of().alias("text"))
+    shards = max(2, min(4000, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    # the borders come from the ids alone, so texts are read once
+    ordered = (slim.withColumn("shard", common.by_range(slim, "doc_id", shards)).repartitionById(shards, F.col("shard"))
+               .select("doc_id", "text").sortWithinPartitions("doc_id", "text"))
     ordered.mapInArrow(run, BLOCK_SCHEMA).write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 

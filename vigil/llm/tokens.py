@@ -16,17 +16,44 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-#: A worker forgets its chunks beyond this many characters (memory bound, no effect on ids).
-CACHE_CHARS = 24_000_000
+#: Beyond this many characters a worker forgets the chunks that its last texts did not have
+#: (memory bound, no effect on ids).
+CACHE_CHARS = 12_000_000
 #: Separates chunks handed to a word vocabulary; white space around it is dropped there.
 MARK = "\x01"
-#: White space that a byte-level pre-tokenizer may split inside: such texts are cut with SPACED.
-RUNS = re.compile(r"\s\s|^\s|\s\Z")
+#: White space other than a space or a line end, and pairs of these: where a byte-level
+#: pre-tokenizer may split inside white space, texts are cut with SPACED.
+EXOTIC = tuple(c for c in map(chr, range(0x110000)) if c.isspace() and c not in " \n")
+PAIRS = ("  ", " \n", "\n ", "\n\n")
+#: Chunks that are handed to the library as one text.
+TOGETHER = 64
 #: White space for Python but not for the tokenizers' patterns: such texts are encoded whole.
 ODD = re.compile("[\x1c-\x1f]")
 SPACED = re.compile(r"\s*\S+|\s+")
 
 
+#: ASCII punctuation; a run of it behind letters is a piece of its own for the pre-tokenizers.
+TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Letters that lower-case one by one and are their own composed form.
+PLAIN_LETTERS = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017e]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """Byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+LETTERS = byte_letters()
+
+
+def has_runs(text: str) -> bool:
+    """Whether white space begins or ends the text, follows itself, or is of an unusual kind."""
+    return (any(p in text for p in PAIRS) or text[:1].isspace() or text[-1:].isspace()
+            or any(c in text for c in EXOTIC))
+
+
 class ChunkEncoder:
     """`encode(texts)` -> (ids of all texts in a row as uint32, row offsets).
 
@@ -37,7 +64,8 @@ class ChunkEncoder:
 
     def __init__(self, tokenizer: Tokenizer, spaces: bool):
         tokenizer.encode_special_tokens = True
-        self.tokenizer, self.spaces = tokenizer, spaces
+        self.tokenizer, self.spaces, self.tokenize = tokenizer, spaces, tokenizer.model.tokenize
+        self.tails: dict[str, list[int]] = {}
         if spaces:  # bytes that each id stands for; byte-level tokens have one character per byte
             self.width = np.zeros(tokenizer.get_vocab_size(), np.int64)
             for token, i in tokenizer.get_vocab().items():
@@ -52,66 +80,115 @@ class ChunkEncoder:
         self.starts = np.zeros(1 << 12, np.int64)
         self.sizes = np.zeros(1 << 12, np.int64)
         self.used = self.chars = 0
+        self.recent: list[str] = []
+
+    def _trim(self) -> None:
+        """Forget all but the chunks of the last texts."""
+        keep = list(dict.fromkeys(self.recent))
+        at = np.array([self.place[c] for c in keep], np.int64)
+        sizes, extra = self.sizes[at], self._extra(at)
+        ids = self.pool[ragged(self.starts[at], sizes)]
+        self._forget()
+        self._remember(keep, ids, sizes, extra)
+
+    def _extra(self, at: np.ndarray) -> np.ndarray | None:
+        """What a subclass keeps of chunks besides their ids."""
+        return None
+
+    def _remember(self, names: list[str], ids: np.ndarray, sizes: np.ndarray, extra: np.ndarray | None = None) -> None:
+        n, m = len(self.place), len(names)
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        while n + m > len(self.starts):
+            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
+        self.pool[self.used:self.used + len(ids)] = ids
+        self.starts[n:n + m] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[n:n + m] = sizes
+        self.used += len(ids)
+        self.chars += sum(map(len, names))
+        self.place.update(zip(names, range(n, n + m), strict=True))
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _together(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids and sizes of chunks encoded as one text; None if the borders cannot be told."""
+        """Ids and sizes of chunks encoded as a few texts; None if the borders cannot be told."""
         if not chunks:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        parts = [chunks[i:i + TOGETHER] for i in range(0, len(chunks), TOGETHER)]
         if self.spaces:
-            ids = np.array(self._ids(["".join(chunks)])[0], np.uint32)
+            ids = np.array([i for x in self._ids(["".join(p) for p in parts]) for i in x], np.uint32)
             ends = np.cumsum([len(c.encode()) for c in chunks])
             at = np.cumsum(self.width[ids])
             cuts = np.searchsorted(at, ends)
             if cuts[-1] >= len(at) or (at[cuts] != ends).any():
                 return None
             return ids, np.diff(np.concatenate([[0], cuts + 1]))
-        ids = np.array(self._ids([f" {MARK} ".join(chunks)])[0], np.uint32)
+        # a mark behind each chunk
+        ids = np.array([i for x in self._ids([f" {MARK} ".join(p) + f" {MARK}" for p in parts]) for i in x], np.uint32)
         cuts = np.flatnonzero(ids == self.mark[0])
-        if len(self.mark) != 1 or len(cuts) != len(chunks) - 1:
+        if len(self.mark) != 1 or len(cuts) != len(chunks):
             return None
-        sizes = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
-        return np.delete(ids, cuts), sizes
-
-    def _learn(self, chunks: list[str], plain: bool) -> None:
-        """Encode new chunks. plain: each is one space and a word, so they can go together."""
-        if not self.spaces:
-            alone = [c for c in chunks if MARK in c] if MARK in "".join(chunks) else []
-        elif plain and not ODD.search("".join(chunks)):
-            alone = [c for c in chunks if c == " "]
+        return np.delete(ids, cuts), np.diff(np.concatenate([[-1], cuts])) - 1
+
+    def _word(self, chunk: str) -> list[int] | None:
+        """Ids of one word with punctuation behind it, straight from the BPE model; None for other chunks."""
+        base = chunk.rstrip(TAIL)
+        known = self.place.get(base) if len(base) < len(chunk) else None
+        if known is not None and base[-1:].isalpha():
+            begin = self.starts[known]
+            return self.pool[begin:begin + self.sizes[known]].tolist() + self._tail(chunk[len(base):])
+        if self.spaces:
+            if base[:1] != " " or not base[1:].isalpha():
+                return None
+            form = "\u0120" + base[1:] if base.isascii() else base.encode().decode("latin-1").translate(LETTERS)
+        else:
+            if not (base.isascii() and base.isalpha() or PLAIN_LETTERS.fullmatch(base)):
+                return None
+            form = base.lower()
+            form = form if base.isascii() else form.encode().decode("latin-1").translate(LETTERS)
+        ids = [t.id for t in self.tokenize(form)]
+        return ids + self._tail(chunk[len(base):]) if len(base) < len(chunk) else ids
+
+    def _tail(self, tail: str) -> list[int]:
+        if tail not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails.clear()
+            self.tails[tail] = self._ids([tail])[0]
+        return self.tails[tail]
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Encode new chunks and remember them."""
+        words = [self._word(c) for c in chunks]
+        names = [c for c, w in zip(chunks, words, strict=True) if w is not None]
+        lists = [w for w in words if w is not None]
+        rest = [c for c, w in zip(chunks, words, strict=True) if w is None]
+        if self.spaces:
+            alone = [c for c in rest if not (c[:1].isspace() and not c[-1:].isspace()) or ODD.search(c)]
         else:
-            alone = [c for c in chunks if not (c[:1].isspace() and not c[-1:].isspace()) or ODD.search(c)]
+            alone = [c for c in rest if MARK in c]
         apart = set(alone)
-        groups = [[c for c in chunks if c not in apart], alone] if apart else [chunks, []]
-        coded = self._together(groups[0])
+        joint = [c for c in rest if c not in apart] if apart else rest
+        coded = self._together(joint)
         if coded is None:
-            groups, coded = [[], chunks], self._together([])
-        lists = self._ids(groups[1])
-        ids = np.concatenate([coded[0], np.array([i for x in lists for i in x], np.uint32)])
-        sizes = np.concatenate([coded[1], np.array([len(x) for x in lists], np.int64)])
-        n, m = len(self.place), len(chunks)
-        while self.used + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        while n + m > len(self.starts):
-            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
-        self.pool[self.used:self.used + len(ids)] = ids
-        self.starts[n:n + m] = self.used + np.cumsum(sizes) - sizes
-        self.sizes[n:n + m] = sizes
-        self.used += len(ids)
-        self.chars += sum(map(len, chunks))
-        self.place.update(zip(groups[0] + groups[1], range(n, n + m), strict=True))
-
-    def _places(self, chunks: list[str], plain: bool = False) -> np.ndarray:
+            joint, alone, coded = [], rest, self._together([])
+        single = self._ids(alone)
+        names += joint + alone
+        flat = lambda x: np.array([i for y in x for i in y], np.uint32)
+        ids = np.concatenate([flat(lists), coded[0], flat(single)])
+        sizes = np.concatenate([np.array([len(x) for x in lists], np.int64), coded[1], np.array([len(x) for x in single], np.int64)])
+        self._remember(names, ids, sizes)
+
+    def _places(self, chunks: list[str]) -> np.ndarray:
         find = self.place.get
         at = np.array([find(c, -1) for c in chunks], np.int64)
         missing = np.flatnonzero(at < 0)
         if len(missing):
             new = list(dict.fromkeys(chunks[i] for i in missing))
             for i in range(0, len(new), 4096):
-                self._learn(new[i:i + 4096], plain)
+                self._learn(new[i:i + 4096])
             at[missing] = [self.place[chunks[i]] for i in missing]
+        self.recent += chunks
         return at
 
     def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -125,15 +202,16 @@ class ChunkEncoder:
         names, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
         if not self.spaces:
             return self._places(names)[codes] if names else np.zeros(0, np.int64), counts
-        at = self._places([" " + x for x in names], plain=True)[codes] if names else np.zeros(0, np.int64)
+        at = self._places([" " + x for x in names])[codes] if names else np.zeros(0, np.int64)
         firsts = np.cumsum(counts) - counts  # the first chunk of a text has no space before it
         at[firsts] = self._places([names[k] for k in codes[firsts]])
         return at, counts
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self.chars > CACHE_CHARS:
-            self._forget()
-        slow = [i for i, t in enumerate(texts) if RUNS.search(t)] if self.spaces else []
+            self._trim()
+        self.recent = []
+        slow = [i for i, t in enumerate(texts) if has_runs(t)] if self.spaces else []
         if not slow:
             at, counts = self._cut(pa.array(texts, pa.large_string()))
         else:
