@@ -8,11 +8,11 @@ from tests.conftest import SF_SMALL
 
 duckdb = pytest.importorskip("duckdb")
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
 from tools.oracle_check import TABLES, norm  # noqa: E402
 
-QUERIES = queries()
-ORACLE = oracle_sql()
+from vigil.plans.oracle import ORACLE  # noqa: E402
+from vigil.plans.queries import QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -26,9 +26,8 @@ def con():
     return c
 
 
-def test_every_query_but_one_has_an_oracle():
-    assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"encode_events"}
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

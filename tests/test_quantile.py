@@ -8,13 +8,8 @@ import pytest
 from vigil.operators.quantile import exact_percentiles
 
 
-@pytest.mark.parametrize("limit,targets", [(0, 10 ** 6), (0, 0), (10 ** 9, 0)])
-def test_exact_percentiles_match_numpy(spark, limit, targets, monkeypatch):
-    # radix with broadcast targets, radix with the salted join, built-in path
-    import vigil.operators.joins as joins
-    import vigil.operators.quantile as quantile
-    monkeypatch.setattr(quantile, "BROADCAST_TARGETS", targets)
-    monkeypatch.setattr(joins, "HOT_ROWS", 50)
+@pytest.mark.parametrize("accuracy", [20, 1000])
+def test_exact_percentiles_match_numpy(spark, accuracy):
     rng = np.random.default_rng(11)
     vals = np.concatenate([rng.lognormal(8, 2, 2000), -rng.lognormal(2, 3, 300), np.zeros(30),
                            np.full(100, 123.25), [1e-300, 5e-324, 1e300, -1e300, 2.0, 4.0, 0.5]])
@@ -24,7 +19,7 @@ def test_exact_percentiles_match_numpy(spark, limit, targets, monkeypatch):
     pdf = pd.concat([pdf, pd.DataFrame({"g": ["c"], "x": [3.5]})])
     probs = [0.0, 0.01, 0.05, 0.5, 0.95, 0.99, 1.0]
     res = exact_percentiles(spark.createDataFrame(pdf), ["g"], "x", probs,
-                            small_group_limit=limit).toPandas().set_index("g")
+                            accuracy=accuracy).toPandas().set_index("g")
     for g, sub in pdf.groupby("g"):
         x = sub["x"].dropna().to_numpy()
         assert res.loc[g, "n"] == len(x)
@@ -34,14 +29,29 @@ def test_exact_percentiles_match_numpy(spark, limit, targets, monkeypatch):
             assert got == exp or abs(got - exp) <= 1e-12 * max(1.0, abs(exp)), (g, p)
 
 
-@pytest.mark.parametrize("limit", [0, 10 ** 9])
-def test_extra_aggregates_on_both_paths(spark, limit):
+def test_extra_aggregates(spark):
     """Extra aggregates see every row; a group with no valid value keeps n = 0."""
     from pyspark.sql import functions as F
     pdf = pd.DataFrame({"g": ["a"] * 5 + ["z"] * 2,
                         "x": [1.0, 2.0, 3.0, np.nan, 4.0, np.nan, np.nan]})
-    res = exact_percentiles(spark.createDataFrame(pdf), ["g"], "x", [0.5], ["p50"], small_group_limit=limit,
+    res = exact_percentiles(spark.createDataFrame(pdf), ["g"], "x", [0.5], ["p50"],
                             extra_aggs=[F.count(F.lit(1)).alias("rows")]).toPandas().set_index("g")
     assert list(res.columns) == ["n", "p50", "rows"]
     assert (res.loc["a", "n"], res.loc["a", "p50"], res.loc["a", "rows"]) == (4, 2.5, 5)
     assert res.loc["z", "n"] == 0 and pd.isna(res.loc["z", "p50"]) and res.loc["z", "rows"] == 2
+
+
+def test_null_group_and_infinities(spark):
+    rows = ([(None, float(i)) for i in range(334)] + [("i", float("inf"))] + [("i", float(i)) for i in range(50)]
+            + [("n", float("-inf")), ("n", 1.0), ("n", float("nan")), ("n", None)] + [("z", None)])
+    got = {r.g: r for r in exact_percentiles(spark.createDataFrame(rows, "g string, x double"), ["g"], "x", [0.01, 0.5, 0.99, 1.0],
+                                             ["a", "b", "c", "d"]).collect()}
+    assert set(got) == {None, "i", "n"}
+    assert (got[None].n, got[None].a, got[None].c) == (334, pytest.approx(3.33), pytest.approx(329.67))
+    assert got["i"].b == 25.0 and got["i"].c == float("inf") and got["i"].d == float("inf")
+    assert got["n"].n == 2 and got["n"].a == float("-inf") and got["n"].d == 1.0
+
+
+def test_no_group_columns(spark):
+    got = exact_percentiles(spark.range(101).selectExpr("1 as g", "cast(id as double) as x"), ["g"], "x", [0.25]).first()
+    assert (got.n, got.p25) == (101, 25.0)

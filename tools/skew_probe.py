@@ -62,7 +62,7 @@ def main() -> None:
         "builtin_percentile_by_account": lambda: tx.groupBy("nameOrig").agg(
             F.percentile("amount", [0.01, 0.99]).alias("q")),
         "radix_percentile_by_account": lambda: exact_percentiles(
-            tx, ["nameOrig"], "amount", [0.01, 0.99], small_group_limit=0),
+            tx, ["nameOrig"], "amount", [0.01, 0.99]),
         "naive_count_over_account": lambda: tx.withColumn(
             "tx_count_5m", F.count(F.lit(1)).over(Window.partitionBy("nameOrig"))),
         "score_aggregate_then_join": lambda: score(tx.withColumn("anomaly_type", F.lit(None).cast("string")),

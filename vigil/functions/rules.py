@@ -88,9 +88,10 @@ def amount_over_history(multiple: float = 10.0) -> Callable[[RuleContext], Colum
     comparison stays exact for decimal amounts; no history -> no flag.
     """
     def cond(c: RuleContext) -> Column:
-        n = F.col(c.history_count)
-        return F.coalesce((n > 0) & (F.col(c.amount) * n > F.lit(multiple) * F.col(c.history_sum)),
-                          F.lit(False))
+        # a NaN amount is never large (NaN > x is true in Spark, false in Python)
+        n, a = F.col(c.history_count), F.col(c.amount)
+        return F.coalesce((n > 0) & (a * n > F.lit(multiple) * F.col(c.history_sum))
+                          & ~F.isnan(a.cast("double")), F.lit(False))
     return cond
 
 

@@ -1,26 +1,20 @@
-"""Exact percentiles (linear interpolation) that do not gather a group in one task.
+"""Exact percentiles (linear interpolation) in bounded memory, one path for all sizes.
 
 Spark's exact `percentile` keeps every distinct value of a group in one
 aggregation buffer; with one group holding a third of the data that buffer
-is the data.  This operator is a radix select over an order-preserving
-decomposition of the double into (sign + exponent, mantissa bits 51..36,
-35..20, 19..0):
-
-1. level 1 counts rows per (group, sign/exponent)   -> <= ~4 200 buckets/group
-2. level 2 counts rows per 16-bit mantissa slice inside the chosen bucket
-3. level 3 the next 16 bits, level 4 the last 20 bits -> the value itself
-
-Every level is a `groupBy(...).count()` (partial aggregation, skew-safe)
-followed by a running sum over at most 2^20 buckets of one group, and a
-join that keeps only rows whose prefix matches a target.  Four passes over
-one pruned column give the exact order statistics; interpolation follows the
-usual linear rule: position h = (n - 1) p, v = lo + (hi - lo) (h - floor h).
-NaN and null values are skipped (as pandas does).
-
-Small inputs take a shortcut: one aggregate measures the largest group, and
-when it holds at most `small_group_limit` values, Spark's exact `percentile`
-(whose per-group buffer is then provably bounded) answers in one pass.  Both
-paths give the same exact order statistics.
+is the data.  Here a sketch only says where to look, and counting decides:
+
+1. `percentile_approx` brackets every wanted rank of every group: its answers
+   for ranks a few error bounds below and above it.  The sketch has a fixed size.
+2. One aggregate counts, per group and bracket, the rows below it; another the
+   rows at each distinct value inside.  The inside holds a small share of the
+   group (a few times 1 / ACCURACY) besides ties, which are one row.
+3. A running sum over those values gives the values at the floor and the ceiling
+   of the position h = (n - 1) p, and the result
+   (ceil h - h) lower + (h - floor h) higher.
+
+Null groups are groups.  NaN and null values are skipped (as pandas does);
+infinities are values like others, and a result between -inf and inf is NaN.
 """
 
 from __future__ import annotations
@@ -30,160 +24,63 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_TWO52 = float(2 ** 52)
-_SLICES = ((36, 0xFFFF), (20, 0xFFFF), (0, 0xFFFFF))   # (shift, mask) for levels 2-4
-
-
-def _decompose(x: Column) -> list[Column]:
-    """(k1, mantissa') with k1 = sign class * 4096 + exponent offset; monotone in x."""
-    a = F.abs(x)
-    e0 = F.floor(F.log2(a))
-    e = (F.when(F.pow(F.lit(2.0), e0) > a, e0 - 1)
-         .when(F.pow(F.lit(2.0), e0 + 1) <= a, e0 + 1).otherwise(e0))
-    m = ((a / F.pow(F.lit(2.0), e) - 1.0) * F.lit(_TWO52)).cast("long")
-    pos = x > 0
-    neg = x < 0
-    k1 = (F.when(neg, F.lit(0) * 4096 + (F.lit(2048) - e))
-          .when(pos, F.lit(2) * 4096 + (F.lit(2048) + e))
-          .otherwise(F.lit(1) * 4096)).cast("long")
-    mant = F.when(neg, F.lit(2 ** 52 - 1) - m).when(pos, m).otherwise(F.lit(0)).cast("long")
-    return [k1.alias("_k1"), mant.alias("_m")]
-
-
-def _compose(k1: Column, mant: Column) -> Column:
-    cls = F.floor(k1 / 4096)
-    off = k1 - cls * 4096
-    pos_e = off - 2048
-    neg_e = 2048 - off
-    pos_val = (F.lit(1.0) + mant / F.lit(_TWO52)) * F.pow(F.lit(2.0), pos_e)
-    neg_val = -(F.lit(1.0) + (F.lit(2 ** 52 - 1) - mant) / F.lit(_TWO52)) * F.pow(F.lit(2.0), neg_e)
-    return F.when(cls == 2, pos_val).when(cls == 0, neg_val).otherwise(F.lit(0.0))
-
-
-SMALL_GROUP_LIMIT = 2_000_000
-BROADCAST_TARGETS = 200_000     # target rows (2 per group and probability) broadcast when below
+#: Rank error of the sketch is at most 1 / ACCURACY of the rows.
+ACCURACY = 1000
 
 
 def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value: str,
                       probs: Sequence[float], names: Sequence[str] | None = None,
-                      small_group_limit: int = SMALL_GROUP_LIMIT,
-                      extra_aggs: Sequence[Column] = ()) -> DataFrame:
+                      extra_aggs: Sequence[Column] = (), accuracy: int = ACCURACY) -> DataFrame:
     """One row per group: n (non-NaN values) and one column per probability.
 
     `extra_aggs` are further aggregate columns over *all* rows of each group
-    (means, counts, ...).  On the bounded path they are computed in the same
-    aggregate as the percentiles, so the input is read once more, not twice;
-    every group of `df` then has a row (n = 0 when it has no valid value).
+    (means, counts, ...), computed in the same pass as the sketch; every group of
+    `df` then has a row (n = 0 when it has no valid value).
     """
     g = list(group_cols)
     names = list(names or [f"p{int(round(p * 100))}" for p in probs])
     x = F.col(value).cast("double")
     valid = x.isNotNull() & ~F.isnan(x)
-    vals = df.where(valid).select(*g, x.alias("_x"))
-    size = (vals.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
-            .agg(F.max("_n").alias("largest"), F.count(F.lit(1)).alias("groups")).first())
-    extras = list(extra_aggs)
-    if size["largest"] is not None and size["largest"] <= small_group_limit:
-        pq = [float(p) for p in probs]
-        if extras:
-            q = df.groupBy(*g).agg(F.count_if(valid).alias("n"),
-                                   F.percentile(F.when(valid, x), pq).alias("_q"), *extras)
-        else:
-            q = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.percentile("_x", pq).alias("_q"))
-        return q.select(*g, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)],
-                        *q.columns[len(g) + 2:])
-    few_groups = (size["groups"] or 0) * 2 * len(probs) <= BROADCAST_TARGETS
-    r = radix_percentiles(df, g, value, probs, names, broadcast_targets=few_groups)
-    if not extras:
-        return r
-    e = df.groupBy(*g).agg(*extras)
-    return (e.join(r, g, "left")
-            .select(*g, F.coalesce("n", F.lit(0)).alias("n"), *names, *e.columns[len(g):]))
-
-
-def _keep_prefix(rows: DataFrame, want: DataFrame, keys: list[str], broadcast: bool) -> DataFrame:
-    """Rows whose (group, prefix) is a target.  The target list is broadcast
-    when its size was checked small; otherwise the join is salted by the
-    bucket's row count, because one chosen bucket of a hot group can hold a
-    large share of all rows."""
-    if broadcast:
-        return rows.join(F.broadcast(want.drop("_cnt")), keys, "inner")
-    from vigil.operators.joins import salted_left_join
-    k = F.struct(*[F.col(c) for c in keys])
-    w = want.select(k.alias("_key"), F.col("_cnt"), F.lit(True).alias("_hit"))
-    j = salted_left_join(rows.withColumn("_key", k), w, "_key", F.col("_cnt"))
-    return j.where(F.col("_hit")).drop("_key", "_cnt", "_hit")
-
-
-def radix_percentiles(df: DataFrame, group_cols: Sequence[str], value: str,
-                      probs: Sequence[float], names: Sequence[str],
-                      broadcast_targets: bool = False) -> DataFrame:
-    """The bounded-memory path: radix select over the double's bit layout."""
-    g = list(group_cols)
-    x = F.col(value).cast("double")
-    base = df.where(x.isNotNull() & ~F.isnan(x)).select(*g, *_decompose(x))
-
-    # level 1: counts per sign/exponent bucket; n per group from the same pass
-    c1 = base.groupBy(*g, "_k1").agg(F.count(F.lit(1)).alias("_c"))
-    wg = Window.partitionBy(*g).orderBy("_k1")
-    c1 = (c1.withColumn("_before", F.sum("_c").over(wg.rowsBetween(Window.unboundedPreceding, -1)))
-            .withColumn("_n", F.sum("_c").over(Window.partitionBy(*g)))
-            .fillna(0, subset=["_before"]))
-
-    # targets: two ranks per probability (floor and ceil of the position)
-    n_per_group = c1.select(*g, "_n").distinct()
-    targets = []
-    for i, p in enumerate(probs):
-        pos = (F.col("_n") - 1) * F.lit(float(p))
-        for j, r in enumerate((F.floor(pos), F.ceil(pos))):
-            targets.append(n_per_group.select(*g, "_n", F.lit(i).alias("_pi"), F.lit(j).alias("_side"),
-                                              pos.alias("_pos"), r.cast("long").alias("_r")))
-    t = targets[0]
-    for more in targets[1:]:
-        t = t.unionByName(more)
-
-    # pick the level-1 bucket holding each target rank
-    t = (t.join(c1.drop("_n"), g, "inner")
-          .where((F.col("_r") >= F.col("_before")) & (F.col("_r") < F.col("_before") + F.col("_c")))
-          .select(*g, "_n", "_pi", "_side", "_pos", "_r", "_k1", F.col("_c").alias("_cnt"),
-                  (F.col("_r") - F.col("_before")).alias("_rr")))
-
-    # The small target table feeds several joins per level; storing it once
-    # per level (shared checkpoint folder) keeps every level's plan linear
-    # instead of re-deriving all earlier levels.  This path only runs when a
-    # group exceeds `small_group_limit`, where these writes are negligible.
-    from vigil.session import materialize
-    spark = df.sparkSession
-    t = materialize(spark, t, "pct-targets")
-    prefix = ["_k1"]
-    for level, (shift, mask) in enumerate(_SLICES, start=2):
-        key = f"_k{level}"
-        rows = base.withColumn(key, F.shiftright("_m", shift).bitwiseAND(F.lit(mask)))
-        for lv, (s2, m2) in enumerate(_SLICES[:level - 2], start=2):
-            rows = rows.withColumn(f"_k{lv}", F.shiftright("_m", s2).bitwiseAND(F.lit(m2)))
-        want = t.select(*g, *prefix, "_cnt").distinct()
-        cl = (_keep_prefix(rows, want, g + prefix, broadcast_targets)
-                  .groupBy(*g, *prefix, key).agg(F.count(F.lit(1)).alias("_c")))
-        wl = Window.partitionBy(*g, *prefix).orderBy(key)
-        cl = cl.withColumn("_before", F.coalesce(
-            F.sum("_c").over(wl.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        t = (t.drop("_cnt").join(cl, g + prefix, "inner")
-              .where((F.col("_rr") >= F.col("_before")) & (F.col("_rr") < F.col("_before") + F.col("_c")))
-              .withColumn("_rr", F.col("_rr") - F.col("_before"))
-              .withColumnRenamed("_c", "_cnt")
-              .drop("_before"))
-        t = materialize(spark, t, "pct-targets")
-        prefix.append(key)
-
-    mant = F.lit(0).cast("long")
-    for level, (shift, _mask) in enumerate(_SLICES, start=2):
-        mant = mant.bitwiseOR(F.shiftleft(F.col(f"_k{level}"), shift))
-    t = t.withColumn("_v", _compose(F.col("_k1"), mant))
-
-    lo = t.where(F.col("_side") == 0).select(*g, "_pi", "_pos", F.col("_v").alias("_lo"))
-    hi = t.where(F.col("_side") == 1).select(*g, "_pi", F.col("_v").alias("_hi"))
-    v = (lo.join(hi, g + ["_pi"], "inner")
-           .withColumn("_q", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_pos") - F.floor("_pos"))))
-    wide = v.groupBy(*g).pivot("_pi", list(range(len(probs)))).agg(F.first("_q"))
-    out = wide.select(*g, *[F.col(str(i)).alias(nm) for i, nm in enumerate(names)])
-    return n_per_group.join(out, g, "left").withColumnRenamed("_n", "n")
+    slack = 2.0 / accuracy
+    around = [min(1.0, max(0.0, float(p) + d)) for p in probs for d in (-slack, slack)]
+    source = df if extra_aggs else df.where(valid)
+    sketch = source.groupBy(*g).agg(
+        F.count_if(valid).alias("n"),
+        F.percentile_approx(F.when(valid, x), around, accuracy).alias("_s"), *extra_aggs)
+    extras = [c for c in sketch.columns if c not in (*g, "n", "_s")]
+
+    # one row per group and probability: its bracket and its position
+    wanted = F.array(*[F.struct(
+        F.lit(i).alias("i"), ((F.col("n") - 1) * F.lit(float(p))).alias("pos"),
+        # open where the order ends, and where a group is so small that the slack is
+        # less than a rank (then at most 4 x accuracy values lie inside)
+        F.when((F.lit(around[2 * i]) <= 0) | (F.col("n") < 4 * accuracy), F.lit(float("-inf"))).otherwise(F.col("_s")[2 * i]).alias("lo"),
+        F.when((F.lit(around[2 * i + 1]) >= 1) | (F.col("n") < 4 * accuracy), F.lit(float("inf"))).otherwise(F.col("_s")[2 * i + 1]).alias("hi"))
+        for i, p in enumerate(probs)])
+    keys = [f"_g{k}" for k in range(len(g))]
+    brackets = sketch.where("n > 0").select(*[F.col(c).alias(k) for c, k in zip(g, keys)], wanted.alias("_w"))
+
+    # groups are few beside rows: the join's size is known to the planner at run time
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(g, keys)]
+    rows = df.where(valid).select(*g, x.alias("_x"))
+    cond = same[0] if same else F.lit(True)
+    for c in same[1:]:
+        cond = cond & c
+    # equal values meet before the join, map-side, so a hot value is one row
+    values = rows.groupBy(*g, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    met = values.join(brackets, cond).select(*keys, "_x", "_c", F.explode("_w").alias("_w"))
+    inside = (F.col("_x") >= F.col("_w.lo")) & (F.col("_x") <= F.col("_w.hi"))
+    # rows below a bracket become one entry without a value
+    counted = (met.where(F.col("_x") <= F.col("_w.hi"))
+               .groupBy(*keys, F.col("_w.i").alias("_i"), F.col("_w.pos").alias("_pos"),
+                        F.when(inside, F.col("_x")).alias("_x")).agg(F.sum("_c").alias("_c")))
+    upto = Window.partitionBy(*keys, "_i").orderBy(F.asc_nulls_first("_x"))
+    ranked = (counted.withColumn("_upto", F.sum("_c").over(upto))
+              .withColumn("_from", F.col("_upto") - F.col("_c")))
+    at = lambda r: F.max(F.when((r >= F.col("_from")) & (r < F.col("_upto")), F.col("_x")))
+    low, high = F.floor("_pos"), F.ceil("_pos")
+    found = (ranked.groupBy(*keys, "_i", "_pos").agg(at(low).alias("_lo"), at(high).alias("_hi"))
+             .withColumn("_q", F.when((low == high) | (F.col("_lo") == F.col("_hi")), F.col("_lo"))
+                         .otherwise((high - F.col("_pos")) * F.col("_lo") + (F.col("_pos") - low) * F.col("_hi"))))
+    wide = found.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)])
+    return (sketch.join(wide, cond, "left").select(*g, "n", *names, *extras))

@@ -11,10 +11,13 @@ and repairs the bucket edges exactly:
 * `running_totals`  running sum / count within the bucket plus an offset: the
                      prefix sum of earlier buckets' totals, again from the
                      per-bucket summary.
-* `trailing_window` a range frame of W seconds: rows in the last W seconds of
-                     a bucket are also copied into the following bucket(s) as
-                     context ("halo") rows, windows are computed per
-                     (key, bucket) and only each row's home copy is kept.
+* `trailing_window` a range frame of W seconds, by blocks of W seconds: the
+                     frame of a row is the beginning of its own block and the
+                     end of the block before, so a running aggregate forwards
+                     and one backwards give count, sum and max in linear time.
+
+Rows without a key or time have no sequence; they are spread over all tasks by
+a hash of the row instead of meeting in one window.
 
 The row side is shuffled once, by (key, bucket); the summaries are one row
 per key-bucket and are the only data that is windowed by key alone.  The
@@ -28,6 +31,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigil.operators.joins import row_hash
+
 MICROS = 1_000_000
 
 
@@ -37,6 +42,17 @@ def time_bucket(ts: str | Column, bucket_seconds: int) -> Column:
     return F.floor(F.unix_micros(c) / F.lit(bucket_seconds * MICROS)).cast("long")
 
 
+def _spread(df: DataFrame, valid: Column) -> Column:
+    """0 for rows with a sequence, a hash of the row for the others."""
+    return F.when(valid, F.lit(0).cast("long")).otherwise(row_hash(df))
+
+
+def _number(df: DataFrame, value: str) -> Column:
+    """The value, NaN as null."""
+    c = F.col(value)
+    return F.when(~F.isnan(c), c) if df.schema[value].dataType.typeName() in ("double", "float") else c
+
+
 def previous_value(df: DataFrame, key: str, order: str, values: Sequence[str],
                    bucket: Column, tiebreak: Sequence[str] = (), prefix: str = "prev_") -> DataFrame:
     """For each row, `values` of the key's previous row by (order, *tiebreak).
@@ -46,8 +62,8 @@ def previous_value(df: DataFrame, key: str, order: str, values: Sequence[str],
     """
     ordering = [F.col(order), *[F.col(t) for t in tiebreak]]
     valid = F.col(key).isNotNull() & F.col(order).isNotNull()
-    t = df.withColumn("_b", F.when(valid, bucket))
-    w = Window.partitionBy(key, "_b").orderBy(*ordering)
+    t = df.withColumn("_b", F.when(valid, bucket)).withColumn("_s", _spread(df, valid))
+    w = Window.partitionBy(key, "_b", "_s").orderBy(*ordering)
     for v in values:
         t = t.withColumn(f"_lag_{v}", F.lag(v).over(w))
     t = t.withColumn("_first", F.lag(F.lit(1)).over(w).isNull())
@@ -55,13 +71,14 @@ def previous_value(df: DataFrame, key: str, order: str, values: Sequence[str],
     summary = (t.where(F.col("_b").isNotNull())
                .groupBy(key, "_b")
                .agg(F.max_by(F.struct(*[F.col(v) for v in values]), F.struct(*ordering)).alias("_last")))
-    carry = summary.select(key, "_b", F.lag("_last").over(Window.partitionBy(key).orderBy("_b")).alias("_carry"))
-    j = t.join(carry, [key, "_b"], "left")
+    carry = summary.select(key, "_b", F.lit(0).cast("long").alias("_s"),
+                           F.lag("_last").over(Window.partitionBy(key).orderBy("_b")).alias("_carry"))
+    j = t.join(carry, [key, "_b", "_s"], "left")
     out = j
     for v in values:
         pv = F.when(F.col("_first"), F.col(f"_carry.{v}")).otherwise(F.col(f"_lag_{v}"))
         out = out.withColumn(f"{prefix}{v}", F.when(F.col("_b").isNotNull(), pv))
-    return out.drop("_b", "_first", "_carry", *[f"_lag_{v}" for v in values])
+    return out.drop("_b", "_s", "_first", "_carry", *[f"_lag_{v}" for v in values])
 
 
 def running_totals(df: DataFrame, key: str, order: str, value: str, bucket: Column,
@@ -69,53 +86,73 @@ def running_totals(df: DataFrame, key: str, order: str, value: str, bucket: Colu
                    sum_name: str = "prior_sum", count_name: str = "prior_count") -> DataFrame:
     """Sum and count of the key's earlier rows' `value` (or up to and
     including the row when `inclusive`).  Exact two-level prefix sum: within
-    (key, bucket) by window, across buckets by a prefix over bucket totals."""
+    (key, bucket) by window, across buckets by a prefix over bucket totals.
+    NaN values count as rows but add nothing."""
     ordering = [F.col(order), *[F.col(t) for t in tiebreak]]
     valid = F.col(key).isNotNull() & F.col(order).isNotNull()
-    t = df.withColumn("_b", F.when(valid, bucket))
+    t = df.withColumn("_b", F.when(valid, bucket)).withColumn("_s", _spread(df, valid))
     end = 0 if inclusive else -1
-    w = Window.partitionBy(key, "_b").orderBy(*ordering).rowsBetween(Window.unboundedPreceding, end)
-    t = (t.withColumn("_in_sum", F.sum(value).over(w))
+    w = Window.partitionBy(key, "_b", "_s").orderBy(*ordering).rowsBetween(Window.unboundedPreceding, end)
+    number = _number(df, value)
+    t = (t.withColumn("_in_sum", F.sum(number).over(w))
           .withColumn("_in_cnt", F.count(value).over(w)))
     totals = (t.where(F.col("_b").isNotNull()).groupBy(key, "_b")
-              .agg(F.sum(value).alias("_bs"), F.count(value).alias("_bc")))
+              .agg(F.sum(number).alias("_bs"), F.count(value).alias("_bc")))
     wb = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(key, "_b", F.sum("_bs").over(wb).alias("_off_sum"),
+    offsets = totals.select(key, "_b", F.lit(0).cast("long").alias("_s"), F.sum("_bs").over(wb).alias("_off_sum"),
                             F.sum("_bc").over(wb).alias("_off_cnt"))
-    j = t.join(offsets, [key, "_b"], "left")
+    j = t.join(offsets, [key, "_b", "_s"], "left")
     cnt = F.coalesce("_in_cnt", F.lit(0)) + F.coalesce("_off_cnt", F.lit(0))
     tot = F.coalesce("_in_sum", F.lit(0)) + F.coalesce("_off_sum", F.lit(0))
     return (j.withColumn(count_name, F.when(F.col("_b").isNotNull(), cnt))
              .withColumn(sum_name, F.when(F.col("_b").isNotNull(), tot))
-             .drop("_b", "_in_sum", "_in_cnt", "_off_sum", "_off_cnt"))
+             .drop("_b", "_s", "_in_sum", "_in_cnt", "_off_sum", "_off_cnt"))
 
 
 def trailing_window(df: DataFrame, key: str, ts: str, value: str, seconds: int,
                     bucket_seconds: int = 3600, prefix: str = "trail_") -> DataFrame:
     """Count, sum and max of `value` over the key's rows with time in
-    [t - seconds, t] (a range frame, so rows at the same instant count).
-
-    Rows are bucketed by time; each row is also emitted into every later
-    bucket whose start lies within `seconds` of it.  A bucket's partition
-    then holds all rows any of its home rows can see.  Rows with a null key
-    or time get null statistics.
+    [t - seconds, t] (rows at the same instant count).
+
+    Linear in the rows of a key: time is cut into blocks as long as the window.
+    A forward running aggregate gives the part of the frame in the row's own
+    block; each row also asks the block before, as a probe at t - seconds, for a
+    backward running aggregate.  A task holds the rows of one (key, block) for
+    sorting only.  NaN values are counted but left out of sum and max; rows with
+    a null key or time get null statistics.  `bucket_seconds` is no longer needed
+    and has no effect.
     """
-    width = bucket_seconds * MICROS
     span = seconds * MICROS
-    us = F.unix_micros(F.col(ts))
     valid = F.col(key).isNotNull() & F.col(ts).isNotNull()
-    home = F.floor(us / F.lit(width)).cast("long")
-    reach = F.floor((us + F.lit(span)) / F.lit(width)).cast("long")
-    t = (df.withColumn("_us", us)
-           .withColumn("_home", F.when(valid, home))
-           .withColumn("_b", F.explode(F.when(valid, F.sequence(home, reach))
-                                       .otherwise(F.array(F.lit(None).cast("long"))))))
-    w = Window.partitionBy(key, "_b").orderBy("_us").rangeBetween(-span, 0)
-    t = (t.withColumn(f"{prefix}count", F.when(F.col("_b").isNotNull(), F.count(value).over(w)))
-          .withColumn(f"{prefix}sum", F.when(F.col("_b").isNotNull(), F.sum(value).over(w)))
-          .withColumn(f"{prefix}max", F.when(F.col("_b").isNotNull(), F.max(value).over(w))))
-    keep = F.col("_b").isNull() | (F.col("_b") == F.col("_home"))
-    return t.where(keep).drop("_us", "_home", "_b")
+    parts = ("count", "sum", "max")
+    number = _number(df, value)
+    aggs = {"count": lambda: F.count("_v"), "sum": lambda: F.sum("_x"), "max": lambda: F.max("_x")}
+    t = (df.withColumn("_us", F.unix_micros(F.col(ts))).withColumn("_s", _spread(df, valid))
+         .withColumn("_blk", F.when(valid, F.floor(F.col("_us") / F.lit(span)).cast("long")))
+         .withColumn("_v", F.col(value)).withColumn("_x", number))
+    ahead = Window.partitionBy(key, "_blk", "_s").orderBy("_us").rangeBetween(Window.unboundedPreceding, 0)
+    for p in parts:
+        t = t.withColumn(f"_own_{p}", F.when(valid, aggs[p]().over(ahead)))
+    own = [c for c in t.columns if c not in ("_v", "_x")]
+    # the row as a member of its block: key, time and value only
+    member = t.where(valid).select(
+        *[F.lit(None).cast(t.schema[c].dataType).alias(c) if c not in (key, "_us", "_blk", "_s") else F.col(c) for c in own],
+        "_v", "_x", F.lit(False).alias("_probe"))
+    probe = t.select(*[F.when(valid, F.col("_blk") - 1).otherwise(F.col("_blk")).alias("_blk") if c == "_blk"
+                       else F.when(valid, F.col("_us") - span).alias("_us") if c == "_us" else F.col(c) for c in own],
+                     F.lit(None).cast(t.schema["_v"].dataType).alias("_v"),
+                     F.lit(None).cast(t.schema["_x"].dataType).alias("_x"), F.lit(True).alias("_probe"))
+    back = (Window.partitionBy(key, "_blk", "_s").orderBy(F.desc("_us"))
+            .rangeBetween(Window.unboundedPreceding, 0))
+    both = member.unionByName(probe)
+    for p in parts:
+        both = both.withColumn(f"_before_{p}", aggs[p]().over(back))
+    out = both.where("_probe")
+    total = {"count": F.when(valid, F.col("_own_count") + F.col("_before_count")),
+             "sum": F.when(F.col("_own_sum").isNull(), F.when(valid, F.col("_before_sum")))
+             .otherwise(F.col("_own_sum") + F.coalesce("_before_sum", F.lit(0))),
+             "max": F.when(valid, F.greatest("_own_max", "_before_max"))}
+    return out.select(*df.columns, *[total[p].alias(f"{prefix}{p}") for p in parts])
 
 
 def islands(df: DataFrame, key: str, ts: str, max_gap_seconds: float, bucket_seconds: int = 3600,

@@ -17,6 +17,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.operators.joins import HOT_KEYS, salt_of
+
 STAT_COLUMNS = ("tx_count_5m", "total_amount_5m", "max_amount_5m")
 
 
@@ -47,24 +49,23 @@ def attach_stats(df: DataFrame, stats: DataFrame, account: str = "nameOrig",
     Hot groups are salted.  AQE cannot split this join's skew (its build side
     is an aggregate, not a bare shuffle), so a group with more than
     `hot_rows` rows is spread over ceil(count / hot_rows) salts: its rows get
-    a salt from their position, its single statistics row is replicated once
+    a salt from a hash of the row, its single statistics row is replicated once
     per salt, and the equi-join includes the salt.  Which groups are hot comes
-    from the statistics themselves, as a broadcast list whose size is provably
-    at most (total rows / hot_rows).
+    from the statistics themselves, as a broadcast list of at most HOT_KEYS
+    groups.  Rows with a null account, which match nothing, are spread too.
     """
     bc = list(batch_cols)
     s = stats.select(F.col(account).alias("_s_acct"), *[F.col(b).alias(f"_s_{b}") for b in bc],
                      *STAT_COLUMNS)
     n_salt = F.ceil(F.col("tx_count_5m") / F.lit(hot_rows)).cast("int")
-    hot = s.where(n_salt > 1).select(F.col("_s_acct").alias("_h_acct"),
-                                     *[F.col(f"_s_{b}").alias(f"_h_{b}") for b in bc],
-                                     n_salt.alias("_n_salt"))
+    hot = (s.where(n_salt > 1).orderBy(F.desc("tx_count_5m")).limit(HOT_KEYS)
+           .select(F.col("_s_acct").alias("_h_acct"), *[F.col(f"_s_{b}").alias(f"_h_{b}") for b in bc],
+                   n_salt.alias("_n_salt")))
     hcond = F.col(account) == F.col("_h_acct")
     for b in bc:
         hcond = hcond & F.col(b).eqNullSafe(F.col(f"_h_{b}"))
     rows = (df.join(F.broadcast(hot), hcond, "left")
-              .withColumn("_salt", F.when(F.col("_n_salt").isNull(), F.lit(0))
-                          .otherwise(F.pmod(F.monotonically_increasing_id(), F.col("_n_salt")).cast("int")))
+              .withColumn("_salt", salt_of(df, F.col(account), F.col("_n_salt")))
               .drop("_h_acct", *[f"_h_{b}" for b in bc], "_n_salt"))
     sx = s.withColumn("_s_salt", F.explode(F.sequence(F.lit(0), F.greatest(n_salt, F.lit(1)) - 1)))
     cond = (F.col(account) == F.col("_s_acct")) & (F.col("_salt") == F.col("_s_salt"))

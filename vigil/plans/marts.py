@@ -62,7 +62,9 @@ def dim_rule(stg: DataFrame) -> DataFrame:
 
 def latest_rate(rates: DataFrame) -> DataFrame:
     """The newest rate as a 0- or 1-row frame (no rates -> no row, N9)."""
-    return (rates.agg(F.max_by("usd_lkr_rate", "rate_date").alias("usd_lkr_rate"),
+    newest = [F.col(c) for c in ("rate_date", "loaded_at", "usd_lkr_rate") if c in rates.columns]
+    return (rates.where(F.col("rate_date").isNotNull())
+            .agg(F.max_by("usd_lkr_rate", F.struct(*newest)).alias("usd_lkr_rate"),
                       F.max("rate_date").alias("rate_date"),
                       F.count(F.lit(1)).alias("_n"))
             .where(F.col("_n") > 0).drop("_n"))
@@ -152,6 +154,9 @@ def amount_lkr_asof(stg: DataFrame, rates: DataFrame) -> DataFrame:
     """
     from pyspark.sql import Window
     known = rates.where(F.col("rate_date").isNotNull() & F.col("usd_lkr_rate").isNotNull())
+    # one rate a date: of several the one loaded last, then the larger
+    newer = [F.col(c) for c in ("loaded_at", "usd_lkr_rate") if c in known.columns]
+    known = known.groupBy("rate_date").agg(F.max_by("usd_lkr_rate", F.struct(*newer)).alias("usd_lkr_rate"))
     r = known.select(F.col("rate_date").alias("_d"), F.col("usd_lkr_rate").alias("_rate"))
     spans = r.withColumn("_next", F.lead("_d").over(Window.orderBy("_d")))   # one row per rate day
     days = spans.select(F.explode(F.sequence("_d", F.coalesce(F.date_sub("_next", 1), F.col("_d"))))

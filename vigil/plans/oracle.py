@@ -105,7 +105,7 @@ CTES: dict[str, str] = {
   FROM enriched""",
     "serving": """SELECT transaction_id, event_time, type AS tx_type, CAST(amount AS DECIMAL(18,2)) AS amount,
     nameOrig AS origin_account, nameDest AS dest_account, rule_name,
-    CAST(tx_count_5m AS INTEGER) AS tx_count_5m,
+    CAST(tx_count_5m AS BIGINT) AS tx_count_5m,
     CAST(total_amount_5m AS DECIMAL(18,2)) AS total_amount_5m,
     CAST(max_amount_5m AS DECIMAL(18,2)) AS max_amount_5m,
     CAST(coalesce(geo_flag, 0) AS SMALLINT) AS geo_impossible,
@@ -248,8 +248,8 @@ CTES.update({
   FROM stg_loans l CROSS JOIN latest_rate r
   GROUP BY l.loan_grade, l.loan_intent, r.usd_lkr_rate""",
     "daily": """SELECT d.summary_date,
-    CAST(coalesce(a.total_txns, 0) AS INTEGER) AS total_txns,
-    CAST(coalesce(a.flagged_count, 0) AS INTEGER) AS flagged_count,
+    CAST(coalesce(a.total_txns, 0) AS BIGINT) AS total_txns,
+    CAST(coalesce(a.flagged_count, 0) AS BIGINT) AS flagged_count,
     CAST(coalesce(a.total_amount, 0) AS DECIMAL(20,2)) AS total_amount,
     CAST(coalesce(a.flagged_amount, 0) AS DECIMAL(20,2)) AS flagged_amount,
     a.top_rule
@@ -512,6 +512,14 @@ oracle("parse_transactions", "SELECT " + ", ".join(
        "AS ingestion_time",
        f"{_broken} AS is_corrupt"]) + " FROM txk")
 
+oracle("encode_events", "SELECT transaction_id AS key, strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp, "
+       + ", ".join(c for c in _wire if c != "isFlaggedFraud") + " FROM tx")
+
+# a broken message is cut after 40 characters; the others are set aside for an amount of 1e17
+oracle("quarantined_events", f"""SELECT transaction_id, CASE WHEN {_broken} THEN 'corrupt' ELSE 'amount' END AS reason,
+       CASE WHEN {_broken} THEN 40 END AS message_length
+FROM txk WHERE {_broken} OR step % 10 = 0""")
+
 oracle("raw_mirror", f"""
 SELECT transaction_id, type AS tx_type, CAST(amount AS DECIMAL(18,2)) AS amount, nameOrig AS origin_account,
   CAST(oldbalanceOrg AS DECIMAL(18,2)) AS old_balance_orig, CAST(newbalanceOrig AS DECIMAL(18,2)) AS new_balance_orig,

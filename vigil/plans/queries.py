@@ -462,10 +462,32 @@ def q_parse(spark, sf):
 
 @query("encode_events")
 def q_encode(spark, sf):
-    """(key, value) message bytes, shown as text."""
+    """Message keys as text, and the fields read back out of the JSON of the values."""
     from vigil.sources.transactions import encode_events
     e = encode_events(derived.wire_events(_tx(spark, sf)))
-    return e.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+    text = F.col("value").cast("string")
+    kinds = {"step": "long", "amount": "double", "oldbalanceOrg": "double", "newbalanceOrig": "double",
+             "oldbalanceDest": "double", "newbalanceDest": "double", "isFraud": "int"}
+    names = ("transaction_id", "timestamp", "step", "type", "amount", "nameOrig", "oldbalanceOrg", "newbalanceOrig",
+             "nameDest", "oldbalanceDest", "newbalanceDest", "location", "isFraud", "anomaly_type")
+    return e.select(F.col("key").cast("string").alias("key"), *[
+        F.get_json_object(text, f"$.{c}").cast(kinds.get(c, "string")).alias(c) for c in names])
+
+
+@query("quarantined_events")
+def q_quarantined(spark, sf):
+    """S1 + K12 + W5: messages that the pipeline sets aside, with text and reason.
+
+    Broken JSON of the wire table, and events whose amount, raised for every tenth id,
+    does not fit the serving table.
+    """
+    from vigil.sources.transactions import parse_transactions
+    from vigil.streaming.detector import quarantine
+    parsed = parse_transactions(derived.raw_wire(spark, sf), keep=["key"])
+    raised = parsed.withColumn("amount", F.when(F.col("step") % 10 == 0, F.lit(1e17)).otherwise(F.col("amount")))
+    _, bad = quarantine(raised)
+    return bad.select(F.coalesce("transaction_id", F.col("key").cast("string")).alias("transaction_id"),
+                      "reason", F.length("message").alias("message_length"))
 
 
 @query("raw_mirror")

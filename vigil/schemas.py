@@ -91,6 +91,8 @@ D18_2 = T.DecimalType(18, 2)
 D20_2 = T.DecimalType(20, 2)
 D14_2 = T.DecimalType(14, 2)
 
+# Names, precisions, keys and defaults of the serving tables.
+# Counts are wider than there, so that no day or account can overflow them.
 FLAGGED = TableSpec("flagged_transactions", (
     _c("transaction_id", T.StringType(), False),
     _c("event_time", T.TimestampType(), False),
@@ -99,7 +101,7 @@ FLAGGED = TableSpec("flagged_transactions", (
     _c("origin_account", T.StringType()),
     _c("dest_account", T.StringType()),
     _c("rule_name", T.StringType()),
-    _c("tx_count_5m", T.IntegerType()),
+    _c("tx_count_5m", T.LongType()),
     _c("total_amount_5m", D18_2),
     _c("max_amount_5m", D18_2),
     _c("geo_impossible", T.ShortType(), True, 0),
@@ -125,8 +127,8 @@ RAW = TableSpec("raw_transactions", (
 
 DAILY_SUMMARY = TableSpec("daily_fraud_summary", (
     _c("summary_date", T.DateType(), False),
-    _c("total_txns", T.IntegerType(), False, 0),
-    _c("flagged_count", T.IntegerType(), False, 0),
+    _c("total_txns", T.LongType(), False, 0),
+    _c("flagged_count", T.LongType(), False, 0),
     _c("total_amount", D20_2),
     _c("flagged_amount", D20_2),
     _c("top_rule", T.StringType()),
@@ -166,6 +168,7 @@ def conform(df: DataFrame, spec: TableSpec, now: Column | None = None,
             extra: list[str] | tuple = ()) -> DataFrame:
     """Project `df` onto `spec`: cast every column, fill defaults.
 
+    A value that does not fit its column becomes null (see `misfits`).
     Missing columns become their default (or null).  Defaults apply to nulls
     too, like a database column default on an omitted value.  NOT NULL and
     key violations are *reported* by the quality suite, not silently dropped.
@@ -176,7 +179,7 @@ def conform(df: DataFrame, spec: TableSpec, now: Column | None = None,
     cols = []
     for c in spec.columns:
         if c.name in present:
-            v = F.col(c.name).cast(c.dtype)
+            v = F.col(c.name).try_cast(c.dtype)
             if c.default is not None:
                 v = F.coalesce(v, _default(c, now))
         elif c.default is not None:
@@ -185,3 +188,16 @@ def conform(df: DataFrame, spec: TableSpec, now: Column | None = None,
             v = F.lit(None).cast(c.dtype)
         cols.append(v.alias(c.name))
     return df.select(*cols, *extra)
+
+
+def misfits(df: DataFrame, spec: TableSpec, names: dict[str, str] | None = None) -> Column:
+    """Names of the columns whose value is there but does not fit `spec`, comma-joined; null if all fit.
+
+    `names` maps columns of `df` to columns of the table where they differ.
+    """
+    names = names or {}
+    types = {c.name: c.dtype for c in spec.columns}
+    bad = [F.when(F.col(c).isNotNull() & F.col(c).try_cast(types[names.get(c, c)]).isNull(), F.lit(c))
+           for c in df.columns if names.get(c, c) in types]
+    said = F.concat_ws(",", *bad)
+    return F.when(said != "", said)

@@ -47,13 +47,20 @@ def build_session(master: str | None = None, app: str = "vigil",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by `spark.checkpoint.dir`.
 
-    On a cluster this is set by the platform and points at shared storage.
-    Only when it is unset (local tests) do we create a scratch folder and
-    register it, so streaming checkpoints and lineage cuts have a home.
+    On a cluster this is set by the platform and points at shared storage; a
+    folder given through `setCheckpointDir` counts too.  Only a local master
+    may do without (tests): then a scratch folder is made and registered.
+    Elsewhere an unset folder is an error, for executors cannot read the
+    driver's or each other's local files.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current.rstrip("/")
+    given = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if given.isDefined():
+        return given.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="vigil-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

@@ -51,7 +51,9 @@ def merge_frames(target: DataFrame | None, source: DataFrame, key: Sequence[str]
     """
     key = list(key)
     now = now if now is not None else F.current_timestamp()
-    src = latest_per_key(source, key, order) if order else source.dropDuplicates(key)
+    # without an order the larger row of a repeated key wins: a rule, not chance
+    src = latest_per_key(source.withColumn("_none", F.lit(0)), key, "_none").drop("_none") if not order else \
+        latest_per_key(source, key, order)
     if order and order not in (target.columns if target is not None else []):
         src = src.drop(order)
     cols = target.columns if target is not None else src.columns

@@ -8,9 +8,10 @@ State holds the account's event times that can still fall inside the window
 of a future on-time event: times >= watermark - window (Spark drops events
 older than the watermark).  It is therefore bounded by the account's events
 in (watermark delay + window), not by its history, and it expires through an
-event-time timeout.  Rows arrive as an iterator of Arrow batches, so a hot
-account streams through without being materialised at once.  Each batch is
-counted with vectorised binary search (`chunk_alerts`), not a per-row loop.
+event-time timeout.  An account's rows of one micro-batch arrive as several
+Arrow batches; their ids and times are gathered (the size of a micro-batch is
+bounded by its trigger options), sorted, and counted with vectorised binary
+search (`chunk_alerts`), so the answer does not depend on the Arrow batch size.
 """
 
 from __future__ import annotations
@@ -64,10 +65,11 @@ def rapid_fire_alerts(stream: DataFrame, window_seconds: int = 300,
         wm = int(state.getCurrentWatermarkMs()) * 1000
         times = np.sort(_micros(state.get[0])) if state.exists else np.empty(0, dtype="int64")
         out = []
-        for pdf in batches:
-            pdf = pdf.dropna(subset=["event_time"]).sort_values(["event_time", "transaction_id"])
-            if pdf.empty:
-                continue
+        # chunks are a matter of the Arrow batch size: they are joined and sorted
+        # first (id and time only), so alerts do not depend on it
+        chunks = [pdf.dropna(subset=["event_time"])[["transaction_id", "event_time"]] for pdf in batches]
+        pdf = pd.concat(chunks, ignore_index=True).sort_values(["event_time", "transaction_id"]) if chunks else None
+        if pdf is not None and not pdf.empty:
             alert, times = chunk_alerts(times, _micros(pdf["event_time"]), window, threshold)
             if alert.any():
                 hit = pdf.loc[alert, ["transaction_id", "event_time"]]

@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 
 from vigil.functions.rules import RuleSet, default_rules
 from vigil.operators.score import flagged, score, to_serving
-from vigil.schemas import FLAGGED, conform
+from vigil.schemas import FLAGGED, RAW, conform, misfits
 from vigil.session import checkpoint_root
 from vigil.sinks.lake import write_flagged_batch, write_lake_batch
+from vigil.sources.transactions import CORRUPT_COLUMN
 
 log = logging.getLogger(__name__)
 
@@ -36,12 +37,41 @@ class BatchMetrics:
     history: list[dict] = field(default_factory=list)
 
 
+#: Stream columns that the serving tables hold under other names.
+SERVED_AS = {"oldbalanceOrg": "old_balance_orig", "newbalanceOrig": "new_balance_orig",
+             "oldbalanceDest": "old_balance_dest", "newbalanceDest": "new_balance_dest"}
+
+
+def quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows to score, rows set aside).
+
+    Set aside are messages whose JSON failed to parse (reason `corrupt`, text in
+    `message`) and events with a value that no serving table can hold (reason: the
+    columns).  One such event would otherwise fail its micro-batch on every retry.
+    """
+    reason = misfits(parsed, RAW, SERVED_AS)
+    text = F.lit(None).cast("string")
+    if CORRUPT_COLUMN in parsed.columns:
+        text = F.col(CORRUPT_COLUMN)
+        reason = F.when(text.isNotNull(), F.lit("corrupt")).otherwise(reason)
+    marked = parsed.withColumn("reason", reason)
+    good = marked.where(F.col("reason").isNull()).drop("reason", CORRUPT_COLUMN)
+    return good, marked.where(F.col("reason").isNotNull()).withColumn("message", text).drop(CORRUPT_COLUMN)
+
+
 def make_batch_writer(lake_root: str, flagged_root: str, rules: RuleSet | None = None,
-                      metrics: BatchMetrics | None = None):
+                      metrics: BatchMetrics | None = None, quarantine_root: str | None = None):
+    """Writer of one micro-batch.  With `quarantine_root`, rows set aside by
+    `quarantine` go there under the batch's id; without it they are scored as they are,
+    and values that do not fit become null in the serving table."""
     rules = rules or default_rules()
 
     def process_batch(batch: DataFrame, batch_id: int) -> None:
         obs = Observation(f"batch_{batch_id}")
+        parsed = batch.persist() if quarantine_root else batch
+        if quarantine_root:
+            batch, aside = quarantine(parsed)
+            aside.write.mode("overwrite").parquet(f"{quarantine_root.rstrip('/')}/batch_id={batch_id}")
         scored = score(batch, rules, batch_cols=())
         scored = scored.observe(obs, F.count(F.lit(1)).alias("rows"),
                                 F.count_if(F.col("is_fraud_detected")).alias("flagged"))
@@ -56,19 +86,22 @@ def make_batch_writer(lake_root: str, flagged_root: str, rules: RuleSet | None =
                 metrics.history.append({"batch_id": batch_id, **m})
         finally:
             scored.unpersist()
+            if quarantine_root:
+                parsed.unpersist()
 
     return process_batch
 
 
 def start_detector(spark: SparkSession, parsed_stream: DataFrame, lake_root: str, flagged_root: str,
                    checkpoint: str | None = None, trigger: dict | None = None,
-                   rules: RuleSet | None = None, metrics: BatchMetrics | None = None):
+                   rules: RuleSet | None = None, metrics: BatchMetrics | None = None,
+                   quarantine_root: str | None = None):
     """W5 + W6: start the scoring query; checkpoints default to the shared
     `spark.checkpoint.dir`.  `trigger` e.g. {"processingTime": "30 seconds"}
     (the reference's cadence) or {"availableNow": True} for catch-up runs."""
     ckpt = checkpoint or f"{checkpoint_root(spark)}/fraud-detector"
     w = (parsed_stream.writeStream
-         .foreachBatch(make_batch_writer(lake_root, flagged_root, rules, metrics))
+         .foreachBatch(make_batch_writer(lake_root, flagged_root, rules, metrics, quarantine_root))
          .option("checkpointLocation", ckpt))
     w = w.trigger(**(trigger or {"processingTime": "30 seconds"}))
     return w.start()
