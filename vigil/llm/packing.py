@@ -39,6 +39,8 @@ SENTENCE_PENALTY, INNER_PENALTY = 4, 24
 #: Within a sentence, every so many ids are a possible cut.
 STRIDE = 32
 STRETCH = 256 * WINDOW
+#: The memory of chunks is smaller than the encoder's default: a stretch needs room too.
+CACHE_CHARS = 7_000_000
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
@@ -77,7 +79,7 @@ def choose_cuts(positions: list[int], penalties: list[int], window: int) -> list
 
 def sentence_ends(path: str) -> np.ndarray:
     """For each id, whether its token ends a sentence (punctuation with . ! or ?)."""
-    vocab = tokens.encoder(path, False).tokenizer.get_vocab()
+    vocab = tokens.encoder(path, False, CACHE_CHARS).tokenizer.get_vocab()
     ends = np.zeros(max(vocab.values()) + 1, bool)
     for token, i in vocab.items():
         ends[i] = bool(re.fullmatch(r"\W*[.!?]\W*</w>", token))
@@ -174,7 +176,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
     arrow = pa.schema([(n, pa.int64()) for n in re.findall(r"(\w+) long", SCHEMA)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = tokens.encoder(tokenizer_path, False)
+        coder = tokens.encoder(tokenizer_path, False, CACHE_CHARS)
         packer = Packer(TaskContext.get().partitionId(), sentence_ends(tokenizer_path), window, stretch)
         for batch in batches:
             if batch.num_rows:

@@ -62,9 +62,10 @@ class ChunkEncoder:
     text are ordinary text.
     """
 
-    def __init__(self, tokenizer: Tokenizer, spaces: bool):
+    def __init__(self, tokenizer: Tokenizer, spaces: bool, cache_chars: int | None = None):
         tokenizer.encode_special_tokens = True
         self.tokenizer, self.spaces, self.tokenize = tokenizer, spaces, tokenizer.model.tokenize
+        self.cache_chars = cache_chars or CACHE_CHARS
         self.tails: dict[str, list[int]] = {}
         if spaces:  # bytes that each id stands for; byte-level tokens have one character per byte
             self.width = np.zeros(tokenizer.get_vocab_size(), np.int64)
@@ -208,7 +209,7 @@ class ChunkEncoder:
         return at, counts
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if self.chars > CACHE_CHARS:
+        if self.chars > self.cache_chars:
             self._trim()
         self.recent = []
         slow = [i for i, t in enumerate(texts) if has_runs(t)] if self.spaces else []
@@ -236,10 +237,10 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
-@functools.lru_cache(maxsize=4)
-def encoder(path: str, spaces: bool) -> ChunkEncoder:
+@functools.lru_cache(maxsize=2)
+def encoder(path: str, spaces: bool, cache_chars: int | None = None) -> ChunkEncoder:
     """One encoder for each vocabulary file and worker."""
-    return ChunkEncoder(Tokenizer.from_file(path), spaces)
+    return ChunkEncoder(Tokenizer.from_file(path), spaces, cache_chars)
 
 
 def with_end(ids: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
