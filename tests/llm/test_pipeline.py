@@ -4,6 +4,8 @@ import hashlib
 import re
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm.test_exact import TABLE
 from tests.llm.test_packing import check
@@ -19,7 +21,14 @@ def rows(df):
 
 def test_stages_one_after_another(spark, tmp_path):
     docs = common.table(spark, SF, "documents")
-    model = quality.train(docs, common.table(spark, SF, "labels"))
+    # near copies of the longest documents: one word more, one word less
+    longest = docs.orderBy(F.desc("n_chars"), "doc_id").limit(20)
+    docs = (docs.unionByName(longest.withColumns({"doc_id": F.col("doc_id") + 10_000, "text": F.concat("text", F.lit(" tail"))}))
+            .unionByName(longest.withColumns({"doc_id": F.col("doc_id") + 20_000, "text": F.regexp_replace("text", " \\S+$", "")})))
+    docs.write.parquet(str(tmp_path / "start"))
+    docs = spark.read.parquet(str(tmp_path / "start"))
+    first = docs
+    model = quality.train(common.table(spark, SF, "documents"), common.table(spark, SF, "labels"))
     outs = []
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
         out = stage(spark, docs, SF)
@@ -28,7 +37,7 @@ def test_stages_one_after_another(spark, tmp_path):
         out.write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
         outs.append(docs)
-    start = rows(common.table(spark, SF, "documents"))
+    start = rows(first)
     good = [(i, t) for i, t in start if quality.probability(model, t or "") >= quality.THRESHOLD]
     assert rows(outs[0]) == good and len(good) < len(start)
 
