@@ -158,3 +158,11 @@ def test_alerts_do_not_depend_on_arrow_batches(spark, tmp_path, records):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert sorted(r.transaction_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == sorted(want)
+
+
+def test_reconciling_an_empty_lake_gives_zeros(spark, tmp_path):
+    from vigil.plans.ingest import reconcile_days
+    from vigil.sinks.upsert import read_table
+    reconcile_days(spark, str(tmp_path / "no-lake"), str(tmp_path / "summary"), ["2026-01-02"])
+    row = read_table(spark, str(tmp_path / "summary"), DAILY_SUMMARY).first()
+    assert (row.total_txns, row.flagged_count, row.top_rule) == (0, 0, None)

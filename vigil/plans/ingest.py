@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from vigil.operators.daily import daily_summary
 from vigil.schemas import DAILY_SUMMARY, LOANS, RATES
 from vigil.sinks.lake import overwrite_partitions, write_if_absent
-from vigil.sinks.upsert import upsert
+from vigil.sinks.upsert import path_exists, upsert
 from vigil.sources.lake import read_lake_day
 from vigil.sources.loans import read_loans_csv
 from vigil.sources.rates import read_rate_files
@@ -33,7 +33,10 @@ def reconcile_days(spark: SparkSession, lake_root: str, table_root: str,
     """S3 + A2 + K3: summarise the given days of the lake (default: yesterday,
     UTC) and upsert one row per day; days without files get a row of zeros."""
     days = list(days or [yesterday_utc()])
-    lake = spark.read.option("basePath", lake_root).parquet(lake_root).where(F.col("dt").isin(*days))
+    if path_exists(spark, lake_root):
+        lake = spark.read.option("basePath", lake_root).parquet(lake_root).where(F.col("dt").isin(*days))
+    else:  # nothing has been written yet: days of zeros (N7)
+        lake = spark.createDataFrame([], "dt string, amount double, is_fraud_detected boolean, rule_name string")
     dates = spark.createDataFrame([(dt.date.fromisoformat(d),) for d in days], "summary_date date")
     return upsert(spark, table_root, daily_summary(lake, dates, now=now), DAILY_SUMMARY, now=now)
 

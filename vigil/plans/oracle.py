@@ -204,7 +204,7 @@ CTES.update({
     o_orderpriority AS loan_intent,
     CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS SMALLINT) AS loan_status,
     CASE WHEN o_orderstatus = 'P' THEN 'Y' ELSE 'N' END AS cb_person_default_on_file
-  FROM orders JOIN customer ON o_custkey = c_custkey""",
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
     "stg_loans": """SELECT loan_id, coalesce(person_age, 0) AS person_age,
     coalesce(person_income, 0) AS person_income, coalesce(loan_amnt, 0) AS loan_amnt,
     coalesce(loan_int_rate, 0) AS loan_int_rate, upper(loan_grade) AS loan_grade, loan_intent,
@@ -593,3 +593,18 @@ SELECT strftime(make_timestamp(s * 3600000000), '%Y-%m-%d %H:%M:%S.%f') AS windo
        nameOrig, count(*) AS tx_count, sum(amount) AS total_amount, max(amount) AS max_amount
 FROM (SELECT *, epoch_us(event_time) // 3600000000 - unnest(range(0, 6)) AS s FROM tx) t
 GROUP BY s, nameOrig""")
+
+
+# ---------------------------------------------------------------- written and read back
+
+oracle("lake_days", """SELECT strftime(event_time, '%Y-%m-%d') AS dt, count(*) AS n, sum(amount) AS amount,
+       count(rule_name) AS flagged FROM scored GROUP BY 1""")
+oracle("flagged_store", "SELECT transaction_id, origin_account, amount, rule_name, tx_count_5m FROM serving")
+oracle("rates_upsert", "SELECT rate_date, CAST(usd_lkr_rate + 1 AS DECIMAL(10,4)) AS usd_lkr_rate, source_url FROM rates")
+oracle("snapshot", "SELECT type, count(*) AS n, sum(amount + 1) AS amount FROM tx GROUP BY type")
+oracle("stream_unique", "SELECT transaction_id, amount FROM tx")
+# an event counts those of its account that come before it, by time and then id, within the window
+oracle("stream_alerts", """SELECT a.transaction_id, a.nameOrig FROM tx a JOIN tx b ON a.nameOrig = b.nameOrig
+  AND b.event_time BETWEEN a.event_time - INTERVAL 6 HOUR AND a.event_time
+  AND (b.event_time < a.event_time OR b.transaction_id <= a.transaction_id)
+GROUP BY ALL HAVING count(*) >= 3""")

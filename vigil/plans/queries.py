@@ -579,3 +579,90 @@ def q_sliding(spark, sf):
     w = windowed_stats(_tx(spark, sf), "6 hours", "1 hour")
     return w.select(_ts("window_start"), _ts("window_end"), "nameOrig", "tx_count", "total_amount",
                     "max_amount")
+
+
+# ---------------------------------------------------------------- written and read back
+
+def _scratch(spark, name):
+    from vigil.session import scratch_path
+    return scratch_path(spark, name)
+
+
+@query("lake_days")
+def q_lake_days(spark, sf):
+    """K1 + S3 + F5: scored rows written to the lake in two micro-batches, one of them twice; rows by day."""
+    from vigil.sinks.lake import read_lake, write_lake_batch
+    root = _scratch(spark, "lake")
+    s = _scored(spark, sf).select("transaction_id", "dt", "amount", "rule_name")
+    even = F.pmod(F.col("transaction_id").cast("long"), F.lit(2)) == 0
+    write_lake_batch(s.where(even), root, 0)
+    write_lake_batch(s.where(~even), root, 1)
+    write_lake_batch(s.where(~even), root, 1)
+    lake = read_lake(spark, root)
+    return (lake.groupBy(F.col("dt").cast("string").alias("dt"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"), F.count("rule_name").alias("flagged")))
+
+
+@query("flagged_store")
+def q_flagged_store(spark, sf):
+    """K2: flagged rows written, a batch delivered again under a new id; the store's rows by key."""
+    from vigil.sinks.lake import read_flagged, write_flagged_batch
+    root = _scratch(spark, "flagged")
+    rows = _serving(spark, sf)
+    write_flagged_batch(rows, root, 0)
+    write_flagged_batch(rows.withColumn("rule_name", F.lit("later")), root, 1)
+    return read_flagged(spark, root).select("transaction_id", "origin_account", "amount", "rule_name", "tx_count_5m")
+
+
+@query("rates_upsert")
+def q_rates_upsert(spark, sf):
+    """K5 + K3: rates written through the versioned upsert, then every rate again, larger by one."""
+    from vigil.schemas import RATES
+    from vigil.sinks.upsert import read_table, upsert
+    root = _scratch(spark, "rates")
+    r = derived.rates(spark, sf)
+    upsert(spark, root, r, RATES, order="loaded_at")
+    upsert(spark, root, r.withColumn("usd_lkr_rate", F.col("usd_lkr_rate") + 1), RATES, order="loaded_at")
+    return read_table(spark, root, RATES).select("rate_date", "usd_lkr_rate", "source_url")
+
+
+@query("snapshot")
+def q_snapshot(spark, sf):
+    """K6-K8 + S8: a seed snapshot of all transactions, kept on a second write, its days replaced once."""
+    from vigil.sinks.lake import overwrite_partitions, write_if_absent, write_snapshot
+    root = _scratch(spark, "snapshot")
+    tx = _tx(spark, sf).select("transaction_id", "type", "amount", F.date_format("event_time", "yyyy-MM-dd").alias("dt"))
+    write_snapshot(tx, f"{root}/seed")
+    write_if_absent(tx.limit(0), f"{root}/seed")
+    seed = spark.read.parquet(f"{root}/seed")
+    overwrite_partitions(seed, f"{root}/days")
+    overwrite_partitions(seed.withColumn("amount", F.col("amount") + 1), f"{root}/days")
+    days = spark.read.parquet(f"{root}/days")
+    return days.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
+
+
+def _streamed(spark, sf, name, make):
+    """`make(stream)` run with availableNow over files written from all transactions."""
+    root = _scratch(spark, name)
+    tx = _tx(spark, sf).select("transaction_id", "nameOrig", "event_time", "amount")
+    tx.write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(tx.schema).parquet(f"{root}/in").withWatermark("event_time", "10 minutes")
+    q = (make(stream).writeStream.format("parquet").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+@query("stream_alerts")
+def q_stream_alerts(spark, sf):
+    """W8 + W6: rapid-fire alerts of a stream over all transactions, 6 hours and 3 events."""
+    from vigil.streaming.alerts import rapid_fire_alerts
+    return _streamed(spark, sf, "alerts", lambda s: rapid_fire_alerts(s, window_seconds=6 * 3600)).select("transaction_id", "nameOrig")
+
+
+@query("stream_unique")
+def q_stream_unique(spark, sf):
+    """A stream that delivers every transaction twice, each id once."""
+    from vigil.streaming.windows import dedup_stream
+    return _streamed(spark, sf, "unique", lambda s: dedup_stream(s.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy"))
+                     ).select("transaction_id", "amount")

@@ -100,6 +100,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p  # noqa: SLF001
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether something is at `path`, in any store that Spark reads."""
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
     """Version numbers under `root` whose write committed (`_SUCCESS` present)."""
     fs, p = _fs(spark, root)

@@ -149,7 +149,7 @@ def _build_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
-    j = o.join(c, o.o_custkey == c.c_custkey, "inner")
+    j = o.join(c, o.o_custkey == c.c_custkey, "left")
     return j.select(
         F.concat(F.lit("L"), F.col("o_orderkey").cast("string")).alias("loan_id"),
         (F.lit(18) + F.col("o_custkey") % 50).cast("short").alias("person_age"),
