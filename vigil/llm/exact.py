@@ -104,16 +104,18 @@ def find_duplicates(docs: DataFrame) -> DataFrame:
     equal texts the row with the largest doc_id stays; null doc_ids are smaller than
     any other. Every row comes back, repeated rows too; among rows that tie for the
     place (same text and doc_id) exactly one is kept. Columns of the input with one
-    of the new names give way to them. An empty table gives an empty result.
+    of the new names, or named _h, _sha, _tie or _rank, give way. An empty table gives an
+    empty result.
     """
     spark = docs.sparkSession
-    new = {"keep_id", "group_size", "kept", "text_sha256", "_h", "_sha"}
+    new = {"keep_id", "group_size", "kept", "text_sha256", "_h", "_sha", "_tie", "_rank"}
     docs = docs.drop(*[c for c in docs.columns if c.lower() in new])
     entries = build_index(docs, scratch_path(spark, "exact-index")).select("_h", "_sha", "group_size", "keep_id")
     found = _keyed(docs).join(entries, ["_h", "_sha"])
     top = F.col("doc_id").cast("long").eqNullSafe(F.col("keep_id"))
-    # only rows that tie for the place are ranked; the others spread out and are not kept
-    tie = F.when(top & (F.col("group_size") > 1), F.lit(0).cast("long")).otherwise(F.monotonically_increasing_id() + 1)
+    # only rows that tie for the place are ranked; the others spread out by a hash of their id, which
+    # a retried task deals out as before, and are not kept
+    tie = F.when(top, F.lit(0).cast("long")).otherwise(F.xxhash64("doc_id").bitwiseOR(F.lit(1)))
     ranked = found.withColumn("_tie", tie)
     rank = F.row_number().over(Window.partitionBy("_h", "_sha", "_tie").orderBy("_h"))
     return (ranked.repartition("_h", "_sha", "_tie").withColumn("_rank", rank)
