@@ -164,30 +164,30 @@ class GrayTree:
         return q, node
 
 
-def spanning_links(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
+def merge(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Merge the components of rows a and b, in place: minima first, then shortcuts."""
+    while True:
+        x, y = parent[a], parent[b]
+        differ = x != y
+        if not differ.any():
+            return
+        a, b, x, y = a[differ], b[differ], x[differ], y[differ]
+        np.minimum.at(parent, np.maximum(x, y), np.minimum(x, y))
+        while True:
+            up = parent[parent]
+            if (up == parent).all():
+                break
+            parent[:] = up
+
+
+def spanning_links(fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """(smaller row, row) edges that connect rows of one node exactly as their links do."""
     n = len(fps)
     parent = np.arange(n)
-
-    def hang(a: np.ndarray, b: np.ndarray) -> None:
-        """Merge the components of a and b (arrays of rows): minima first, then shortcuts."""
-        while True:
-            x, y = parent[a], parent[b]
-            differ = x != y
-            if not differ.any():
-                return
-            a, b, x, y = a[differ], b[differ], x[differ], y[differ]
-            np.minimum.at(parent, np.maximum(x, y), np.minimum(x, y))
-            while True:
-                up = parent[parent]
-                if (up == parent).all():
-                    break
-                parent[:] = up
-
     if n <= 2 * FAN:
         a, b = np.triu_indices(n, 1)
         near = np.bitwise_count(fps[a] ^ fps[b]) <= distance
-        hang(a[near], b[near])
+        merge(parent, a[near], b[near])
     else:
         tree = GrayTree(fps)
         step = max(1, SEARCH_PAIRS // n)
@@ -195,9 +195,9 @@ def spanning_links(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
             a, b = tree.search(fps[i:i + step], distance)
             a = a + i
             later = a < b
-            hang(a[later], b[later])
+            merge(parent, a[later], b[later])
     rows = np.flatnonzero(parent != np.arange(n))
-    return list(zip(parent[rows].tolist(), rows.tolist(), strict=True))
+    return parent[rows], rows
 
 
 def _small_nodes(mask: np.ndarray, bits: np.ndarray, fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
@@ -205,7 +205,7 @@ def _small_nodes(mask: np.ndarray, bits: np.ndarray, fps: np.ndarray, distance:
     edge = np.flatnonzero((mask[1:] != mask[:-1]) | (bits[1:] != bits[:-1])) + 1
     begins, ends = np.concatenate([[0], edge]), np.concatenate([edge, [len(fps)]])
     sizes = ends - begins
-    left, right = [], []
+    parent = np.arange(len(fps))
     # small nodes at once: rows at offset k in the same node
     small = np.repeat(sizes <= FAN, sizes)
     node = np.repeat(np.arange(len(sizes)), sizes)
@@ -214,14 +214,12 @@ def _small_nodes(mask: np.ndarray, bits: np.ndarray, fps: np.ndarray, distance:
         if not len(a):
             break
         a = a[np.bitwise_count(fps[a] ^ fps[a + k]) <= distance]
-        left.append(a)
-        right.append(a + k)
+        merge(parent, a, a + k)
     for b, e in zip(begins[sizes > FAN].tolist(), ends[sizes > FAN].tolist(), strict=True):
-        links = np.array(spanning_links(fps[b:e], distance), np.int64).reshape(-1, 2) + b
-        left.append(links[:, 0])
-        right.append(links[:, 1])
-    cat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-    return cat(left), cat(right)
+        low, high = spanning_links(fps[b:e], distance)
+        parent[high + b] = low + b
+    rows = np.flatnonzero(parent != np.arange(len(fps)))
+    return parent[rows], rows
 
 
 def links(nodes: DataFrame, max_distance: int) -> DataFrame:
@@ -286,6 +284,8 @@ def components(edges: DataFrame, path: str) -> DataFrame:
         if now == state:
             break
         state = now
+    else:
+        raise RuntimeError("components did not settle")
     return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
