@@ -1,23 +1,24 @@
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from vigil.llm import common, linededup
 
 
 def brute(rows, min_support=linededup.MIN_SUPPORT, similarity=linededup.SIMILARITY):
     """Dropped masked lines with every leaf in memory, without splitting."""
-    holders = defaultdict(set)
+    holders, copies = defaultdict(set), Counter()
     for i, t in rows:
-        for line in (t or "").split("\n"):
-            parts = linededup.mask(line)
-            if len(parts) >= linededup.MIN_TOKENS:
-                holders[tuple(parts)].add(i if i is not None else t)
+        for line in {tuple(linededup.mask(x)) for x in (t or "").split("\n")}:
+            if len(line) >= linededup.MIN_TOKENS:
+                holders[line].add(i if i is not None else t)
+                copies[line] += 1
+    support = {line: copies[line] if len(own) > 1 else 1 for line, own in holders.items()}
     leaves = defaultdict(list)
     for parts in holders:
         leaves[len(parts), parts[:linededup.DEPTHS[0]]].append(parts)
     gone = set()
     for lines in leaves.values():
         found = []
-        for parts in sorted(lines, key=lambda p: (-len(holders[p]), list(p))):
+        for parts in sorted(lines, key=lambda p: (-support[p], list(p))):
             best, score = None, 0
             for f in found:
                 same = sum(a == b for a, b in zip(f[0], parts, strict=True))
@@ -29,7 +30,7 @@ def brute(rows, min_support=linededup.MIN_SUPPORT, similarity=linededup.SIMILARI
             else:
                 found.append([list(parts), [parts]])
         for _, members in found:
-            if sum(len(holders[m]) for m in members) >= min_support and len(set().union(*(holders[m] for m in members))) > 1:
+            if sum(support[m] for m in members) >= min_support and len(set().union(*(holders[m] for m in members))) > 1:
                 gone |= set(members)
     return gone
 
@@ -65,6 +66,12 @@ def test_one_document_is_not_recurring(frame):
     assert linededup.drop_recurring(frame([(1, text), (1, text), (1, text)])).where("n_dropped > 0").count() == 0
 
 
+def test_repeated_rows_count_beside_another_document(frame):
+    rows = [(1, "the same long line here"), (1, "the same long line here"), (2, "the same long line here")]
+    got = rows_of(linededup.drop_recurring(frame(rows)))
+    assert got == cleaned(rows, brute(rows)) and all(r[3] == 1 for r in got)
+
+
 def test_documents_match_brute_force(spark):
     docs = common.table(spark, "/root/testdata/sf0.001", "documents")
     rows = [(r.doc_id, r.text) for r in docs.collect()]

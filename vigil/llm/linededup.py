@@ -4,7 +4,7 @@ A log-template tree: a line with `MIN_TOKENS` tokens or more goes down by its nu
 tokens and its leading tokens to a leaf; tokens with digits count as the wildcard <*>. In a leaf, lines
 that agree with a template in at least `SIMILARITY` of the positions join it, and the
 positions where they differ become wildcards. A template recurs if its lines' supports
-(documents that hold the line) add up to `MIN_SUPPORT` and more than one document is among
+(rows of documents that hold the line; 1 where all are one document's) add up to `MIN_SUPPORT` and more than one document is among
 them; all lines of recurring templates are dropped everywhere.
 
 Spark does the partitioning. Equal masked lines meet in a partial aggregate, so a line that a
@@ -165,7 +165,8 @@ def drop_recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity:
 
     Reads `doc_id` and `text`; other columns are left out. Null text is empty: one empty
     line, none dropped. Lines shorter than MIN_TOKENS tokens always stay. Rows with a null
-    doc_id count as documents by their text; repeated rows count once and all come back.
+    doc_id count as documents by their text. Repeated rows all come back; a line that only they
+    hold counts once, and one that other documents hold too counts each of its rows.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "line-drops")
