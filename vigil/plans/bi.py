@@ -9,16 +9,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigil.functions.calendar import calendar_columns
 from vigil.functions.money import pct
 from vigil.functions.rules import describe_rule
 from vigil.operators.sequence import previous_value
 
 
-def flags_per_day(fact: DataFrame, d_date: DataFrame) -> DataFrame:
-    """B1: flagged events per calendar day."""
-    return (fact.groupBy("date_key").agg(F.count(F.lit(1)).alias("n_flags"))
-            .join(d_date.select("date_key", "full_date"), "date_key", "left")
-            .select("full_date", "n_flags"))
+def flags_per_day(fact: DataFrame) -> DataFrame:
+    """B1: flagged events per calendar day.
+
+    `dim_date` holds nothing but attributes of the date, so they are derived from the
+    event date after the aggregation instead of being joined.
+    """
+    return (fact.groupBy(F.col("event_date").alias("full_date"))
+            .agg(F.count(F.lit(1)).alias("n_flags")))
 
 
 def flags_by_rule(scored: DataFrame) -> DataFrame:
@@ -70,8 +74,8 @@ def rate_trend(rates: DataFrame) -> DataFrame:
         (F.col("usd_lkr_rate") - F.col("prev_usd_lkr_rate")).cast("decimal(11,4)").alias("rate_change"))
 
 
-def weekend_vs_weekday(fact: DataFrame, d_date: DataFrame) -> DataFrame:
-    """Flags by month, weekend vs weekday."""
-    return (fact.groupBy("date_key").agg(F.count(F.lit(1)).alias("n"))
-            .join(d_date.select("date_key", "year_month", "is_weekend"), "date_key", "left")
+def weekend_vs_weekday(fact: DataFrame) -> DataFrame:
+    """Flags by month, weekend vs weekday (calendar attributes as in `flags_per_day`)."""
+    days = fact.groupBy("event_date").agg(F.count(F.lit(1)).alias("n"))
+    return (days.select("n", *calendar_columns(F.col("event_date")))
             .groupBy("year_month", "is_weekend").agg(F.sum("n").alias("n_flags")))

@@ -23,25 +23,29 @@ from vigil.functions.rules import describe_rule
 def dim_account(stg: DataFrame) -> DataFrame:
     """A3: per origin account: flag count, amount stats, time span, commonest rule.
 
-    Every aggregate here has a bounded partial buffer (`mode` keeps a map of
-    rule -> count, bounded by the number of rules), so a hot account is
-    reduced map-side before the shuffle.
+    Rows are first folded to one per account and rule by plain hash aggregates, so a
+    hot account is reduced map-side; an account then has as many rows as rules.
+    Of equally common rules the first by name counts.
     """
-    amt = F.col("amount")
-    return (stg.groupBy("origin_account").agg(
-        F.count(F.lit(1)).alias("total_flags"),
-        F.sum(amt).alias("total_flagged_amount"),
-        exact_avg(amt, 6).alias("avg_flagged_amount"),
-        F.max(amt).alias("max_single_flagged_amount"),
-        F.min("event_time").alias("first_seen_at"),
-        F.max("event_time").alias("last_seen_at"),
-        F.mode("rule_name", deterministic=True).alias("most_common_rule"),
-        F.countDistinct("rule_name").alias("distinct_rules_triggered"),
+    amt, rule = F.col("amount"), F.col("rule_name")
+    per_rule = stg.groupBy("origin_account", "rule_name").agg(
+        F.count(F.lit(1)).alias("_n"), F.count(amt).alias("_amounts"), F.sum(amt).alias("_sum"),
+        F.max(amt).alias("_max"), F.min("event_time").alias("_first"), F.max("event_time").alias("_last"))
+    commonest = F.when(rule.isNotNull(), F.struct(-F.col("_n"), rule))  # rows without a rule are passed over
+    total = F.sum("_sum").cast("decimal(28,2)")
+    return (per_rule.groupBy("origin_account").agg(
+        F.sum("_n").alias("total_flags"),
+        total.alias("total_flagged_amount"),
+        exact_ratio(total, F.sum("_amounts"), 6, 2).alias("avg_flagged_amount"),
+        F.max("_max").alias("max_single_flagged_amount"),
+        F.min("_first").alias("first_seen_at"),
+        F.max("_last").alias("last_seen_at"),
+        F.min_by(rule, commonest).alias("most_common_rule"),
+        F.count(rule).alias("distinct_rules_triggered"),
     ).select(
         text_key(F.col("origin_account")).alias("account_key"),
         F.col("origin_account").alias("account_id"),
-        "total_flags",
-        F.col("total_flagged_amount").cast("decimal(28,2)").alias("total_flagged_amount"),
+        "total_flags", "total_flagged_amount",
         "avg_flagged_amount", "max_single_flagged_amount", "first_seen_at", "last_seen_at",
         "most_common_rule", "distinct_rules_triggered",
     ))

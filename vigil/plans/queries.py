@@ -229,9 +229,8 @@ def q_stg_daily(spark, sf):
 
 @query("flags_per_day")
 def q_b1(spark, sf):
-    """B1: flags per day (fact x dim_date)."""
-    stg = _stored_stg_flagged(spark, sf)
-    return bi.flags_per_day(marts.fact_fraud_events(stg, _rates(spark, sf)), marts.dim_date(stg))
+    """B1: flags per day."""
+    return bi.flags_per_day(_fact(spark, sf))
 
 
 @query("top_risk_accounts")
@@ -255,8 +254,7 @@ def q_b5(spark, sf):
 @query("weekend_vs_weekday")
 def q_b6(spark, sf):
     """Flags per month, weekend vs weekday."""
-    stg = _stored_stg_flagged(spark, sf)
-    return bi.weekend_vs_weekday(marts.fact_fraud_events(stg, _rates(spark, sf)), marts.dim_date(stg))
+    return bi.weekend_vs_weekday(_fact(spark, sf))
 
 
 # ---------------------------------------------------------------- data quality
