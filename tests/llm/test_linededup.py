@@ -1,3 +1,4 @@
+import random
 from collections import Counter, defaultdict
 
 from vigil.llm import common, linededup
@@ -92,3 +93,25 @@ def test_odd_rows(frame, odd_rows):
     got = linededup.drop_recurring(frame(odd_rows))
     assert rows_of(got) == cleaned(odd_rows, brute(odd_rows))
     assert linededup.drop_recurring(frame([])).count() == 0
+
+
+def test_crowded_leaf_keeps_its_templates(frame):
+    rows = [(k, f"Please contact name{chr(97 + k // 26)}{chr(97 + k % 26)} about this matter soon") for k in range(40)]
+    rows += [(50 + k, f"Please contact {x} about that thing today\nown line of document {x} only") for k, x in enumerate("abc")]
+    rows += [(60 + k, "\n".join(f"one two {chr(97 + j % 7)} {chr(97 + k % 5)}x filler word{chr(97 + j)} end" for j in range(12))) for k in range(6)]
+    want = cleaned(rows, brute(rows))
+    assert sum(r[3] for r in want) >= 43
+    for leaf_rows in (1, 3, 1000):
+        assert rows_of(linededup.drop_recurring(frame(rows), leaf_rows=leaf_rows)) == want
+
+
+def test_lines_one_by_one_give_the_same_templates():
+    rng = random.Random(5)
+    for size in (1, 2, 3, 5, 7, 10, 13, 16, 21):
+        for similarity in (0.5, 0.8, 1.0):
+            lines = [list(x) for x in {("a", "b", *[rng.choice(["x", "x", "x", "y", "z", linededup.WILD]) for _ in range(size - 2)])[:size] for _ in range(150)}]
+            supports = [rng.choice([1, 1, 2, 5]) for _ in lines]
+            forms, members = linededup.Forms(size, similarity), {}
+            for k in sorted(range(len(lines)), key=lambda k: (-supports[k], lines[k])):
+                members.setdefault(forms.place(lines[k]), []).append(k)
+            assert [(f, members[j]) for j, f in enumerate(forms.forms)] == linededup.templates(lines, supports, similarity)

@@ -8,15 +8,17 @@ positions where they differ become wildcards. A template recurs if its lines' su
 them; all lines of recurring templates are dropped everywhere.
 
 Spark does the partitioning. Equal masked lines meet in a partial aggregate, so a line that a
-third of all documents share is one row. Leaves are sorted runs inside partitions; a leaf
-with more than `LEAF_ROWS` distinct lines is split by further leading tokens, at last by all of
-them, so no task holds an unbounded leaf. Documents find their lines to drop by joins.
+third of all documents share is one row. Leaves are sorted runs inside partitions. A leaf
+with more than `LEAF_ROWS` distinct lines gives the same templates without being held: its
+lines pass through one task in order, which keeps the templates, found by blocks of
+positions; lines meet the supports of their templates by a join. Documents find their lines to drop by joins.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,9 @@ from vigil.session import scratch_path
 
 WILD = "<*>"
 MIN_TOKENS, MIN_SUPPORT, SIMILARITY = 5, 3, 0.8
-#: Leading tokens on the way to a leaf; each further number is for leaves that are too large.
-DEPTHS = (2, 4, 8)
+#: Leading tokens on the way to a leaf.
+DEPTHS = (2,)
+#: Leaves of more distinct lines are read in order instead of being held.
 LEAF_ROWS = 1000
 DIGIT = re.compile(r"\d")
 
@@ -84,6 +87,52 @@ def templates(lines: list[list[str]], supports: list[int], similarity: float = S
     return [([names[c] for c in forms[j]], members) for j, members in enumerate(out)]
 
 
+class Forms:
+    """Templates of lines of one length that come one by one, in the order and with the results of `templates`.
+
+    A line that agrees with a template in all but d positions agrees with it in one of d + 1
+    blocks of positions, so only templates that share a block with the line are compared.
+    """
+
+    def __init__(self, size: int, similarity: float = SIMILARITY):
+        self.least = similarity * size
+        apart = next((d for d in range(size) if size - d - 1 < self.least), size)
+        free = range(min(DEPTHS[0], size), size)  # the path to the leaf tells nothing apart
+        if len(free) <= apart:
+            self.blocks = [()]
+        elif apart == 1:
+            self.blocks = [tuple(p for p in free if p != q) for q in free]
+        else:
+            self.blocks = [tuple(free[k::apart + 1]) for k in range(apart + 1)]
+        self.forms: list[list[str]] = []
+        self.index: dict[tuple, list[int]] = {}
+
+    def keys(self, parts: list[str]) -> list[tuple]:
+        return [(k, *[parts[p] for p in block]) for k, block in enumerate(self.blocks)]
+
+    def place(self, parts: list[str]) -> int:
+        """Number of the template that the line joins or founds."""
+        keys = self.keys(parts)
+        best, most = -1, -1
+        for j in sorted({j for key in keys for j in self.index.get(key, ())}):
+            same = sum(map(eq, self.forms[j], parts))
+            if same > most:
+                best, most = j, same
+        if best >= 0 and most >= self.least:
+            if most < len(parts):
+                old = self.keys(self.forms[best])
+                self.forms[best] = [a if a == b else WILD for a, b in zip(self.forms[best], parts, strict=True)]
+                for was, now in zip(old, self.keys(self.forms[best]), strict=True):
+                    if was != now:
+                        self.index[was].remove(best)
+                        self.index.setdefault(now, []).append(best)
+            return best
+        for key in keys:
+            self.index.setdefault(key, []).append(len(self.forms))
+        self.forms.append(list(parts))
+        return len(self.forms) - 1
+
+
 def recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float = SIMILARITY, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """(line_hash, template, support): masked lines to drop.
 
@@ -103,24 +152,15 @@ def recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float
     (lines.groupBy("line").agg(F.count(F.lit(1)).alias("support"), F.min("doc").alias("a"), F.max("doc").alias("b"))
      .withColumn("support", F.when(F.col("a") == F.col("b"), F.lit(1)).otherwise(F.col("support")))
      .select("line", "support", "a", "b",
-             *[F.xxhash64(F.size(parts), F.slice(parts, 1, d)).alias(f"leaf{k}") for k, d in enumerate(DEPTHS)],
-             F.xxhash64("line").alias(f"leaf{len(DEPTHS)}"))
+             F.xxhash64(F.size(parts), F.slice(parts, 1, DEPTHS[0])).alias("leaf"))
      .write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/lines"))
-    open_rows = spark.read.parquet(f"{path}/lines")
-    placed = None
-    for k in range(len(DEPTHS) + 1):
-        leaf = F.col(f"leaf{k}").alias("leaf")
-        rows = open_rows.select(leaf, "line", "support", "a", "b")
-        if k < len(DEPTHS):
-            open_rows.groupBy(f"leaf{k}").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf_rows).select(f"leaf{k}").write.mode("overwrite").parquet(f"{path}/crowded{k}")
-            crowded = spark.read.parquet(f"{path}/crowded{k}")
-            some = not crowded.isEmpty()
-            if some:
-                rows = open_rows.join(crowded, f"leaf{k}", "left_anti").select(leaf, "line", "support", "a", "b")
-                open_rows = open_rows.join(crowded, f"leaf{k}", "left_semi")
-        placed = rows if placed is None else placed.unionByName(rows)
-        if k < len(DEPTHS) and not some:
-            break
+    held_rows = spark.read.parquet(f"{path}/lines").select("leaf", "line", "support", "a", "b")
+    held_rows.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf_rows).select("leaf").write.mode("overwrite").parquet(f"{path}/crowded")
+    crowded = spark.read.parquet(f"{path}/crowded")
+    large = None
+    if not crowded.isEmpty():
+        large = held_rows.join(crowded, "leaf", "left_semi")
+        held_rows = held_rows.join(crowded, "leaf", "left_anti")
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -155,8 +195,49 @@ def recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float
             if out:
                 yield emit(out)
 
-    return (placed.repartition("leaf").sortWithinPartitions("leaf")
-            .mapInArrow(parse, "line_hash long, template string, support long"))
+    def read_through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each line (founder and line_hash), and one for each template when its leaf ends."""
+        at, forms, sums = None, None, []
+
+        def emit(rows: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (
+                pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["founder", "line_hash", "template", "support", "a", "b"])
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            for k in range(0, len(sums), common.BATCH_ROWS):
+                yield emit([(x[0], None, " ".join(form), *x[1:]) for x, form in zip(
+                    sums[k:k + common.BATCH_ROWS], forms.forms[k:k + common.BATCH_ROWS], strict=True)])
+
+        for batch in batches:
+            out = []
+            for leaf, size, line, support, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at != (leaf, size):
+                    yield from ended()
+                    at, forms, sums = (leaf, size), Forms(size, similarity), []
+                h = _hash(line)
+                j = forms.place(line.split(" "))
+                if j == len(sums):
+                    sums.append([h, 0, a, b])
+                own = sums[j]
+                own[1:] = own[1] + support, min(own[2], a), max(own[3], b)
+                out.append((own[0], h, None, None, None, None))
+            if out:
+                yield emit(out)
+        yield from ended()
+
+    found = (held_rows.repartition("leaf").sortWithinPartitions("leaf")
+             .mapInArrow(parse, "line_hash long, template string, support long"))
+    if large is None:
+        return found
+    # tokens are compared one by one, as lists are in `templates`
+    (large.withColumn("size", F.size(parts)).withColumn("parts", parts).repartition("leaf")
+     .sortWithinPartitions("leaf", "size", F.desc("support"), "parts").select("leaf", "size", "line", "support", "a", "b")
+     .mapInArrow(read_through, "founder long, line_hash long, template string, support long, a long, b long")
+     .write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/read"))
+    read = spark.read.parquet(f"{path}/read")
+    kept = read.where(F.col("line_hash").isNull() & (F.col("support") >= min_support) & (F.col("a") != F.col("b"))).select("founder", "template", "support")
+    members = read.where(F.col("line_hash").isNotNull()).select("founder", "line_hash")
+    return found.unionByName(members.join(kept, "founder").select("line_hash", "template", "support"))
 
 
 def drop_recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float = SIMILARITY,
