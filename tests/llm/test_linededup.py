@@ -115,3 +115,17 @@ def test_lines_one_by_one_give_the_same_templates():
             for k in sorted(range(len(lines)), key=lambda k: (-supports[k], lines[k])):
                 members.setdefault(forms.place(lines[k]), []).append(k)
             assert [(f, members[j]) for j, f in enumerate(forms.forms)] == linededup.templates(lines, supports, similarity)
+
+
+def of_query(spark, frame, tmp_path, rows):
+    frame(rows, extra=False).write.parquet(f"{tmp_path}/documents.parquet")
+    return {r.doc_id: r.n_dropped for r in linededup.op7_linededup(spark, str(tmp_path)).collect()}
+
+
+def test_short_lines_of_the_query(spark, frame, tmp_path):
+    chinese = "\u7248\u6743\u6240\u6709\u672a\u7ecf\u8bb8\u53ef\u4e0d\u5f97\u8f6c\u8f7d"
+    rows = [(k, f"All rights  reserved.\n\n{k}\nnumber {k}\nowner {chr(97 + k)}" + "\nTo to." * (k < 9) + f"\n{chinese}" * (k < 3)) for k in range(12)]
+    assert of_query(spark, frame, tmp_path, rows) == {k: 1 + (k < 3) for k in range(12)}
+    got = rows_of(linededup.drop_recurring(frame(rows), leaf_rows=1, short_support=10))
+    assert {int(r[0]): r[3] for r in got} == {k: 1 + (k < 3) for k in range(12)}
+    assert all(f"\n\n{r[0]}\nnumber {r[0]}" in "\n" + r[1] for r in got)

@@ -7,6 +7,10 @@ positions where they differ become wildcards. A template recurs if its lines' su
 (rows of documents that hold the line; 1 where all are one document's) add up to `MIN_SUPPORT` and more than one document is among
 them; all lines of recurring templates are dropped everywhere.
 
+Shorter lines are templates as they stand, numbers included, and recur with a support of their own
+(`short_support`; None keeps them all): short phrases and numbers meet by accident. A line's length is its tokens,
+where scripts without spaces count each character, so a Chinese line of five characters is no short one.
+
 Spark does the partitioning. Equal masked lines meet in a partial aggregate, so a line that a
 third of all documents share is one row. Leaves are sorted runs inside partitions. A leaf
 with more than `LEAF_ROWS` distinct lines gives the same templates without being held: its
@@ -34,6 +38,10 @@ MIN_TOKENS, MIN_SUPPORT, SIMILARITY = 5, 3, 0.8
 DEPTHS = (2,)
 #: Leaves of more distinct lines are read in order instead of being held.
 LEAF_ROWS = 1000
+#: Support of lines shorter than MIN_TOKENS in the registered query.
+SHORT_SUPPORT = 10
+#: Thai to Khmer, kana, ideographs.
+SPACELESS = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 DIGIT = re.compile(r"\d")
 
 
@@ -51,15 +59,23 @@ def _hash(text: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def masked_lines(text: str) -> dict[str, int]:
-    """Distinct masked lines of a text that are long enough, with their hashes."""
-    out = {}
-    for line in text.split("\n"):
-        parts = mask(line)
-        if len(parts) >= MIN_TOKENS:
-            masked = " ".join(parts)
-            out[masked] = _hash(masked)
-    return out
+def masked(line: str, short: bool) -> str | None:
+    """The line as the tree takes it, with or without short lines; None for one that always stays."""
+    parts = mask(line)
+    if len(parts) >= MIN_TOKENS:
+        return " ".join(parts)
+    return " ".join(line.split()) if short and parts else None
+
+
+def length(form: str) -> int:
+    """Tokens of a masked line, characters where the script has no spaces."""
+    parts = form.split(" ")
+    return len(parts) if form.isascii() else sum(max(1, len(SPACELESS.findall(p))) for p in parts)
+
+
+def masked_lines(text: str, short: bool = False) -> dict[str, int]:
+    """Distinct masked lines of a text that are long enough (with `short`: all but empty ones), with their hashes."""
+    return {m: _hash(m) for line in text.split("\n") if (m := masked(line, short)) is not None}
 
 
 def templates(lines: list[list[str]], supports: list[int], similarity: float = SIMILARITY) -> list[tuple[list[str], list[int]]]:
@@ -133,7 +149,8 @@ class Forms:
         return len(self.forms) - 1
 
 
-def recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float = SIMILARITY, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+def recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float = SIMILARITY, leaf_rows: int = LEAF_ROWS,
+              short_support: int | None = None) -> DataFrame:
     """(line_hash, template, support): masked lines to drop.
 
     Documents are told apart by doc_id, those without one by their text.
@@ -142,7 +159,7 @@ def recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float
     path = scratch_path(spark, "line-templates")
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = [(m, d) for d, t in zip(batch.column(0).to_pylist(), common.strings(batch.column(1)), strict=True) for m in masked_lines(t)]
+        out = [(m, d) for d, t in zip(batch.column(0).to_pylist(), common.strings(batch.column(1)), strict=True) for m in masked_lines(t, short_support is not None)]
         return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.int64())], ["line", "doc"])
 
     text = common.text_of()
@@ -162,6 +179,12 @@ def recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float
         large = held_rows.join(crowded, "leaf", "left_semi")
         held_rows = held_rows.join(crowded, "leaf", "left_anti")
 
+    def alike(size: int) -> float:
+        return similarity if size >= MIN_TOKENS else 1.0
+
+    def needed(form: str) -> int:
+        return short_support if short_support is not None and length(form) < MIN_TOKENS else min_support
+
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
@@ -170,10 +193,10 @@ def recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float
             # a hash of the path can hold lines of two lengths: they are no leaf
             groups = [[k for k, x in enumerate(split) if len(x) == size] for size in sorted({len(x) for x in split})]
             found = [(" ".join(form), [own[m] for m in members]) for own in groups
-                     for form, members in templates([split[k] for k in own], [rows[k][2] for k in own], similarity)]
+                     for form, members in templates([split[k] for k in own], [rows[k][2] for k in own], alike(len(split[own[0]])))]
             for form, at in found or [(rows[0][1], [0])]:
                 support = sum(rows[k][2] for k in at)
-                if support >= min_support and min(rows[k][3] for k in at) != max(rows[k][4] for k in at):
+                if min(rows[k][3] for k in at) != max(rows[k][4] for k in at) and support >= needed(form):
                     out.extend((_hash(rows[k][1]), form, support) for k in at)
 
         def emit(out: list) -> pa.RecordBatch:
@@ -196,31 +219,37 @@ def recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float
                 yield emit(out)
 
     def read_through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each line (founder and line_hash), and one for each template when its leaf ends."""
+        """A row for each line (founder and line_hash), and one for each recurring template when its leaf ends."""
         at, forms, sums = None, None, []
 
         def emit(rows: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (
-                pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["founder", "line_hash", "template", "support", "a", "b"])
+                pa.int64(), pa.int64(), pa.string(), pa.int64()), strict=True)], ["founder", "line_hash", "template", "support"])
 
         def ended() -> Iterator[pa.RecordBatch]:
-            for k in range(0, len(sums), common.BATCH_ROWS):
-                yield emit([(x[0], None, " ".join(form), *x[1:]) for x, form in zip(
-                    sums[k:k + common.BATCH_ROWS], forms.forms[k:k + common.BATCH_ROWS], strict=True)])
+            out = []
+            for (founder, support, a, b), parts in zip(sums, forms.forms if forms else (), strict=True):
+                if a != b and support >= needed(form := " ".join(parts)):
+                    out.append((founder, None, form, support))
+                if len(out) == common.BATCH_ROWS:
+                    yield emit(out)
+                    out = []
+            if out:
+                yield emit(out)
 
         for batch in batches:
             out = []
             for leaf, size, line, support, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if at != (leaf, size):
                     yield from ended()
-                    at, forms, sums = (leaf, size), Forms(size, similarity), []
+                    at, forms, sums = (leaf, size), Forms(size, alike(size)), []
                 h = _hash(line)
                 j = forms.place(line.split(" "))
                 if j == len(sums):
                     sums.append([h, 0, a, b])
                 own = sums[j]
                 own[1:] = own[1] + support, min(own[2], a), max(own[3], b)
-                out.append((own[0], h, None, None, None, None))
+                out.append((own[0], h, None, None))
             if out:
                 yield emit(out)
         yield from ended()
@@ -232,30 +261,31 @@ def recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float
     # tokens are compared one by one, as lists are in `templates`
     (large.withColumn("size", F.size(parts)).withColumn("parts", parts).repartition("leaf")
      .sortWithinPartitions("leaf", "size", F.desc("support"), "parts").select("leaf", "size", "line", "support", "a", "b")
-     .mapInArrow(read_through, "founder long, line_hash long, template string, support long, a long, b long")
+     .mapInArrow(read_through, "founder long, line_hash long, template string, support long")
      .write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/read"))
     read = spark.read.parquet(f"{path}/read")
-    kept = read.where(F.col("line_hash").isNull() & (F.col("support") >= min_support) & (F.col("a") != F.col("b"))).select("founder", "template", "support")
+    kept = read.where(F.col("line_hash").isNull()).select("founder", "template", "support")
     members = read.where(F.col("line_hash").isNotNull()).select("founder", "line_hash")
     return found.unionByName(members.join(kept, "founder").select("line_hash", "template", "support"))
 
 
 def drop_recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float = SIMILARITY,
-                   leaf_rows: int = LEAF_ROWS) -> DataFrame:
+                   leaf_rows: int = LEAF_ROWS, short_support: int | None = None) -> DataFrame:
     """doc_id, text without the lines of recurring templates, n_lines and n_dropped, one row per row of `docs`.
 
     Reads `doc_id` and `text`; other columns are left out. Null text is empty: one empty
-    line, none dropped. Lines shorter than MIN_TOKENS tokens always stay. Rows with a null
+    line, none dropped. Lines shorter than MIN_TOKENS tokens stay unless `short_support` is given. Rows with a null
     doc_id count as documents by their text. Repeated rows all come back; a line that only they
     hold counts once, and one that other documents hold too counts each of its rows.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "line-drops")
-    recurring(docs, min_support, similarity, leaf_rows).select("line_hash").distinct().write.mode("overwrite").parquet(path)
+    recurring(docs, min_support, similarity, leaf_rows, short_support).select("line_hash").distinct().write.mode("overwrite").parquet(path)
     drops = spark.read.parquet(path)
+    short = short_support is not None
 
     def occur(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = [(k, h) for k, t in zip(batch.column(0).to_pylist(), common.strings(batch.column(1)), strict=True) for h in masked_lines(t).values()]
+        out = [(k, h) for k, t in zip(batch.column(0).to_pylist(), common.strings(batch.column(1)), strict=True) for h in masked_lines(t, short).values()]
         return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["row", "line_hash"])
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of().alias("text"))
@@ -272,7 +302,7 @@ def drop_recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity:
                 out.append((i, text, len(rows), 0))
                 continue
             gone = set(lines)
-            kept = [r for r in rows if len(parts := mask(r)) < MIN_TOKENS or _hash(" ".join(parts)) not in gone]
+            kept = [r for r in rows if (m := masked(r, short)) is None or _hash(m) not in gone]
             out.append((i, "\n".join(kept), len(rows), len(rows) - len(kept)))
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (
             pa.int64(), pa.string(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "text", "n_lines", "n_dropped"])
@@ -283,6 +313,6 @@ def drop_recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity:
 
 def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without lines of recurring templates, as digests."""
-    out = drop_recurring(common.table(spark, sf_dir, "documents"))
+    out = drop_recurring(common.table(spark, sf_dir, "documents"), short_support=SHORT_SUPPORT)
     return out.select("doc_id", "n_lines", "n_dropped", F.length("text").cast("long").alias("n_chars"),
                       F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
