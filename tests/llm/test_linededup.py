@@ -129,3 +129,16 @@ def test_short_lines_of_the_query(spark, frame, tmp_path):
     got = rows_of(linededup.drop_recurring(frame(rows), leaf_rows=1, short_support=10))
     assert {int(r[0]): r[3] for r in got} == {k: 1 + (k < 3) for k in range(12)}
     assert all(f"\n\n{r[0]}\nnumber {r[0]}" in "\n" + r[1] for r in got)
+
+
+def test_passages_and_documents_of_the_query(spark, frame, tmp_path):
+    passage = " ".join(f"word{chr(97 + j // 26)}{chr(97 + j % 26)}" for j in range(60))
+    shorter = " ".join(passage.split()[:50])
+    rows = [(1, passage), (2, "own words\n" + passage), (3, passage.replace("wordaa", "changed")), (4, shorter), (5, shorter),
+            (6, "a b c d e\na b c d f"), (7, "a b c d g"),                      # three lines, two documents
+            (8, "k l m n o"), (8, "k l m n o"), (9, "k l m n o"),                # three rows, two documents
+            (10, "p q r s t\np q r s u"), (11, "p q r s v"), (12, "p q r s w")]
+    want = {1: 1, 2: 1, 3: 0, 4: 0, 5: 0, 6: 0, 7: 0, 8: 0, 9: 0, 10: 2, 11: 1, 12: 1}
+    assert of_query(spark, frame, tmp_path, rows) == want
+    got = rows_of(linededup.drop_recurring(frame(rows), leaf_rows=1, short_support=10, long_support=2))
+    assert {int(r[0]): r[3] for r in got} == want

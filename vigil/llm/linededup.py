@@ -11,6 +11,9 @@ Shorter lines are templates as they stand, numbers included, and recur with a su
 (`short_support`; None keeps them all): short phrases and numbers meet by accident. A line's length is its tokens,
 where scripts without spaces count each character, so a Chinese line of five characters is no short one.
 
+With `long_support`, lines of more than `LONG_TOKENS` recur with that support, and supports are distinct
+documents: of a document's repeated rows one counts, and of its lines of one template too.
+
 Spark does the partitioning. Equal masked lines meet in a partial aggregate, so a line that a
 third of all documents share is one row. Leaves are sorted runs inside partitions. A leaf
 with more than `LEAF_ROWS` distinct lines gives the same templates without being held: its
@@ -38,8 +41,11 @@ MIN_TOKENS, MIN_SUPPORT, SIMILARITY = 5, 3, 0.8
 DEPTHS = (2,)
 #: Leaves of more distinct lines are read in order instead of being held.
 LEAF_ROWS = 1000
-#: Support of lines shorter than MIN_TOKENS in the registered query.
-SHORT_SUPPORT = 10
+#: Supports of lines shorter than MIN_TOKENS, and longer than LONG_TOKENS, in the registered query.
+SHORT_SUPPORT, LONG_SUPPORT = 10, 2
+LONG_TOKENS = 50
+#: Documents told apart in a template of several lines; support above this needs one line that has it.
+TOLD_APART = 3
 #: Thai to Khmer, kana, ideographs.
 SPACELESS = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 DIGIT = re.compile(r"\d")
@@ -150,11 +156,14 @@ class Forms:
 
 
 def recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float = SIMILARITY, leaf_rows: int = LEAF_ROWS,
-              short_support: int | None = None) -> DataFrame:
+              short_support: int | None = None, long_support: int | None = None) -> DataFrame:
     """(line_hash, template, support): masked lines to drop.
 
-    Documents are told apart by doc_id, those without one by their text.
+    Documents are told apart by doc_id, those without one by their text. With `long_support`, `min_support`
+    can be TOLD_APART at most.
     """
+    if long_support is not None and max(min_support, long_support) > TOLD_APART:
+        raise ValueError(f"templates of several lines tell {TOLD_APART} documents apart")
     spark = docs.sparkSession
     path = scratch_path(spark, "line-templates")
 
@@ -164,7 +173,14 @@ def recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float
 
     text = common.text_of()
     doc = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text))
-    lines = common.python_rows(docs.select(doc.alias("doc"), text.alias("text")), cut, "line string, doc long")
+    texts = docs.select(doc.alias("doc"), text.alias("text"))
+    lines = common.python_rows(texts, cut, "line string, doc long")
+    if long_support is not None:
+        texts.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc").write.mode("overwrite").parquet(f"{path}/repeated")
+        repeated = spark.read.parquet(f"{path}/repeated")
+        if not repeated.isEmpty():
+            lines = (common.python_rows(texts.join(repeated, "doc", "left_anti"), cut, "line string, doc long")
+                     .unionByName(common.python_rows(texts.join(repeated, "doc", "left_semi"), cut, "line string, doc long").distinct()))
     parts = F.split("line", " ")
     (lines.groupBy("line").agg(F.count(F.lit(1)).alias("support"), F.min("doc").alias("a"), F.max("doc").alias("b"))
      .withColumn("support", F.when(F.col("a") == F.col("b"), F.lit(1)).otherwise(F.col("support")))
@@ -183,7 +199,13 @@ def recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float
         return similarity if size >= MIN_TOKENS else 1.0
 
     def needed(form: str) -> int:
-        return short_support if short_support is not None and length(form) < MIN_TOKENS else min_support
+        size = length(form)
+        if short_support is not None and size < MIN_TOKENS:
+            return short_support
+        return long_support if long_support is not None and size > LONG_TOKENS else min_support
+
+    def told_apart(seen: set, a: int, b: int) -> set:
+        return seen if len(seen) >= TOLD_APART else seen | {a, b}
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -196,6 +218,8 @@ def recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float
                      for form, members in templates([split[k] for k in own], [rows[k][2] for k in own], alike(len(split[own[0]])))]
             for form, at in found or [(rows[0][1], [0])]:
                 support = sum(rows[k][2] for k in at)
+                if long_support is not None:
+                    support = max(max(rows[k][2] for k in at), len(set().union(*(rows[k][3:5] for k in at))))
                 if min(rows[k][3] for k in at) != max(rows[k][4] for k in at) and support >= needed(form):
                     out.extend((_hash(rows[k][1]), form, support) for k in at)
 
@@ -228,7 +252,9 @@ def recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float
 
         def ended() -> Iterator[pa.RecordBatch]:
             out = []
-            for (founder, support, a, b), parts in zip(sums, forms.forms if forms else (), strict=True):
+            for (founder, support, a, b, most, seen), parts in zip(sums, forms.forms if forms else (), strict=True):
+                if long_support is not None:
+                    support = max(most, len(seen))
                 if a != b and support >= needed(form := " ".join(parts)):
                     out.append((founder, None, form, support))
                 if len(out) == common.BATCH_ROWS:
@@ -246,9 +272,9 @@ def recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float
                 h = _hash(line)
                 j = forms.place(line.split(" "))
                 if j == len(sums):
-                    sums.append([h, 0, a, b])
+                    sums.append([h, 0, a, b, 0, set()])
                 own = sums[j]
-                own[1:] = own[1] + support, min(own[2], a), max(own[3], b)
+                own[1:] = own[1] + support, min(own[2], a), max(own[3], b), max(own[4], support), told_apart(own[5], a, b)
                 out.append((own[0], h, None, None))
             if out:
                 yield emit(out)
@@ -270,17 +296,18 @@ def recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float
 
 
 def drop_recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity: float = SIMILARITY,
-                   leaf_rows: int = LEAF_ROWS, short_support: int | None = None) -> DataFrame:
+                   leaf_rows: int = LEAF_ROWS, short_support: int | None = None,
+                   long_support: int | None = None) -> DataFrame:
     """doc_id, text without the lines of recurring templates, n_lines and n_dropped, one row per row of `docs`.
 
     Reads `doc_id` and `text`; other columns are left out. Null text is empty: one empty
     line, none dropped. Lines shorter than MIN_TOKENS tokens stay unless `short_support` is given. Rows with a null
     doc_id count as documents by their text. Repeated rows all come back; a line that only they
-    hold counts once, and one that other documents hold too counts each of its rows.
+    hold counts once, and one that other documents hold too counts each of its rows (with `long_support` each document).
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "line-drops")
-    recurring(docs, min_support, similarity, leaf_rows, short_support).select("line_hash").distinct().write.mode("overwrite").parquet(path)
+    recurring(docs, min_support, similarity, leaf_rows, short_support, long_support).select("line_hash").distinct().write.mode("overwrite").parquet(path)
     drops = spark.read.parquet(path)
     short = short_support is not None
 
@@ -313,6 +340,6 @@ def drop_recurring(docs: DataFrame, min_support: int = MIN_SUPPORT, similarity:
 
 def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without lines of recurring templates, as digests."""
-    out = drop_recurring(common.table(spark, sf_dir, "documents"), short_support=SHORT_SUPPORT)
+    out = drop_recurring(common.table(spark, sf_dir, "documents"), short_support=SHORT_SUPPORT, long_support=LONG_SUPPORT)
     return out.select("doc_id", "n_lines", "n_dropped", F.length("text").cast("long").alias("n_chars"),
                       F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
