@@ -96,3 +96,25 @@ def test_frames(spark):
     got = html.extract(pages).collect()
     assert sorted((str(r.page_id), r.text) for r in got) == [("1", "a"), ("1", "a"), ("2", ""), ("None", "")]
     assert html.extract(pages.where("false")).count() == 0
+
+
+def test_head_ends_by_itself():
+    assert html.visible_text("<html><head><title>T</title><p>Text <b>bold</b><p>more") == "Text bold\n\nmore"
+    assert html.visible_text("<head><meta a=b>\n<style>x</style> Text<div>more</div>") == "Text\nmore"
+    assert html.visible_text("<head><title>T</title><noscript><p>no</p></noscript><script>no</script><body>yes") == "yes"
+    assert html.visible_text("<head><title>T</title></head><body>one <head>two <title>no</title>three") == "one two three"
+
+
+def test_formulas_drawings_and_choices_show_their_text():
+    assert html.visible_text("<p>let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> be") == "let x=2 be"
+    assert html.visible_text("<p>a<svg viewBox=x><title>no</title><defs/><g>no<text>Jan</text><text>Feb<tspan>ruary</tspan></text>"
+                             "<defs><text>no</text></defs><foreignObject><div>html</div></foreignObject></g></svg>b").split() == ["a", "Jan", "February", "html", "b"]
+    assert html.visible_text("<svg><path/><p>text</p>") == "text"
+    assert html.visible_text("<p>Size: <select><option disabled>no<option>S<option selected>M<option>L</select> left") == "Size: M left"
+    assert html.visible_text("<select><option>a<option>b</select><select multiple><option>c<option>d</select>").split() == ["a", "c", "d"]
+    assert html.visible_text("<table><tr><td><select><option>a<option>b<td>cell</table>") == "a  cell"
+
+
+def test_deep_drawings_take_linear_time():
+    for unit in ("<svg>", "<svg><g><text>x", "<math><mi>", "<select><option>", "<head>", "<svg/>", "<div><input>"):
+        html.visible_text(unit * 20_000)

@@ -21,7 +21,7 @@ from vigil.llm import common
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset("script style head title template noscript iframe noembed noframes object datalist "
-                   "audio video canvas svg math select rp".split())
+                   "audio video canvas rp".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
                   "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table "
                   "tbody td tfoot th thead tr ul caption optgroup option".split())
@@ -35,6 +35,16 @@ SCOPE = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"},
          **{k: {"table"} for k in ("tr", "td", "th", "thead", "tbody", "tfoot")}}
 ENDS_P = BLOCK - {"html", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup"}
 LIMITS = frozenset("table td th caption html".split())
+#: What a head can hold; any other tag or text ends it.
+IN_HEAD = frozenset("title meta link base basefont bgsound script style noscript noframes template".split())
+#: HTML tags that end svg and math around them.
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+                     "ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+#: Parts of svg and math that are not drawn where they stand.
+NOT_DRAWN = frozenset("defs symbol metadata desc title clippath mask marker pattern lineargradient radialgradient filter "
+                      "annotation annotation-xml".split())
+MATH_TEXT = frozenset("mi mo mn ms mtext".split())
+ENDS_SELECT = frozenset("select input textarea caption table tbody thead tfoot tr td th".split())
 
 TAG = re.compile(r"""<([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>=][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*+))?+|=)*+)>""")
 ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*+)))?+""")
@@ -42,10 +52,12 @@ STYLE_HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:h
 
 
 class Node:
-    __slots__ = ("attrs", "kids", "tag")
+    """An element; `inside` says what its content is part of: "" (HTML), svg, svg text, math or select."""
 
-    def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.kids = tag, attrs, []
+    __slots__ = ("attrs", "inside", "kids", "tag")
+
+    def __init__(self, tag: str, attrs: dict[str, str], inside: str = ""):
+        self.tag, self.attrs, self.inside, self.kids = tag, attrs, inside, []
 
 
 def attributes(raw: str) -> dict[str, str]:
@@ -56,8 +68,12 @@ def attributes(raw: str) -> dict[str, str]:
 
 
 def scan(page: str):
-    """("text", text), ("open", tag, attributes) and ("close", tag) in order. An unfinished tag ends the page."""
+    """("text", text), ("open", tag, attributes) and ("close", tag) in order. An unfinished tag ends the page.
+
+    Tags that close themselves do so in svg and math only, and there only if they are not HTML's.
+    """
     at, last = 0, page.rfind(">")
+    foreign = 0
     lower = None
     while at < len(page):
         lt = page.find("<", at)
@@ -77,15 +93,20 @@ def scan(page: str):
             end = page.find(">", lt)
             if end < 0:
                 return
-            yield "close", re.split(r"[\s/]", page[lt + 2:end].lower(), maxsplit=1)[0]
-            at = end + 1
+            tag, at = re.split(r"[\s/]", page[lt + 2:end].lower(), maxsplit=1)[0], end + 1
+            foreign = max(0, foreign - (tag in ("svg", "math")))
+            yield "close", tag
         elif after.isascii() and after.isalpha():
             m = TAG.match(page, lt) if lt < last else None
             if not m:
                 return
             tag, at = m[1].lower(), m.end()
             yield "open", tag, attributes(m[2])
-            if tag in RAW:
+            foreign += tag in ("svg", "math")
+            if foreign and tag not in VOID and tag not in BREAKOUT and closes_itself(m[2]):
+                foreign -= tag in ("svg", "math")
+                yield "close", tag
+            elif tag in RAW:
                 lower = lower if lower is not None else ascii_lower(page)
                 end = lower.find(f"</{tag}", at)
                 if end < 0:
@@ -97,14 +118,53 @@ def scan(page: str):
             at = lt + 1
 
 
+def closes_itself(raw: str) -> bool:
+    """Whether the attributes end in a slash that belongs to none of them."""
+    end = 0
+    if raw.endswith("/"):
+        for m in ATTRIBUTE.finditer(raw):
+            end = m.end()
+    return end < len(raw) and raw.endswith("/")
+
+
 def ascii_lower(text: str) -> str:
     """Lower case of A-Z, positions unchanged."""
     return text.translate({c: c + 32 for c in range(65, 91)})
 
 
+def content_of(parent: Node, tag: str) -> str:
+    """What the content of a new element is part of."""
+    if tag in ("svg", "math", "select"):
+        return tag
+    if parent.inside == "svg":
+        return {"foreignobject": "", "text": "svg text"}.get(tag, "svg")
+    return "" if parent.inside == "math" and tag in MATH_TEXT else parent.inside
+
+
+def choose(select: Node) -> None:
+    """Leave of a drop-down list what its closed box shows; lists of several lines show all options."""
+    options, todo = [], [(k, False) for k in reversed(select.kids)]
+    while todo:
+        node, off = todo.pop()
+        if isinstance(node, str):
+            continue
+        off = off or "disabled" in node.attrs
+        if node.tag == "option":
+            options.append((node, off))
+            if node.attrs.get("label"):
+                node.kids = [node.attrs["label"]]
+        else:
+            todo.extend((k, off) for k in reversed(node.kids))
+    size = select.attrs.get("size", "")
+    if "multiple" in select.attrs or (size.isascii() and size.isdigit() and size.strip("0") not in ("", "1")):
+        return
+    shown = [o for o, _ in options if "selected" in o.attrs][-1:] or [o for o, off in options if not off][:1]
+    select.kids = [" ", *(shown[0].kids if shown else []), " "]
+
+
 def build_tree(page: str) -> Node:
     root = Node("html", {})
-    stack = [root]
+    stack, selects = [root], []
 
     def close_p() -> None:
         for k in range(len(stack) - 1, 0, -1):
@@ -116,12 +176,24 @@ def build_tree(page: str) -> Node:
 
     for event in scan(page):
         if event[0] == "text":
-            if event[1]:
+            if stack[-1].tag == "head" and event[1].strip():
+                stack.pop()
+            if event[1] and stack[-1].inside != "svg":
                 stack[-1].kids.append(event[1])
         elif event[0] == "open":
             _, tag, attrs = event
             if tag in ("html", "body") and any(n.tag == tag for n in stack[:3]):
                 continue
+            if tag == "head" and (len(stack) > 1 or any(not isinstance(k, str) or k.strip() for k in root.kids)):
+                continue  # the page's head is over
+            if stack[-1].tag == "head" and tag not in IN_HEAD:
+                stack.pop()
+            if tag in BREAKOUT:
+                while stack[-1].inside in ("svg", "svg text", "math"):
+                    stack.pop()
+            elif tag in ENDS_SELECT:
+                while stack[-1].inside == "select":
+                    stack.pop()
             if tag in ENDS_P:
                 close_p()
             if tag in CLOSES:
@@ -136,8 +208,13 @@ def build_tree(page: str) -> Node:
                 row = Node("tr", {})  # a cell without a row
                 stack[-1].kids.append(row)
                 stack.append(row)
-            node = Node(tag, attrs)
-            stack[-1].kids.append(node)
+            around = stack[-1].inside
+            node = Node(tag, attrs, content_of(stack[-1], tag))
+            if around in ("svg", "svg text", "math") and (tag in NOT_DRAWN or attrs.get("display") == "none" or attrs.get("visibility") in ("hidden", "collapse")):
+                attrs["hidden"] = ""
+            if tag == "select":
+                selects.append(node)
+            stack[-1].kids.extend((" ", node, " ") if around == "svg" and tag == "text" else (node,))
             if tag not in VOID:
                 stack.append(node)
         else:
@@ -151,6 +228,8 @@ def build_tree(page: str) -> Node:
                     break
                 if stack[k].tag in ("td", "th", "table") and tag not in ("table", "tr", "td", "th", "tbody", "thead", "tfoot", "body", "html"):
                     break  # an end tag inside a cell does not end what is around the table
+    for select in selects:
+        choose(select)
     return root
 
 
