@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -148,3 +149,27 @@ def test_chunk_alerts_matches_per_row_reference():
                 bisect.insort(times, x)
         assert fast == slow, (trial, window, threshold)
         assert seen.tolist() == sorted(t.tolist())
+
+
+def test_alerts_of_one_account_are_spread_over_blocks(spark, tmp_path):
+    rng = random.Random(3)
+    seconds = sorted(rng.randrange(40_000) for _ in range(600))
+    events = [("C1", f"t{k:03d}", T0 + dt.timedelta(seconds=x)) for k, x in enumerate(seconds)]
+    events += [("C1", "edge", T0 + dt.timedelta(seconds=seconds[-1] + 300)), ("C2", "alone", T0), ("C2", "none", None)]
+    schema = "nameOrig string, transaction_id string, event_time timestamp"
+    for part in (events[:400], events[400:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    want = sorted(i for _, i, t in events if t and sum(
+        t - dt.timedelta(seconds=300) <= u <= t for a, _, u in events if a == "C1" and u) >= 6 and i != "alone")
+    assert 50 < len(want) < 550
+    for files in (1, 100):
+        for width in (1, 3):
+            s = with_watermark(spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{tmp_path}/in"), "1 day")
+            q = (rapid_fire_alerts(s, 300, 6, block_windows=width).writeStream.format("memory").queryName(f"blocks_{files}_{width}")
+                 .trigger(availableNow=True).start())
+            q.awaitTermination()
+            got = sorted(r.transaction_id for r in spark.table(f"blocks_{files}_{width}").collect())
+            assert len(set(got)) == len(got)
+            ties = {i for _, i, t in events if sum(t == u for _, _, u in events) > 1}
+            assert [i for i in got if i not in ties] == [i for i in want if i not in ties]
+            assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress) > 30

@@ -2,16 +2,19 @@
 
 The reference counts an account's events inside one micro-batch, so a burst
 split by a trigger boundary is missed.  Here the count is over a true
-trailing window of event time, carried across batches in per-account state.
+trailing window of event time, carried across batches in state per account and block of time.
 
 State holds the account's event times that can still fall inside the window
 of a future on-time event: times >= watermark - window (Spark drops events
 older than the watermark).  It is therefore bounded by the account's events
 in (watermark delay + window), not by its history, and it expires through an
-event-time timeout.  An account's rows of one micro-batch arrive as several
-Arrow batches; their ids and times are gathered (the size of a micro-batch is
-bounded by its trigger options), sorted, and counted with vectorised binary
-search (`chunk_alerts`), so the answer does not depend on the Arrow batch size.
+event-time timeout.  Time is cut into blocks of `BLOCK_WINDOWS` windows, and the state and the rows that a task
+gathers are those of one (account, block), so an account with much of the table is
+spread over tasks.  Events within a window of a block's end also go to the next
+block, where they are counted but raise no alerts.  A block's rows of one micro-batch
+arrive as several Arrow batches; their ids and times are gathered, sorted, and counted
+with vectorised binary search (`chunk_alerts`), so the answer does not depend on
+the Arrow batch size or on the blocks.
 """
 
 from __future__ import annotations
@@ -20,13 +23,15 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from vigil.functions.rules import RAPID_FIRE_COUNT_THRESHOLD
 
 ALERT_SCHEMA = "nameOrig string, transaction_id string, event_time timestamp"
 STATE_SCHEMA = "times array<timestamp>"
+#: Width of a block of time in windows: wide enough that few events go to two blocks.
+BLOCK_WINDOWS = 64
 
 
 def chunk_alerts(times: np.ndarray, new: np.ndarray, window: int, threshold: int):
@@ -53,10 +58,11 @@ def _micros(values) -> np.ndarray:
 
 def rapid_fire_alerts(stream: DataFrame, window_seconds: int = 300,
                       threshold: int = RAPID_FIRE_COUNT_THRESHOLD,
-                      account: str = "nameOrig") -> DataFrame:
+                      account: str = "nameOrig", block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """Emit one alert row per event that brings its account's trailing
     `window_seconds` count to >= threshold (the stream needs a watermark)."""
     window = int(window_seconds) * 1_000_000
+    width = max(window, 1_000_000) * block_windows
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -67,23 +73,33 @@ def rapid_fire_alerts(stream: DataFrame, window_seconds: int = 300,
         out = []
         # chunks are a matter of the Arrow batch size: they are joined and sorted
         # first (id and time only), so alerts do not depend on it
-        chunks = [pdf.dropna(subset=["event_time"])[["transaction_id", "event_time"]] for pdf in batches]
+        chunks = [pdf.dropna(subset=["event_time"])[["transaction_id", "event_time", "_own"]] for pdf in batches]
         pdf = pd.concat(chunks, ignore_index=True).sort_values(["event_time", "transaction_id"]) if chunks else None
         if pdf is not None and not pdf.empty:
+            own = pdf["_own"].to_numpy(dtype=bool)
+            # events of the block before come before all of this block's
+            times = np.sort(np.concatenate([times, _micros(pdf.loc[~own, "event_time"])]))
+            pdf = pdf.loc[own]
             alert, times = chunk_alerts(times, _micros(pdf["event_time"]), window, threshold)
             if alert.any():
                 hit = pdf.loc[alert, ["transaction_id", "event_time"]]
                 out.append(hit.assign(nameOrig=key[0])[["nameOrig", "transaction_id", "event_time"]])
         times = times[times >= wm - window]
-        if len(times) and times[-1] + window > wm:
+        end = min(int(times[-1]) + window, int(key[1]) + width) if len(times) else wm
+        if end > wm:
             state.update((pd.to_datetime(times, unit="us").to_pydatetime().tolist(),))
-            state.setTimeoutTimestamp(int((times[-1] + window) // 1000))
+            state.setTimeoutTimestamp(end // 1000)
         elif state.exists:
             state.remove()
         if out:
             yield pd.concat(out, ignore_index=True)
 
-    return (stream.select(account, "transaction_id", "event_time")
-            .groupBy(account)
+    micros = F.unix_micros("event_time")
+    start = micros - F.pmod(micros, F.lit(width))
+    blocks = F.when(micros >= start + width - window, F.array(start, start + width)).otherwise(F.array(start))
+    return (stream.where(F.col("event_time").isNotNull())
+            .select(account, "transaction_id", "event_time", F.explode(blocks).alias("_block"))
+            .withColumn("_own", F.col("_block") <= F.unix_micros("event_time"))
+            .groupBy(account, "_block")
             .applyInPandasWithState(step, ALERT_SCHEMA, STATE_SCHEMA, "append",
                                     GroupStateTimeout.EventTimeTimeout))
