@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from vigil.llm import exact, html, imatch, linededup, packing, pieces, pii, quality, simhash, tokenfile
+from vigil.llm import exact, html, imatch, kdsearch, linededup, packing, pieces, pii, quality, simhash, tokenfile
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -16,9 +16,10 @@ QUERIES = {
     "op8_imatch": imatch.op8_imatch,
     "op9_quality": quality.op9_quality,
     "op10_simhash": simhash.op10_simhash,
+    "op11_kdsearch": kdsearch.op11_kdsearch,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE = {"op2_exact": exact.OP2_SQL}
+ORACLE = {"op2_exact": exact.OP2_SQL, "op11_kdsearch": kdsearch.OP11_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
