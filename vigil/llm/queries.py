@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from vigil.llm import exact, html, imatch, kdsearch, linededup, packing, pieces, pii, quality, simhash, tokenfile
+from vigil.llm import exact, html, imatch, kdsearch, linededup, packing, pieces, pii, quality, simhash, tokenfile, variants
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_quality": quality.op9_quality,
     "op10_simhash": simhash.op10_simhash,
     "op11_kdsearch": kdsearch.op11_kdsearch,
+    "op12_variants": variants.op12_variants,
     "pipeline": corpus_pipeline.run,
 }
 
