@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from vigil.llm import exact, html, imatch, kdsearch, linededup, packing, pieces, pii, quality, simhash, tokenfile, variants
+from vigil.llm import exact, html, imatch, kdsearch, lexical, linededup, packing, pieces, pii, quality, simhash, tokenfile, variants
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -18,9 +18,10 @@ QUERIES = {
     "op10_simhash": simhash.op10_simhash,
     "op11_kdsearch": kdsearch.op11_kdsearch,
     "op12_variants": variants.op12_variants,
+    "op13_lexical": lexical.op13_lexical,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE = {"op2_exact": exact.OP2_SQL, "op11_kdsearch": kdsearch.OP11_SQL}
+ORACLE = {"op2_exact": exact.OP2_SQL, "op11_kdsearch": kdsearch.OP11_SQL, "op13_lexical": lexical.OP13_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
