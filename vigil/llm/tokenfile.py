@@ -37,6 +37,8 @@ BLOCK_IDS = 1 << 16
 COUNTS = np.array([0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 1])
 BITS = np.array([0, *(60 // COUNTS[1:15]), 60])
 ESCAPE = 15
+#: How many of the selectors' widths are too narrow for each id of two bytes.
+SMALL = np.searchsorted(1 << np.unique(BITS[1:15]), np.arange(1 << 16), side="right").astype(np.uint8)
 
 BLOCK_SCHEMA = ("shard int, block long, first long, doc_ids array<long>, ends array<long>, "
                 "n_ids long, words binary, escapes binary")
@@ -55,7 +57,11 @@ def encode_words(ids: np.ndarray) -> tuple[bytes, bytes]:
     best = np.full(n, ESCAPE, np.uint8)
     levels = np.unique(BITS[1:15])
     # how many of the widths are too narrow for each id
-    width = np.searchsorted(np.uint64(1) << levels.astype(np.uint64), ids, side="right").astype(np.uint8)
+    borders = np.uint64(1) << levels.astype(np.uint64)
+    if int(ids.max()) < len(SMALL):
+        width = SMALL[ids.astype(np.intp)]
+    else:
+        width = np.searchsorted(borders, ids, side="right").astype(np.uint8)
     widest, ok = int(width.max()), np.arange(n)
     for s in range(14, 0, -1):  # from one value a word to sixty: each holds at fewer positions
         c, level = int(COUNTS[s]), int(np.searchsorted(levels, BITS[s]))
@@ -71,8 +77,9 @@ def encode_words(ids: np.ndarray) -> tuple[bytes, bytes]:
         best[ok] = s
     step = COUNTS[best].tolist()
     starts, p = [], 0
+    put = starts.append
     while p < n:
-        starts.append(p)
+        put(p)
         p += step[p]
     at = np.array(starts)
     chosen = best[at]

@@ -21,10 +21,10 @@ from tokenizers import Tokenizer
 CACHE_CHARS = 12_000_000
 #: Separates chunks handed to a word vocabulary; white space around it is dropped there.
 MARK = "\x01"
-#: White space other than a space or a line end, and pairs of these: where a byte-level
-#: pre-tokenizer may split inside white space, texts are cut with SPACED.
-EXOTIC = tuple(c for c in map(chr, range(0x110000)) if c.isspace() and c not in " \n")
-PAIRS = ("  ", " \n", "\n ", "\n\n")
+#: White space that begins or ends a text, follows itself, or is neither a space nor a line end: where a
+#: byte-level pre-tokenizer may split inside white space, texts are cut with SPACED.
+RUNS = r"^[ \n]|[ \n]$|  | \n|\n |\n\n|[" + "".join(
+    rf"\x{{{ord(c):x}}}" for c in map(chr, range(0x110000)) if c.isspace() and c not in " \n") + "]"
 #: Chunks that are handed to the library as one text.
 TOGETHER = 64
 #: White space for Python but not for the tokenizers' patterns: such texts are encoded whole.
@@ -48,12 +48,6 @@ def byte_letters() -> dict[int, str]:
 LETTERS = byte_letters()
 
 
-def has_runs(text: str) -> bool:
-    """Whether white space begins or ends the text, follows itself, or is of an unusual kind."""
-    return (any(p in text for p in PAIRS) or text[:1].isspace() or text[-1:].isspace()
-            or any(c in text for c in EXOTIC))
-
-
 class ChunkEncoder:
     """`encode(texts)` -> (ids of all texts in a row as uint32, row offsets).
 
@@ -160,10 +154,15 @@ class ChunkEncoder:
 
     def _learn(self, chunks: list[str]) -> None:
         """Encode new chunks and remember them."""
-        words = [self._word(c) for c in chunks]
-        names = [c for c, w in zip(chunks, words, strict=True) if w is not None]
-        lists = [w for w in words if w is not None]
-        rest = [c for c, w in zip(chunks, words, strict=True) if w is None]
+        names, flat, lengths, rest = [], [], [], []
+        for c in chunks:
+            own = self._word(c)
+            if own is None:
+                rest.append(c)
+            else:
+                names.append(c)
+                flat += own
+                lengths.append(len(own))
         if self.spaces:
             alone = [c for c in rest if not (c[:1].isspace() and not c[-1:].isspace()) or ODD.search(c)]
         else:
@@ -175,20 +174,21 @@ class ChunkEncoder:
             joint, alone, coded = [], rest, self._together([])
         single = self._ids(alone)
         names += joint + alone
-        flat = lambda x: np.array([i for y in x for i in y], np.uint32)
-        ids = np.concatenate([flat(lists), coded[0], flat(single)])
-        sizes = np.concatenate([np.array([len(x) for x in lists], np.int64), coded[1], np.array([len(x) for x in single], np.int64)])
+        ids = np.concatenate([np.array(flat, np.uint32), coded[0], np.array([i for x in single for i in x], np.uint32)])
+        sizes = np.concatenate([np.array(lengths, np.int64), coded[1], np.array([len(x) for x in single], np.int64)])
         self._remember(names, ids, sizes)
 
     def _places(self, chunks: list[str]) -> np.ndarray:
         find = self.place.get
-        at = np.array([find(c, -1) for c in chunks], np.int64)
+        found = [find(c, -1) for c in chunks]
+        at = np.array(found, np.int64)
         missing = np.flatnonzero(at < 0)
         if len(missing):
-            new = list(dict.fromkeys(chunks[i] for i in missing))
+            absent = [c for c, k in zip(chunks, found, strict=True) if k < 0]
+            new = list(dict.fromkeys(absent))
             for i in range(0, len(new), 4096):
                 self._learn(new[i:i + 4096])
-            at[missing] = [self.place[chunks[i]] for i in missing]
+            at[missing] = [find(c) for c in absent]
         self.recent += chunks
         return at
 
@@ -200,7 +200,8 @@ class ChunkEncoder:
             lists = pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        names, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        names, codes = (x.to_numpy(zero_copy_only=False) for x in (coded.dictionary, coded.indices))
+        names = names.tolist()  # by way of numpy: Arrow makes Python texts one by one far slower
         if not self.spaces:
             return self._places(names)[codes] if names else np.zeros(0, np.int64), counts
         at = self._places([" " + x for x in names])[codes] if names else np.zeros(0, np.int64)
@@ -212,13 +213,14 @@ class ChunkEncoder:
         if self.chars > self.cache_chars:
             self._trim()
         self.recent = []
-        slow = [i for i, t in enumerate(texts) if has_runs(t)] if self.spaces else []
+        column = pa.array(texts, pa.large_string())
+        slow = pc.indices_nonzero(pc.match_substring_regex(column, RUNS)).to_pylist() if self.spaces else []
         if not slow:
-            at, counts = self._cut(pa.array(texts, pa.large_string()))
+            at, counts = self._cut(column)
         else:
             rows = [[texts[i]] if ODD.search(texts[i]) else SPACED.findall(texts[i]) for i in slow]
             fast = np.setdiff1d(np.arange(len(texts)), slow)
-            some, their = self._cut(pa.array([texts[i] for i in fast], pa.large_string()))
+            some, their = self._cut(column.take(pa.array(fast)))
             counts = np.zeros(len(texts), np.int64)
             counts[fast], counts[slow] = their, [len(r) for r in rows]
             starts = np.cumsum(counts) - counts
