@@ -62,19 +62,22 @@ def encode_words(ids: np.ndarray) -> tuple[bytes, bytes]:
         width = SMALL[ids.astype(np.intp)]
     else:
         width = np.searchsorted(borders, ids, side="right").astype(np.uint8)
-    widest, ok = int(width.max()), np.arange(n)
+    widest = int(width.max())
     for s in range(14, 0, -1):  # from one value a word to sixty: each holds at fewer positions
         c, level = int(COUNTS[s]), int(np.searchsorted(levels, BITS[s]))
-        ok = ok[:np.searchsorted(ok, n - c, side="right")]
-        if level < widest:
-            if len(ok) > n // 8:
-                bad = np.concatenate([[0], np.cumsum(width > level, dtype=np.int32)])
-                ok = ok[bad[ok + c] == bad[ok]]
-            else:
-                ok = ok[(width[ok[:, None] + np.arange(c)] <= level).all(axis=1)]
-        if not len(ok):
+        if c > n:
             break
-        best[ok] = s
+        if level >= widest:
+            best[:n - c + 1] = s
+            continue
+        fits, reach = width <= level, 1  # fits[p]: the `reach` values from p on are narrow enough
+        while reach < c:
+            more = min(reach, c - reach)
+            fits = fits[:-more] & fits[more:]
+            reach += more
+        if not fits.any():
+            break
+        np.copyto(best[:len(fits)], np.uint8(s), where=fits)
     step = COUNTS[best].tolist()
     starts, p = [], 0
     put = starts.append
@@ -87,8 +90,10 @@ def encode_words(ids: np.ndarray) -> tuple[bytes, bytes]:
     for s in np.unique(chosen):
         if s != ESCAPE:
             rows = np.flatnonzero(chosen == s)
+            begin, packed = at[rows], words[rows]
             for k in range(COUNTS[s]):
-                words[rows] |= ids[at[rows] + k] << np.uint64(k * BITS[s])
+                packed |= ids[begin + k] << np.uint64(k * BITS[s])
+            words[rows] = packed
     return words.astype("<u8").tobytes(), ids[at[chosen == ESCAPE]].astype("<u8").tobytes()
 
 
@@ -124,7 +129,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END
             if not batch.num_rows:
                 continue
             names = batch.column(0).to_pylist()
-            ids, offsets = tokens.with_end(*coder.encode(common.strings(batch.column(1))), end_id)
+            ids, offsets = tokens.with_end(*coder.encode(batch.column(1)), end_id)
             rows, done = [], 0
             while done < len(names):
                 begin = int(offsets[done])

@@ -209,19 +209,19 @@ class ChunkEncoder:
         at[firsts] = self._places([names[k] for k in codes[firsts]])
         return at, counts
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if self.chars > self.cache_chars:
             self._trim()
         self.recent = []
-        column = pa.array(texts, pa.large_string())
+        column = pc.fill_null(texts.cast(pa.large_string()), "") if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
         slow = pc.indices_nonzero(pc.match_substring_regex(column, RUNS)).to_pylist() if self.spaces else []
         if not slow:
             at, counts = self._cut(column)
         else:
-            rows = [[texts[i]] if ODD.search(texts[i]) else SPACED.findall(texts[i]) for i in slow]
-            fast = np.setdiff1d(np.arange(len(texts)), slow)
+            rows = [[t] if ODD.search(t) else SPACED.findall(t) for t in column.take(pa.array(slow)).to_pylist()]
+            fast = np.setdiff1d(np.arange(len(column)), slow)
             some, their = self._cut(column.take(pa.array(fast)))
-            counts = np.zeros(len(texts), np.int64)
+            counts = np.zeros(len(column), np.int64)
             counts[fast], counts[slow] = their, [len(r) for r in rows]
             starts = np.cumsum(counts) - counts
             at = np.empty(int(counts.sum()), np.int64)
@@ -248,6 +248,7 @@ def encoder(path: str, spaces: bool, cache_chars: int | None = None) -> ChunkEnc
 def with_end(ids: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The same rows, each followed by `end_id`."""
     n = len(offsets) - 1
-    out = np.full(len(ids) + n, end_id, np.uint32)
-    out[np.arange(len(ids)) + np.repeat(np.arange(n), np.diff(offsets))] = ids
+    out, own = np.full(len(ids) + n, end_id, np.uint32), np.ones(len(ids) + n, bool)
+    own[offsets[1:] + np.arange(n)] = False
+    out[own] = ids
     return out, offsets + np.arange(n + 1)
