@@ -30,14 +30,15 @@ def message(*parts):
     return raw
 
 
-def small_unigram(collapse=1, byte_fallback=1):
+def small_unigram(collapse=1, byte_fallback=1, prefix=1, escape=1, suffix=0):
     """A hand-written unigram model."""
     words = {"▁": -3.0, "▁the": -4.0, "▁th": -5.0, "e": -4.5, "t": -5.1, "h": -5.2, "▁there": -6.5, "re": -5.0, "r": -6.0, "a": -4.0, "▁a": -3.5, "n": -4.2, "an": -4.9, "é": -7.0}
     parts = [message((1, b"<unk>"), (2, 0.0), (3, 2)), message((1, b"<s>"), (2, 0.0), (3, 3)), message((1, b"</s>"), (2, 0.0), (3, 3))]
     if byte_fallback:
         parts += [message((1, f"<0x{b:02X}>".encode()), (2, 0.0), (3, 6)) for b in range(256)]
     parts += [message((1, w.encode()), (2, s)) for w, s in words.items()]
-    return message(*[(1, p) for p in parts], (2, message((3, 1), (35, byte_fallback))), (3, message((1, b"identity"), (3, 1), (4, collapse), (5, 1))))
+    return message(*[(1, p) for p in parts], (2, message((3, 1), (24, suffix), (35, byte_fallback))),
+                   (3, message((1, b"identity"), (3, prefix), (4, collapse), (5, escape))))
 
 
 @settings(max_examples=300, deadline=None)
@@ -85,6 +86,27 @@ def test_unigram_parity(tmp_path, collapse, fallback):
     agree()
 
 
+def test_parity_is_never_claimed_unseen(tmp_path):
+    """Without a prefix no chunk stands alone: whole texts are compared, and wrong ids are found."""
+    path = tmp_path / "u.model"
+    path.write_bytes(small_unigram(prefix=0))
+    sp, coder = sentencepiece.SentencePieceProcessor(model_file=str(path)), pieces.PieceEncoder(str(path))
+    texts = ["the there an", "the  an", "", "é"]
+    ids, offsets, same = coder.encode(texts)
+    assert same.tolist() == [ids[a:b].tolist() == sp.encode(t) for a, b, t in zip(offsets, offsets[1:], texts)]
+    assert same[0] and same[2]
+    coder.pool[:coder.used] += 1
+    assert coder.encode(texts)[2].tolist() == [False, False, True, False]
+
+
+@pytest.mark.parametrize("setting", [{"escape": 0}, {"suffix": 1}])
+def test_settings_not_rebuilt_are_an_error(tmp_path, setting):
+    path = tmp_path / "u.model"
+    path.write_bytes(small_unigram(**setting))
+    with pytest.raises(ValueError, match="not rebuilt"):
+        pieces.PieceEncoder(str(path))
+
+
 def test_frames(frame, odd_rows):
     docs = frame(odd_rows)
     sp = sentencepiece.SentencePieceProcessor(model_file=PATH)

@@ -50,3 +50,12 @@ def test_words_straight_from_the_model(name, spaces):
                       for _ in range(30)) for _ in range(150)]
     ids, offsets = coder.encode(texts)
     assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_chunks_used_last_are_kept():
+    coder = tokens.ChunkEncoder(plain("byte_bpe_50k.json"), True, 300)
+    coder.encode([" ".join(f"once{i}" for i in range(25))])
+    coder.encode([" ".join(f"later{i}" for i in range(25))])
+    assert coder.chars > 300
+    coder.encode(["more"])
+    assert "more" in coder.place and not any("once" in c for c in coder.place) and 5 < len(coder.place) < 25

@@ -5,8 +5,9 @@ pipeline: normaliser (precompiled character map, white space rules, dummy prefix
 white space marker, a unigram or BPE model from the pieces and scores, and byte fallback.
 Texts are cut before white space markers, where no piece of the vocabulary can cross, and
 each distinct chunk is encoded once; new chunks go to the library's threads in batches.
-Every distinct chunk is also encoded by the SentencePiece library itself, and a document's
-`parity` says whether all its chunks agree. Tests compare whole texts too.
+Every distinct chunk that can stand alone is also encoded by the SentencePiece library itself, and a document's
+`parity` says whether all its chunks agree; a text with any other chunk, and every text where the model
+normalises, is compared as a whole. Settings that are not rebuilt are an error.
 """
 
 from __future__ import annotations
@@ -88,6 +89,8 @@ def parse_model(raw: bytes) -> Model:
             trainer = dict(fields(value))
         elif number == 3:
             normaliser = dict(fields(value))
+    if trainer.get(24, 0) or not normaliser.get(5, 1):
+        raise ValueError("white space as suffix and white space that is not escaped are not rebuilt")
     return Model(tuple(pieces), trainer.get(3, UNIGRAM), bool(trainer.get(35, 0)), normaliser.get(2, b""),
                  bool(normaliser.get(3, 1)), bool(normaliser.get(4, 1)))
 
@@ -160,7 +163,7 @@ def build_tokenizer(model: Model, normalise: bool = True) -> Tokenizer:
 
 
 class PieceEncoder(tokens.ChunkEncoder):
-    """`encode` and `decode` of texts; `agree` holds, chunk by chunk, whether SentencePiece gives the same ids."""
+    """`encode` and `decode` of texts; `agree` holds, chunk by chunk, whether SentencePiece gives the same ids (-1: not asked)."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -178,7 +181,7 @@ class PieceEncoder(tokens.ChunkEncoder):
 
     def _forget(self) -> None:
         super()._forget()
-        self.agree = np.zeros(1 << 12, bool)
+        self.agree = np.zeros(1 << 12, np.int8)
 
     def _learn(self, chunks: list[str]) -> None:
         joint = [c for c in chunks if c[:1] == SPACE and c[-1:] != SPACE] if self.model.byte_fallback else []
@@ -199,10 +202,10 @@ class PieceEncoder(tokens.ChunkEncoder):
                 lists += self._ids(part)
         lists += self._ids(alone)
         names = joint + alone
-        # the library adds the prefix itself; a chunk without one is checked without it
-        agree = self._reference(names) if self.model.dummy_prefix else [None] * len(chunks)
+        # the library adds the prefix itself; without one no chunk can be told from the beginning of a text
+        agree = self._reference(names) if self.model.dummy_prefix else [None] * len(names)
         ids = np.array([i for x in lists for i in x], np.uint32)
-        same = np.array([a is None or a == b for a, b in zip(agree, lists, strict=True)], bool)
+        same = np.array([-1 if a is None else a == b for a, b in zip(agree, lists, strict=True)], np.int8)
         self._remember(names, ids, np.array([len(x) for x in lists], np.int64), same)
 
     def _extra(self, at: np.ndarray) -> np.ndarray:
@@ -226,7 +229,8 @@ class PieceEncoder(tokens.ChunkEncoder):
         lists = pc.split_pattern(texts, " ")
         coded = lists.flatten().dictionary_encode()
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        names, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        names, codes = (x.to_numpy(zero_copy_only=False) for x in (coded.dictionary, coded.indices))
+        names = names.tolist()
         at = self._places([SPACE + x for x in names])[codes] if names else np.zeros(0, np.int64)
         if not self.model.dummy_prefix and len(counts):
             firsts = np.cumsum(counts) - counts
@@ -235,9 +239,8 @@ class PieceEncoder(tokens.ChunkEncoder):
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in a row, row offsets, and each text's parity with SentencePiece."""
-        if self.chars > tokens.CACHE_CHARS:
-            self._trim()
-        self.recent = []
+        self._begin()
+        raw = texts
         if self.normalise:
             texts = [self.normalise.normalize_str(t) for t in texts]
         odd = re.compile(f"^ |  | $|{SPACE}|^$")
@@ -254,9 +257,18 @@ class PieceEncoder(tokens.ChunkEncoder):
         at[tokens.ragged(starts[slow], counts[slow])] = self._places([c for r in rows for c in r])
         sizes = self.sizes[at]
         ids = self.pool[tokens.ragged(self.starts[at], sizes)]
-        ends, bad = np.concatenate([[0], np.cumsum(sizes)]), np.concatenate([[0], np.cumsum(~self.agree[at])])
         edges = np.concatenate([[0], np.cumsum(counts)])
-        return ids, ends[edges], bad[edges[1:]] == bad[edges[:-1]]
+        offsets = np.concatenate([[0], np.cumsum(sizes)])[edges]
+
+        def some(marked: np.ndarray) -> np.ndarray:
+            n = np.concatenate([[0], np.cumsum(marked)])
+            return n[edges[1:]] > n[edges[:-1]]
+
+        same = ~some(self.agree[at] == 0)
+        whole = np.flatnonzero(some(self.agree[at] < 0) | (self.normalise is not None))
+        for i, want in zip(whole.tolist(), self.reference.encode([raw[i] for i in whole], num_threads=1), strict=True):
+            same[i] = ids[offsets[i]:offsets[i + 1]].tolist() == want
+        return ids, offsets, same
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")

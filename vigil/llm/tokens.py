@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-#: Beyond this many characters a worker forgets the chunks that its last texts did not have
+#: Beyond this many characters a worker forgets the chunks that its texts had longest ago
 #: (memory bound, no effect on ids).
 CACHE_CHARS = 12_000_000
 #: Separates chunks handed to a word vocabulary; white space around it is dropped there.
@@ -67,6 +67,7 @@ class ChunkEncoder:
                 self.width[i] = len(token)
         else:
             self.mark = self._ids([MARK])[0]
+        self.clock = 0
         self._forget()
 
     def _forget(self) -> None:
@@ -74,17 +75,27 @@ class ChunkEncoder:
         self.pool = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 12, np.int64)
         self.sizes = np.zeros(1 << 12, np.int64)
+        self.seen = np.zeros(1 << 12, np.int64)
         self.used = self.chars = 0
-        self.recent: list[str] = []
+
+    def _begin(self) -> None:
+        """Before a batch of texts: make room if need be."""
+        if self.chars > self.cache_chars:
+            self._trim()
+        self.clock += 1
 
     def _trim(self) -> None:
-        """Forget all but the chunks of the last texts."""
-        keep = list(dict.fromkeys(self.recent))
-        at = np.array([self.place[c] for c in keep], np.int64)
-        sizes, extra = self.sizes[at], self._extra(at)
+        """Forget the chunks that texts had longest ago, down to half the room."""
+        names = list(self.place)
+        seen = self.seen[:len(names)]
+        latest = np.argsort(-seen, kind="stable")
+        room = np.cumsum(np.fromiter(map(len, names), np.int64, len(names))[latest])
+        at = np.sort(latest[room <= self.cache_chars // 2])
+        sizes, extra, seen = self.sizes[at], self._extra(at), seen[at]
         ids = self.pool[ragged(self.starts[at], sizes)]
         self._forget()
-        self._remember(keep, ids, sizes, extra)
+        self._remember([names[k] for k in at.tolist()], ids, sizes, extra)
+        self.seen[:len(at)] = seen
 
     def _extra(self, at: np.ndarray) -> np.ndarray | None:
         """What a subclass keeps of chunks besides their ids."""
@@ -95,7 +106,7 @@ class ChunkEncoder:
         while self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         while n + m > len(self.starts):
-            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
+            self.starts, self.sizes, self.seen = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes, self.seen))
         self.pool[self.used:self.used + len(ids)] = ids
         self.starts[n:n + m] = self.used + np.cumsum(sizes) - sizes
         self.sizes[n:n + m] = sizes
@@ -189,7 +200,7 @@ class ChunkEncoder:
             for i in range(0, len(new), 4096):
                 self._learn(new[i:i + 4096])
             at[missing] = [find(c) for c in absent]
-        self.recent += chunks
+        self.seen[at] = self.clock
         return at
 
     def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -210,9 +221,7 @@ class ChunkEncoder:
         return at, counts
 
     def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if self.chars > self.cache_chars:
-            self._trim()
-        self.recent = []
+        self._begin()
         column = pc.fill_null(texts.cast(pa.large_string()), "") if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
         slow = pc.indices_nonzero(pc.match_substring_regex(column, RUNS)).to_pylist() if self.spaces else []
         if not slow:
