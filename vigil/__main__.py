@@ -2,7 +2,9 @@
 
     python -m vigil detect    --source kafka --servers H:P --topic T  --lake L --flagged F
     python -m vigil detect    --source files --path DIR               --lake L --flagged F [--once]
+                              [--quarantine Q] [--late D]
     python -m vigil compact   --flagged F --table T
+    python -m vigil compact-lake --lake L --day YYYY-MM-DD ...
     python -m vigil reconcile --lake L --table T [--day YYYY-MM-DD ...]
     python -m vigil load-loans --csv C --snapshot S --table T
     python -m vigil load-rates --payloads P --lake L --table T --source-url U
@@ -30,11 +32,16 @@ def main(argv: list[str] | None = None) -> None:
     d.add_argument("--lake", required=True)
     d.add_argument("--flagged", required=True)
     d.add_argument("--checkpoint")
+    d.add_argument("--quarantine", help="messages that cannot be scored (default: beside the lake)")
+    d.add_argument("--late", help="rows behind the watermark go here instead of being scored")
     d.add_argument("--trigger", default="30 seconds")
     d.add_argument("--once", action="store_true", help="process what is available, then stop")
     c = sub.add_parser("compact")
     c.add_argument("--flagged", required=True)
     c.add_argument("--table", required=True)
+    cl = sub.add_parser("compact-lake")
+    cl.add_argument("--lake", required=True)
+    cl.add_argument("--day", action="append", required=True)
     r = sub.add_parser("reconcile")
     r.add_argument("--lake", required=True)
     r.add_argument("--table", required=True)
@@ -59,9 +66,15 @@ def main(argv: list[str] | None = None) -> None:
         from vigil.streaming.detector import start_detector
         raw = (kafka_source(spark, args.servers, args.topic) if args.source == "kafka"
                else file_source(spark, args.path))
-        stream = parse_transactions(raw).drop("_corrupt_record")
+        stream = parse_transactions(raw)
         trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
-        start_detector(spark, stream, args.lake, args.flagged, args.checkpoint, trigger).awaitTermination()
+        start_detector(spark, stream, args.lake, args.flagged, args.checkpoint, trigger,
+                       quarantine_root=args.quarantine or f"{args.lake.rstrip('/')}-quarantine",
+                       late_root=args.late).awaitTermination()
+    elif args.cmd == "compact-lake":
+        from vigil.sinks.lake import compact_day
+        for day in args.day:
+            print(day, "compacted" if compact_day(spark, args.lake, day) else "left as it is")
     elif args.cmd == "compact":
         from vigil.plans.warehouse import compact_flagged
         print(compact_flagged(spark, args.flagged, args.table))

@@ -12,9 +12,9 @@ from __future__ import annotations
 import re
 
 from vigil.functions.rules import RULE_DESCRIPTIONS
-from vigil.sources.derived import (AMOUNT_SCALE, ANOMALY_BY_K, BROKEN_JSON_K, COUNTRIES,
+from vigil.sources.derived import (AMOUNT_SCALE, ANOMALY_BY_K, BROKEN_JSON_K,
                                    DEST_MODULUS, EVENT_TYPE_TO_TX_TYPE, LEDGER_BREAK_K,
-                                   RATE_BASE, RATE_STEP, SELF_TRANSFER_K)
+                                   RATE_BASE, RATE_STEP, SELF_TRANSFER_K, ZONES)
 
 
 def _case(expr: str, mapping: dict) -> str:
@@ -66,8 +66,6 @@ RULE_CASE = """CASE
     WHEN coalesce(hour(event_time), 12) IN (0, 1, 2, 3, 4) THEN 'odd_hour'
   END"""
 
-_countries = "[" + ", ".join(f"'{c}'" for c in COUNTRIES) + "]"
-
 CTES: dict[str, str] = {
     "ev": """SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""",
     "tx0": f"""SELECT CAST(event_id AS VARCHAR) AS transaction_id, event_id AS step,
@@ -86,7 +84,7 @@ CTES: dict[str, str] = {
          ELSE 'C' || CAST((_user * 7 + 1) % {DEST_MODULUS} AS VARCHAR) END AS nameDest,
     oldbalanceDest,
     CASE WHEN type = 'TRANSFER' THEN oldbalanceDest + amount ELSE oldbalanceDest END AS newbalanceDest,
-    {_countries}[_k % {len(COUNTRIES)} + 1] AS location,
+    'Z' || CAST(_k % {ZONES} AS VARCHAR) AS location,
     CASE WHEN {_case('_k', ANOMALY_BY_K)} IS NULL THEN 0 ELSE 1 END AS isFraud,
     0 AS isFlaggedFraud,
     {_case('_k', ANOMALY_BY_K)} AS anomaly_type,
@@ -608,3 +606,37 @@ oracle("stream_alerts", """SELECT a.transaction_id, a.nameOrig FROM tx a JOIN tx
   AND b.event_time BETWEEN a.event_time - INTERVAL 6 HOUR AND a.event_time
   AND (b.event_time < a.event_time OR b.transaction_id <= a.transaction_id)
 GROUP BY ALL HAVING count(*) >= 3""")
+
+
+# ---------------------------------------------------------------- the detector, run over files
+
+# messages by delivery: broken ones, those raised beyond the serving table, late ones, the rest scored by batch and account
+CTES["msg"] = f"""SELECT *, CAST(step % 2 AS INTEGER) AS batch_id,
+    CASE WHEN {_broken} THEN 'corrupt' WHEN step % 10 = 0 THEN 'amount' END AS reason FROM txk"""
+CTES["newest"] = """SELECT max(event_time) - INTERVAL 3 DAY AS wm FROM msg WHERE batch_id = 0 AND reason IS NULL"""
+CTES["ontime"] = """SELECT * FROM msg, newest WHERE reason IS NULL AND (batch_id = 0 OR event_time >= wm)"""
+CTES["latemsg"] = """SELECT *, (epoch_us(wm) - epoch_us(event_time)) / 1e6 AS lag_seconds FROM msg, newest
+  WHERE reason IS NULL AND batch_id = 1 AND event_time < wm"""
+CTES["detected"] = f"""SELECT *, {RULE_CASE} AS rule_name FROM (
+    SELECT *, count(*) OVER w AS tx_count_5m, CAST(anomaly_type = 'geo_impossible' AS INTEGER) AS geo_flag
+    FROM ontime WINDOW w AS (PARTITION BY batch_id, nameOrig))"""
+
+oracle("detector_stores", """
+SELECT 'lake' AS store, batch_id, strftime(event_time, '%Y-%m-%d') AS detail, count(*) AS n, sum(amount) AS amount,
+       CAST(NULL AS DOUBLE) AS largest_lag FROM detected GROUP BY ALL
+UNION ALL SELECT 'flagged', batch_id, rule_name, count(*), sum(amount), NULL FROM detected WHERE rule_name IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 'late', batch_id, strftime(event_time, '%Y-%m-%d'), count(*), sum(amount), max(lag_seconds) FROM latemsg
+  GROUP BY batch_id, strftime(event_time, '%Y-%m-%d')
+UNION ALL SELECT 'quarantine', batch_id, reason, count(*), NULL, NULL FROM msg WHERE reason IS NOT NULL GROUP BY batch_id, reason""")
+oracle("detector_metrics", """SELECT batch_id, count(*) AS rows, count(rule_name) AS flagged FROM detected GROUP BY batch_id""")
+
+CTES["halves"] = f"""SELECT *, {RULE_CASE} AS rule_name FROM (
+    SELECT *, CAST(step % 2 AS INTEGER) AS batch_id, count(*) OVER w AS tx_count_5m, sum(amount) OVER w AS total_amount_5m,
+      CAST(anomaly_type = 'geo_impossible' AS INTEGER) AS geo_flag
+    FROM tx WINDOW w AS (PARTITION BY step % 2, nameOrig))"""
+oracle("replay_lake", """SELECT batch_id, rule_name, count(*) AS n, sum(total_amount_5m) AS total_amount_5m FROM halves GROUP BY batch_id, rule_name""")
+oracle("lake_one_day", """SELECT strftime(event_time, '%Y-%m-%d') AS dt, batch_id, rule_name, count(*) AS n, sum(amount) AS amount
+FROM halves WHERE CAST(event_time AS DATE) = (SELECT CAST(max(event_time) AS DATE) FROM tx) GROUP BY ALL""")
+oracle("drifted_shards", """SELECT CASE WHEN step % 2 = 1 THEN location END AS location, count(*) AS n, sum(amount) AS amount FROM tx GROUP BY 1""")
+oracle("seed_profile", """SELECT type, round(count(*) / (SELECT count(*) FROM tx), 9) AS weight, round(avg(amount), 4) AS amount_mean,
+  round(quantile_cont(amount, 0.01), 4) AS amount_min, round(quantile_cont(amount, 0.99), 4) AS amount_max FROM tx GROUP BY type""")

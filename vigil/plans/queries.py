@@ -463,13 +463,14 @@ def q_encode(spark, sf):
     """Message keys as text, and the fields read back out of the JSON of the values."""
     from vigil.sources.transactions import encode_events
     e = encode_events(derived.wire_events(_tx(spark, sf)))
-    text = F.col("value").cast("string")
     kinds = {"step": "long", "amount": "double", "oldbalanceOrg": "double", "newbalanceOrig": "double",
              "oldbalanceDest": "double", "newbalanceDest": "double", "isFraud": "int"}
     names = ("transaction_id", "timestamp", "step", "type", "amount", "nameOrig", "oldbalanceOrg", "newbalanceOrig",
              "nameDest", "oldbalanceDest", "newbalanceDest", "location", "isFraud", "anomaly_type")
-    return e.select(F.col("key").cast("string").alias("key"), *[
-        F.get_json_object(text, f"$.{c}").cast(kinds.get(c, "string")).alias(c) for c in names])
+    # one parse a row: the whole struct is read at once
+    schema = ", ".join(f"{c} {kinds.get(c, 'string')}" for c in names)
+    parsed = e.select(F.col("key").cast("string").alias("key"), F.from_json(F.col("value").cast("string"), schema).alias("d"))
+    return parsed.select("key", "d.*")
 
 
 @query("quarantined_events")
@@ -641,12 +642,22 @@ def q_snapshot(spark, sf):
     return days.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
 
 
-def _streamed(spark, sf, name, make):
-    """`make(stream)` run with availableNow over files written from all transactions."""
+def _in_order(spark, folder):
+    """Date the files of a folder by their names, as if they had come one after another."""
+    from vigil.sinks import commits
+    for k, name in enumerate(n for n in commits.names(spark, folder) if n.startswith("part-")):
+        fs, path = commits.file_system(spark, f"{folder}/{name}")
+        fs.setTimes(path, 1_700_000_000_000 + 1000 * k, -1)
+
+
+def _streamed(spark, sf, name, make, files=8):
+    """`make(stream)` run with availableNow over all transactions: files in order of event time, a few a trigger."""
     root = _scratch(spark, name)
     tx = _tx(spark, sf).select("transaction_id", "nameOrig", "event_time", "amount")
-    tx.write.parquet(f"{root}/in")
-    stream = spark.readStream.schema(tx.schema).parquet(f"{root}/in").withWatermark("event_time", "10 minutes")
+    tx.repartitionByRange("event_time").write.parquet(f"{root}/in")
+    _in_order(spark, f"{root}/in")
+    stream = (spark.readStream.schema(tx.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/in")
+              .withWatermark("event_time", "10 minutes"))
     q = (make(stream).writeStream.format("parquet").option("path", f"{root}/out")
          .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -666,3 +677,113 @@ def q_stream_unique(spark, sf):
     from vigil.streaming.windows import dedup_stream
     return _streamed(spark, sf, "unique", lambda s: dedup_stream(s.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy"))
                      ).select("transaction_id", "amount")
+
+
+# ---------------------------------------------------------------- the detector, run over files
+
+#: Rows of the second delivery that are older than the newest of the first by more than this are late.
+LATE_SECONDS = 3 * 86400
+
+
+def _detected(spark, sf):
+    """The detector run twice with availableNow: messages of even ids, then of odd ones; roots of its stores.
+
+    The messages are those of the wire table (some broken); every tenth amount is raised beyond the serving table.
+    """
+    from vigil.sources.transactions import parse_transactions
+    from vigil.streaming.detector import start_detector
+    root = _scratch(spark, "detector")
+    wire = derived.raw_wire(spark, sf).withColumn("_id", F.col("key").cast("string").cast("long"))
+    for k in (0, 1):
+        wire.where(F.pmod("_id", F.lit(2)) == k).drop("_id").write.parquet(f"{root}/in/delivery={k}")
+        stream = spark.readStream.schema("key binary, value binary").parquet(f"{root}/in/*")
+        parsed = parse_transactions(stream).withColumn("amount", F.when(F.col("step") % 10 == 0, F.lit(1e17)).otherwise(F.col("amount")))
+        start_detector(spark, parsed, f"{root}/lake", f"{root}/flagged", f"{root}/ck", {"availableNow": True},
+                       quarantine_root=f"{root}/aside", late_root=f"{root}/late", late_after_seconds=LATE_SECONDS).awaitTermination()
+    return root
+
+
+@query("detector_stores")
+def q_detector_stores(spark, sf):
+    """W5 + W6 + W4 + K1 + K2 + S1: what two micro-batches left in the four stores; together they hold every message."""
+    from vigil.sinks.lake import read_lake, read_parts
+    root = _detected(spark, sf)
+    lake = read_lake(spark, f"{root}/lake")
+    stores = {"lake": (lake, F.col("dt").cast("string"), F.col("amount")),
+              "flagged": (read_parts(spark, f"{root}/flagged"), F.col("rule_name"), F.col("amount").cast("double")),
+              "late": (read_parts(spark, f"{root}/late"), F.date_format("event_time", "yyyy-MM-dd"), F.col("amount")),
+              "quarantine": (read_parts(spark, f"{root}/aside"), F.col("reason"), F.lit(None).cast("double"))}
+    out = None
+    for name, (df, detail, amount) in stores.items():
+        g = (df.groupBy(F.col("batch_id").cast("int").alias("batch_id"), detail.alias("detail"))
+             .agg(F.count(F.lit(1)).alias("n"), F.sum(amount).alias("amount"),
+                  (F.max("lag_seconds") if name == "late" else F.max(F.lit(None).cast("double"))).alias("largest_lag"))
+             .select(F.lit(name).alias("store"), "batch_id", "detail", "n", "amount", "largest_lag"))
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
+@query("detector_metrics")
+def q_detector_metrics(spark, sf):
+    """The counts that each micro-batch observed while it was written, as its marker holds them."""
+    from vigil.sinks.lake import committed_batches
+    root = _detected(spark, sf)
+    return spark.createDataFrame([(b["batch_id"], b["rows"], b["flagged"]) for b in committed_batches(spark, f"{root}/lake")],
+                                 "batch_id int, rows long, flagged long")
+
+
+def _two_batches(spark, sf):
+    """A lake of two micro-batches, even and odd ids, each scored by itself."""
+    from vigil.sinks.lake import write_lake_batch
+    root = _scratch(spark, "lake")
+    for k in (0, 1):
+        write_lake_batch(score(_tx(spark, sf).where(F.pmod("step", F.lit(2)) == k), default_rules(), batch_cols=()), root, k)
+    return root
+
+
+@query("replay_lake")
+def q_replay(spark, sf):
+    """The lake scored again, each stored micro-batch a statistics group; rows and amounts by batch and rule."""
+    from vigil.sinks.lake import read_lake
+    from vigil.streaming.detector import replay
+    again = replay(read_lake(spark, _two_batches(spark, sf)))
+    return (again.groupBy(F.col("batch_id").cast("int").alias("batch_id"), "rule_name")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("total_amount_5m").alias("total_amount_5m")))
+
+
+@query("lake_one_day")
+def q_lake_one_day(spark, sf):
+    """S3 + F5: the newest day of a lake of two micro-batches, folded into large files first; rows by rule and batch."""
+    from vigil.sinks.lake import committed_batches, compact_day
+    from vigil.sources.lake import read_lake_day
+    root = _two_batches(spark, sf)
+    day = max(d for b in committed_batches(spark, root) for d in b["days"])
+    compact_day(spark, root, day)
+    rows = read_lake_day(spark, root, day)
+    return (rows.groupBy(F.col("dt").cast("string").alias("dt"), F.col("batch_id").cast("int").alias("batch_id"), "rule_name")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount")))
+
+
+@query("drifted_shards")
+def q_shards(spark, sf):
+    """T4 + K9 + S7: two shards, the older one without a location, as views, read as tables and put together."""
+    from vigil.sinks.lake import as_view
+    from vigil.sources.lake import table_source, union_shards
+    tx = _tx(spark, sf).select("transaction_id", "step", "amount", "location")
+    as_view(tx.where(F.pmod("step", F.lit(2)) == 0).drop("location"), "vigil_shard_0")
+    as_view(tx.where(F.pmod("step", F.lit(2)) == 1), "vigil_shard_1")
+    both = union_shards([table_source(spark, "vigil_shard_0"), table_source(spark, "vigil_shard_1")])
+    return both.groupBy("location").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
+
+
+@query("seed_profile")
+def q_seed(spark, sf):
+    """S5 + K8 + S8: transactions written as the seed CSV, read, kept as a snapshot, and its profile."""
+    from vigil.sinks.lake import write_snapshot
+    from vigil.sources.seed import SEED_CSV_COLUMNS, profile_or_fallback, read_seed_csv
+    root = _scratch(spark, "seed")
+    _tx(spark, sf).select(*SEED_CSV_COLUMNS).write.option("header", True).csv(f"{root}/csv")
+    write_snapshot(read_seed_csv(spark, f"{root}/csv"), f"{root}/seed")
+    prof = profile_or_fallback(spark, f"{root}/seed")
+    return prof.select("type", F.round("weight", 9).alias("weight"), F.round("amount_mean", 4).alias("amount_mean"), F.round("amount_min", 4).alias("amount_min"),
+                       F.round("amount_max", 4).alias("amount_max"))

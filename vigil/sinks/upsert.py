@@ -12,23 +12,33 @@
 * audit columns (`now_cols`) take `now` on every updated row and on inserted
   rows that carry no value; `update_cols=[]` gives insert-if-absent.
 
-`upsert` writes the merged table as a new version directory and only then
-makes it current (Spark's commit protocol writes `_SUCCESS` last; readers take
-the newest version that has one), so a failed or retried job never leaves a
-half-written table and never reads and overwrites the same path.  With a
-table format on the classpath, `MERGE INTO` is the production equivalent.
+A stored table is cut into buckets by a hash of the key:
+
+    <root>/data/<token>/part=<bucket>/files    rows that one upsert has written
+    <root>/_versions/<n>                       marker of version n: the folder of every bucket
+
+`upsert` reads and rewrites the buckets that the source touches; the next version's marker takes the other
+folders over as they are. Only one writer can create a version's marker (`sinks.commits`): another
+one that prepared the same version merges again onto the winner's, or, where the winner touched other
+buckets only, just publishes its own folders beside the winner's. Readers take the newest version, so
+a failed job never leaves a half-written table. With a table format on the classpath, `MERGE INTO` is the
+production equivalent.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+import uuid
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.schemas import TableSpec, conform
+from vigil.sinks import commits
 
-VERSION_PREFIX = "v="
+#: Buckets of a new table, and how often an upsert merges again when others are faster.
+BUCKETS, ATTEMPTS = 16, 20
+BUCKET_COLUMN = "part"
 
 
 def latest_per_key(source: DataFrame, key: Sequence[str], order: str) -> DataFrame:
@@ -94,56 +104,76 @@ def merge_frames(target: DataFrame | None, source: DataFrame, key: Sequence[str]
 
 # ---------------------------------------------------------------- versioned storage
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem is the portable lister
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p  # noqa: SLF001
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether something is at `path`, in any store that Spark reads."""
-    fs, p = _fs(spark, path)
+    fs, p = commits.file_system(spark, path)
     return fs.exists(p)
 
 
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Version numbers under `root` whose write committed (`_SUCCESS` present)."""
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(VERSION_PREFIX):
-            if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):  # noqa: SLF001
-                out.append(int(name[len(VERSION_PREFIX):]))
-    return sorted(out)
+    """Version numbers of the table at `root`."""
+    return [int(n) for n in commits.names(spark, f"{root.rstrip('/')}/_versions") if n.isdigit()]
+
 
+def version(spark: SparkSession, root: str) -> dict | None:
+    """The newest version: its number, `buckets`, and the folder of every bucket that has rows."""
+    known = committed_versions(spark, root)
+    return {**commits.read(spark, f"{root.rstrip('/')}/_versions/{known[-1]:08d}"), "number": known[-1]} if known else None
 
-def current_path(spark: SparkSession, root: str) -> str | None:
-    v = committed_versions(spark, root)
-    return f"{root.rstrip('/')}/{VERSION_PREFIX}{v[-1]:08d}" if v else None
+
+def _rows(spark: SparkSession, root: str, folders: list[str], spec: TableSpec | None) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], spec.schema)
+    reader = spark.read.schema(spec.schema) if spec else spark.read
+    return reader.parquet(*[f"{root.rstrip('/')}/{f}" for f in folders])
 
 
 def read_table(spark: SparkSession, root: str, spec: TableSpec | None = None) -> DataFrame | None:
-    p = current_path(spark, root)
-    if p is None:
+    now = version(spark, root)
+    if now is None or not (spec or now["parts"]):
         return None
-    return spark.read.schema(spec.schema).parquet(p) if spec else spark.read.parquet(p)
+    return _rows(spark, root, [now["parts"][b] for b in sorted(now["parts"])], spec)
+
+
+def bucket_of(spec: TableSpec, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in spec.key]), F.lit(buckets)).cast("int")
 
 
 def upsert(spark: SparkSession, root: str, source: DataFrame, spec: TableSpec,
            update_cols: Sequence[str] | None = None, order: str | None = None,
-           now: Column | None = None) -> str:
-    """Merge `source` into the table at `root`; returns the new version's path."""
-    target = read_table(spark, root, spec)
+           now: Column | None = None, buckets: int = BUCKETS, prepared: Callable[[], None] | None = None) -> str:
+    """Merge `source` into the table at `root`; returns the new version's marker.
+
+    `buckets` counts for a new table; `prepared` is called before each publication (tests).
+    """
+    root = root.rstrip("/")
     extra = [order] if order and order not in spec.names else []
     src = conform(source, spec, now=F.lit(None).cast("timestamp"), extra=extra)
     now_cols = [c.name for c in spec.columns if c.default == "now"]
-    merged = merge_frames(target, src, spec.key, update_cols, order, now_cols, now)
-    merged = conform(merged, spec, now=now)
-    versions = committed_versions(spark, root)
-    nxt = (versions[-1] + 1) if versions else 1
-    path = f"{root.rstrip('/')}/{VERSION_PREFIX}{nxt:08d}"
-    merged.write.mode("overwrite").parquet(path)
-    return path
+    for _ in range(ATTEMPTS):
+        base = version(spark, root)
+        n = base["buckets"] if base else buckets
+        # at most `n` rows
+        touched = [str(r[0]) for r in src.select(bucket_of(spec, n)).distinct().collect()]
+        target = None
+        if base:
+            target = _rows(spark, root, [base["parts"][b] for b in touched if b in base["parts"]], spec)
+        merged = conform(merge_frames(target, src, spec.key, update_cols, order, now_cols, now), spec, now=now)
+        data = f"data/{uuid.uuid4().hex[:16]}"
+        (merged.withColumn(BUCKET_COLUMN, bucket_of(spec, n)).repartition(BUCKET_COLUMN)
+         .write.partitionBy(BUCKET_COLUMN).parquet(f"{root}/{data}"))
+        written = {f.split("=")[1]: f"{data}/{f}" for f in commits.names(spark, f"{root}/{data}") if f.startswith(f"{BUCKET_COLUMN}=")}
+        if prepared:
+            prepared()
+        parts = base["parts"] if base else {}
+        before = {b: parts.get(b) for b in touched}
+        while base is None or base["buckets"] == n:
+            content = {"buckets": n, "parts": {**{b: f for b, f in parts.items() if b not in before}, **written}}
+            marker = f"{root}/_versions/{(base['number'] if base else 0) + 1:08d}"
+            if commits.publish(spark, marker, content):
+                return marker
+            base = version(spark, root)  # another writer was faster
+            parts = base["parts"]
+            if {b: parts.get(b) for b in touched} != before:
+                break  # it changed what was read here: merge again
+    raise RuntimeError(f"no version of {root} could be published in {ATTEMPTS} attempts")

@@ -7,14 +7,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.sinks.lake import read_lake
+
 
 def read_lake_day(spark: SparkSession, root: str, day: str) -> DataFrame:
-    """S3 + F5: every shard of one `dt` partition.
+    """S3 + F5: every committed shard of one `dt` partition.
 
-    The filter on the partition column is pruned at planning time (only that
-    day's directories are listed and read), with no page limit on listings.
+    The commit markers name the day's folders, so only these are listed and read.
     """
-    return spark.read.option("basePath", root).parquet(root).where(F.col("dt") == F.lit(day))
+    return read_lake(spark, root, [day]).where(F.col("dt") == F.lit(day))
 
 
 def union_shards(frames: list[DataFrame]) -> DataFrame:

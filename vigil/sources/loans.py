@@ -29,8 +29,8 @@ def _text(c: str, trim: bool) -> Column:
     return F.when(v.isin(*NULL_TOKENS), F.lit(None).cast("string")).otherwise(v)
 
 
-def coerce_loans(df: DataFrame, trim: bool = False) -> DataFrame:
-    """Text columns -> typed loan columns; null id rows dropped."""
+def coerce_loans(df: DataFrame, trim: bool = False, extra: list[str] | None = None) -> DataFrame:
+    """Text columns -> typed loan columns (and `extra` ones as they are); null id rows dropped."""
     t = {c: _text(c, trim) for c in LOAN_CSV_COLUMNS}
     out = df.select(
         t["loan_id"].alias("loan_id"),
@@ -42,15 +42,22 @@ def coerce_loans(df: DataFrame, trim: bool = False) -> DataFrame:
         t["loan_intent"].alias("loan_intent"),
         t["loan_status"].try_cast("double").try_cast("short").alias("loan_status"),
         t["cb_person_default_on_file"].alias("cb_person_default_on_file"),
+        *(extra or []),
     )
     return out.dropna(subset=["loan_id"])
 
 
-def read_loans_csv(spark: SparkSession, path: str, trim: bool = False) -> DataFrame:
-    """Header CSV, every column as text, then `coerce_loans`."""
+def read_loans_csv(spark: SparkSession, path: str, trim: bool = False, position: str | None = None) -> DataFrame:
+    """Header CSV, every column as text, then `coerce_loans`.
+
+    `position` names a column that orders the rows as their files do: file name, place of the split, row.
+    """
     raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
            .schema(TEXT_SCHEMA).csv(path))
-    return coerce_loans(raw, trim)
+    if position:
+        raw = raw.withColumn(position, F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                                                F.monotonically_increasing_id().alias("row")))
+    return coerce_loans(raw, trim, [position] if position else None)
 
 
 def parse_loan_lines(lines: DataFrame, col: str = "value", trim: bool = False) -> DataFrame:

@@ -36,8 +36,8 @@ def read_seed_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def read_seed_parquet(spark: SparkSession, path: str) -> DataFrame | None:
     """The Parquet snapshot, or None when it does not exist."""
-    from vigil.sinks.upsert import _fs
-    fs, p = _fs(spark, path)
+    from vigil.sinks.commits import file_system
+    fs, p = file_system(spark, path)
     if not fs.exists(p):
         return None
     return spark.read.parquet(path).select(*KEEP)

@@ -4,17 +4,19 @@ The reference counts an account's events inside one micro-batch, so a burst
 split by a trigger boundary is missed.  Here the count is over a true
 trailing window of event time, carried across batches in state per account and block of time.
 
-State holds the account's event times that can still fall inside the window
-of a future on-time event: times >= watermark - window (Spark drops events
-older than the watermark).  It is therefore bounded by the account's events
-in (watermark delay + window), not by its history, and it expires through an
-event-time timeout.  Time is cut into blocks of `BLOCK_WINDOWS` windows, and the state and the rows that a task
-gathers are those of one (account, block), so an account with much of the table is
-spread over tasks.  Events within a window of a block's end also go to the next
+State does not grow with the events of a window.  Time is cut into slots as long as the window, and of each slot
+the `threshold - 1` earliest and latest times are kept: a window [t - window, t] ends
+in one slot and begins in the one before, so the kept times in it are all of them, or at least `threshold - 1`
+(`thin`).  Slots that no window of an on-time event reaches any more (Spark drops events older than the
+watermark) are forgotten, and idle state expires through an event-time timeout.
+
+Time is also cut into blocks of `BLOCK_WINDOWS` windows; rows and state are grouped by (account, block), so an
+account with much of the table is spread over tasks.  Events within a window of a block's end also go to the next
 block, where they are counted but raise no alerts.  A block's rows of one micro-batch
 arrive as several Arrow batches; their ids and times are gathered, sorted, and counted
 with vectorised binary search (`chunk_alerts`), so the answer does not depend on
-the Arrow batch size or on the blocks.
+the Arrow batch size or on the blocks.  Bound the source's trigger (`maxFilesPerTrigger`, `maxBytesPerTrigger`,
+`maxOffsetsPerTrigger`): a task gathers one micro-batch's rows of a block.
 """
 
 from __future__ import annotations
@@ -30,8 +32,8 @@ from vigil.functions.rules import RAPID_FIRE_COUNT_THRESHOLD
 
 ALERT_SCHEMA = "nameOrig string, transaction_id string, event_time timestamp"
 STATE_SCHEMA = "times array<timestamp>"
-#: Width of a block of time in windows: wide enough that few events go to two blocks.
-BLOCK_WINDOWS = 64
+#: Width of a block of time in windows: one event in so many goes to two blocks.
+BLOCK_WINDOWS = 8
 
 
 def chunk_alerts(times: np.ndarray, new: np.ndarray, window: int, threshold: int):
@@ -52,6 +54,17 @@ def chunk_alerts(times: np.ndarray, new: np.ndarray, window: int, threshold: int
     return alert, merged
 
 
+def thin(times: np.ndarray, window: int, keep: int) -> np.ndarray:
+    """Of sorted times, the `keep` earliest and latest of each slot of `window` length.
+
+    Any window [t - window, t] holds either the same number of them as of all times, or at least `keep`.
+    """
+    slot = times // max(window, 1)
+    first, last = np.searchsorted(slot, slot, "left"), np.searchsorted(slot, slot, "right")
+    place = np.arange(len(times))
+    return times[(place - first < keep) | (last - place <= keep)]
+
+
 def _micros(values) -> np.ndarray:
     return pd.to_datetime(pd.Series(values)).values.astype("datetime64[us]").astype("int64")
 
@@ -84,7 +97,7 @@ def rapid_fire_alerts(stream: DataFrame, window_seconds: int = 300,
             if alert.any():
                 hit = pdf.loc[alert, ["transaction_id", "event_time"]]
                 out.append(hit.assign(nameOrig=key[0])[["nameOrig", "transaction_id", "event_time"]])
-        times = times[times >= wm - window]
+        times = thin(times[times >= wm - window], window, threshold - 1)
         end = min(int(times[-1]) + window, int(key[1]) + width) if len(times) else wm
         if end > wm:
             state.update((pd.to_datetime(times, unit="us").to_pydatetime().tolist(),))
