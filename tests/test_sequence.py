@@ -104,3 +104,29 @@ def test_dedup_hot_key(spark):
     assert first == {"k1": (0, "v0"), "k2": (3, "b"), None: (1, "n")}
     assert last["k1"] == (499, "v499") and last["k2"] == (5, "a")
     assert dedup(df, "k", "t").columns == ["k", "t", "v"]
+
+
+@pytest.mark.parametrize("hot_rows", [3, 50])
+def test_hot_buckets_are_cut_and_give_the_same(events, hot_rows):
+    """Buckets of more than a few rows are parted; ties, edges and rows without a sequence included."""
+    pdf, df = events
+    for bucket in (3600, 10 ** 7):
+        b = time_bucket("ts", bucket)
+        for make in (lambda **k: previous_value(df, "acct", "ts", ["loc", "ts"], b, ["transaction_id"], **k),
+                     lambda **k: running_totals(df, "acct", "ts", "amount", b, ["transaction_id"], **k),
+                     lambda **k: islands(df, "acct", "ts", 600.0, bucket, ["transaction_id"], **k)):
+            cut, whole = make(hot_rows=hot_rows), make()
+            assert cut.columns == whole.columns
+            assert sorted(map(str, cut.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_an_account_with_a_third_of_the_rows_in_one_hour_is_spread(spark):
+    from vigil.operators.sequence import parted
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("A"), (F.col("id") % 997).cast("string"))).alias("acct"),
+        F.timestamp_seconds(F.lit(1_700_000_400) + F.pmod(F.xxhash64("id"), F.lit(3600))).alias("ts"))
+    t = parted(df, "acct", "ts", time_bucket("ts", 3600), F.lit(True), hot_rows=1000)
+    sizes = {(r.acct, r._p): r["count"] for r in t.groupBy("acct", "_p").count().collect()}
+    hot = [c for (a, _), c in sizes.items() if a == "HOT"]
+    assert len(hot) > 200 and max(hot) < 2 * (n / 3) / len(hot) and all(p == 0 for a, p in sizes if a != "HOT")
