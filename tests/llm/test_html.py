@@ -66,7 +66,7 @@ def test_blocks_lists_and_tables():
 def test_visibility():
     page = ("<p>a<span hidden>b</span><span style='color:red; DISPLAY : none'>c</span><span style='visibility:hidden'>d</span>"
             "<span aria-hidden=true>e</span><script>f</script><style>g</style><template>h</template><!-- i --><input value=j>k</p>")
-    assert html.visible_text(page) == "ak"
+    assert html.visible_text(page) == "aek"  # aria-hidden is for screen readers: browsers show the text
 
 
 def test_broken_markup():
@@ -118,3 +118,54 @@ def test_formulas_drawings_and_choices_show_their_text():
 def test_deep_drawings_take_linear_time():
     for unit in ("<svg>", "<svg><g><text>x", "<math><mi>", "<select><option>", "<head>", "<svg/>", "<div><input>"):
         html.visible_text(unit * 20_000)
+
+
+def test_numbers_of_any_length():
+    """Character references and spans of thousands of digits are numbers like others."""
+    many = "9" * 5000
+    assert html.visible_text(f"a&#{many};b&#x{many};c&#{'0' * 5000}65;d&#x{'0' * 5000}41;") == "a\ufffdb\ufffdcAdA"
+    assert html.visible_text(f"<p title='&#{many};'>x</p>") == "x"
+    assert html.visible_text(f"<table><tr><td colspan={many} rowspan={many}>a<td>b<tr><td>c</table>").split() == ["a", "b", "c"]
+    assert html.visible_text(f"<ol start={many}><li>x</ol>") == "1000000000. x"
+    assert html.unescape("&#65;&amp;&#x41;&#0065;&lt") == "A&AA<"
+
+
+def test_what_browsers_show():
+    assert html.visible_text("<div style='visibility:hidden'>a<b style='visibility: visible'>b</b>c</div>d") == "b\nd"
+    assert html.visible_text("<form>Name <input value=no> <input type=submit value=Send><input type=RESET></form>").split() == ["Name", "Send", "Reset"]
+    assert html.visible_text("<details>no<summary>more</summary><p>no</details><details open><summary>s</summary>yes</details>") == "more\ns\nyes"
+    page = "<table><tr><td rowspan=2>a<td>b<td>c<tr><td>d<td>e<tr><td>f<td>g</table>"
+    assert html.visible_text(page) == "a  b  c\n   d  e\nf  g"
+    assert html.visible_text("<table><tr><td rowspan=0>x<td>1<tr><td>2<tr><td>3</table>") == "x  1\n   2\n   3"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<p>", "</p>", "<div>", "</div>", "<ul>", "<li>", "</ul>", "<table>", "<tr>", "<td>", "</td>", "</table>", "<b>", "</b>", "<caption>",
+                                 "<dl>", "<dt>", "<dd>", "<tbody>", "<span>", "</span>"]), max_size=40))
+def test_open_elements_by_tag_are_those_of_a_walk(tags):
+    """Places kept by tag agree with walking the open elements."""
+    rnd = html.Open(html.Node("html", {}))
+    for t in tags:
+        name = t.strip("</>")
+        if t.startswith("</"):
+            if place := rnd.last((name,)):
+                assert place == max(k for k, n in enumerate(rnd.nodes) if k and n.tag == name)
+                rnd.cut(place)
+        else:
+            rnd.push(html.Node(name, {}))
+        for few in (("p",), ("td", "table"), ("li", "b", "dd")):
+            assert rnd.last(few) == max((k for k, n in enumerate(rnd.nodes) if k and n.tag in few), default=0)
+            want = [k for k, n in enumerate(rnd.nodes) if k > 2 and n.tag in few]
+            assert rnd.first_after(few, 2) == min(want, default=None)
+
+
+def test_hostile_pages_take_time_in_proportion():
+    """Deep nesting, unmatched end tags, crowded tables: a walk of the stack for each tag would take minutes."""
+    import time
+    units = {"<div>": 200_000, "<span>": 100_000, "<li>x": 25_000, "<ul><li>": 25_000, "<blockquote>x": 25_000, "<dl><dd>x": 25_000,
+             "<p><caption><div>": 25_000, "<table><tr><td>": 25_000, "<svg><g><text>x": 25_000, "<tr><td rowspan=9 colspan=1000>x": 10_000}
+    for unit, n in units.items():
+        for page in (unit * n, "<table>" + unit * n, unit * (n // 2) + "</b>" * n):
+            began = time.process_time()
+            html.visible_text(page)
+            assert time.process_time() - began < 8, unit

@@ -6,12 +6,17 @@ other, tables get rows, unknown end tags are ignored), visibility rules prune th
 renderer walks it without recursion: blocks on their own lines, paragraphs set off by
 blank lines, list items with bullets or numbers by nesting, table cells aligned in
 columns, preformatted text as it stands. All visible text comes out, navigation included.
+
+Any page takes time in proportion to its length: open elements are found by their tag, never by
+walking the stack, and numbers and indentation are bounded. Of styles only those in `style`
+attributes count (`display: none`, `visibility`); style sheets in or beside the page are not read.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -48,7 +53,31 @@ ENDS_SELECT = frozenset("select input textarea caption table tbody thead tfoot t
 
 TAG = re.compile(r"""<([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>=][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*+))?+|=)*+)>""")
 ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*+)))?+""")
-STYLE_HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)", re.I)
+#: Numeric character references with more digits than any code point has.
+LONG_REFERENCE = re.compile(r"&#(?:[xX]([0-9a-fA-F]{7,})|([0-9]{8,}));?")
+#: Levels of indentation, columns that a cell spans at most, and columns whose cells may span rows.
+DEEPEST, WIDEST, ROWSPAN_COLUMNS = 40, 1000, 100
+#: End tags that reach beyond a cell or table.
+BEYOND_CELL = frozenset("table tr td th tbody thead tfoot body html".split())
+BUTTONS = {"submit": "Submit", "reset": "Reset", "button": ""}
+
+
+def unescape(text: str) -> str:
+    """Character references resolved, however many digits they have."""
+    def short(m: re.Match) -> str:
+        digits = (m[1] or m[2]).lstrip("0")
+        return "\ufffd" if len(digits) > 7 else f"&#{'x' if m[1] else ''}{digits or '0'};"
+    return entities.unescape(LONG_REFERENCE.sub(short, text) if "&#" in text else text)
+
+
+def number(text: str, least: int, most: int, default: int) -> int:
+    """A whole number in an attribute, within bounds, however many digits it has."""
+    m = re.match(r"\s*\+?0*([0-9]{0,9})([0-9]*)", text)
+    if not (m[1] or "0" in m[0]):
+        return default
+    return max(least, most if m[2] else min(most, int(m[1] or 0)))
 
 
 class Node:
@@ -63,7 +92,7 @@ class Node:
 def attributes(raw: str) -> dict[str, str]:
     out: dict[str, str] = {}
     for m in ATTRIBUTE.finditer(raw):
-        out.setdefault(m[1].lower(), entities.unescape(m[2] or m[3] or m[4] or ""))
+        out.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
     return out
 
 
@@ -78,10 +107,10 @@ def scan(page: str):
     while at < len(page):
         lt = page.find("<", at)
         if lt < 0:
-            yield "text", entities.unescape(page[at:])
+            yield "text", unescape(page[at:])
             return
         if lt > at:
-            yield "text", entities.unescape(page[at:lt])
+            yield "text", unescape(page[at:lt])
         after = page[lt + 1:lt + 2]
         if page.startswith("<!--", lt):
             end = page.find("-->", lt + 4)
@@ -111,7 +140,7 @@ def scan(page: str):
                 end = lower.find(f"</{tag}", at)
                 if end < 0:
                     end = len(page)
-                yield "text", entities.unescape(page[at:end]) if tag in ("textarea", "title") else page[at:end]
+                yield "text", unescape(page[at:end]) if tag in ("textarea", "title") else page[at:end]
                 at = end
         else:
             yield "text", "<"
@@ -162,22 +191,44 @@ def choose(select: Node) -> None:
     select.kids = [" ", *(shown[0].kids if shown else []), " "]
 
 
+class Open:
+    """The open elements, with the places of every tag among them."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.places = [root], {}
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, keep: int) -> None:
+        """End all elements but the first `keep`."""
+        while len(self.nodes) > keep:
+            self.places[self.nodes.pop().tag].pop()
+
+    def last(self, tags) -> int:
+        """Place of the innermost element with one of the tags, 0 without any."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def first_after(self, tags, place: int) -> int | None:
+        """Place of the outermost element with one of the tags beyond a place."""
+        found = [own[k] for t in tags if (own := self.places.get(t)) and (k := bisect_right(own, place)) < len(own)]
+        return min(found, default=None)
+
+
 def build_tree(page: str) -> Node:
     root = Node("html", {})
-    stack, selects = [root], []
+    elements, selects = Open(root), []
+    stack = elements.nodes
 
     def close_p() -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag == "p":
-                del stack[k:]
-                return
-            if stack[k].tag in LIMITS:
-                return
+        if (p := elements.last(("p",))) > elements.last(LIMITS):
+            elements.cut(p)
 
     for event in scan(page):
         if event[0] == "text":
             if stack[-1].tag == "head" and event[1].strip():
-                stack.pop()
+                elements.cut(len(stack) - 1)
             if event[1] and stack[-1].inside != "svg":
                 stack[-1].kids.append(event[1])
         elif event[0] == "open":
@@ -187,27 +238,23 @@ def build_tree(page: str) -> Node:
             if tag == "head" and (len(stack) > 1 or any(not isinstance(k, str) or k.strip() for k in root.kids)):
                 continue  # the page's head is over
             if stack[-1].tag == "head" and tag not in IN_HEAD:
-                stack.pop()
+                elements.cut(len(stack) - 1)
             if tag in BREAKOUT:
                 while stack[-1].inside in ("svg", "svg text", "math"):
-                    stack.pop()
+                    elements.cut(len(stack) - 1)
             elif tag in ENDS_SELECT:
                 while stack[-1].inside == "select":
-                    stack.pop()
+                    elements.cut(len(stack) - 1)
             if tag in ENDS_P:
                 close_p()
             if tag in CLOSES:
-                low = len(stack)
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag in SCOPE.get(tag, ()):
-                        break
-                    if stack[k].tag in CLOSES[tag]:
-                        low = k
-                del stack[low:]
+                low = elements.first_after(CLOSES[tag], elements.last(SCOPE.get(tag, ())))
+                if low is not None:
+                    elements.cut(low)
             if tag in ("td", "th") and stack[-1].tag in ("table", "thead", "tbody", "tfoot"):
                 row = Node("tr", {})  # a cell without a row
                 stack[-1].kids.append(row)
-                stack.append(row)
+                elements.push(row)
             around = stack[-1].inside
             node = Node(tag, attrs, content_of(stack[-1], tag))
             if around in ("svg", "svg text", "math") and (tag in NOT_DRAWN or attrs.get("display") == "none" or attrs.get("visibility") in ("hidden", "collapse")):
@@ -215,29 +262,43 @@ def build_tree(page: str) -> Node:
             if tag == "select":
                 selects.append(node)
             stack[-1].kids.extend((" ", node, " ") if around == "svg" and tag == "text" else (node,))
+            if tag == "input" and (label := BUTTONS.get(attrs.get("type", "").lower())) is not None:
+                node.kids = [" ", attrs.get("value", label), " "]
             if tag not in VOID:
-                stack.append(node)
+                elements.push(node)
         else:
             tag = event[1]
             if tag == "br":
                 stack[-1].kids.append(Node("br", {}))
                 continue
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if stack[k].tag in ("td", "th", "table") and tag not in ("table", "tr", "td", "th", "tbody", "thead", "tfoot", "body", "html"):
-                    break  # an end tag inside a cell does not end what is around the table
+            place = elements.last((tag,))
+            # an end tag inside a cell does not end what is around the table
+            if place and (tag in BEYOND_CELL or place >= elements.last(("td", "th", "table"))):
+                elements.cut(place)
     for select in selects:
         choose(select)
+    settle(root)
     return root
 
 
+def settle(root: Node) -> None:
+    """Drop the text of invisible elements, but not of visible ones inside them, and what closed details hide."""
+    todo = [(root, False)]
+    while todo:
+        node, off = todo.pop()
+        if said := VISIBILITY.search(node.attrs.get("style", "")):
+            off = said[1].lower() != "visible"
+        if off:
+            node.kids = [k for k in node.kids if not isinstance(k, str)]
+        if node.tag == "details" and "open" not in node.attrs:
+            node.kids = [k for k in node.kids if not isinstance(k, str) and k.tag == "summary"][:1]
+        todo.extend((k, off) for k in node.kids if not isinstance(k, str))
+
+
 def visible(node: Node) -> bool:
     a = node.attrs
-    return not (node.tag in HIDDEN or "hidden" in a or a.get("aria-hidden", "").lower() == "true"
-                or node.tag == "input" or (node.tag == "dialog" and "open" not in a)
-                or ("style" in a and STYLE_HIDES.search(a["style"])))
+    return not (node.tag in HIDDEN or "hidden" in a or (node.tag == "input" and not node.kids)
+                or (node.tag == "dialog" and "open" not in a) or ("style" in a and NO_DISPLAY.search(a["style"])))
 
 
 class Page:
@@ -302,8 +363,9 @@ def flat_text(node: Node) -> str:
 
 def table_lines(table: Node) -> list[str]:
     """Rows of a table, cells aligned in columns; captions and stray text on lines of their own before them."""
-    rows: list[list[str]] = []
+    rows: list[dict[int, str]] = []
     before, todo = [], list(reversed(table.kids))
+    taken: dict[int, int] = {}  # column -> rows below that a cell above reaches into
     while todo:
         x = todo.pop()
         if isinstance(x, str):
@@ -313,18 +375,40 @@ def table_lines(table: Node) -> list[str]:
         elif x.tag in ("thead", "tbody", "tfoot"):
             todo.extend(reversed(x.kids))
         elif x.tag == "tr":
-            cells: list[str] = []
+            cells: dict[int, str] = {}
+            column, reaching = 0, {}
             for c in x.kids:
+                if isinstance(c, str) and not c.strip() or not isinstance(c, str) and not visible(c):
+                    continue
+                while taken.get(column):
+                    column += 1
                 if isinstance(c, str):
-                    cells += [" ".join(c.split())] if c.strip() else []
-                elif visible(c):
-                    span = c.attrs.get("colspan", "1")
-                    cells += [flat_text(c)] + [""] * (min(int(span), 1000) - 1 if span.isascii() and span.isdigit() and int(span[:4]) else 0)
+                    cells[column], wide, high = " ".join(c.split()), 1, 1
+                else:
+                    cells[column] = flat_text(c)
+                    wide, high = number(c.attrs.get("colspan", "1"), 1, WIDEST, 1), number(c.attrs.get("rowspan", "1"), 0, 65534, 1)
+                if high != 1:  # 0: all rows below
+                    reaching.update((k, high or 65534) for k in range(column, min(column + wide, ROWSPAN_COLUMNS)))
+                column += wide
+            taken = {k: n - 1 for k, n in {**taken, **reaching}.items() if n > 1}
             rows.append(cells)
         else:
             before += [t] if (t := flat_text(x)) else []
-    widths = [max(len(r[k]) for r in rows if k < len(r)) for k in range(max(map(len, rows), default=0))]
-    lines = ["  ".join(c.ljust(w) for c, w in zip(r, widths, strict=False)).rstrip() for r in rows]
+    widths: dict[int, int] = {}
+    for cells in rows:
+        for k, text in cells.items():
+            widths[k] = max(widths.get(k, 0), len(text))
+    begins, at = {}, 0
+    for k in sorted(widths):
+        begins[k], at = at, at + widths[k] + 2
+    lines = []
+    for cells in rows:
+        parts, at = [], 0
+        for k, text in cells.items():
+            if text:
+                parts += [" " * (begins[k] - at), text]
+                at = begins[k] + len(text)
+        lines.append("".join(parts))
     return [x for x in before + lines if x]
 
 
@@ -357,16 +441,15 @@ def render(root: Node) -> str:
                 page.block(tag in SPACED and not (lists and tag in ("ul", "ol", "menu", "p")))
             todo.append((node, page.indent))
             if tag in ("ul", "ol", "menu", "dir"):
-                start = node.attrs.get("start", "1")
-                lists.append([tag, int(start[:9]) if start.isascii() and start.isdigit() else 1])
+                lists.append([tag, number(node.attrs.get("start", "1"), 0, 10**9, 1)])
             elif tag == "li":
                 kind = lists[-1] if lists else ["ul", 1]
                 bullet = f"{kind[1]}. " if kind[0] == "ol" else "- "
                 kind[1] += 1
-                pad = "  " * max(0, len(lists) - 1)
+                pad = "  " * min(DEEPEST, max(0, len(lists) - 1))
                 page.prefix, page.indent = pad + bullet, pad + " " * len(bullet)
             elif tag in ("blockquote", "dd"):
-                page.indent += "  "
+                page.indent = (page.indent + "  ")[:2 * DEEPEST]
                 page.prefix = ""
             elif tag == "pre":
                 kept += 1
