@@ -181,3 +181,22 @@ def test_asof_rate_every_position(spark):
     want = {f"t{d}": brute(dt.date(2026, 7, d)) for d in days}
     want["tnull"] = None
     assert got == want
+
+
+def test_asof_rate_over_long_gaps_and_far_dates(spark):
+    """Rates years apart, several in a month, and one in the year 9999: every event against a plain search."""
+    import datetime as dt
+    import random
+    from vigil.plans import marts
+    rnd = random.Random(4)
+    first = dt.date(2001, 1, 1)
+    dates = sorted({first + dt.timedelta(days=rnd.choice([rnd.randrange(60), rnd.randrange(9000)])) for _ in range(50)}) + [dt.date(9999, 12, 31)]
+    rates = [(d, float(k + 1)) for k, d in enumerate(dates)]
+    days = [first + dt.timedelta(days=rnd.randrange(-400, 9500)) for _ in range(400)] + dates[:20] + [dt.date(9999, 12, 30), None]
+    stg = spark.createDataFrame([(str(k), d, 100.0) for k, d in enumerate(days)], "transaction_id string, event_date date, amount double")
+    stg = stg.selectExpr("transaction_id", "event_date", "cast(amount as decimal(18,2)) amount")
+    table = spark.createDataFrame(rates, "rate_date date, r double").selectExpr("rate_date", "cast(r as decimal(10,4)) usd_lkr_rate")
+    got = {r.transaction_id: r.rate_asof for r in marts.amount_lkr_asof(stg, table).collect()}
+    for k, d in enumerate(days):
+        want = max(((x, r) for x, r in rates if d and x <= d), default=(None, None))[1]
+        assert (None if got[str(k)] is None else float(got[str(k)])) == want, d

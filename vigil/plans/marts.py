@@ -149,26 +149,28 @@ def star_view(fact: DataFrame, d_date: DataFrame, d_account: DataFrame, d_rule:
 def amount_lkr_asof(stg: DataFrame, rates: DataFrame) -> DataFrame:
     """J5 (intent): convert with the rate of the event's day, else the newest earlier one.
 
-    Exact as-of join as an equi-join, built from the rates alone: each rate
-    covers the calendar days up to the day before the next rate, expanded to
-    one row per day (bounded by the calendar span of the rates, not by the
-    data) and broadcast.  Days after the newest rate take the newest rate (a
-    scalar subquery); days before the first rate get null.  The events are
-    read once and never shuffled for this join.
+    Exact as-of join as an equi-join on the month, built from the rates alone.  A month with
+    rates is one row that holds them (31 at most) and is broadcast; events of other months, and of days before the
+    first rate of theirs, take the last rate of the newest earlier month from a ladder of one entry
+    per month with rates (a scalar subquery).  Nothing is expanded over the days between two rates, so a
+    rate far in the future costs one row.  Both are bounded by the months that have rates, not
+    by the data; the events are read once and never shuffled for this join.
     """
-    from pyspark.sql import Window
     known = rates.where(F.col("rate_date").isNotNull() & F.col("usd_lkr_rate").isNotNull())
     # one rate a date: of several the one loaded last, then the larger
     newer = [F.col(c) for c in ("loaded_at", "usd_lkr_rate") if c in known.columns]
     known = known.groupBy("rate_date").agg(F.max_by("usd_lkr_rate", F.struct(*newer)).alias("usd_lkr_rate"))
-    r = known.select(F.col("rate_date").alias("_d"), F.col("usd_lkr_rate").alias("_rate"))
-    spans = r.withColumn("_next", F.lead("_d").over(Window.orderBy("_d")))   # one row per rate day
-    days = spans.select(F.explode(F.sequence("_d", F.coalesce(F.date_sub("_next", 1), F.col("_d"))))
-                        .alias("event_date"), "_rate")
-    newest = latest_rate(known).select(F.struct("usd_lkr_rate", "rate_date").alias("r")).scalar()
-    after_last = F.col("event_date") > newest.getField("rate_date")
-    rate = F.coalesce(F.col("_rate"), F.when(after_last, newest.getField("usd_lkr_rate")))
-    return (stg.join(F.broadcast(days), "event_date", "left")
-            .withColumn("rate_asof", rate).drop("_rate")
+
+    def month(d: str):
+        return F.year(d) * 12 + F.month(d)
+
+    months = known.groupBy(month("rate_date").alias("_month")).agg(
+        F.collect_list(F.struct(F.col("rate_date").alias("d"), F.col("usd_lkr_rate").alias("rate"))).alias("_rates"))
+    ladder = months.agg(F.collect_list(F.struct(F.col("_month").alias("m"), F.array_max("_rates").getField("rate").alias("rate")))).scalar()
+    rows = stg.withColumns({"_event_month": month("event_date"), "_ladder": ladder}).join(
+        F.broadcast(months), F.col("_event_month") == F.col("_month"), "left")
+    today = F.array_max(F.filter("_rates", lambda r: r.getField("d") <= F.col("event_date"))).getField("rate")
+    before = F.array_max(F.filter("_ladder", lambda r: r.getField("m") < F.col("_event_month"))).getField("rate")
+    return (rows.withColumn("rate_asof", F.coalesce(today, before)).drop("_event_month", "_ladder", "_month", "_rates")
             .withColumn("amount_lkr_asof", F.round(F.col("amount") * F.col("rate_asof"), 2)
                         .cast("decimal(28,2)")))

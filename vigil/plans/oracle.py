@@ -299,7 +299,9 @@ oracle("mart_loan_risk", """SELECT * FROM mart""")
 oracle("amount_lkr_asof", """
 SELECT s.transaction_id, s.event_date, r.usd_lkr_rate AS rate_asof,
        CAST(round(s.amount * r.usd_lkr_rate, 2) AS DECIMAL(28,2)) AS amount_lkr_asof
-FROM stg_flagged s ASOF LEFT JOIN rates r ON s.event_date >= r.rate_date""")
+FROM stg_flagged s ASOF LEFT JOIN (
+  SELECT rate_date, usd_lkr_rate FROM rates WHERE dayofmonth(rate_date) % 3 <> 0
+  UNION ALL SELECT DATE '9999-12-31', max(usd_lkr_rate) FROM rates) r ON s.event_date >= r.rate_date""")
 
 oracle("daily_summary", """SELECT * FROM daily""")
 

@@ -200,8 +200,13 @@ def q_mart(spark, sf):
 
 @query("amount_lkr_asof")
 def q_asof(spark, sf):
-    """J5 (intent): LKR amount at the rate of the event's day or the newest earlier one."""
-    r = marts.amount_lkr_asof(_stg_flagged(spark, sf), _rates(spark, sf))
+    """J5 (intent): LKR amount at the rate of the event's day or the newest earlier one.
+
+    Every third day has no rate, and one rate's date lies far in the future.
+    """
+    known = _rates(spark, sf).where(F.dayofmonth("rate_date") % 3 != 0)
+    far = known.limit(1).withColumn("rate_date", F.lit("9999-12-31").cast("date"))
+    r = marts.amount_lkr_asof(_stg_flagged(spark, sf), known.unionByName(far))
     return r.select("transaction_id", "event_date", "rate_asof", "amount_lkr_asof")
 
 
