@@ -217,3 +217,52 @@ def test_thinned_times_give_the_same_alerts():
 def test_thinned_state_is_bounded():
     times = np.sort(np.random.default_rng(1).integers(0, 10**6, 200_000))
     assert len(thin(times, 10**5, 2)) == 40
+
+
+def test_old_versions_go_and_readers_lose_nothing(spark, tmp_path):
+    from vigil.sinks.retention import expire_versions
+    root = f"{tmp_path}/rates"
+    for k in range(5):
+        upsert(spark, root, _rates(spark, [(d, float(k)) for d in range(k, 40)]), RATES, buckets=8)
+    want = sorted(map(str, read_table(spark, root, RATES).collect()))
+    assert expire_versions(spark, root, keep=1) == []                      # all of it is young
+    assert expire_versions(spark, root, keep=2, grace_seconds=-1)
+    assert committed_versions(spark, root)[-2:] == [4, 5] and len(committed_versions(spark, root)) < 5
+    assert sorted(map(str, read_table(spark, root, RATES).collect())) == want
+    upsert(spark, root, _rates(spark, [(99, 9.0)]), RATES)
+    assert read_table(spark, root, RATES).count() == len(want) + 1
+
+
+def test_unreachable_parts_go(spark, tmp_path):
+    from vigil.sinks.retention import expire_parts
+    root = f"{tmp_path}/lake"
+    for k in range(3):
+        write_lake_batch(rows(spark, [(f"a{k}", "2026-07-18", 1.0), (f"b{k}", "2026-07-19", 2.0)]), root, k)
+    write_lake_batch(rows(spark, [("a9", "2026-07-18", 1.0)]), root, 2)   # batch 2 again
+    stage_batch(rows(spark, [("lost", "2026-07-18", 1.0)]), root, 7, True)  # never committed
+    compact_day(spark, root, "2026-07-18")
+    want = sorted(map(str, read_lake(spark, root).select("transaction_id", "dt", "batch_id").collect()))
+    assert expire_parts(spark, root) == []
+    gone = expire_parts(spark, root, grace_seconds=-1)
+    assert len(gone) == 2 + 3 and any("batch_id=7" in g for g in gone)
+    assert sorted(map(str, read_lake(spark, root).select("transaction_id", "dt", "batch_id").collect())) == want
+    assert expire_parts(spark, root, grace_seconds=-1) == []
+
+
+def test_command_line(spark, tmp_path, monkeypatch):
+    """detect with the quarantine on by default, alerts, trailing scores of the lake, compaction and expiry."""
+    from vigil import __main__ as cli
+    monkeypatch.setattr(cli, "build_session", lambda **_: spark)
+    landing = _landing(tmp_path, [[ev("a1", "C1", 0), ev("a2", "C1", 20), ev("a3", "C1", 40), ev("a3", "C1", 40), "{broken", "{other", "{other"]])
+    lake, flagged = f"{tmp_path}/lake", f"{tmp_path}/flagged"
+    files = ["--source", "files", "--path", landing, "--once"]
+    cli.main(["detect", *files, "--lake", lake, "--flagged", flagged, "--checkpoint", f"{tmp_path}/c1", "--unique"])
+    assert ids(read_lake(spark, lake)) == ["a1", "a2", "a3"]
+    assert sorted(r.message for r in read_parts(spark, f"{lake}-quarantine").collect()) == ["{broken", "{other"]
+    cli.main(["alerts", *files, "--out", f"{tmp_path}/alerts", "--checkpoint", f"{tmp_path}/c2"])
+    assert sorted({r.transaction_id for r in spark.read.parquet(f"{tmp_path}/alerts").collect()}) == ["a3"]
+    cli.main(["score-trailing", "--lake", lake, "--out", f"{tmp_path}/trailing"])
+    assert {r.transaction_id: r.tx_count_5m for r in spark.read.parquet(f"{tmp_path}/trailing").collect()} == {"a1": 1, "a2": 2, "a3": 3}
+    cli.main(["compact-lake", "--lake", lake, "--day", "2026-07-19"])
+    cli.main(["expire", "--store", lake, "--store", flagged])
+    assert ids(read_lake(spark, lake)) == ["a1", "a2", "a3"]

@@ -53,10 +53,11 @@ def commit_batch(spark: SparkSession, root: str, content: dict) -> None:
 
 def _folded(spark: SparkSession, root: str) -> set[str]:
     """Tokens of parts that compactions have replaced."""
-    return {t for c in _compactions(spark, root) for t in c["tokens"]}
+    return {t for c in compactions(spark, root) for t in c["tokens"]}
 
 
-def _compactions(spark: SparkSession, root: str) -> list[dict]:
+def compactions(spark: SparkSession, root: str) -> list[dict]:
+    """Markers of all compactions."""
     folder = f"{root.rstrip('/')}/_commits"
     return [commits.read(spark, f"{folder}/{n}") for n in commits.names(spark, folder) if n.startswith("compact-")]
 
@@ -100,7 +101,7 @@ def read_lake(spark: SparkSession, root: str, days: list[str] | None = None) ->
     Rows of an empty lake have the schema of its last batch, or the columns that summaries read.
     """
     base, wanted = f"{root.rstrip('/')}/data", set(days) if days is not None else None
-    batches, folded = committed_batches(spark, root), _compactions(spark, root)
+    batches, folded = committed_batches(spark, root), compactions(spark, root)
     gone = {(c["day"], t) for c in folded for t in c["tokens"]}
     live = {n["path"] for n in folded} - {p for c in folded for p in c["paths"]}
     parts = [f"{base}/batch_id={b['batch_id']}/part={b['token']}/dt={d}" for b in batches for d in b["days"]
@@ -124,7 +125,7 @@ def compact_day(spark: SparkSession, root: str, day: str, file_bytes: int = COMP
 
     Readers see either the parts or the fold. The rows, their batch ids included, stay as they are.
     """
-    batches, earlier = committed_batches(spark, root), [c for c in _compactions(spark, root) if c["day"] == day]
+    batches, earlier = committed_batches(spark, root), [c for c in compactions(spark, root) if c["day"] == day]
     gone = {t for c in earlier for t in c["tokens"]}
     tokens = [b["token"] for b in batches if day in b["days"] and b["token"] not in gone]
     live = {c["path"] for c in earlier} - {p for c in earlier for p in c["paths"]}
