@@ -1,3 +1,4 @@
+import pytest
 import itertools
 import zlib
 
@@ -83,3 +84,9 @@ def test_stretches_join_and_padding_is_small(frame):
 
 def test_empty_table(frame):
     assert packing.pack(frame([]), PATH).count() == 0
+
+
+@pytest.mark.parametrize("window,stretch", [(64, 63), (0, 100)])
+def test_a_stretch_holds_a_window(frame, window, stretch):
+    with pytest.raises(ValueError, match="stretch"):
+        packing.pack(frame([(1, "a")]), public_tokenizers.path("word_bpe_49k.json"), window=window, stretch=stretch)

@@ -173,6 +173,8 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
     `sequence_id` is unique: the number of the Spark partition times 2^32, plus a
     running number. Documents keep their order within a partition.
     """
+    if not 1 <= window <= stretch:
+        raise ValueError(f"a stretch of {stretch} ids must hold a window of {window}, and a window an id")
     arrow = pa.schema([(n, pa.int64()) for n in re.findall(r"(\w+) long", SCHEMA)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -99,7 +99,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
     Samples follow a hash of the id, so they do not depend on file order. Rows with
     a null id or label teach nothing; where a document has several labels the larger
-    counts. If one label has no rows, the model's score is the share of label 1
+    counts, and where it has several rows the largest text. If one label has no rows, the model's score is the share of label 1
     (0.5 without any rows).
     """
     spark = docs.sparkSession
@@ -121,8 +121,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     if not all(counts):
         return Model((b"", b""), (), (), (), counts[1] / sum(counts) if sum(counts) else 0.5)
     small = spark.createDataFrame(picked, "doc_id long, label int, calibrates boolean, at long")
+    # one text a document, however often its row is repeated: of several the largest
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_of().alias("text"))
-             .join(F.broadcast(small), "doc_id"))
+             .join(F.broadcast(small), "doc_id").groupBy("doc_id", "label", "calibrates", "at").agg(F.max("text").alias("text")))
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [(label, at, k, c) for label, at, t in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
