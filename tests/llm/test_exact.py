@@ -1,6 +1,8 @@
 import hashlib
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from vigil.llm import exact
 
 TABLE = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -57,3 +59,48 @@ def test_index_files_cover_all_texts(frame, spark, tmp_path):
     assert entries.count() == 3000 and buckets.agg({"entries": "max"}).first()[0] <= 100
     loads = {(r.depth, r.prefix): r["count"] for r in entries.groupBy("depth", "prefix").count().collect()}
     assert loads == {(r.depth, r.prefix): r.entries for r in buckets.collect()}
+
+
+def _rows(found):
+    return Counter((r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in found.collect())
+
+
+def test_texts_of_one_hash_chain_and_are_compared(frame, odd_rows, monkeypatch, spark, tmp_path):
+    # four hashes for all texts: equality is settled by bytes in the owners' chains
+    monkeypatch.setattr(exact, "hash_of", lambda t: F.xxhash64(t).bitwiseAND(F.lit(3)).cast("long"))
+    rows = odd_rows + [(i, f"text {i % 40}") for i in range(200)]
+    assert _rows(exact.find_duplicates(frame(rows))) == brute(rows)
+    entries = exact.build_index(frame(rows), str(tmp_path)).collect()
+    assert len({r["_h"] for r in entries}) <= 4
+    for h in {r["_h"] for r in entries}:
+        chain = sorted(r.chain for r in entries if r["_h"] == h)
+        assert chain == list(range(1, len(chain) + 1))
+
+
+def test_hot_texts_meet_in_their_owners_chain(frame, spark, tmp_path):
+    rows = [(i, "Hot text" if i % 3 == 0 else f"text {i // 2}") for i in range(3000)]
+    got = exact.build_index(frame(rows), str(tmp_path), hot_rows=10).collect()
+    assert len(got) == len({t.lower() for _, t in rows})
+    (hot,) = [r for r in got if r.group_size > 2]
+    assert (hot.group_size, hot.keep_id) == (1000, 2997)
+    assert spark.read.parquet(f"{tmp_path}/hot").count() == 1
+
+
+def test_owners_hold_whole_buckets(frame, tmp_path):
+    entries = exact.build_index(frame([(i, f"text {i}") for i in range(2000)]), str(tmp_path), min_capacity=100)
+    files = entries.groupBy("prefix", "depth").agg(F.countDistinct(F.input_file_name()).alias("files")).collect()
+    assert len(files) > 10 and {r.files for r in files} == {1}
+
+
+def test_documents_find_entries_through_the_directory_only(frame, spark):
+    docs = frame([(i, f"text {i}") for i in range(50)])
+    pointers, _ = exact._indexed(docs)
+    assert exact._keyed(docs, pointers).count() == 50
+    assert exact._keyed(docs, pointers.where("_cell < 0")).count() == 0
+
+
+def test_tied_rows_keep_one(frame):
+    rows = [(7, "same")] * 300 + [(None, "")] * 200 + [(None, None)] * 100 + [(1, "same"), (2, "other")]
+    assert _rows(exact.find_duplicates(frame(rows).repartition(6))) == brute(rows)
+    kept = exact.deduplicated(frame(rows).repartition(6)).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == [(0, ""), (2, "other"), (7, "same")]
