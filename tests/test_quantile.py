@@ -55,3 +55,48 @@ def test_null_group_and_infinities(spark):
 def test_no_group_columns(spark):
     got = exact_percentiles(spark.range(101).selectExpr("1 as g", "cast(id as double) as x"), ["g"], "x", [0.25]).first()
     assert (got.n, got.p25) == (101, 25.0)
+
+
+@pytest.mark.parametrize("most", [1, 20, 200])
+def test_brackets_are_narrowed_by_counting(spark, most):
+    """Brackets open at both ends hold all values; rounds narrow them and the results stay exact."""
+    rng = np.random.default_rng(5)
+    vals = np.concatenate([rng.normal(0, 1, 1500), np.full(700, 0.25), [np.inf, -np.inf]])
+    pdf = pd.DataFrame({"g": np.where(np.arange(len(vals)) % 3 == 0, None, "a"), "x": vals})
+    probs = [0.0, 0.013, 0.5, 0.77, 1.0]
+    names = [f"q{k}" for k in range(len(probs))]
+    got = {r.g: r for r in exact_percentiles(spark.createDataFrame(pdf, "g string, x double"), ["g"], "x", probs, names, most=most).collect()}
+    assert set(got) == {None, "a"}
+    for g, r in got.items():
+        x = np.sort(pdf[pdf.g.isna() if g is None else pdf.g == g].x.to_numpy())
+        for p, n in zip(probs, names):
+            h = (len(x) - 1) * p
+            lo, hi = x[int(np.floor(h))], x[int(np.ceil(h))]
+            want = lo if lo == hi else (np.ceil(h) - h) * lo + (h - np.floor(h)) * hi
+            assert r[n] == want or abs(r[n] - want) < 1e-12
+
+
+def test_a_round_leaves_a_small_share_of_a_bracket(spark):
+    from pyspark.sql import functions as F
+
+    from vigil.operators.quantile import PIECES, _narrowed
+    counted = spark.range(20000).select(F.lit("a").alias("_g0"), F.lit(0).alias("_i"), F.lit(9999.5).alias("_pos"),
+                                        F.col("id").cast("double").alias("_x"), F.lit(1).cast("long").alias("_c"))
+    left = _narrowed(counted, ["_g0"])
+    assert left.count() <= 3 * 20000 / PIECES
+    assert left.where("_x in (9999, 10000)").count() == 2
+    assert left.where("_x < 9999 or _x is null").agg(F.sum("_c")).first()[0] == 9999
+
+
+def test_no_groups_and_no_rows(spark):
+    from pyspark.sql import functions as F
+
+    from vigil.operators.profile import balance_profile
+    empty = spark.createDataFrame([], "oldbalanceOrg double")
+    assert exact_percentiles(empty, [], "oldbalanceOrg", [0.5]).collect() == [(0, None)]
+    assert balance_profile(empty).count() == 0
+    frame = spark.range(1, 2001).select(F.col("id").cast("double").alias("oldbalanceOrg"))
+    got = exact_percentiles(frame, [], "oldbalanceOrg", [0.05, 0.5], most=10)
+    assert (got.first().n, got.first().p5, got.first().p50) == (2000, 100.95, 1000.5)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

@@ -130,3 +130,11 @@ def test_an_account_with_a_third_of_the_rows_in_one_hour_is_spread(spark):
     sizes = {(r.acct, r._p): r["count"] for r in t.groupBy("acct", "_p").count().collect()}
     hot = [c for (a, _), c in sizes.items() if a == "HOT"]
     assert len(hot) > 200 and max(hot) < 2 * (n / 3) / len(hot) and all(p == 0 for a, p in sizes if a != "HOT")
+
+
+def test_trailing_window_takes_one_scan_and_one_shuffle(spark, tmp_path):
+    from pyspark.sql import functions as F
+    spark.range(100).select(F.concat(F.lit("a"), F.col("id") % 3).alias("k"), F.timestamp_seconds("id").alias("t"),
+                            F.col("id").cast("double").alias("v")).write.parquet(str(tmp_path / "x"))
+    plan = trailing_window(spark.read.parquet(str(tmp_path / "x")), "k", "t", "v", 10)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1

@@ -54,12 +54,12 @@ def amount_profile(df: DataFrame, type_col: str = "type", amount: str = "amount"
 
 
 def balance_profile(df: DataFrame, balance: str = "oldbalanceOrg") -> DataFrame:
-    """A10: over opening balances > 0: p5, p95, mean, sample std (one row)."""
-    pos = df.where(F.col(balance) > 0).withColumn("_all", F.lit(0))
-    prof = exact_percentiles(pos, ["_all"], balance, [0.05, 0.95], ["balance_p5", "balance_p95"],
-                             extra_aggs=[F.avg(balance).alias("balance_mean"),
+    """A10: over opening balances > 0: p5, p95, mean, sample std (one row, none without balances)."""
+    pos = df.where(F.col(balance) > 0)
+    prof = exact_percentiles(pos, [], balance, [0.05, 0.95], ["balance_p5", "balance_p95"],
+                             extra_aggs=[F.count(F.lit(1)).alias("rows"), F.avg(balance).alias("balance_mean"),
                                          F.stddev_samp(balance).alias("balance_std")])
-    return prof.select("balance_p5", "balance_p95", "balance_mean", "balance_std",
+    return prof.where("rows > 0").select("balance_p5", "balance_p95", "balance_mean", "balance_std",
                        *_log_params("balance_mean", "balance_std", BALANCE_LOG_STD_FLOOR))
 
 

@@ -13,7 +13,7 @@ and repairs the bucket edges exactly:
                      per-bucket summary.
 * `trailing_window` a range frame of W seconds, by blocks of W seconds: the
                      frame of a row is the beginning of its own block and the
-                     end of the block before, so a running aggregate forwards
+                     end of the block before (copied to the block), so a running aggregate forwards
                      and one backwards give count, sum and max in linear time.
 
 Rows without a key or time have no sequence; they are spread over all tasks by
@@ -143,44 +143,34 @@ def trailing_window(df: DataFrame, key: str, ts: str, value: str, seconds: int,
     [t - seconds, t] (rows at the same instant count).
 
     Linear in the rows of a key: time is cut into blocks as long as the window.
-    A forward running aggregate gives the part of the frame in the row's own
-    block; each row also asks the block before, as a probe at t - seconds, for a
-    backward running aggregate.  A task holds the rows of one (key, block) for
+    Each row goes to its own block, and a copy with key, time and value only to the
+    block after, one window later.  There a running aggregate forwards over the rows and one
+    backwards over the copies make up the frame, in one scan and one shuffle.  A task holds the rows of one (key, block) for
     sorting only.  NaN values are counted but left out of sum and max; rows with
     a null key or time get null statistics.  `bucket_seconds` is no longer needed
     and has no effect.
     """
     span = seconds * MICROS
     valid = F.col(key).isNotNull() & F.col(ts).isNotNull()
-    parts = ("count", "sum", "max")
+    us = F.unix_micros(F.col(ts))
+    t = (df.withColumn("_s", _spread(df, valid)).withColumn("_valid", valid)
+         .withColumn("_copy", F.explode(F.when(valid, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))))
+    later = F.when(F.col("_copy"), F.lit(1)).otherwise(F.lit(0))
     number = _number(df, value)
-    aggs = {"count": lambda: F.count("_v"), "sum": lambda: F.sum("_x"), "max": lambda: F.max("_x")}
-    t = (df.withColumn("_us", F.unix_micros(F.col(ts))).withColumn("_s", _spread(df, valid))
-         .withColumn("_blk", F.when(valid, F.floor(F.col("_us") / F.lit(span)).cast("long")))
-         .withColumn("_v", F.col(value)).withColumn("_x", number))
-    ahead = Window.partitionBy(key, "_blk", "_s").orderBy("_us").rangeBetween(Window.unboundedPreceding, 0)
-    for p in parts:
-        t = t.withColumn(f"_own_{p}", F.when(valid, aggs[p]().over(ahead)))
-    own = [c for c in t.columns if c not in ("_v", "_x")]
-    # the row as a member of its block: key, time and value only
-    member = t.where(valid).select(
-        *[F.lit(None).cast(t.schema[c].dataType).alias(c) if c not in (key, "_us", "_blk", "_s") else F.col(c) for c in own],
-        "_v", "_x", F.lit(False).alias("_probe"))
-    probe = t.select(*[F.when(valid, F.col("_blk") - 1).otherwise(F.col("_blk")).alias("_blk") if c == "_blk"
-                       else F.when(valid, F.col("_us") - span).alias("_us") if c == "_us" else F.col(c) for c in own],
-                     F.lit(None).cast(t.schema["_v"].dataType).alias("_v"),
-                     F.lit(None).cast(t.schema["_x"].dataType).alias("_x"), F.lit(True).alias("_probe"))
-    back = (Window.partitionBy(key, "_blk", "_s").orderBy(F.desc("_us"))
-            .rangeBetween(Window.unboundedPreceding, 0))
-    both = member.unionByName(probe)
-    for p in parts:
-        both = both.withColumn(f"_before_{p}", aggs[p]().over(back))
-    out = both.where("_probe")
-    total = {"count": F.when(valid, F.col("_own_count") + F.col("_before_count")),
-             "sum": F.when(F.col("_own_sum").isNull(), F.when(valid, F.col("_before_sum")))
-             .otherwise(F.col("_own_sum") + F.coalesce("_before_sum", F.lit(0))),
-             "max": F.when(valid, F.greatest("_own_max", "_before_max"))}
-    return out.select(*df.columns, *[total[p].alias(f"{prefix}{p}") for p in parts])
+    t = t.select(*[F.col(c) if c == key else F.when(~F.col("_copy"), F.col(c)).alias(c) for c in df.columns],
+                 "_s", "_valid", "_copy", (us + later * F.lit(span)).alias("_at"),
+                 F.when(F.col("_valid"), F.floor(us / F.lit(span)).cast("long") + later).alias("_blk"),
+                 *[F.when(F.col("_copy") if role == "before" else ~F.col("_copy"), c).alias(f"_{role}_{n}")
+                   for role in ("own", "before") for n, c in (("v", F.col(value)), ("x", number))])
+    block = Window.partitionBy(key, "_blk", "_s")
+    frames = {"own": block.orderBy("_at").rangeBetween(Window.unboundedPreceding, 0),
+              "before": block.orderBy(F.desc("_at")).rangeBetween(Window.unboundedPreceding, 0)}
+    for role, w in frames.items():
+        t = t.withColumns({f"_{role}_count": F.count(f"_{role}_v").over(w), f"_{role}_sum": F.sum(f"_{role}_x").over(w),
+                           f"_{role}_max": F.max(f"_{role}_x").over(w)})
+    both = F.when(F.col("_own_sum").isNull(), F.col("_before_sum")).otherwise(F.col("_own_sum") + F.coalesce("_before_sum", F.lit(0)))
+    total = {"count": F.col("_own_count") + F.col("_before_count"), "sum": both, "max": F.greatest("_own_max", "_before_max")}
+    return t.where("not _copy").select(*df.columns, *[F.when(F.col("_valid"), c).alias(f"{prefix}{p}") for p, c in total.items()])
 
 
 def islands(df: DataFrame, key: str, ts: str, max_gap_seconds: float, bucket_seconds: int = 3600,
