@@ -166,3 +166,31 @@ def test_reconciling_an_empty_lake_gives_zeros(spark, tmp_path):
     reconcile_days(spark, str(tmp_path / "no-lake"), str(tmp_path / "summary"), ["2026-01-02"])
     row = read_table(spark, str(tmp_path / "summary"), DAILY_SUMMARY).first()
     assert (row.total_txns, row.flagged_count, row.top_rule) == (0, 0, None)
+
+
+def test_money_sums_do_not_depend_on_the_order_of_rows(spark):
+    import datetime as dt
+    import functools
+    import math
+    import operator
+    import random
+    from decimal import Decimal
+
+    from vigil.operators.daily import daily_summary
+    from vigil.operators.stats import account_stats
+    rng = random.Random(3)
+    amounts = [rng.randrange(1, 10 ** 9) / 100 for _ in range(3000)] + [1e15 + 0.5, -1e15 - 0.5, 0.1, 0.2, 0.3]
+    want = float(sum(Decimal(repr(a)) for a in amounts))
+    plain = [functools.reduce(operator.add, sorted(amounts, reverse=r)) for r in (False, True)]
+    assert want not in plain  # sums of doubles do depend on it
+    for parts, order in ((1, False), (7, True)):
+        rows = [("a", x, "2024-01-01", True, "r") for x in sorted(amounts, reverse=order)]
+        rows += [("n", float("nan"), None, False, None), ("n", 1.0, None, False, None), ("i", float("inf"), None, False, None),
+                 ("i", 2.5, None, False, None), ("b", 1e23, None, False, None), ("b", 1.0, None, False, None), ("z", None, None, False, None)]
+        df = spark.createDataFrame(rows, "nameOrig string, amount double, dt string, is_fraud_detected boolean, rule_name string").repartition(parts)
+        got = {r.nameOrig: r.total_amount_5m for r in account_stats(df).collect()}
+        assert got["a"] == want and got["z"] is None
+        assert math.isnan(got["n"]) and got["i"] == float("inf") and got["b"] == 1e23 + 1.0
+        day = daily_summary(df).first()
+        assert day.summary_date == dt.date(2024, 1, 1)
+        assert float(day.total_amount) == float(day.flagged_amount) == round(want, 2)

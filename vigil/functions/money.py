@@ -50,3 +50,14 @@ def pct(part: Column, whole: Column, scale: int = 2) -> Column:
 def not_nan(col: Column) -> Column:
     """The value, or null when it is NaN (pandas-style sums skip NaN, N6)."""
     return F.when(~F.isnan(col), col)
+
+
+def exact_sum(col: Column | str) -> Column:
+    """Sum of a floating-point amount that does not depend on the order of rows or tasks, as an aggregate.
+
+    Amounts are added as decimals of six places and the total becomes the nearest double.  Null when every
+    value is null.  With a value that is no such decimal (NaN, infinite, 1e22 or more) it is the plain sum.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    d = c.try_cast("decimal(28,6)")
+    return F.when(F.count_if(c.isNotNull() & d.isNull()) > 0, F.sum(c)).otherwise(F.sum(d).cast("double"))

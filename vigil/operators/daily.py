@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.money import not_nan
+from vigil.functions.money import exact_sum, not_nan
 from vigil.schemas import DAILY_SUMMARY, conform
 
 
@@ -33,7 +33,7 @@ def daily_summary(scored: DataFrame, dates: DataFrame | None = None,
     """A2: per day: rows, amount, flagged rows, flagged amount, commonest rule.
 
     NaN amounts are skipped by the sums and a day with no flags sums to 0,
-    like the reference's pandas code (N6); `top_rule` ignores nulls and
+    like the reference's pandas code (N6); sums are exact to the cent in any order of rows; `top_rule` ignores nulls and
     takes the smallest name on a tie (N8).  `dates` (column summary_date)
     selects the days to report, including empty ones; rows without a date
     (null event time) never belong to a day.
@@ -44,8 +44,8 @@ def daily_summary(scored: DataFrame, dates: DataFrame | None = None,
            .groupBy(F.to_date("dt").alias("summary_date"))
            .agg(F.count(F.lit(1)).alias("total_txns"),
                 F.count_if(flag).alias("flagged_count"),
-                F.coalesce(F.sum(amt), F.lit(0.0)).alias("total_amount"),
-                F.coalesce(F.sum(F.when(flag, amt)), F.lit(0.0)).alias("flagged_amount"),
+                F.coalesce(exact_sum(amt), F.lit(0.0)).alias("total_amount"),
+                F.coalesce(exact_sum(F.when(flag, amt)), F.lit(0.0)).alias("flagged_amount"),
                 F.mode(F.when(flag, F.col("rule_name")), deterministic=True).alias("top_rule")))
     if dates is not None:
         agg = dates.select("summary_date").distinct().join(agg, "summary_date", "left")

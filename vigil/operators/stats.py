@@ -17,6 +17,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.functions.money import exact_sum
 from vigil.operators.joins import HOT_KEYS, salt_of
 
 STAT_COLUMNS = ("tx_count_5m", "total_amount_5m", "max_amount_5m")
@@ -27,11 +28,13 @@ def account_stats(df: DataFrame, account: str = "nameOrig", amount: str = "amoun
     """A1: one row per (account, *batch_cols) with count, sum and max amount.
 
     A null account forms its own group here (as `groupBy` does); `attach_stats`
-    then fails to match it, which is the reference's behaviour (N2).
+    then fails to match it, which is the reference's behaviour (N2).  Floating-point
+    amounts are added exactly, so the sum does not depend on the order of rows.
     """
+    floating = df.schema[amount].dataType.typeName() in ("double", "float")
     return (df.groupBy(account, *batch_cols)
             .agg(F.count(F.lit(1)).alias("tx_count_5m"),
-                 F.sum(amount).alias("total_amount_5m"),
+                 (exact_sum(F.col(amount).cast("double")) if floating else F.sum(amount)).alias("total_amount_5m"),
                  F.max(amount).alias("max_amount_5m")))
 
 
