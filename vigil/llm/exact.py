@@ -23,7 +23,7 @@ from vigil.llm import common
 from vigil.session import scratch_path
 
 #: The directory has at most 2^MAX_DEPTH cells; buckets hold at least MIN_CAPACITY hashes.
-MAX_DEPTH, MIN_CAPACITY = 14, 4096
+MAX_DEPTH, MIN_CAPACITY = 14, 1024
 #: Texts of a hash with more rows or characters than these are combined before they go to their owner, in
 #: SALTS parts. The list of such hashes is broadcast: the HOT_HASHES largest at most (any other has less than 1/HOT_HASHES of all characters).
 HOT_ROWS, HOT_CHARS, HOT_HASHES, SALTS = 1000, 1 << 24, 10_000, 16
