@@ -40,7 +40,7 @@ SENTENCE_PENALTY, INNER_PENALTY = 4, 24
 STRIDE = 32
 STRETCH = 256 * WINDOW
 #: The memory of chunks is smaller than the encoder's default: a stretch needs room too.
-CACHE_CHARS = 10_000_000
+CACHE_CHARS = 5_000_000
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
