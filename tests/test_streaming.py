@@ -173,3 +173,30 @@ def test_alerts_of_one_account_are_spread_over_blocks(spark, tmp_path):
             ties = {i for _, i, t in events if sum(t == u for _, _, u in events) > 1}
             assert [i for i in got if i not in ties] == [i for i in want if i not in ties]
             assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress) > 30
+
+
+def test_alerts_of_many_accounts_share_groups(spark, tmp_path, monkeypatch):
+    """Groups and state rows are bounded by buckets and blocks, not by accounts; null is an account."""
+    from vigil.streaming import alerts
+
+    rng = random.Random(5)
+    events = [(None if a == 0 else f"C{a}", f"t{k:05d}", T0 + dt.timedelta(microseconds=k + 1_000_000 * rng.randrange(4_000)))
+              for k, a in enumerate(rng.randrange(700) for _ in range(6000))]
+    events.sort(key=lambda e: e[2])
+    schema = "nameOrig string, transaction_id string, event_time timestamp"
+    for part in (events[:2500], events[2500:2600], events[2600:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    times = {}
+    for a, _, t in events:
+        times.setdefault(a, []).append(t)
+    want = sorted((a or "", i) for a, i, t in events if sum(t - dt.timedelta(seconds=300) <= u <= t for u in times[a]) >= 3)
+    assert 50 < len(want) < 5000
+    # in one round, and 7 accounts a round
+    for name, end in (("one", alerts.LINE_END), ("rounds", 7 * alerts._room(8 * 300_000_000, 300_000_000))):
+        monkeypatch.setattr(alerts, "LINE_END", end)
+        s = with_watermark(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in"), "1 day")
+        q = (rapid_fire_alerts(s, 300, 3).writeStream.format("memory").queryName(f"shared_{name}").trigger(availableNow=True).start())
+        q.awaitTermination()
+        assert sorted((r.nameOrig or "", r.transaction_id) for r in spark.table(f"shared_{name}").collect()) == want
+        blocks = len({int(t.timestamp()) // 2400 for _, _, t in events}) + 1
+        assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress) <= alerts.BUCKETS * blocks
