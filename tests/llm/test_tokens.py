@@ -59,3 +59,16 @@ def test_chunks_used_last_are_kept():
     assert coder.chars > 300
     coder.encode(["more"])
     assert "more" in coder.place and not any("once" in c for c in coder.place) and 5 < len(coder.place) < 25
+
+
+def test_lines_share_the_words_at_their_borders():
+    """A line end is a piece of its own: pairs of words around it are not chunks, and ids stay those of the library."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    words = [f"{a}{b}" for a in ("Évi", "was", "Zu", "x1", "(ab)", "don't", "of") for b in ("", "ne", "\u00f1o")]
+    texts = [f"{a}.\n{b},\n{a}" for a in words for b in words] + ["one\n", "\ntwo", "a\n\nb", "a \nb", "a\n b", "\n", "a\r\nb", "'s\n's", "x\n1\n'll"]
+    coder = tokens.ChunkEncoder(tokens.Tokenizer.from_file(path), True)
+    whole = tokens.Tokenizer.from_file(path)
+    ids, offsets = coder.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == [
+        e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    assert len(coder.place) < 10 * len(words)

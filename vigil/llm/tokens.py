@@ -137,24 +137,32 @@ class ChunkEncoder:
             return None
         return np.delete(ids, cuts), np.diff(np.concatenate([[-1], cuts])) - 1
 
-    def _word(self, chunk: str) -> list[int] | None:
-        """Ids of one word with punctuation behind it, straight from the BPE model; None for other chunks."""
-        base = chunk.rstrip(TAIL)
-        known = self.place.get(base) if len(base) < len(chunk) else None
-        if known is not None and base[-1:].isalpha():
-            begin = self.starts[known]
-            return self.pool[begin:begin + self.sizes[known]].tolist() + self._tail(chunk[len(base):])
+    def _form(self, base: str) -> str | None:
+        """The letters in which the BPE model knows a word without punctuation behind it; None for other chunks."""
         if self.spaces:
-            if base[:1] != " " or not base[1:].isalpha():
+            if not (base[1:] if base[:1] == " " else base).isalpha():
                 return None
-            form = "\u0120" + base[1:] if base.isascii() else base.encode().decode("latin-1").translate(LETTERS)
-        else:
-            if not (base.isascii() and base.isalpha() or PLAIN_LETTERS.fullmatch(base)):
-                return None
-            form = base.lower()
-            form = form if base.isascii() else form.encode().decode("latin-1").translate(LETTERS)
-        ids = [t.id for t in self.tokenize(form)]
-        return ids + self._tail(chunk[len(base):]) if len(base) < len(chunk) else ids
+            return base.encode().decode("latin-1").translate(LETTERS)
+        if not (base.isascii() and base.isalpha() or PLAIN_LETTERS.fullmatch(base)):
+            return None
+        form = base.lower()
+        return form if base.isascii() else form.encode().decode("latin-1").translate(LETTERS)
+
+    def _tailed(self, bases: list[int], tails: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and sizes of known chunks, each with punctuation behind it."""
+        at, own = np.array(bases, np.int64), list(dict.fromkeys(tails))
+        coded = [self._tail(t) for t in own]
+        lengths = np.array([len(x) for x in coded], np.int64)
+        ends = np.cumsum(lengths)
+        number = dict(zip(own, range(len(own)), strict=True))
+        which = np.array([number[t] for t in tails], np.int64)
+        before, behind = self.sizes[at], lengths[which]
+        sizes = before + behind
+        starts = np.cumsum(sizes) - sizes
+        ids = np.empty(int(sizes.sum()), np.uint32)
+        ids[ragged(starts, before)] = self.pool[ragged(self.starts[at], before)]
+        ids[ragged(starts + before, behind)] = np.array([i for x in coded for i in x], np.uint32)[ragged((ends - lengths)[which], behind)]
+        return ids, sizes
 
     def _tail(self, tail: str) -> list[int]:
         if tail not in self.tails:
@@ -166,14 +174,32 @@ class ChunkEncoder:
     def _learn(self, chunks: list[str]) -> None:
         """Encode new chunks and remember them."""
         names, flat, lengths, rest = [], [], [], []
+        longer, bases, tails = [], [], []
+        find, form_of, tokenize, spaces = self.place.get, self._form, self.tokenize, self.spaces
         for c in chunks:
-            own = self._word(c)
-            if own is None:
+            base = c.rstrip(TAIL)
+            tail = c[len(base):]
+            if tail:
+                known = find(base)
+                if known is not None and base[-1:].isalpha():
+                    longer.append(c)
+                    bases.append(known)
+                    tails.append(tail)
+                    continue
+            line = spaces and base[:1] == "\n"  # a piece of its own before the word
+            # most chunks are a space and ASCII letters
+            form = "\u0120" + base[1:] if spaces and base[:1] == " " and base.isascii() and base[1:].isalpha() else form_of(base[line:])
+            if form is None or line and form[:1] == "\u0120":
                 rest.append(c)
-            else:
-                names.append(c)
-                flat += own
-                lengths.append(len(own))
+                continue
+            own = [t.id for t in tokenize(form)]
+            if line:
+                own = self._tail("\n") + own
+            if tail:
+                own += self._tail(tail)
+            names.append(c)
+            flat += own
+            lengths.append(len(own))
         if self.spaces:
             alone = [c for c in rest if not (c[:1].isspace() and not c[-1:].isspace()) or ODD.search(c)]
         else:
@@ -184,9 +210,10 @@ class ChunkEncoder:
         if coded is None:
             joint, alone, coded = [], rest, self._together([])
         single = self._ids(alone)
-        names += joint + alone
-        ids = np.concatenate([np.array(flat, np.uint32), coded[0], np.array([i for x in single for i in x], np.uint32)])
-        sizes = np.concatenate([np.array(lengths, np.int64), coded[1], np.array([len(x) for x in single], np.int64)])
+        behind = self._tailed(bases, tails)
+        names += longer + joint + alone
+        ids = np.concatenate([np.array(flat, np.uint32), behind[0], coded[0], np.array([i for x in single for i in x], np.uint32)])
+        sizes = np.concatenate([np.array(lengths, np.int64), behind[1], coded[1], np.array([len(x) for x in single], np.int64)])
         self._remember(names, ids, sizes)
 
     def _places(self, chunks: list[str]) -> np.ndarray:
@@ -206,7 +233,9 @@ class ChunkEncoder:
     def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Places of the chunks of texts in a row, and how many each text has."""
         if self.spaces:
-            lists = pc.split_pattern(texts, " ")
+            # here a line end stands between two characters that are no white space: a piece of its own for the
+            # pre-tokenizer, so that lines are cut before it
+            lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         else:
             lists = pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
@@ -215,7 +244,7 @@ class ChunkEncoder:
         names = names.tolist()  # by way of numpy: Arrow makes Python texts one by one far slower
         if not self.spaces:
             return self._places(names)[codes] if names else np.zeros(0, np.int64), counts
-        at = self._places([" " + x for x in names])[codes] if names else np.zeros(0, np.int64)
+        at = self._places([x if x[:1] == "\n" else " " + x for x in names])[codes] if names else np.zeros(0, np.int64)
         firsts = np.cumsum(counts) - counts  # the first chunk of a text has no space before it
         at[firsts] = self._places([names[k] for k in codes[firsts]])
         return at, counts
