@@ -104,3 +104,19 @@ def test_tied_rows_keep_one(frame):
     assert _rows(exact.find_duplicates(frame(rows).repartition(6))) == brute(rows)
     kept = exact.deduplicated(frame(rows).repartition(6)).collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in kept) == [(0, ""), (2, "other"), (7, "same")]
+
+
+def test_bounded_tables_are_written_to_few_files(frame, spark, tmp_path):
+    """Cells and directory have a bounded number of rows: not one small file for each shuffle partition."""
+    from pathlib import Path
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "24")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        entries = exact.build_index(frame([(i, f"text {i}") for i in range(2000)]), str(tmp_path), min_capacity=100)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert entries.count() == 2000
+    for name in ("cells", "directory"):
+        assert 1 <= len(list(Path(tmp_path, name).glob("part-*"))) <= exact.SMALL_FILES

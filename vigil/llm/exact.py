@@ -27,6 +27,8 @@ MAX_DEPTH, MIN_CAPACITY = 14, 1024
 #: Texts of a hash with more rows or characters than these are combined before they go to their owner, in
 #: SALTS parts. The list of such hashes is broadcast: the HOT_HASHES largest at most (any other has less than 1/HOT_HASHES of all characters).
 HOT_ROWS, HOT_CHARS, HOT_HASHES, SALTS = 1000, 1 << 24, 10_000, 16
+#: The cells and the directory have at most 2^MAX_DEPTH and twice as many rows: files that each is written to, at most.
+SMALL_FILES = 4
 
 
 def hash_of(text):
@@ -90,11 +92,11 @@ def build_index(docs: DataFrame, path: str, min_capacity: int = MIN_CAPACITY, ho
      .write.mode("overwrite").parquet(f"{path}/hashes"))
     hashes = spark.read.parquet(f"{path}/hashes")
     # at most 2^MAX_DEPTH rows, stored so that each doubling reads the counts only
-    hashes.groupBy(_cell().alias("cell")).agg(F.count(F.lit(1)).alias("entries")).write.mode("overwrite").parquet(f"{path}/cells")
+    hashes.groupBy(_cell().alias("cell")).agg(F.count(F.lit(1)).alias("entries")).coalesce(SMALL_FILES).write.mode("overwrite").parquet(f"{path}/cells")
     cells = spark.read.parquet(f"{path}/cells")
     total = cells.agg(F.coalesce(F.sum("entries"), F.lit(0))).first()[0]
     capacity = max(min_capacity, 2 * (total >> MAX_DEPTH))
-    build_directory(cells, capacity).write.mode("overwrite").parquet(f"{path}/directory")
+    build_directory(cells, capacity).coalesce(SMALL_FILES).write.mode("overwrite").parquet(f"{path}/directory")
     placed = _placed(texts, _pointers(spark.read.parquet(f"{path}/directory")))
 
     hot = (hashes.where((F.col("n") > hot_rows) | ((F.col("n") > 1) & (F.col("chars") > HOT_CHARS)))
