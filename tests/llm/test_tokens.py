@@ -3,7 +3,7 @@ import random
 import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from vigil.llm import tokens
 
@@ -72,3 +72,34 @@ def test_lines_share_the_words_at_their_borders():
     assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == [
         e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
     assert len(coder.place) < 10 * len(words)
+
+
+def test_a_word_is_learnt_once_whatever_stands_around_it():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    words = ["Évine", "was", "Zumañ", "x1", "don't", "жук", "日本", "ab\xa0", "ǅabc", "can’t", "z…"]
+    behind = ["", ",", ".", "!!", "'", "'s", "...)", "&&&", "_", "…,", "%;1", "’."]
+    texts = [f"{a}{b} {a}{b}\n{a}{b}\n{b}{a} {b}" for a in words for b in behind]
+    coder, whole = tokens.ChunkEncoder(tokens.Tokenizer.from_file(path), True), tokens.Tokenizer.from_file(path)
+    ids, offsets = coder.encode([t.rstrip(" ") for t in texts])
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == [
+        e.ids for e in whole.encode_batch([t.rstrip(" ") for t in texts], add_special_tokens=False)]
+    assert {" was", "was", "&&&"} <= coder.place.keys()
+    assert not {c + b for c in (" was", "was", "\nwas") for b in (",", ".", "!!", "&&&")} & coder.place.keys()
+
+
+def test_words_in_a_row_are_given_to_the_model_together():
+    """More words than go together, some alone in their alphabet; a vocabulary that merges across their borders gets them singly."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rnd = random.Random(7)
+    made = ["".join(rnd.choices("etaoinshrdlu", k=rnd.randrange(1, 14))) for _ in range(3 * tokens.WORDS + 1)]
+    text = " ".join(made + ["à", "éà", "à", "Ġ", "aĠb", "жà"])
+    whole = tokens.Tokenizer.from_file(path)
+    want = whole.encode(text, add_special_tokens=False).ids
+    coder = tokens.ChunkEncoder(tokens.Tokenizer.from_file(path), True)
+    assert coder.encode([text])[0].tolist() == want
+    letters = sorted(tokens.LETTERS.values())
+    vocab = {c: i for i, c in enumerate([*letters, "aĠ", "Ġb"])}
+    crossing = tokens.Tokenizer(models.BPE(vocab, [("a", "Ġ"), ("Ġ", "b")]))
+    crossing.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    want = crossing.encode("ba ba ab b", add_special_tokens=False).ids
+    assert tokens.ChunkEncoder(crossing, True).encode(["ba ba ab b"])[0].tolist() == want

@@ -78,13 +78,7 @@ def encode_words(ids: np.ndarray) -> tuple[bytes, bytes]:
         if not fits.any():
             break
         np.copyto(best[:len(fits)], np.uint8(s), where=fits)
-    step = COUNTS[best].tolist()
-    starts, p = [], 0
-    put = starts.append
-    while p < n:
-        put(p)
-        p += step[p]
-    at = np.array(starts)
+    at = _visited(COUNTS[best])
     chosen = best[at]
     words = chosen.astype(np.uint64) << np.uint64(60)
     for s in np.unique(chosen):
@@ -97,6 +91,22 @@ def encode_words(ids: np.ndarray) -> tuple[bytes, bytes]:
     return words.astype("<u8").tobytes(), ids[at[chosen == ESCAPE]].astype("<u8").tobytes()
 
 
+def _visited(step: np.ndarray) -> np.ndarray:
+    """Positions that one comes to from 0 by going step[p] on from each position p."""
+    n = len(step)
+    jumps = [np.append(np.minimum(np.arange(n) + step, n), n)]
+    for _ in range(2):  # by 1, 2 and 4 steps
+        jumps.append(jumps[-1].take(jumps[-1]))
+    far, heads, p = memoryview(jumps.pop()), [], 0
+    while p < n:
+        heads.append(p)
+        p = far[p]
+    at = np.array(heads)
+    for jump in reversed(jumps):
+        at = np.stack([at, jump.take(at)], axis=1).ravel()
+    return at[at < n]
+
+
 def decode_words(words: bytes, escapes: bytes) -> np.ndarray:
     """Ids of a block, one numpy operation per selector and slot."""
     w = np.frombuffer(words, "<u8")
@@ -169,13 +179,13 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                raw = decode_words(row["words"], row["escapes"]).astype("<u4").tobytes()
+                raw = memoryview(decode_words(row["words"], row["escapes"]).astype("<u4")).cast("B")
                 ends = np.array(row["ends"], np.int64)
                 begins = np.concatenate([[0], ends[:-1]])
                 yield pa.RecordBatch.from_pydict({
-                    "shard": [row["shard"]] * len(ends), "doc_id": row["doc_ids"],
+                    "shard": np.full(len(ends), row["shard"], np.int32), "doc_id": row["doc_ids"],
                     "local_start": row["first"] + begins, "n_tokens": ends - begins,
-                    "ids_crc32": [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(begins, ends, strict=True)],
+                    "ids_crc32": [zlib.crc32(raw[a:b]) for a, b in zip((4 * begins).tolist(), (4 * ends).tolist(), strict=True)],
                 }, schema)
 
     return (blocks.select("shard", "first", "doc_ids", "ends", "words", "escapes").mapInArrow(run, DOC_SCHEMA)

@@ -9,6 +9,7 @@ encodes each distinct chunk once and gathers the ids of all texts with numpy.
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 
 import numpy as np
@@ -27,6 +28,8 @@ RUNS = r"^[ \n]|[ \n]$|  | \n|\n |\n\n|[" + "".join(
     rf"\x{{{ord(c):x}}}" for c in map(chr, range(0x110000)) if c.isspace() and c not in " \n") + "]"
 #: Chunks that are handed to the library as one text.
 TOGETHER = 64
+#: Words that are handed to the model as one.
+WORDS = 8
 #: White space for Python but not for the tokenizers' patterns: such texts are encoded whole.
 ODD = re.compile("[\x1c-\x1f]")
 SPACED = re.compile(r"\s*\S+|\s+")
@@ -34,6 +37,10 @@ SPACED = re.compile(r"\s*\S+|\s+")
 
 #: ASCII punctuation; a run of it behind letters is a piece of its own for the pre-tokenizers.
 TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: ASCII punctuation that stands behind something else.
+BEHIND = r"^.*[^!-/:-@\[-`{-~]"
+#: Letters and digits for every version of Unicode: punctuation behind one begins a new piece.
+WORD_END = r"[0-9A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}\x{400}-\x{481}\x{48a}-\x{52f}]$"
 #: Letters that lower-case one by one and are their own composed form.
 PLAIN_LETTERS = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017e]+")
 
@@ -61,6 +68,8 @@ class ChunkEncoder:
         self.tokenizer, self.spaces, self.tokenize = tokenizer, spaces, tokenizer.model.tokenize
         self.cache_chars = cache_chars or CACHE_CHARS
         self.tails: dict[str, list[int]] = {}
+        # words in a row have the merges of each; not so where the model looks up whole words or leaves out merges
+        self.merges = not (getattr(tokenizer.model, "ignore_merges", True) or tokenizer.model.dropout)
         if spaces:  # bytes that each id stands for; byte-level tokens have one character per byte
             self.width = np.zeros(tokenizer.get_vocab_size(), np.int64)
             for token, i in tokenizer.get_vocab().items():
@@ -124,12 +133,8 @@ class ChunkEncoder:
         parts = [chunks[i:i + TOGETHER] for i in range(0, len(chunks), TOGETHER)]
         if self.spaces:
             ids = np.array([i for x in self._ids(["".join(p) for p in parts]) for i in x], np.uint32)
-            ends = np.cumsum([len(c.encode()) for c in chunks])
-            at = np.cumsum(self.width[ids])
-            cuts = np.searchsorted(at, ends)
-            if cuts[-1] >= len(at) or (at[cuts] != ends).any():
-                return None
-            return ids, np.diff(np.concatenate([[0], cuts + 1]))
+            sizes = self._borders(ids, chunks)
+            return None if sizes is None else (ids, sizes)
         # a mark behind each chunk
         ids = np.array([i for x in self._ids([f" {MARK} ".join(p) + f" {MARK}" for p in parts]) for i in x], np.uint32)
         cuts = np.flatnonzero(ids == self.mark[0])
@@ -171,9 +176,51 @@ class ChunkEncoder:
             self.tails[tail] = self._ids([tail])[0]
         return self.tails[tail]
 
+    def _borders(self, ids: np.ndarray, chunks: list[str]) -> np.ndarray | None:
+        """How many of the byte-level ids of chunks in a row each chunk has; None where an id belongs to two chunks."""
+        ends = np.cumsum([len(c) if c.isascii() else len(c.encode()) for c in chunks])
+        at = np.cumsum(self.width[ids])
+        cuts = np.searchsorted(at, ends)
+        if cuts[-1] >= len(at) or (at[cuts] != ends).any():
+            return None
+        return np.diff(cuts, prepend=-1)
+
+    def _words(self, chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, list[str]]:
+        """Of new chunks those that are letters, behind a space or not, with ids and sizes; the other chunks.
+
+        The model gets a few words behind spaces at a time. Where no id of the result belongs to two of them, it has
+        merged nothing across their borders, so each word has the ids that it has alone.
+        """
+        spaced, bare, others = [], [], []
+        for c in chunks:
+            if c[:1] == " ":
+                (spaced if c[1:].isalpha() else others).append(c)
+            else:
+                (bare if c.isalpha() else others).append(c)
+        spaced.sort(key=str.isascii)
+        sizes = None
+        if spaced and self.merges:
+            joint = ["".join(spaced[i:i + WORDS]) for i in range(0, len(spaced), WORDS)]
+            ids = np.array(self._model_ids(joint)[0], np.uint32)
+            sizes = self._borders(ids, spaced)
+        if sizes is None:
+            ids, sizes, spaced, bare = np.zeros(0, np.uint32), np.zeros(0, np.int64), [], spaced + bare
+        flat, lengths = self._model_ids(bare)
+        return (spaced + bare, np.concatenate([ids, np.array(flat, np.uint32)]),
+                np.concatenate([sizes, np.array(lengths, np.int64)]), others)
+
+    def _model_ids(self, words: list[str]) -> tuple[list[int], list[int]]:
+        """Ids that the model gives to words in a row, and how many each has."""
+        coded = list(map(self.tokenize, [
+            w.replace(" ", "\u0120") if w.isascii() else w.encode().decode("latin-1").translate(LETTERS) for w in words]))
+        return [t.id for x in coded for t in x], list(map(len, coded))
+
     def _learn(self, chunks: list[str]) -> None:
         """Encode new chunks and remember them."""
         names, flat, lengths, rest = [], [], [], []
+        if self.spaces:
+            words, word_ids, word_sizes, chunks = self._words(chunks)
+            self._remember(words, word_ids, word_sizes)
         longer, bases, tails = [], [], []
         find, form_of, tokenize, spaces = self.place.get, self._form, self.tokenize, self.spaces
         for c in chunks:
@@ -218,57 +265,93 @@ class ChunkEncoder:
 
     def _places(self, chunks: list[str]) -> np.ndarray:
         find = self.place.get
-        found = [find(c, -1) for c in chunks]
-        at = np.array(found, np.int64)
+        at = np.fromiter(map(find, chunks, itertools.repeat(-1)), np.int64, len(chunks))
         missing = np.flatnonzero(at < 0)
         if len(missing):
-            absent = [c for c, k in zip(chunks, found, strict=True) if k < 0]
+            absent = [chunks[k] for k in missing.tolist()]
             new = list(dict.fromkeys(absent))
             for i in range(0, len(new), 4096):
                 self._learn(new[i:i + 4096])
-            at[missing] = [find(c) for c in absent]
+            at[missing] = np.fromiter(map(find, absent), np.int64, len(absent))
         self.seen[at] = self.clock
         return at
 
-    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the chunks of texts in a row, and how many each text has."""
-        if self.spaces:
-            # here a line end stands between two characters that are no white space: a piece of its own for the
-            # pre-tokenizer, so that lines are cut before it
-            lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
-        else:
-            lists = pc.ascii_split_whitespace(texts)
+    def _at(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks in a row, and how many each has."""
+        sizes = self.sizes[places]
+        return self.pool[ragged(self.starts[places], sizes)], sizes
+
+    def _coded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts in a row, and how many each has."""
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ") if self.spaces else pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        names, codes = (x.to_numpy(zero_copy_only=False) for x in (coded.dictionary, coded.indices))
-        names = names.tolist()  # by way of numpy: Arrow makes Python texts one by one far slower
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.intp)
         if not self.spaces:
-            return self._places(names)[codes] if names else np.zeros(0, np.int64), counts
-        at = self._places([x if x[:1] == "\n" else " " + x for x in names])[codes] if names else np.zeros(0, np.int64)
-        firsts = np.cumsum(counts) - counts  # the first chunk of a text has no space before it
-        at[firsts] = self._places([names[k] for k in codes[firsts]])
-        return at, counts
+            ids, sizes = self._at(self._places(values(coded.dictionary))[codes])
+        elif len(codes):
+            ids, sizes = self._spaced(coded.dictionary, codes, np.cumsum(counts) - counts)
+        else:
+            ids, sizes = self._at(codes)
+        return ids, sums(sizes, counts)
+
+    def _spaced(self, names: pa.Array, codes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and sizes of `names` in the order of `codes`, where texts are cut at single spaces and before line ends.
+
+        A line end stands between two characters here that are no white space, and is a piece of its own for the
+        pre-tokenizer; so is punctuation from the end of a word to the next white space. Both are looked up by
+        themselves, so that a word is learnt once, whatever stands around it.
+        """
+        names = pa.concat_arrays([names, names.take(pa.array(codes[firsts]))])
+        codes[firsts] = np.arange(len(names) - len(firsts), len(names))
+        bare = pc.or_(pc.starts_with(names, "\n"), pa.array(np.arange(len(names)) >= len(names) - len(firsts)))
+        bodies = pc.ascii_ltrim(names, "\n")
+        words = pc.ascii_rtrim(bodies, TAIL)
+        words = pc.if_else(pc.match_substring_regex(words, WORD_END), words, bodies)
+        # the first word of a text or line has no space before it
+        keys = pc.binary_join_element_wise(pc.if_else(bare, "", " ").cast(words.type), words, pa.scalar("", words.type)).dictionary_encode()
+        tailed = pc.not_equal(pc.binary_length(words), pc.binary_length(bodies))
+        tails = pc.replace_substring_regex(bodies.filter(tailed), BEHIND, "").dictionary_encode()
+        none, end = self._places(["", "\n"])
+        parts = np.full((len(names), 3), none)
+        parts[pc.starts_with(names, "\n").to_numpy(zero_copy_only=False), 0] = end
+        parts[:, 1] = self._places(values(keys.dictionary))[keys.indices.to_numpy()]
+        parts[tailed.to_numpy(zero_copy_only=False), 2] = self._places(values(tails.dictionary))[tails.indices.to_numpy()]
+        pool, sizes = self._at(parts.ravel())
+        sizes = sizes.reshape(-1, 3).sum(axis=1)
+        starts = np.cumsum(sizes) - sizes
+        sizes = sizes[codes]
+        return pool[ragged(starts[codes], sizes)], sizes
 
     def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         self._begin()
         column = pc.fill_null(texts.cast(pa.large_string()), "") if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
         slow = pc.indices_nonzero(pc.match_substring_regex(column, RUNS)).to_pylist() if self.spaces else []
         if not slow:
-            at, counts = self._cut(column)
+            ids, lengths = self._coded(column)
         else:
             rows = [[t] if ODD.search(t) else SPACED.findall(t) for t in column.take(pa.array(slow)).to_pylist()]
             fast = np.setdiff1d(np.arange(len(column)), slow)
-            some, their = self._cut(column.take(pa.array(fast)))
-            counts = np.zeros(len(column), np.int64)
-            counts[fast], counts[slow] = their, [len(r) for r in rows]
-            starts = np.cumsum(counts) - counts
-            at = np.empty(int(counts.sum()), np.int64)
-            at[ragged(starts[fast], their)] = some
-            at[ragged(starts[slow], counts[slow])] = self._places([c for r in rows for c in r])
-        sizes = self.sizes[at]
-        ids = self.pool[ragged(self.starts[at], sizes)]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        return ids, ends[np.concatenate([[0], np.cumsum(counts)])]
+            some, their = self._coded(column.take(pa.array(fast)))
+            rest, sizes = self._at(self._places([c for r in rows for c in r]))
+            lengths = np.empty(len(column), np.int64)
+            lengths[fast], lengths[slow] = their, sums(sizes, np.array([len(r) for r in rows]))
+            starts = np.cumsum(lengths) - lengths
+            ids = np.empty(int(lengths.sum()), np.uint32)
+            ids[ragged(starts[fast], their)] = some
+            ids[ragged(starts[slow], lengths[slow])] = rest
+        return ids, np.concatenate([[0], np.cumsum(lengths)])
+
+
+def sums(sizes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of the first counts[0] sizes, of the next counts[1] and so on."""
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    return np.diff(ends[np.cumsum(counts)], prepend=0)
+
+
+def values(column: pa.Array) -> list[str]:
+    """Python texts of a column without nulls; by way of numpy, for Arrow makes them one by one far slower."""
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
